@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -94,39 +95,33 @@ def reference_edges(reference: DataFrame, features: list[str], rows_per_range: i
     return {f: cuts for f, cuts in found.items() if cuts[0] is not None}
 
 
+def _bin_columns(counts: DataFrame, side: str, *by: str) -> DataFrame:
+    """Bin counts as one column per bin and their total."""
+    per_bin = [
+        F.coalesce(F.sum(F.when(F.col("bin") == i, F.col("n"))), F.lit(0)).alias(f"_{side}_{i}")
+        for i in range(len(DECILES) + 1)
+    ]
+    return counts.groupBy(*by).agg(F.sum("n").alias(f"n_{side}"), *per_bin)
+
+
 def psi_from_counts(reference: DataFrame, current: DataFrame, *keys: str) -> DataFrame:
     """Population stability index per feature (and key) from two tables of bin counts.
 
-    Both inputs have at most ten rows per feature and key. Empty bins count as a share of 1e-4.
+    The reference side has one row per feature, a number fixed by the caller's feature list, so it
+    is broadcast. Empty bins count as a share of 1e-4.
     """
-    by = [*keys, "feature"]
-    totals = current.groupBy(*by).agg(F.sum("n").alias("n_current"))
-    ref_totals = reference.groupBy("feature").agg(F.sum("n").alias("n_reference"))
-    ref = reference.join(ref_totals, "feature").withColumnRenamed("n", "n_ref")
-    # every reference bin must meet every key, also where the key has no row in it
-    expected = totals.join(ref, "feature")
-    seen = expected.join(current.withColumnRenamed("n", "n_cur"), [*by, "bin"], "left")
-    p_ref = F.greatest(F.col("n_ref") / F.col("n_reference"), F.lit(SHARE_FLOOR))
-    p_cur = F.greatest(
-        F.coalesce(F.col("n_cur"), F.lit(0)) / F.col("n_current"), F.lit(SHARE_FLOOR)
-    )
-    # bins that hold current rows but no reference rows
-    extra = current.join(reference.select("feature", "bin"), ["feature", "bin"], "left_anti").join(totals, by)
-    terms = seen.select(
-        *by, "n_reference", "n_current", ((p_cur - p_ref) * F.log(p_cur / p_ref)).alias("term")
-    ).unionByName(
-        extra.join(ref_totals, "feature").select(
-            *by, "n_reference", "n_current",
-            (
-                (F.greatest(F.col("n") / F.col("n_current"), F.lit(SHARE_FLOOR)) - F.lit(SHARE_FLOOR))
-                * F.log(F.greatest(F.col("n") / F.col("n_current"), F.lit(SHARE_FLOOR)) / F.lit(SHARE_FLOOR))
-            ).alias("term"),
-        )
-    )
-    return terms.groupBy(*by).agg(
-        F.sum("term").alias("psi"),
-        F.max("n_reference").alias("n_reference"),
-        F.max("n_current").alias("n_current"),
+    ref = _bin_columns(reference, "reference", "feature")
+    cur = _bin_columns(current, "current", *keys, "feature")
+
+    def share(side: str, i: int) -> Column:
+        return F.greatest(F.col(f"_{side}_{i}") / F.col(f"n_{side}"), F.lit(SHARE_FLOOR))
+
+    terms = [
+        (share("current", i) - share("reference", i)) * F.log(share("current", i) / share("reference", i))
+        for i in range(len(DECILES) + 1)
+    ]
+    return cur.join(F.broadcast(ref), "feature").select(
+        *keys, "feature", reduce(lambda a, b: a + b, terms).alias("psi"), "n_reference", "n_current"
     )
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 from collections import defaultdict
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.ml.feature import Bucketizer
@@ -21,6 +22,8 @@ from creditloom.runtime import materialise, small_table
 
 # rows one task may order; tables up to this size use a single range
 ROWS_PER_RANGE = 1_000_000
+# up to this many values an order statistic is read off all of them, beyond it off brackets
+FEW_VALUES = 50_000
 # quantile sketches only choose where to look; a wrong bracket costs time, never exactness
 SKETCH_K = 1024
 SKETCH_SPREAD = 64
@@ -151,7 +154,7 @@ def group_sizes_and_grids(df: DataFrame, group: str, value: str) -> dict[object,
         .groupBy(group, "_spread")
         .agg(F.count("_v").alias("n"), F.kll_sketch_agg_double("_v", F.lit(SKETCH_K)).alias("sketch"))
     )
-    grid = F.array(*[F.lit(i / GRID_STEPS) for i in range(GRID_STEPS + 1)])
+    grid = F.expr("array(" + ", ".join(f"{i / GRID_STEPS}D" for i in range(GRID_STEPS + 1)) + ")")
     merged = parts.groupBy(group).agg(
         F.sum("n").alias("n"), F.kll_merge_agg_double("sketch", F.lit(SKETCH_K)).alias("sketch")
     )
@@ -228,7 +231,7 @@ def order_statistics(
     targets = {g: ranks for g, ranks in targets.items() if ranks}
     if not targets:
         return {}
-    if sum(n for n, _ in sizes.values()) <= rows_per_range:
+    if sum(n for n, _ in sizes.values()) <= min(FEW_VALUES, rows_per_range):
         return _values_of_few(df, by, value, targets)
     brackets = _brackets(sizes, targets)
     got = _values_at(df, by, value, targets, brackets, rows_per_range)
@@ -242,53 +245,65 @@ def order_statistics(
     return got
 
 
+def _span_table(df: DataFrame, by: str, brackets: list) -> tuple[DataFrame, int]:
+    """Brackets as one wide row per group, padded with brackets no value can reach."""
+    width = max(len(spans) for _, spans in brackets)
+    never = {"low": math.inf, "high": math.inf}
+    rows = [
+        (g, *[s[side] for s in spans + [never] * (width - len(spans)) for side in ("low", "high")])
+        for g, spans in brackets
+    ]
+    fields = [T.StructField(f"_{side}_{i}", T.DoubleType()) for i in range(width) for side in ("low", "high")]
+    table = small_table(df.sparkSession, rows, T.StructType([df.schema[by], *fields]))
+    return F.broadcast(table), width
+
+
 def _values_at(df, by, value, targets, brackets, rows_per_range) -> dict[object, dict[int, object]]:
-    spark = df.sparkSession
-    schema = T.StructType(
-        [
-            df.schema[by],
-            T.StructField("spans", T.ArrayType(T.StructType(
-                [T.StructField("low", T.DoubleType()), T.StructField("high", T.DoubleType())]
-            ))),
-        ]
-    )
-    table = small_table(spark, [(g, [(s["low"], s["high"]) for s in spans]) for g, spans in brackets], schema)
+    table, width = _span_table(df, by, brackets)
     v = F.col(value).cast("double")
-    # gap number: how many brackets lie wholly below the value
-    gap = F.size(F.filter("spans", lambda s: s["high"] < v))
-    inside = F.exists("spans", lambda s: (s["low"] <= v) & (v <= s["high"]))
+    # brackets wholly below a value: for a value inside a bracket this is the bracket's number
+    below = reduce(lambda a, b: a + b, [(F.col(f"_high_{i}") < v).cast("int") for i in range(width)])
+    inside = reduce(
+        lambda a, b: a | b, [(F.col(f"_low_{i}") <= v) & (v <= F.col(f"_high_{i}")) for i in range(width)]
+    )
     counted = (
-        df.join(F.broadcast(table), by)
-        .select(by, gap.alias("gap"), F.when(inside, F.col(value)).alias("kept"))
-        .groupBy(by, "gap", "kept")
+        df.join(table, by)
+        .select(by, below.alias("span"), F.when(inside, F.col(value)).alias("v"))
+        .groupBy(by, "span", "v")
         .agg(F.count(F.lit(1)).alias("n"))
     )
     counted = materialise(counted, "ranks")
-    # values between brackets, and how many of them precede each bracket
-    skipped: dict[object, list[tuple[int, int]]] = defaultdict(list)
-    for r in counted.where("kept IS NULL").collect():
-        skipped[r[by]].append((r["gap"], r["n"]))
-    kept = counted.where("kept IS NOT NULL").select(by, F.col("kept").alias("v"), "n", "gap")
-    running = running_totals(kept.select(by, "v", "n"), "v", ["n"], by, rows_per_range).rows
-    span_of = {g: spans for g, spans in brackets}
+    outside: dict[tuple, int] = {}
+    within: dict[tuple, int] = {}
+    n_distinct = 0
+    sizes = counted.groupBy(by, "span", F.col("v").isNull().alias("out")).agg(
+        F.sum("n").alias("n"), F.count("v").alias("n_distinct")
+    )
+    for r in sizes.collect():
+        (outside if r["out"] else within)[(r[by], r["span"])] = r["n"]
+        n_distinct += r["n_distinct"]
+
     wanted = []
     for g, ranks in targets.items():
-        for rank in ranks:
-            wanted += [
-                (g, rank, index, rank - sum(n for gap_no, n in skipped[g] if gap_no <= index))
-                for index in range(len(span_of.get(g, [])))
-            ]
-    ask = _ask(df, by, wanted, "rank", "span_no", "inner_rank")
-    span_no = F.size(F.filter("spans", lambda s: s["high"] < F.col("v").cast("double"))).cast("long")
-    hits = (
-        running.join(F.broadcast(table), by)
-        .withColumn("span_no", span_no)
-        .join(ask, [by, "span_no"])
-        .where("cum_n - n <= inner_rank AND inner_rank < cum_n")
-        .select(by, "rank", "v")
-    )
+        for span in sorted(s for group, s in within if group == g):
+            before = sum(n for (group, s), n in outside.items() if group == g and s <= span)
+            before += sum(n for (group, s), n in within.items() if group == g and s < span)
+            size = within[(g, span)]
+            wanted += [(g, rank, span, rank - before) for rank in ranks if before <= rank < before + size]
+    if not wanted:
+        return {}
+    ask = _ask(df, by, wanted, "rank", "span", "inner_rank")
+    kept = counted.where("v IS NOT NULL")
+    if n_distinct <= rows_per_range:
+        running = _window_sums(kept, [by, "span"], "v", ["n"])
+    else:
+        part = F.concat_ws("|", F.col(by).cast("string"), "span")
+        keys = kept.select(by, "span").distinct().withColumn("part", part)
+        sums = running_totals(kept.select(part.alias("part"), "v", "n"), "v", ["n"], "part", rows_per_range)
+        running = sums.rows.join(F.broadcast(keys), "part")
+    hits = running.join(ask, [by, "span"]).where("cum_n - n <= inner_rank AND inner_rank < cum_n")
     out: dict[object, dict[int, object]] = defaultdict(dict)
-    for r in hits.collect():
+    for r in hits.select(by, "rank", "v").collect():
         out[r[by]][r["rank"]] = r["v"]
     return dict(out)
 

@@ -7,8 +7,23 @@ difference, the text type and the quoting of an infinity differ and are filled i
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
-TABLES = ("customer", "supplier", "orders", "lineitem", "events", "nation", "region", "part", "labels")
+# columns of the given tables, so that no job has to look into the files for them
+TABLE_COLUMNS = {
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+}
+TABLES = tuple(TABLE_COLUMNS)
 
 DIALECTS = {
     "spark": {"days": "datediff({b}, {a})", "text": "STRING", "nan": "double('NaN')"},
@@ -132,8 +147,8 @@ ROLE_SQL = {
 }
 
 
-def role_sql(name: str, dialect: str, tables: dict[str, str] | None = None) -> str:
-    """The SELECT of a part, with table names filled in."""
+def role_sql(name: str, dialect: str) -> str:
+    """The SELECT of a part; table names stay in braces for Spark and are plain elsewhere."""
     words = DIALECTS[dialect]
     text = ROLE_SQL[name]
     while "{days:" in text:
@@ -141,18 +156,31 @@ def role_sql(name: str, dialect: str, tables: dict[str, str] | None = None) -> s
         end = text.index("}", start)
         a, b = text[start + 6 : end].split("|")
         text = text[:start] + words["days"].format(a=a, b=b) + text[end + 1 :]
-    names = {t: t for t in TABLES} if tables is None else tables
-    return text.format(**names, text=words["text"], nan=words["nan"])
+    names = {t: f"{{{t}}}" if dialect == "spark" else t for t in TABLES}
+    filled = text.format(**names, text=words["text"], nan=words["nan"])
+    # Spark fills table names in with a second pass, which halves doubled braces once more
+    return filled if dialect != "spark" else _escaped(filled)
+
+
+def _escaped(sql: str) -> str:
+    kept = {f"{{{t}}}": f"\0{t}\0" for t in TABLES}
+    for name, mark in kept.items():
+        sql = sql.replace(name, mark)
+    sql = sql.replace("{", "{{").replace("}", "}}")
+    for name, mark in kept.items():
+        sql = sql.replace(mark, name)
+    return sql
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(T.StructType.fromDDL(TABLE_COLUMNS[name])).parquet(f"{folder}/{name}.parquet")
 
 
 def role(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A part as a DataFrame over the Parquet files of ``folder``."""
-    paths = {t: f"parquet.`{folder}/{t}.parquet`" for t in TABLES}
-    return spark.sql(role_sql(name, "spark", paths))
+    sql = role_sql(name, "spark")
+    used = {t: table(spark, folder, t) for t in TABLES if f"{{{t}}}" in sql}
+    return spark.sql(sql, **used)
 
 
 def with_roles(*names: str) -> str:
