@@ -117,8 +117,18 @@ def fit_imputer(
     return profile
 
 
+def _as_number(c: Column, data_type: T.DataType) -> Column:
+    """A column of any type as a number: dates as days, times as microseconds."""
+    if isinstance(data_type, T.DateType):
+        c = F.unix_date(c)
+    elif isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
+        c = F.unix_micros(c.cast("timestamp"))
+    return c.cast("double")
+
+
 def apply_imputer(df: DataFrame, profile: ImputeProfile) -> DataFrame:
     kept = _car_age_zeroed(df).drop(*profile.dropped)
+    types = {f.name: f.dataType for f in kept.schema.fields}
 
     def treated(name: str) -> Column:
         c = F.col(f"`{name}`")
@@ -127,7 +137,7 @@ def apply_imputer(df: DataFrame, profile: ImputeProfile) -> DataFrame:
         elif name in profile.texts:
             c = F.coalesce(c.cast("string"), F.lit("Missing"))
         elif name in profile.numbers:
-            c = F.coalesce(c.cast("double"), F.lit(float(profile.numbers[name])))
+            c = F.coalesce(_as_number(c, types[name]), F.lit(float(profile.numbers[name])))
         if name in YES_NO_COLUMNS:
             c = yes_no_flag(c)
         return c.alias(name)
