@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from creditloom.functions.scalars import AGE_BINS, age_bucket, age_years
 from creditloom.operators.ordering import ROWS_PER_RANGE, order_statistics, running_totals
@@ -166,18 +168,20 @@ def group_thresholds(
 def reweigh_table(df: DataFrame, group: Column, label: str = "y") -> DataFrame:
     """Weight per (group, label) that makes the label independent of the group.
 
-    The counts of the at most four cells are combined by joins on their own margins.
+    One scan counts the cells; their margins are sums over a handful of numbers.
     """
     cells = df.groupBy(group.alias("a"), F.col(label).alias("y")).agg(F.count(F.lit(1)).alias("n_ay"))
-    by_a = cells.groupBy("a").agg(F.sum("n_ay").alias("n_a"))
-    by_y = cells.groupBy("y").agg(F.sum("n_ay").alias("n_y"), )
-    total = cells.groupBy(F.lit(1).alias("one")).agg(F.sum("n_ay").alias("n"))
-    joined = (
-        cells.withColumn("one", F.lit(1)).join(F.broadcast(by_a), "a")
-        .join(F.broadcast(by_y), "y").join(F.broadcast(total), "one")
+    counts = {(r["a"], r["y"]): r["n_ay"] for r in cells.collect()}
+    by_a, by_y = Counter(), Counter()
+    for (a, y), n in counts.items():
+        by_a[a] += n
+        by_y[y] += n
+    total = sum(counts.values())
+    rows = [(a, y, n, by_a[a] * by_y[y] / (total * n)) for (a, y), n in counts.items()]
+    schema = T.StructType(
+        [cells.schema["a"], cells.schema["y"], cells.schema["n_ay"], T.StructField("weight", T.DoubleType())]
     )
-    weight = F.col("n_a").cast("double") * F.col("n_y") / (F.col("n").cast("double") * F.col("n_ay"))
-    return joined.select("a", "y", "n_ay", weight.alias("weight"))
+    return small_table(df.sparkSession, rows, schema)
 
 
 def mature_group(days_birth: Column) -> Column:
@@ -188,11 +192,11 @@ def mature_group(days_birth: Column) -> Column:
 def reweigh(df: DataFrame, label: str = "y", days_birth: str = "days_birth", out: str = "weight") -> DataFrame:
     """Attach the reweighing weight of each row; the weights add up to the row count."""
     group = mature_group(F.col(days_birth))
-    table = reweigh_table(df, group, label).select("a", F.col("y").alias("_y"), F.col("weight").alias(out))
-    joined = df.withColumn("a", group)
-    return joined.join(F.broadcast(table), (joined["a"] == table["a"]) & (F.col(label) == F.col("_y"))).drop(
-        "a", "_y"
+    table = reweigh_table(df, group, label).select(
+        F.col("a").alias("_a"), F.col("y").alias("_y"), F.col("weight").alias(out)
     )
+    same = group.eqNullSafe(F.col("_a")) & F.col(label).eqNullSafe(F.col("_y"))
+    return df.join(F.broadcast(table), same).drop("_a", "_y")
 
 
 COMPARED = ["auc_roc", "gini", "ks_stat", "equal_opportunity_diff", "disparate_impact_ratio"]

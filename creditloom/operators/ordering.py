@@ -24,6 +24,8 @@ from creditloom.runtime import materialise, small_table
 ROWS_PER_RANGE = 1_000_000
 # up to this many values an order statistic is read off all of them, beyond it off brackets
 FEW_VALUES = 50_000
+# bounds of more ranges than this would cost more than they save
+MAX_RANGES = 4_096
 # quantile sketches only choose where to look; a wrong bracket costs time, never exactness
 SKETCH_K = 1024
 SKETCH_SPREAD = 64
@@ -32,14 +34,12 @@ BRACKET_STEPS = 3
 
 
 def range_bounds(df: DataFrame, value: str, ranges: int) -> list[float]:
-    """Inner bounds that cut ``value`` into about equal ranges."""
+    """Inner bounds that cut ``value`` into about equal ranges, at most ``MAX_RANGES`` of them."""
+    ranges = min(ranges, MAX_RANGES)
     if ranges <= 1:
         return []
-    probabilities = [i / ranges for i in range(1, ranges)]
-    found = df.select(F.col(value).cast("double").alias("v")).approxQuantile(
-        "v", probabilities, 0.25 / ranges
-    )
-    return sorted({b for b in found if math.isfinite(b)})
+    found = quantile_grids(df.withColumn("_all", F.lit(0)), "_all", value, ranges)
+    return sorted({b for _, grid in found.values() for b in grid[1:-1] if math.isfinite(b)})
 
 
 def with_range(df: DataFrame, value: str, bounds: list[float], out: str = "range_no") -> DataFrame:
@@ -142,8 +142,10 @@ def long_form(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(F.inline(cells)).where("value IS NOT NULL AND NOT isnan(value)")
 
 
-def group_sizes_and_grids(df: DataFrame, group: str, value: str) -> dict[object, tuple[int, list[float]]]:
-    """Row count and approximate quantiles at every 1/``GRID_STEPS`` per group, merged in two steps.
+def quantile_grids(
+    df: DataFrame, group: str, value: str, steps: int = GRID_STEPS
+) -> dict[object, tuple[int, list[float]]]:
+    """Row count and approximate quantiles at every 1/``steps`` per group, merged in two steps.
 
     The first step is spread over ``SKETCH_SPREAD`` reducers per group, so no single reducer meets
     the sketches of every map task.
@@ -154,12 +156,12 @@ def group_sizes_and_grids(df: DataFrame, group: str, value: str) -> dict[object,
         .groupBy(group, "_spread")
         .agg(F.count("_v").alias("n"), F.kll_sketch_agg_double("_v", F.lit(SKETCH_K)).alias("sketch"))
     )
-    grid = F.expr("array(" + ", ".join(f"{i / GRID_STEPS}D" for i in range(GRID_STEPS + 1)) + ")")
+    grid = F.expr("array(" + ", ".join(f"{i / steps}D" for i in range(steps + 1)) + ")")
     merged = parts.groupBy(group).agg(
         F.sum("n").alias("n"), F.kll_merge_agg_double("sketch", F.lit(SKETCH_K)).alias("sketch")
     )
     rows = merged.select(group, "n", F.kll_sketch_get_quantile_double("sketch", grid).alias("grid"))
-    return {r[group]: (r["n"], list(r["grid"])) for r in rows.collect()}
+    return {r[group]: (r["n"], list(r["grid"])) for r in rows.where("n > 0").collect()}
 
 
 def _brackets(sizes: dict, targets: dict) -> list[tuple[object, list[dict[str, float]]]]:
@@ -226,7 +228,7 @@ def order_statistics(
         df = df.withColumn("_all", F.lit(0))
     by = group or "_all"
     df = df.select(by, value).where(F.col(value).isNotNull() & F.col(by).isNotNull())
-    sizes = group_sizes_and_grids(df, by, value)
+    sizes = quantile_grids(df, by, value)
     targets = {g: sorted(set(ranks_of(g, n))) for g, (n, _) in sizes.items() if n}
     targets = {g: ranks for g, ranks in targets.items() if ranks}
     if not targets:

@@ -113,21 +113,25 @@ def flagged_display(scores: DataFrame) -> DataFrame:
 def lookup_applicants(ids: DataFrame, sources: list[DataFrame], key: str = "SK_ID_CURR") -> DataFrame:
     """The row of each wanted id from the first source that has it, NaN shown as null.
 
-    Sources are filtered by the ids before they meet; ids found nowhere give no row.
+    An id found in one source leaves the search before the next; of the earlier sources only the
+    key column is read again for that. Ids found nowhere give no row.
     """
-    tagged = [
-        s.join(ids.select(key).distinct(), key, "left_semi").withColumn("found_in", F.lit(i))
-        for i, s in enumerate(sources)
-    ]
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
-    best = stacked.groupBy(key).agg(F.min("found_in").alias("found_in"))
-    rows = stacked.join(best, [key, "found_in"], "left_semi")
-    cleaned = [
-        nan_to_null(F.col(f.name)).alias(f.name)
-        if f.dataType.typeName() in ("double", "float") else F.col(f.name)
-        for f in rows.schema.fields
-    ]
-    return rows.select(*cleaned)
+    wanted = ids.select(key).distinct()
+    found = []
+    for position, source in enumerate(sources):
+        found.append(source.join(wanted, key, "left_semi").withColumn("found_in", F.lit(position)))
+        wanted = wanted.join(source.select(key), key, "left_anti")
+    return _without_nan(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), found))
+
+
+def _without_nan(df: DataFrame) -> DataFrame:
+    real = ("double", "float")
+    return df.select(
+        *[
+            nan_to_null(F.col(f.name)).alias(f.name) if f.dataType.typeName() in real else F.col(f.name)
+            for f in df.schema.fields
+        ]
+    )
 
 
 def lookup_applicant(applicant: int, sources: list[DataFrame], key: str = "SK_ID_CURR") -> DataFrame:
@@ -135,11 +139,5 @@ def lookup_applicant(applicant: int, sources: list[DataFrame], key: str = "SK_ID
     for source in sources:
         hit = source.where(F.col(key) == applicant).limit(1)
         if hit.take(1):
-            return hit.select(
-                *[
-                    nan_to_null(F.col(f.name)).alias(f.name)
-                    if f.dataType.typeName() in ("double", "float") else F.col(f.name)
-                    for f in hit.schema.fields
-                ]
-            )
+            return _without_nan(hit)
     raise KeyError(f"{key} {applicant} not found")

@@ -43,9 +43,9 @@ def test_order_statistics_per_group(df, rows_per_range):
 
 
 def test_missed_bracket_is_still_exact(df, monkeypatch):
-    real = O.group_sizes_and_grids
+    real = O.quantile_grids
     # a sketch that points far away from every rank asked for
-    monkeypatch.setattr(O, "group_sizes_and_grids", lambda *a: {g: (n, [1e9] * len(grid)) for g, (n, grid) in real(*a).items()})
+    monkeypatch.setattr(O, "quantile_grids", lambda *a: {g: (n, [1e9] * len(grid)) for g, (n, grid) in real(*a).items()})
     values = sorted(r[2] for r in ROWS)
     assert O.order_statistics(df, "u", lambda g, n: [1234, 2000], None, 300)[0] == {1234: values[1234], 2000: values[2000]}
 
