@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from datetime import date, datetime
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -69,24 +68,26 @@ def enough_rows(current: DataFrame, minimum: int = MINIMUM_ROWS) -> bool:
     return current.limit(minimum).count() >= minimum
 
 
-def _bin_of(c: Column, edges: list[float]) -> Column:
-    """Right-closed bin number of a value between sorted edges."""
-    number = F.lit(0)
-    for e in edges:
-        number = number + (c > F.lit(float(e))).cast("int")
-    return number
+def bin_cells(edges: dict[str, list[float]]) -> Column:
+    """Feature name and right-closed bin number of every watched column, as an array of structs.
+
+    A bin is the number of sorted edges below the value; null and NaN have none.
+    """
+    cells = []
+    for name, cuts in edges.items():
+        c = f"CAST(`{name}` AS DOUBLE)"
+        number = " + ".join(f"CAST({c} > {float(e)!r}D AS INT)" for e in cuts) or "0"
+        label = name.replace("'", "\\'")
+        cells.append(
+            f"named_struct('feature', '{label}', 'bin', CASE WHEN {c} IS NOT NULL AND NOT isnan({c}) THEN {number} END)"
+        )
+    return F.expr(f"array({', '.join(cells)})")
 
 
 def bin_counts(df: DataFrame, edges: dict[str, list[float]], *keys: str | Column) -> DataFrame:
     """Rows per (keys, feature, bin); nulls and NaN are not counted."""
-    cells = []
-    for name, cuts in edges.items():
-        c = F.col(f"`{name}`").cast("double")
-        usable = c.isNotNull() & ~F.isnan(c)
-        cells.append(F.struct(F.lit(name).alias("feature"), F.when(usable, _bin_of(c, cuts)).alias("bin")))
-    long = df.select(*keys, F.inline(F.array(*cells))).where("bin IS NOT NULL")
-    names = [k for k in long.columns if k not in ("feature", "bin")]
-    return long.groupBy(*names, "feature", "bin").agg(F.count(F.lit(1)).alias("n"))
+    long = df.select(*keys, F.inline(bin_cells(edges))).where("bin IS NOT NULL")
+    return long.groupBy(*long.columns).agg(F.count(F.lit(1)).alias("n"))
 
 
 def reference_edges(reference: DataFrame, features: list[str], rows_per_range: int = ROWS_PER_RANGE) -> dict[str, list[float]]:
@@ -95,12 +96,12 @@ def reference_edges(reference: DataFrame, features: list[str], rows_per_range: i
     return {f: cuts for f, cuts in found.items() if cuts[0] is not None}
 
 
+BINS = range(len(DECILES) + 1)
+
+
 def _bin_columns(counts: DataFrame, side: str, *by: str) -> DataFrame:
     """Bin counts as one column per bin and their total."""
-    per_bin = [
-        F.coalesce(F.sum(F.when(F.col("bin") == i, F.col("n"))), F.lit(0)).alias(f"_{side}_{i}")
-        for i in range(len(DECILES) + 1)
-    ]
+    per_bin = [F.expr(f"coalesce(sum(CASE WHEN bin = {i} THEN n END), 0) AS {side}_{i}") for i in BINS]
     return counts.groupBy(*by).agg(F.sum("n").alias(f"n_{side}"), *per_bin)
 
 
@@ -112,16 +113,16 @@ def psi_from_counts(reference: DataFrame, current: DataFrame, *keys: str) -> Dat
     """
     ref = _bin_columns(reference, "reference", "feature")
     cur = _bin_columns(current, "current", *keys, "feature")
-
-    def share(side: str, i: int) -> Column:
-        return F.greatest(F.col(f"_{side}_{i}") / F.col(f"n_{side}"), F.lit(SHARE_FLOOR))
-
-    terms = [
-        (share("current", i) - share("reference", i)) * F.log(share("current", i) / share("reference", i))
-        for i in range(len(DECILES) + 1)
+    shares = [
+        F.expr(f"greatest({side}_{i} / n_{side}, {SHARE_FLOOR}D) AS {side}_share_{i}")
+        for side in ("reference", "current") for i in BINS
     ]
-    return cur.join(F.broadcast(ref), "feature").select(
-        *keys, "feature", reduce(lambda a, b: a + b, terms).alias("psi"), "n_reference", "n_current"
+    psi = " + ".join(
+        f"(current_share_{i} - reference_share_{i}) * ln(current_share_{i} / reference_share_{i})" for i in BINS
+    )
+    kept = [*keys, "feature", "n_reference", "n_current"]
+    return cur.join(F.broadcast(ref), "feature").select(*kept, *shares).select(
+        *keys, "feature", F.expr(psi).alias("psi"), "n_reference", "n_current"
     )
 
 

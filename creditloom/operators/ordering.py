@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import math
 from collections import defaultdict
-from functools import reduce
 from typing import NamedTuple
 
 from pyspark.ml.feature import Bucketizer
@@ -136,8 +135,12 @@ def row_index(
 
 def long_form(df: DataFrame, columns: list[str]) -> DataFrame:
     """Numeric columns as (name, value) rows without nulls."""
-    cells = F.array(
-        *[F.struct(F.lit(c).alias("name"), F.col(f"`{c}`").cast("double").alias("value")) for c in columns]
+    cells = F.expr(
+        "array("
+        + ", ".join(
+            "named_struct('name', '{}', 'value', CAST(`{}` AS DOUBLE))".format(c.replace("'", "\\'"), c) for c in columns
+        )
+        + ")"
     )
     return df.select(F.inline(cells)).where("value IS NOT NULL AND NOT isnan(value)")
 
@@ -262,12 +265,10 @@ def _span_table(df: DataFrame, by: str, brackets: list) -> tuple[DataFrame, int]
 
 def _values_at(df, by, value, targets, brackets, rows_per_range) -> dict[object, dict[int, object]]:
     table, width = _span_table(df, by, brackets)
-    v = F.col(value).cast("double")
+    v = f"CAST(`{value}` AS DOUBLE)"
     # brackets wholly below a value: for a value inside a bracket this is the bracket's number
-    below = reduce(lambda a, b: a + b, [(F.col(f"_high_{i}") < v).cast("int") for i in range(width)])
-    inside = reduce(
-        lambda a, b: a | b, [(F.col(f"_low_{i}") <= v) & (v <= F.col(f"_high_{i}")) for i in range(width)]
-    )
+    below = F.expr(" + ".join(f"CAST(_high_{i} < {v} AS INT)" for i in range(width)))
+    inside = F.expr(" OR ".join(f"({v} BETWEEN _low_{i} AND _high_{i})" for i in range(width)))
     counted = (
         df.join(table, by)
         .select(by, below.alias("span"), F.when(inside, F.col(value)).alias("v"))

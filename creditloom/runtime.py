@@ -16,6 +16,8 @@ SESSION_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # call sites of every column expression are only worth their cost while debugging
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -7,7 +7,6 @@ restart or a lost executor loses nothing, and a replayed batch writes the same f
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from creditloom.functions.registry import ID_COLUMN
 from creditloom.functions.scalars import cache_key, json_text
+from creditloom.operators.drift import bin_cells
 from creditloom.operators.features import (
     bureau_features,
     credit_card_features,
@@ -204,16 +204,9 @@ def lookback_histograms(
     scores: DataFrame, edges: dict[str, list[float]], ts: str = "predicted_at", days: int = 7, late: str = "1 hour"
 ) -> DataFrame:
     """Bin counts per feature over sliding windows of the last days, one window per day."""
-    cells = []
-    for name, cuts in edges.items():
-        c = F.col(f"`{name}`").cast("double")
-        number = reduce(lambda a, e: a + (c > F.lit(float(e))).cast("int"), cuts, F.lit(0))
-        cells.append(
-            F.struct(F.lit(name).alias("feature"), F.when(c.isNotNull() & ~F.isnan(c), number).alias("bin"))
-        )
     return (
         scores.withWatermark(ts, late)
-        .select(ts, F.inline(F.array(*cells)))
+        .select(ts, F.inline(bin_cells(edges)))
         .where("bin IS NOT NULL")
         .groupBy(F.window(ts, f"{days} days", "1 day").alias("w"), "feature", "bin")
         .agg(F.count(F.lit(1)).alias("n"))
