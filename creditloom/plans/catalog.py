@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from creditloom.functions.registry import CONTRACT_OUTCOMES, ID_COLUMN, PRESENCE_FLAGS
+from creditloom.functions.registry import CONTRACT_OUTCOMES, ID_COLUMN, PRESENCE_FLAGS, fill_values
 from creditloom.functions.scalars import age_bucket, cache_key, json_text, risk_tier
 from creditloom.operators import (
     attribution,
@@ -30,6 +30,7 @@ from creditloom.operators import (
 from creditloom.plans.roles import TABLES, role, table, with_roles
 from creditloom.runtime import materialise, scratch_path, small_table
 from creditloom.sources import readers, writers
+from creditloom.sources.schemas import raw_schema, request_schema
 from creditloom.streaming import online
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -532,6 +533,63 @@ def _(spark, folder):
     )
 
 
+REQUEST_TEXT = """CASE WHEN event_id % 10 = 0 THEN '{broken' WHEN event_id % 10 = 1 THEN '{"application": {"AMT_CREDIT": 1}}'
+    ELSE concat('{"application": {"SK_ID_CURR": ', user_id, ', "AMT_CREDIT": ', event_id % 50, ', "OTHER": "x"}, "bureau": [{"SK_ID_BUREAU": ',
+                event_id, ', "CREDIT_TYPE": "', event_type, '"}]}') END"""
+
+
+@query(
+    "request_conformance",
+    """SELECT event_id, event_id % 10 > 1 AS accepted, CASE WHEN event_id % 10 > 1 THEN user_id END AS "SK_ID_CURR",
+       CASE WHEN event_id % 10 > 1 THEN CAST(event_id % 50 AS DOUBLE) END AS "AMT_CREDIT" FROM events""",
+)
+def _(spark, folder):
+    documents = table(spark, folder, "events").select("event_id", F.expr(REQUEST_TEXT).alias("text"))
+    good, bad = quality.conforming_requests(documents, "text", request_schema(), "application.SK_ID_CURR")
+    accepted = good.select(
+        "event_id", F.lit(True).alias("accepted"), "request.application.SK_ID_CURR", "request.application.AMT_CREDIT"
+    )
+    rejected = bad.select("event_id", F.lit(False).alias("accepted"))
+    return accepted.unionByName(rejected, allowMissingColumns=True)
+
+
+@query(
+    "request_children",
+    """SELECT user_id AS "SK_ID_CURR", event_id AS "SK_ID_BUREAU", event_type AS "CREDIT_TYPE", CAST(NULL AS DOUBLE) AS "AMT_CREDIT_SUM"
+       FROM events WHERE event_id % 10 > 1""",
+)
+def _(spark, folder):
+    documents = table(spark, folder, "events").select(F.expr(REQUEST_TEXT).alias("text"))
+    good, _ = quality.conforming_requests(documents, "text", request_schema(), "application.SK_ID_CURR")
+    children = readers.records_to_table(good, "bureau", raw_schema("bureau"))
+    return children.select("SK_ID_CURR", "SK_ID_BUREAU", "CREDIT_TYPE", "AMT_CREDIT_SUM")
+
+
+@query(
+    "registry_fill",
+    f"""{with_roles('application')} SELECT SK_ID_CURR, round(COALESCE(EXT_SOURCE_1, -1) + 1e-7, 4) AS EXT_SOURCE_1,
+        COALESCE(NAME_INCOME_TYPE, 'Missing') AS NAME_INCOME_TYPE, COALESCE(OWN_CAR_AGE, 0) AS OWN_CAR_AGE FROM application""",
+)
+def _(spark, folder):
+    rows = role(spark, folder, "application").select(ID_COLUMN, "EXT_SOURCE_1", "NAME_INCOME_TYPE", "OWN_CAR_AGE")
+    return rounded(rows.na.fill({c: v for c, v in fill_values().items() if c in rows.columns}))
+
+
+@query(
+    "column_kinds",
+    f"""{with_roles('application')}, k AS (SELECT column_name, column_type FROM (DESCRIBE SELECT * FROM application))
+        SELECT column_name AS "column", column_type <> 'VARCHAR' AS is_numeric,
+               column_type = 'VARCHAR' AS is_category FROM k""",
+)
+def _(spark, folder):
+    rows = role(spark, folder, "application")
+    numeric, _ = impute.split_columns(rows)
+    kinds = [
+        (f.name, f.name in numeric, impute.is_category(f.name, f.dataType)) for f in rows.schema.fields
+    ]
+    return small_table(spark, kinds, "column string, is_numeric boolean, is_category boolean")
+
+
 # ---------------------------------------------------------------- portfolio
 
 SPANS = {"all": "", "6m": "WHERE predicted_at >= TIMESTAMP '2024-07-15' - INTERVAL 6 MONTH",
@@ -940,6 +998,16 @@ def _(spark, folder):
     return models.score_table(master.where("split = 'holdout'"), model, [ID_COLUMN, "TARGET"])
 
 
+@query("gbt_early_stopping")
+def _(spark, folder):
+    master = ordering.temporal_split(stored_master(spark, folder), ID_COLUMN)
+    model = models.train_boosted(
+        master, NUMERIC, CATEGORIES, "TARGET", {"maxIter": 8, "minInstancesPerNode": 5},
+        validation=F.col("split") == "holdout",
+    )
+    return models.score_table(master.where("split = 'holdout'"), model, [ID_COLUMN, "TARGET"])
+
+
 @query("tree_attribution_topk")
 def _(spark, folder):
     master = stored_master(spark, folder)
@@ -1134,6 +1202,16 @@ def _(spark, folder):
     return rounded(rows.agg(F.count(F.lit(1)).alias("n"), F.avg("AMT_INCOME_TOTAL").alias("mean_income")))
 
 
+@query(
+    "drift_reference",
+    f"""{with_roles('drift_rows')}, r AS (SELECT *, row_number() OVER (ORDER BY SK_ID_CURR) AS i, COUNT(*) OVER () AS n FROM drift_rows)
+        SELECT round(AMT_INCOME_TOTAL + 1e-7, 4) AS AMT_INCOME_TOTAL, DAYS_BIRTH, round(EXT_SOURCE_1 + 1e-7, 4) AS EXT_SOURCE_1, bureau_loan_count
+        FROM r WHERE i <= CAST(floor(n * 0.8e0) AS BIGINT)""",
+)
+def _(spark, folder):
+    return rounded(drift.reference_rows(role(spark, folder, "drift_rows"), ID_COLUMN))
+
+
 @query(
     "drift_metrics",
     f"""{_drift_sql()} SELECT 'run' AS run_id, 'drift_psi_' || feature AS metric, round(psi + 1e-9, 6) AS value FROM report
@@ -1284,6 +1362,45 @@ def _(spark, folder):
     return spark.read.parquet(out).select("id", "key", F.col("predicted_at").cast("timestamp_ntz").alias("predicted_at"))
 
 
+@query(
+    "stream_requests",
+    """WITH RECURSIVE e AS (SELECT user_id, event_type, event_id % 7 AS v, CAST(floor(epoch(ts)) AS BIGINT) AS s, ts,
+           concat(user_id, ':', event_type, ':', event_id % 7) AS key FROM events),
+       d AS (SELECT key, s FROM e GROUP BY 1, 2),
+       nxt AS (SELECT key, s, MIN(s) OVER (PARTITION BY key ORDER BY s
+                 RANGE BETWEEN 3600 FOLLOWING AND UNBOUNDED FOLLOWING) AS nxt FROM d),
+       kept AS (SELECT key, MIN(s) AS s FROM d GROUP BY 1
+                UNION ALL SELECT nxt.key, nxt.nxt FROM kept JOIN nxt USING (key, s) WHERE nxt.nxt IS NOT NULL),
+       first AS (SELECT key, s, MIN(ts) AS ts, ANY_VALUE(user_id) AS user_id, ANY_VALUE(v) AS v FROM e GROUP BY 1, 2),
+       scored AS (SELECT user_id, ts, 0.4e0 + (50e0 * v) / (100e0 * (v + 1) + 1e-5) - 0.1e0 AS p FROM first JOIN kept USING (key, s))
+       SELECT user_id AS application_id, round(p + 1e-9, 6) AS default_probability,
+              CASE WHEN p < 0.3e0 THEN 'LOW' WHEN p <= 0.6e0 THEN 'MEDIUM' ELSE 'HIGH' END AS risk_tier,
+              'stream01' AS model_version, ts AS predicted_at, 'api' AS source FROM scored""",
+)
+def _(spark, folder):
+    """Every event as a scoring request with one bureau loan, answered by the streaming job."""
+    events = online.read_table_stream(spark, folder, table(spark, folder, "events").schema, "events.parquet")
+    text = F.expr(
+        """to_json(named_struct('application', named_struct('SK_ID_CURR', user_id, 'NAME_TYPE_SUITE', event_type),
+           'bureau', array(named_struct('SK_ID_BUREAU', event_id % 7, 'AMT_CREDIT_SUM', 100D * (event_id % 7 + 1),
+           'AMT_CREDIT_SUM_DEBT', 50D * (event_id % 7)))))"""
+    )
+    requests = events.select(text.alias("text"), F.col("ts").cast("timestamp").alias("received_at"))
+    audit = scratch_path(spark, "audit")
+    profile = impute.ImputeProfile(scores={"EXT_SOURCE_1": 0.4})
+
+    def score(df):
+        return df.withColumn("score", F.col("EXT_SOURCE_1") + F.col("debt_to_credit_ratio") - F.lit(0.1))
+
+    online.run_to_end(
+        requests, lambda batch, number: online.answer_batch(batch, number, audit, profile, score, "stream0123456789")
+    )
+    rows = readers.read_audit(spark, audit).withColumn("predicted_at", F.col("predicted_at").cast("timestamp_ntz"))
+    return rounded(
+        rows.select("application_id", "default_probability", "risk_tier", "model_version", "predicted_at", "source"), 6
+    )
+
+
 @query(
     "stream_daily",
     """SELECT date, n, round(avg_probability + 1e-7, 4) AS avg_probability FROM (

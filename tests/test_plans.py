@@ -15,7 +15,7 @@ from creditloom.plans.roles import role
 from creditloom.sources.readers import list_csv, read_audit, read_csv, read_drift_reports
 from creditloom.sources.schemas import RAW_COLUMNS, raw_schema
 
-HEAVY = {"gbt_train_score", "tree_attribution_topk", "logreg_cv", "random_search"}
+HEAVY = {"gbt_train_score", "gbt_early_stopping", "tree_attribution_topk", "logreg_cv", "random_search"}
 
 
 @pytest.mark.parametrize("name", sorted(n for n in QUERIES if n in ORACLES))
