@@ -13,7 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from creditloom.functions.registry import CONTRACT_OUTCOMES, ID_COLUMN, PRESENCE_FLAGS, fill_values
+from creditloom.functions.registry import (
+    CONTRACT_OUTCOMES,
+    ID_COLUMN,
+    PRESENCE_FLAGS,
+    feature_names,
+    feature_rows,
+    fill_for_missing_history,
+    fill_values,
+)
 from creditloom.functions.scalars import age_bucket, cache_key, json_text, risk_tier
 from creditloom.operators import (
     attribution,
@@ -259,8 +267,6 @@ def _(spark, folder):
 
 
 def _filled_history_sql() -> str:
-    from creditloom.functions.registry import fill_for_missing_history, feature_names
-
     names = [n for g in ("bureau", "ins", "cc", "pos", "prev") for n in feature_names(group=g)] + PRESENCE_FLAGS
     return ", ".join(f'COALESCE("{n}", {fill_for_missing_history(n)}) AS "{n}"' for n in names)
 
@@ -408,7 +414,18 @@ def _(spark, folder):
     return quality.id_overlap(role(spark, folder, "application"), role(spark, folder, "credit_card"), ID_COLUMN)
 
 
-@query("registry_check")
+def _registry_sql() -> str:
+    names = ", ".join(f"('{f.name}')" for f in feature_rows())
+    ignored = ", ".join(f"'{c}'" for c in (ID_COLUMN, "TARGET", *PRESENCE_FLAGS))
+    return f"""{MASTER_SQL}, registered(feature) AS (VALUES {names}),
+        present AS (SELECT column_name AS feature FROM (DESCRIBE SELECT * FROM master) WHERE column_name NOT IN ({ignored}))
+        SELECT feature, CASE WHEN feature NOT IN (SELECT feature FROM present) THEN 'missing' ELSE 'ok' END AS state,
+               CASE WHEN feature IN (SELECT feature FROM present) THEN CAST(0 AS BIGINT) END AS null_count FROM registered
+        UNION ALL
+        SELECT feature, 'unregistered', NULL FROM present WHERE feature NOT IN (SELECT feature FROM registered)"""
+
+
+@query("registry_check", _registry_sql())
 def _(spark, folder):
     return quality.registry_check(master_table(spark, folder), ignore=(ID_COLUMN, "TARGET", *PRESENCE_FLAGS))
 
@@ -949,7 +966,7 @@ def _linear_sql() -> str:
         f"CAST({w!r} AS DOUBLE) * ({n} - AVG({n}) OVER ()) AS v, CAST({n} AS DOUBLE) AS fv FROM raw"
         for i, (n, w) in enumerate(LINEAR.items())
     )
-    words = {f.name: f.description for f in _features()}
+    words = {f.name: f.description for f in feature_rows()}
     names = " ".join("WHEN '{}' THEN '{}'".format(n, words[n].replace("'", "''")) for n in LINEAR)
     return f"""{with_roles('application')}, zeroed AS (SELECT *  EXCLUDE (OWN_CAR_AGE, COMMONAREA_AVG),
           CASE WHEN FLAG_OWN_CAR = 'N' THEN 0e0 ELSE OWN_CAR_AGE END AS OWN_CAR_AGE FROM application),
@@ -963,12 +980,6 @@ def _linear_sql() -> str:
         FROM (SELECT *, row_number() OVER (PARTITION BY SK_ID_CURR ORDER BY abs(v) DESC, position) AS rank FROM cells) WHERE rank <= 3"""
 
 
-def _features():
-    from creditloom.functions.registry import feature_rows
-
-    return feature_rows()
-
-
 @query("linear_attribution_topk", _linear_sql())
 def _(spark, folder):
     rows = impute.impute(role(spark, folder, "application"))

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from creditloom.functions.registry import ID_COLUMN, LABEL_COLUMN
 from creditloom.operators import features, impute, quality
-from creditloom.runtime import materialise
-from creditloom.sources.readers import list_csv, read_raw_table
+from creditloom.sources.readers import diagonal_union, list_csv, read_raw_table
 from creditloom.sources.writers import write_parquet
 
 TRAIN_TABLE = "train_complete"
@@ -25,12 +25,19 @@ def history_features(tables: dict[str, DataFrame]) -> list[DataFrame]:
     ]
 
 
+def feature_path(out: str, name: str) -> str:
+    """Where a feature table lies below the folder both are written to."""
+    return f"{out.rstrip('/')}/part={name}"
+
+
 def build_features(spark: SparkSession, raw: str, out: str, per_table_imputer: bool = False) -> None:
-    """Write the train and test feature tables.
+    """Write the train and test feature tables (test rows carry an empty label).
 
     The imputer is fitted on train and applied to both, unless ``per_table_imputer`` asks for
-    each table's own. The history features feed both outputs, so they are written once; grouping by
-    the key makes their keys unique, while the applications are checked.
+    each table's own; a column only one of them dropped gets its default there. Both tables go through
+    one star join: every history is aggregated once and joined where its aggregation left it, and
+    the result is split by folder as it is written. Grouping makes the history keys unique, while
+    the applications are checked.
     """
     names = ["bureau", "bureau_balance", "installments_payments", "credit_card_balance",
              "POS_CASH_balance", "previous_application"]
@@ -41,12 +48,16 @@ def build_features(spark: SparkSession, raw: str, out: str, per_table_imputer: b
     quality.require_unique(test, ID_COLUMN, "application_test")
     quality.require_no_nulls(train, LABEL_COLUMN, "application_train")
 
-    histories = [materialise(h, "history") for h in history_features(tables)]
     profile = impute.fit_imputer(train)
-    for name, table in ((TRAIN_TABLE, train), (TEST_TABLE, test)):
-        fitted = impute.fit_imputer(table) if per_table_imputer and table is not train else profile
-        wide = features.star_join(impute.apply_imputer(table, fitted), *histories)
-        write_parquet(features.fill_joined_nulls(wide), f"{out.rstrip('/')}/{name}")
+    own = impute.fit_imputer(test) if per_table_imputer else profile
+    applications = diagonal_union(
+        [
+            impute.apply_imputer(train, profile).withColumn("part", F.lit(TRAIN_TABLE)),
+            impute.apply_imputer(test, own).withColumn("part", F.lit(TEST_TABLE)),
+        ]
+    )
+    wide = features.fill_joined_nulls(features.star_join(applications, *history_features(tables)))
+    write_parquet(wide, out, partition_by=["part"])
 
 
 def profile_raw_tables(spark: SparkSession, raw: str, out: str) -> DataFrame:
