@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -59,12 +61,13 @@ def _write_load(rows: DataFrame, folder: str) -> None:
 def replace_source(rows: DataFrame, path: str, source: str = BATCH_SOURCE) -> None:
     """Write rows so that they replace all earlier rows of their source, and no others.
 
-    The table is partitioned by source, then load, then date. A load that was written before
-    under the same source disappears first; other sources are not touched.
+    The table is partitioned by source, then load, then date. The new load is written whole under a
+    name of its own, and only then do the earlier loads of the source go, so a job that fails on the
+    way leaves the table as it was. Other sources are not touched.
     """
     spark = rows.sparkSession
     folder = f"{path.rstrip('/')}/source={source}"
-    load = "bulk"
+    load = f"bulk-{uuid.uuid4().hex}"
     _write_load(rows, f"{folder}/load={load}")
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())

@@ -27,6 +27,14 @@ def test_replacing_a_source_leaves_others(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(predicted_date" in plan
 
 
+def test_a_failed_replacement_keeps_the_old_rows(spark, tmp_path):
+    path = str(tmp_path / "audit")
+    writers.replace_source(rows(spark, [1, 2]), path)
+    with pytest.raises(Exception, match="NaN"):
+        writers.replace_source(rows(spark, [3], float("nan")), path)
+    assert sorted(r.application_id for r in readers.read_audit(spark, path).collect()) == [1, 2]
+
+
 def test_nan_scores_are_refused(spark, tmp_path):
     with pytest.raises(Exception, match="NaN"):
         rows(spark, [1], float("nan")).collect()
