@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditloom.llm import quality_rules
+from creditloom.llm import byte_bpe, decontaminate, hmm_lm, html_text, jaccard_join, license_scan, pii, quality_rules, token_records, url_filter
 from creditloom.llm.texts import table
 
 WORD = r"[^ \x09-\x0D]+"
@@ -15,6 +16,49 @@ def _sql(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
+BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+WORD_MODEL = public_tokenizers.path("word_bpe_49k.json")
+URL_RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
+
+
+def op1_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extract(table(spark, folder, "pages"))
+
+
+def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return byte_bpe.round_trip(table(spark, folder, "documents").select("doc_id", "text"), BYTE_RANKS, public_tokenizers.PATTERN)
+
+
+def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.report(table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "benchmark"))
+    listed = F.sha2(F.array_join("items", ",").cast("binary"), 256)
+    return found.select("doc_id", "n_words", "n_hit", "n_items", listed.alias("items_sha256"), "contaminated")
+
+
+def op5_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filter.judge(table(spark, folder, "pages").select("page_id", "url"), URL_RULES).drop("url")
+
+
+def op6_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.link(table(spark, folder, "documents").select("doc_id", "text")).drop("digest")
+
+
+def op7_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.find(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+def op8_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.scan(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+def op9_hmm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return hmm_lm.train_and_score(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+def op10_token_records(spark: SparkSession, folder: str) -> DataFrame:
+    return token_records.read(token_records.write(table(spark, folder, "documents").select("doc_id", "text"), WORD_MODEL))
+
+
 def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality_rules.judge(table(spark, folder, "documents").select("doc_id", "text"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lost_chars")
@@ -58,11 +102,58 @@ def _quality_sql(rules: quality_rules.Rules = quality_rules.RULES, documents: st
         FROM d JOIN w USING (rid) JOIN lc USING (rid) LEFT JOIN rep USING (rid))"""
 
 
+_NORMAL = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def _ascii_lower(text: str) -> str:
+    return f"translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+_DECONTAMINATION = f"""
+    WITH d AS (
+        SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({_ascii_lower("coalesce(text, '')")}, '{_NORMAL}') AS ws FROM documents),
+    b AS (SELECT item_id, regexp_extract_all({_ascii_lower("coalesce(text, '')")}, '{_NORMAL}') AS ws FROM benchmark),
+    bs AS (SELECT item_id, ws, least(len(ws), 10) AS n, unnest(range(1, len(ws) - least(len(ws), 10) + 2)) AS i FROM b WHERE len(ws) > 0),
+    bw AS (SELECT DISTINCT item_id, n, array_to_string(ws[i:i + n - 1], ' ') AS g FROM bs),
+    sizes AS (SELECT DISTINCT n FROM bw),
+    ds AS (SELECT rid, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM d, sizes WHERE len(ws) >= n),
+    dw AS (SELECT rid, n, i, array_to_string(ws[i:i + n - 1], ' ') AS g FROM ds),
+    h AS (SELECT rid, n, i, item_id FROM dw JOIN bw USING (n, g)),
+    p AS (SELECT DISTINCT rid, unnest(range(i, i + n)) AS at FROM (SELECT DISTINCT rid, i, n FROM h)),
+    hit AS (SELECT rid, count(*) AS n_hit FROM p GROUP BY rid),
+    it AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT rid, item_id::VARCHAR AS item FROM h) GROUP BY rid)
+    SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+        coalesce(n_hit, 0) > 0 AS contaminated
+    FROM d LEFT JOIN hit USING (rid) LEFT JOIN it USING (rid)"""
+
+_RULES = ", ".join(f"({_sql(rule.partition('/')[0])}, {_sql('/' + rule.partition('/')[2])}, {_sql(rule)}, {_sql(verdict)})" for rule, verdict in URL_RULES.items())
+_URLS = f"""
+    WITH u AS (
+        SELECT row_number() OVER () AS rid, page_id,
+            CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+    s AS (SELECT rid, page_id, {_ascii_lower("regexp_extract(rest, '^[^/?#]*')")} AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+    r AS (SELECT * FROM (VALUES {_RULES}) AS v(rule_host, rule_path, rule, verdict)),
+    m AS (
+        SELECT rid, rule, r.verdict FROM s JOIN r ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+        QUALIFY row_number() OVER (PARTITION BY rid ORDER BY length(rule) DESC) = 1)
+    SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM s LEFT JOIN m USING (rid)"""
+
 QUERIES = {
+    "op1_html_extraction": op1_html_extraction,
+    "op2_byte_bpe": op2_byte_bpe,
+    "op3_decontamination": op3_decontamination,
     "op4_quality_rules": op4_quality_rules,
+    "op5_url_filter": op5_url_filter,
+    "op6_jaccard_join": op6_jaccard_join,
+    "op7_pii": op7_pii,
+    "op8_license_scan": op8_license_scan,
+    "op9_hmm_scoring": op9_hmm_scoring,
+    "op10_token_records": op10_token_records,
 }
 
 ORACLES = {
+    "op3_decontamination": _DECONTAMINATION,
     "op4_quality_rules": f"""WITH {_quality_sql()}
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, n_lost_chars::BIGINT AS n_lost_chars FROM judged""",
+    "op5_url_filter": _URLS,
 }
