@@ -4,6 +4,8 @@ A text's set holds the hashes of its five-word shingles (64 bits; equal hashes c
 their Jaccard similarity is at least a threshold.
 
 * Equal sets are one class and share one answer.
+* Texts become sets inside the tasks that read them, once to count, once to index, and once more for the few to be compared; sets
+  are never shuffled whole for all texts.
 * Every class indexes only as many of its elements as a partner cannot all lack (prefix filter), rarest first. Rarity comes
   from a table of counters of fixed size over all texts, so any corpus gives one total order and the filter is exact.
 * The index is sorted by element and set and scanned as lists. In each list, every set is paired with the list's first set
@@ -20,14 +22,16 @@ are rows of their own; a null id is never a component's name unless all its rows
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from creditloom.llm.tasks import map_rows
-from creditloom.llm.texts import blank_words, lower_ascii, replacing, text_of
+from creditloom.llm.texts import LOWER, UPPER, replacing, text_of
 from creditloom.runtime import materialise
 
 SHINGLE = 5
@@ -37,44 +41,75 @@ SIMILAR = 75
 COUNTERS = 1 << 18
 
 
-def shingles(text: Column, size: int = SHINGLE) -> Column:
-    """The distinct shingles' hashes."""
-    words = F.transform(F.array(blank_words(lower_ascii(text))), lambda w: w)  # one evaluation for all uses below
-    return F.flatten(
-        F.transform(
-            words,
-            lambda w: F.when(F.size(w) == 0, F.array().cast("array<bigint>"))
-            .when(F.size(w) < size, F.array(F.xxhash64(F.lit(size), F.array_join(w, " "))))
-            .otherwise(F.array_distinct(F.transform(F.sequence(F.lit(0), F.size(w) - size), lambda i: F.xxhash64(*(F.get(w, i + k) for k in range(size)))))),
-        )
-    )
+#: Classes to be compared that may be named to every task: 32 MB of keys.
+MAX_BROADCAST_CLASSES = 1_000_000
+KEPT_WORDS = 200_000
+WORD = re.compile(r"[^ \x09-\x0D]+")
+_LOWER = str.maketrans(UPPER, LOWER)
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+
+
+class Shingler:
+    """Texts to sorted distinct hashes of their shingles; lives in a task and keeps the hashes of a bounded number of words."""
+
+    def __init__(self, size: int = SHINGLE) -> None:
+        self.size = size
+        self.known: dict[str, int] = {}
+
+    def _hash(self, word: str) -> int:
+        found = self.known.get(word)
+        if found is None:
+            if len(self.known) >= KEPT_WORDS:
+                self.known.clear()
+            found = self.known[word] = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
+        return found
+
+    def elements(self, text: str | None) -> np.ndarray:
+        words = np.fromiter(map(self._hash, WORD.findall((text or "").translate(_LOWER))), dtype=np.uint64)
+        if not len(words):
+            return np.empty(0, dtype=np.int64)
+        width = min(self.size, len(words))
+        total = np.full(len(words) - width + 1, width, dtype=np.uint64)
+        for k in range(width):  # a chain, so that order counts
+            total = (total ^ words[k : k + len(total)]) * _MIX
+            total ^= total >> np.uint64(29)
+        return np.unique(total.view(np.int64))
+
 
+def _class(elements: np.ndarray) -> int:
+    return int(np.uint64(xxhash.xxh64_intdigest(elements.tobytes())).astype(np.int64))
 
-def _commonness(sets: DataFrame) -> np.ndarray:
-    """How many elements of all sets fall on each counter."""
-    counter = F.col("h").bitwiseAND(COUNTERS - 1).cast("int")
-    rows = sets.select(F.explode("set").alias("h")).groupBy(counter.alias("at")).agg(F.count("*").alias("n")).toPandas()
+
+def _commonness(texts: DataFrame, size: int) -> np.ndarray:
+    """How many elements of all sets fall on each counter. Every task sums its own table first."""
+    def work(rows: Iterator[tuple]) -> Iterator[tuple]:
+        shingler, table = Shingler(size), np.zeros(COUNTERS, dtype=np.int64)
+        for (body,) in rows:
+            np.add.at(table, shingler.elements(body) & (COUNTERS - 1), 1)
+        for at in np.flatnonzero(table).tolist():
+            yield at, int(table[at])
+
+    rows = map_rows(texts, "at int, n bigint", work).groupBy("at").agg(F.sum("n").alias("n")).toPandas()
     table = np.zeros(COUNTERS, dtype=np.int64)
     table[rows["at"].to_numpy(dtype=np.int64)] = rows["n"].to_numpy(dtype=np.int64)
     return table
 
 
-def _indexed(sets: DataFrame, common: np.ndarray, kept: list[str], similar: int) -> DataFrame:
-    """``kept`` columns, the set's size and class, and its rarest elements, as many as the filter needs."""
-    sent = sets.sparkSession.sparkContext.broadcast(common)
+def _members(texts: DataFrame, common: np.ndarray, similar: int, size: int) -> DataFrame:
+    """doc_id and digest with the set's class, its size, and its rarest elements, as many as the filter needs."""
+    sent = texts.sparkSession.sparkContext.broadcast(common)
 
     def work(rows: Iterator[tuple]) -> Iterator[tuple]:
-        table = sent.value
-        for *values, elements in rows:
-            h = np.array(elements, dtype=np.int64)
+        table, shingler = sent.value, Shingler(size)
+        for key, digest, body in rows:
+            h = shingler.elements(body)
             n = len(h)
             need = n - (similar * n + 99) // 100 + 1 if n else 0
             order = np.lexsort((h, table[h & (COUNTERS - 1)]))[:need]
-            yield (*values, n, h[order].tolist())
+            yield key, digest, _class(h), n, h[order].tolist()
 
-    kinds = dict(sets.dtypes)
-    schema = ", ".join([*(f"{c} {kinds[c]}" for c in kept), "n bigint, prefix array<bigint>"])
-    return map_rows(sets.select(*kept, "set"), schema, work)
+    kind = dict(texts.dtypes)["doc_id"]
+    return map_rows(texts, f"doc_id {kind}, digest bigint, cls bigint, n bigint, prefix array<bigint>", work)
 
 
 def _lists(index: DataFrame, parts: int) -> tuple[DataFrame, list]:
@@ -123,15 +158,25 @@ def _border_pairs(edges: list) -> list[tuple]:
     return [(a[0], a[1], b[0], b[1]) for pieces in by_list.values() for a, b in zip(pieces, pieces[1:]) if a[0] != b[0]]
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
-    """The pairs (a, b) whose sets reach the threshold; ``sets`` gives cls and set."""
+def _linked(pairs: DataFrame, firsts: DataFrame, texts: DataFrame, similar: int, size: int) -> DataFrame:
+    """The pairs (a, b) whose sets reach the threshold. ``firsts`` names one text of each class, whose set is made anew for the comparison."""
     pairs = materialise(pairs, "pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-    needed = materialise(sets.join(wanted, "cls", "left_semi"), "compared-sets")
-    left, right = (needed.select(F.col("cls").alias(c), F.col("set").alias(f"set_{c}")) for c in "ab")
+    wanted = materialise(firsts.join(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct(), "cls", "left_semi"), "compared-classes")
+    named = F.broadcast(wanted) if wanted.count() <= MAX_BROADCAST_CLASSES else wanted
+    match = (texts["digest"] == named["first.digest"]) & texts["doc_id"].eqNullSafe(named["first.doc_id"])
+    chosen = texts.join(named, match).select("cls", "body").dropDuplicates(["cls"])
+
+    def sets(rows: Iterator[tuple]) -> Iterator[tuple]:
+        shingler = Shingler(size)
+        for cls, body in rows:
+            yield cls, shingler.elements(body).tobytes()
+
+    needed = materialise(map_rows(chosen, "cls bigint, elements binary", sets), "compared-sets")
+    left, right = (needed.select(F.col("cls").alias(c), F.col("elements").alias(f"set_{c}")) for c in "ab")
 
     def work(rows: Iterator[tuple]) -> Iterator[tuple]:
-        for a, b, x, y in rows:
+        for a, b, *both in rows:
+            x, y = (np.frombuffer(v, dtype=np.int64) for v in both)
             common = len(np.intersect1d(x, y, assume_unique=True))
             if 100 * common >= similar * (len(x) + len(y) - common):
                 yield a, b
@@ -159,25 +204,20 @@ def link(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar: i
     spark = docs.sparkSession
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     body = text_of(f"`{text}`")
-    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.xxhash64(body).alias("digest"), shingles(body, size).alias("set"))
-    common = _commonness(rows)
-    identified = rows.select("doc_id", "digest", F.xxhash64(F.array_sort("set")).alias("cls"), "set")
-    members = materialise(_indexed(identified, common, ["doc_id", "digest", "cls"], similar), "members")
-    index = (
-        members.filter("n > 0").select("cls", "n", F.posexplode("prefix").alias("at", "h"))
-        .groupBy("h", "cls").agg(F.first("n").alias("n"), F.first("at").cast("long").alias("at"))
-    )
+    texts = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.xxhash64(body).alias("digest"), body.alias("body"))
+    common = _commonness(texts.select("body"), size)
+    members = materialise(_members(texts, common, similar, size), "members")
+    firsts = materialise(members.filter("n > 0").groupBy("cls").agg(F.min(F.struct("doc_id", "digest")).alias("first")), "classes")
+    named = firsts.select(F.col("cls").alias("c"), "first")
+    is_first = (members["cls"] == named["c"]) & members["doc_id"].eqNullSafe(named["first.doc_id"]) & (members["digest"] == named["first.digest"])
+    index = members.join(named, is_first, "left_semi").select("cls", "n", F.posexplode("prefix").alias("at", "h")).select("h", "cls", "n", F.col("at").cast("long").alias("at"))
     lists, edges = _lists(index, parts)
-    sets = (
-        rows.select(F.xxhash64(F.array_sort("set")).alias("cls"), "digest", "set")
-        .join(members.filter("n > 0").groupBy("cls").agg(F.min("digest").alias("digest")), ["cls", "digest"], "left_semi").dropDuplicates(["cls"])
-    )
     pairs = lists.filter("cls != head").select("cls", "n", "head", "head_n")
     if border := _border_pairs(edges):
         pairs = pairs.union(spark.createDataFrame(border, pairs.schema))
     reachable = (F.least("n", "head_n") * 100 >= F.greatest("n", "head_n") * similar)
     pairs = pairs.filter(reachable).select(F.least("cls", "head").alias("a"), F.greatest("cls", "head").alias("b")).distinct()
-    links = _linked(pairs, sets, similar)
+    links = _linked(pairs, firsts, texts, similar, size)
     roots = components(links)
     # lists that still hold several components
     rooted = lists.select("h", "cls", "n", "at").distinct().join(roots, "cls", "left").select("h", "cls", "n", "at", F.coalesce("root", "cls").alias("root"))
@@ -189,7 +229,7 @@ def link(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar: i
         x.join(y, (x["h"] == y["h"]) & (F.col("cls_x") < F.col("cls_y")) & (F.col("root_x") != F.col("root_y")) & reach)
         .select(F.col("cls_x").alias("a"), F.col("cls_y").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
     )
-    more = _linked(rest, sets, similar)
+    more = _linked(rest, firsts, texts, similar, size)
     if more.limit(1).count():
         roots = components(links.union(more))
     named = members.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("low")).join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
