@@ -26,9 +26,13 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from creditloom.llm.tasks import map_rows
 from creditloom.llm.texts import LOWER, UPPER, replacing, text_of
@@ -37,8 +41,8 @@ from creditloom.runtime import materialise
 SHINGLE = 5
 #: The threshold in percent.
 SIMILAR = 75
-#: Counters that estimate how common an element is; a fixed table of 1 MB.
-COUNTERS = 1 << 18
+#: Counters that estimate how common an element is; a fixed table of 512 KB.
+COUNTERS = 1 << 16
 
 
 #: Classes to be compared that may be named to every task: 32 MB of keys.
@@ -117,40 +121,56 @@ def _lists(index: DataFrame, parts: int) -> tuple[DataFrame, list]:
 
     Also returns the pieces of lists that go on in the next task, at most two rows for each task.
     """
-    ordered = index.repartitionByRange(parts, "h", "cls").sortWithinPartitions("h", "cls").withColumn("part", F.spark_partition_id())
-
-    def work(rows: Iterator[tuple]) -> Iterator[tuple]:
-        head = first = last = None
-        alone = True
-        for h, cls, n, at, part in rows:
-            here = (h, cls, n, at)
-            if head is None or h != head[0]:
-                if last is not None and alone and head is first:
-                    yield (*head, head[1], head[2], part, 1)  # the task's first list, one class so far: it may go on from the task before
-                head, alone = here, True
-                if first is None:
-                    first = here
-                    last = here
-                    continue
-            elif cls != last[1]:
-                if alone:
-                    yield (*head, head[1], head[2], part, 1 if head is first else 0)
-                    alone = False
-                yield (h, cls, n, at, head[1], head[2], part, 0)
-            last = here
-        if head is not None:
-            yield (*head, head[1], head[2], part, 2 if head is not first else 3)  # may go on in the next task
-
-    schema = "h bigint, cls bigint, n bigint, at bigint, head bigint, head_n bigint, part int, edge int"
-    found = materialise(map_rows(ordered.select("h", "cls", "n", "at", "part"), schema, work), "index-lists")
-    edges = found.filter("edge > 0").select("part", "edge", "h", "cls", "n").distinct().sort("part", "edge").collect()
+    ordered = index.repartitionByRange(parts, "h", "cls").sortWithinPartitions("h", "cls").select("h", "cls", "n", "at")
+
+    schema = T.StructType.fromDDL("h bigint, cls bigint, n bigint, at bigint, head bigint, head_n bigint, part int, edge int")
+    arrow = to_arrow_schema(schema)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def batch(rows: np.ndarray, heads: np.ndarray, edge: int) -> pa.RecordBatch:
+            columns = [*rows.T, heads[:, 1], heads[:, 2], np.full(len(rows), part), np.full(len(rows), edge)]
+            return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, arrow)], schema=arrow)
+
+        first = head = last = None
+        sent = False  # whether the head that came from earlier batches is out
+        part = TaskContext.get().partitionId()
+        for found in batches:
+            if not found.num_rows:
+                continue
+            rows = np.stack([found.column(i).to_numpy(zero_copy_only=False) for i in range(4)], axis=1)
+            before = rows[:1] * 0 - 1 if last is None else last[None, :]
+            shifted = np.concatenate([before, rows[:-1]])
+            repeated = (rows[:, :2] == shifted[:, :2]).all(axis=1)
+            if last is None:
+                repeated[0] = False
+            last = rows[-1]
+            rows = rows[~repeated]
+            if head is not None:
+                rows = np.concatenate([head[None, :], rows])
+            starts = np.flatnonzero(np.concatenate([[True], rows[1:, 0] != rows[:-1, 0]]))
+            counts = np.diff(np.append(starts, len(rows)))
+            heads = np.repeat(rows[starts], counts, axis=0)
+            out = np.repeat(counts > 1, counts)
+            first = rows[0] if first is None else first
+            if sent:
+                out[0] = False
+            sent = bool(counts[-1] > 1 or (sent and len(starts) == 1))
+            head = rows[starts[-1]]
+            if out.any():
+                yield batch(rows[out], heads[out], 0)
+        if first is not None:
+            ends = np.stack([first, head])
+            yield batch(ends, ends, 1)
+
+    found = materialise(ordered.mapInArrow(work, schema), "index-lists")
+    edges = found.filter("edge > 0").select("part", "h", "cls", "n").distinct().collect()
     return found, edges
 
 
 def _border_pairs(edges: list) -> list[tuple]:
     """First sets of the pieces of one list in different tasks, chained. ``edges`` has a row or two for each task."""
     heads: dict[tuple, tuple] = {}
-    for part, _, h, cls, n in edges:
+    for part, h, cls, n in edges:
         heads.setdefault((h, part), (cls, n))
     by_list: dict[int, list] = {}
     for (h, part), head in sorted(heads.items()):
