@@ -175,7 +175,10 @@ def judge(df: DataFrame, text: str = "text", rules: Rules = RULES) -> DataFrame:
 
 
 def clean(df: DataFrame, text: str = "text", rules: Rules = RULES) -> DataFrame:
-    """The documents that pass, without their failing lines."""
-    judged = judge(df, text, rules)
+    """The documents that pass, without their failing lines.
+
+    The row number keeps the filter above the judged columns; pushed below them, it would spell out every figure again wherever it is used.
+    """
+    judged = replacing(judge(df, text, rules), _row=F.monotonically_increasing_id())
     names = df.columns
-    return judged.filter("kept").select(*(F.col("clean_text").alias(c) if c == text else F.col(f"`{c}`") for c in names))
+    return judged.filter(F.col("kept") & (F.col("_row") >= 0)).select(*(F.col("clean_text").alias(c) if c == text else F.col(f"`{c}`") for c in names))
