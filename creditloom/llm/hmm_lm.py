@@ -51,9 +51,11 @@ class Plan:
     #: frequent words with a class of their own
     own_classes: int = 2048
     #: classes that all other words share by hash
-    shared_classes: int = 2048
-    #: added to every expected count
+    shared_classes: int = 256
+    #: added to every expected count of first states and moves
     smoothing: float = 0.1
+    #: tokens that follow the shares of classes in all texts, added to every state's emissions
+    prior_tokens: float = 1000.0
 
 
 PLAN = Plan()
@@ -144,8 +146,10 @@ class Model:
     start: np.ndarray
     move: np.ndarray
     emit: np.ndarray
-    #: log10 of each class's denominator
+    #: log10 of each class's denominator; a class that is one word needs no room for unseen words
     spread: np.ndarray
+    #: shares of classes in the training texts, unseen words included
+    shares: np.ndarray
     hot: dict[str, tuple[int, int]]  # word: count, class
     own: int
     shared: int
@@ -181,10 +185,13 @@ def initial(counts: DataFrame, plan: Plan = PLAN) -> Model:
         words_in[own + b] += n
     k = plan.states
     ripple = 0.5 + np.random.RandomState(7).rand(k, size)
-    emit = (tokens_in + plan.smoothing)[None, :] * ripple
+    room = tokens_in + words_in + (np.arange(size) >= own)
+    shares = np.maximum(room, 1e-3)  # classes without a word are never met
+    shares /= shares.sum()
+    emit = shares[None, :] * ripple
     return Model(
         np.full(k, 1 / k), np.full((k, k), 0.5 / k) + 0.5 * np.eye(k), emit / emit.sum(axis=1, keepdims=True),
-        np.log10(tokens_in + words_in + 1), hot, own, plan.shared_classes, n_tokens, n_words,
+        np.log10(np.maximum(room, 1)), shares, hot, own, plan.shared_classes, n_tokens, n_words,
     )
 
 
@@ -250,10 +257,10 @@ def baum_welch(encoded: DataFrame, model: Model, plan: Plan = PLAN) -> Model:
         sums = [np.zeros((1, k)), np.zeros((k, k)), np.zeros_like(emit)]
         for kind, row, place, x in counts:
             sums[kind][row, place] = x
-        smooth = [s + plan.smoothing for s in sums]
+        smooth = [sums[0] + plan.smoothing, sums[1] + plan.smoothing, sums[2] + plan.prior_tokens * model.shares]
         start, move, emit = smooth[0][0] / smooth[0].sum(), *(s / s.sum(axis=1, keepdims=True) for s in smooth[1:])
         sent.unpersist()
-    return Model(start, move, emit, model.spread, model.hot, model.own, model.shared, model.n_tokens, model.n_words)
+    return Model(start, move, emit, model.spread, model.shares, model.hot, model.own, model.shared, model.n_tokens, model.n_words)
 
 
 def score(encoded: DataFrame, counts: DataFrame, model: Model) -> DataFrame:
