@@ -30,7 +30,8 @@ def audit_rows(
     p = F.when(F.isnan(probability), F.raise_error(F.lit("score is NaN"))).otherwise(probability)
     at = predicted_at.cast("timestamp")
     columns = {
-        "id": F.concat_ws(":", F.lit(source), F.col(applicant).cast("string"), at.cast("string")),
+        # requests of one applicant in one micro-batch share their time, so the payload tells them apart
+        "id": F.concat_ws(":", F.lit(source), F.col(applicant).cast("string"), at.cast("string"), *([] if payload is None else [F.md5(payload)])),
         "application_id": F.col(applicant).cast("long"),
         "default_probability": p.cast("double"),
         "risk_tier": risk_tier(p.cast("double")),

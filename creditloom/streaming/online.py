@@ -118,11 +118,14 @@ def request_features(requests: DataFrame, profile: ImputeProfile) -> DataFrame:
     return fill_joined_nulls(joined, skip=("key", "text", "received_at", ID_COLUMN))
 
 
-def answered_before(spark: SparkSession, audit_path: str, since: Column) -> DataFrame | None:
-    """Last answer second per cache key among answers young enough to matter."""
+def answered_before(spark: SparkSession, audit_path: str, since: Column, own_load: str = "") -> DataFrame | None:
+    """Last answer second per cache key among answers young enough to matter.
+
+    Rows of ``own_load`` do not count: a replayed batch must answer again what it is about to replace.
+    """
     if not path_exists(spark, audit_path):
         return None
-    recent = read_audit(spark, audit_path, since).where(F.col("source") == API_SOURCE)
+    recent = read_audit(spark, audit_path, since).where((F.col("source") == API_SOURCE) & (F.col("load") != own_load))
     key = cache_key(F.col("application_id"), F.get_json_object("request_payload", "$.text"))
     return recent.groupBy(key.alias("key")).agg(F.max(F.unix_seconds("predicted_at")).alias("last_second"))
 
@@ -143,7 +146,7 @@ def answer_batch(
     if first is None:
         return
     load = f"stream-{batch_id}"
-    before = answered_before(spark, audit_path, F.lit(first) - F.expr(f"INTERVAL {seconds} SECONDS"))
+    before = answered_before(spark, audit_path, F.lit(first) - F.expr(f"INTERVAL {seconds} SECONDS"), load)
     fresh = first_answers(keyed, "key", "received_at", "text", seconds, before).dropDuplicates(
         ["key", "received_at"]
     )

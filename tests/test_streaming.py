@@ -73,6 +73,17 @@ def test_scoring_stream_end_to_end(spark, tmp_path):
     assert sorted(r.application_id for r in read_audit(spark, audit).collect()) == [1, 1, 2, 3]
 
 
+def test_replayed_batch_keeps_its_rows(spark, tmp_path):
+    audit = str(tmp_path / "audit")
+    text = [json.dumps(request(1)), json.dumps(request(1, pos_cash=[{"SK_ID_PREV": 1, "CNT_INSTALMENT": 4.0}])), json.dumps(request(2))]
+    batch = spark.createDataFrame([(t,) for t in text], "text string").withColumn("received_at", F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    profile = ImputeProfile(scores={"EXT_SOURCE_1": 0.4}, numbers={"AMT_INCOME_TOTAL": 7.0})
+    for _ in range(3):
+        online.answer_batch(batch, 0, audit, profile, lambda df: df.withColumn("score", F.lit(0.5)), "run1234567")
+        rows = read_audit(spark, audit).collect()
+        assert sorted(r.application_id for r in rows) == [1, 1, 2] and len({r.id for r in rows}) == 3
+
+
 def test_closed_days_only(spark, tmp_path):
     start = datetime(2024, 1, 1)
     rows = [(start + timedelta(hours=h), h / 100) for h in range(60)]
