@@ -41,8 +41,8 @@ from creditloom.runtime import materialise
 SHINGLE = 5
 #: The threshold in percent.
 SIMILAR = 75
-#: Counters that estimate how common an element is; a fixed table of 512 KB.
-COUNTERS = 1 << 16
+#: Counters that estimate how common an element is; a fixed table of 2 MB.
+COUNTERS = 1 << 18
 
 
 #: Classes to be compared that may be named to every task: 32 MB of keys.
