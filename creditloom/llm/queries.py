@@ -133,114 +133,6 @@ _DECONTAMINATION = f"""
         coalesce(n_hit, 0) > 0 AS contaminated
     FROM d0 LEFT JOIN hit USING (rid) LEFT JOIN it USING (rid)"""
 
-_RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
-
-
-def op1_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
-    return html_text.extract(table(spark, folder, "pages"))
-
-
-def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
-    return byte_bpe.round_trip(table(spark, folder, "documents").select("doc_id", "text"), BYTE_RANKS, public_tokenizers.PATTERN)
-
-
-def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
-    found = decontaminate.report(table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "benchmark"))
-    listed = F.sha2(F.array_join("items", ",").cast("binary"), 256)
-    return found.select("doc_id", "n_words", "n_hit", "n_items", listed.alias("items_sha256"), "contaminated")
-
-
-def op5_url_filter(spark: SparkSession, folder: str) -> DataFrame:
-    return url_filter.judge(table(spark, folder, "pages").select("page_id", "url"), URL_RULES).drop("url")
-
-
-def op6_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
-    return jaccard_join.link(table(spark, folder, "documents").select("doc_id", "text")).drop("digest")
-
-
-def op7_pii(spark: SparkSession, folder: str) -> DataFrame:
-    return pii.find(table(spark, folder, "documents").select("doc_id", "text"))
-
-
-def op8_license_scan(spark: SparkSession, folder: str) -> DataFrame:
-    return license_scan.scan(table(spark, folder, "documents").select("doc_id", "text"))
-
-
-def op9_hmm_scoring(spark: SparkSession, folder: str) -> DataFrame:
-    return hmm_lm.train_and_score(table(spark, folder, "documents").select("doc_id", "text"))
-
-
-def op10_token_records(spark: SparkSession, folder: str) -> DataFrame:
-    return token_records.read(token_records.write(table(spark, folder, "documents").select("doc_id", "text"), WORD_MODEL))
-
-
-def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
-    judged = quality_rules.judge(table(spark, folder, "documents").select("doc_id", "text"))
-    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lost_chars")
-
-
-def _quality_sql(rules: quality_rules.Rules = quality_rules.RULES, documents: str = "documents") -> str:
-    """CTEs up to ``judged``: every document (rid, doc_id, t) with its figures, verdict and clean text."""
-    def count(pattern: str, text: str = "l") -> str:
-        return f"(length({text}) - length(regexp_replace({text}, {_sql(pattern)}, '', 'g')))"
-
-    solid = "length(regexp_replace(l, '[ \\x09-\\x0D]+', '', 'g'))"
-    n_words = f"len(regexp_extract_all(l, '{WORD}'))"
-    bars = count(quality_rules.BARS)
-    return f"""
-    d AS (SELECT row_number() OVER () AS rid, *, coalesce(text, '') AS t FROM {documents}),
-    w AS (SELECT rid, regexp_extract_all(t, '{WORD}') AS ws FROM d),
-    u AS (SELECT rid, unnest(ws) AS x, generate_subscripts(ws, 1) AS i FROM w),
-    g AS (SELECT rid, i, x || ' ' || lead(x) OVER o || ' ' || lead(x, 2) OVER o AS g FROM u WINDOW o AS (PARTITION BY rid ORDER BY i)),
-    f AS (SELECT rid, i FROM g WHERE g IS NOT NULL QUALIFY count(*) OVER (PARTITION BY rid, g) >= 2),
-    rep AS (SELECT rid, count(DISTINCT i + k) AS n_repeat_words FROM f, (VALUES (0), (1), (2)) AS s(k) GROUP BY rid),
-    ls AS (SELECT rid, unnest(string_split(t, chr(10))) AS l, generate_subscripts(string_split(t, chr(10)), 1) AS i FROM d),
-    lj AS (
-        SELECT rid, i, l, {n_words} AS n,
-            {n_words} > 0 AND (
-                ({n_words} < {rules.unmarked_words} AND NOT regexp_matches(rtrim(l, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), {_sql(quality_rules.TERMINAL)}))
-                OR {count(quality_rules.SYMBOLS)} * 100 > {solid} * {rules.max_symbol_percent}
-                OR (len(string_split_regex(l, {_sql(quality_rules.SHOUT)})) - 1) * 100 > {n_words} * {rules.max_shout_percent}
-                OR ({bars} >= {rules.min_bars} AND {bars} * {rules.words_per_bar} >= {n_words})
-                OR ({n_words} < {rules.boilerplate_words} AND regexp_matches(lower(l), {_sql(quality_rules.BOILERPLATE)}))
-            ) AS bad
-        FROM ls),
-    lc AS (
-        SELECT rid, count(*) FILTER (n > 0) - count(DISTINCT l) FILTER (n > 0) AS n_dup_lines,
-            coalesce(sum({solid}) FILTER (bad), 0) AS n_lost_chars, coalesce(string_agg(l, chr(10) ORDER BY i) FILTER (NOT bad), '') AS clean_text
-        FROM lj GROUP BY rid),
-    judged AS (
-        SELECT d.*, len(ws) AS n_words, len(array_to_string(ws, '')) AS word_chars, {count(quality_rules.SYMBOLS, 't')} AS n_symbols,
-            n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, n_lost_chars, clean_text,
-            len(ws) < {rules.min_words} OR coalesce(n_repeat_words, 0) * 100 > len(ws) * {rules.max_repeat_percent} AS base_failed,
-            NOT base_failed AND n_lost_chars * 100 <= word_chars * {rules.max_lost_percent} AS kept
-        FROM d JOIN w USING (rid) JOIN lc USING (rid) LEFT JOIN rep USING (rid))"""
-
-
-_NORMAL = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-
-
-def _ascii_lower(text: str) -> str:
-    return f"translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-
-
-_DECONTAMINATION = f"""
-    WITH d AS (
-        SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({_ascii_lower("coalesce(text, '')")}, '{_NORMAL}') AS ws FROM documents),
-    b AS (SELECT item_id, regexp_extract_all({_ascii_lower("coalesce(text, '')")}, '{_NORMAL}') AS ws FROM benchmark),
-    bs AS (SELECT item_id, ws, least(len(ws), 10) AS n, unnest(range(1, len(ws) - least(len(ws), 10) + 2)) AS i FROM b WHERE len(ws) > 0),
-    bw AS (SELECT DISTINCT item_id, n, array_to_string(ws[i:i + n - 1], ' ') AS g FROM bs),
-    sizes AS (SELECT DISTINCT n FROM bw),
-    ds AS (SELECT rid, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM d, sizes WHERE len(ws) >= n),
-    dw AS (SELECT rid, n, i, array_to_string(ws[i:i + n - 1], ' ') AS g FROM ds),
-    h AS (SELECT rid, n, i, item_id FROM dw JOIN bw USING (n, g)),
-    p AS (SELECT DISTINCT rid, unnest(range(i, i + n)) AS at FROM (SELECT DISTINCT rid, i, n FROM h)),
-    hit AS (SELECT rid, count(*) AS n_hit FROM p GROUP BY rid),
-    it AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT rid, item_id::VARCHAR AS item FROM h) GROUP BY rid)
-    SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
-        coalesce(n_hit, 0) > 0 AS contaminated
-    FROM d LEFT JOIN hit USING (rid) LEFT JOIN it USING (rid)"""
-
 _RULES = ", ".join(f"({_sql(rule.partition('/')[0])}, {_sql('/' + rule.partition('/')[2])}, {_sql(rule)}, {_sql(verdict)})" for rule, verdict in URL_RULES.items())
 _URLS = f"""
     WITH u AS (
