@@ -56,7 +56,9 @@ def op9_hmm_scoring(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_token_records(spark: SparkSession, folder: str) -> DataFrame:
-    return token_records.read(token_records.write(table(spark, folder, "documents").select("doc_id", "text"), WORD_MODEL))
+    # this model turns white space into single blanks and splits at them before it merges
+    manifest = token_records.write(table(spark, folder, "documents").select("doc_id", "text"), WORD_MODEL, by_word=True)
+    return token_records.read(manifest)
 
 
 def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,7 +1,7 @@
 """Token ids as length-delimited binary records, with an offset index for shuffled reads.
 
 A shard is a row of records: the payload's length (8 bytes, little endian), the masked checksum of those bytes (4), the payload
-(unsigned 32-bit ids), the masked checksum of the payload (4). The checksum is CRC-32, rotated by 15 bits and moved by a
+(the document's id, then unsigned ids of 16 bits if all fit, else 32), the masked checksum of the payload (4). The checksum is CRC-32, rotated by 15 bits and moved by a
 constant, so that checksums of data that hold checksums stay sound. Beside each shard ``.index`` lists the offset of every
 record (8 bytes each). Documents are sorted by id over all shards; a manifest table holds one row per finished shard with
 its ids, so shards that lost attempts left behind are never read. A failed checksum raises.
@@ -12,25 +12,33 @@ Null ids come first; equal ids are ordered by their texts; a null or empty text
 from __future__ import annotations
 
 import os
+import re
 import struct
 import uuid
 import zlib
-from array import array
 from collections.abc import Iterator
+from itertools import chain
 
+import numpy as np
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from creditloom.llm.byte_bpe import packed
 from creditloom.llm.tasks import map_rows
 from creditloom.runtime import materialise, scratch_path
 
 MASK_DELTA = 0xA282EAD8
 END_ID = 1
 ENCODED_AT_ONCE = 64
+#: Distinct words a task keeps with their ids, 100 MB or so, and the longest that it keeps.
+KEPT_WORDS = 500_000
+KEPT_CHARS = 64
+#: New words that are encoded as one text.
+LEARNED_AT_ONCE = 1024
+#: Runs between ASCII blanks.
+WORD = re.compile(r"[^ \x09-\x0D]+")
 
 
 def masked_crc(data: bytes) -> int:
@@ -57,6 +65,17 @@ def read_frame(stream) -> bytes | None:
     return body[:size]
 
 
+def _payload(key: int | None, ids: np.ndarray) -> bytes:
+    width = 2 if int(ids.max()) < 1 << 16 else 4
+    return struct.pack("<?qB", key is not None, key or 0, width) + ids.astype(f"<u{width}").tobytes()
+
+
+def sequence(payload: bytes) -> tuple[int | None, np.ndarray]:
+    """A record's document id, and its token ids as unsigned 32-bit integers."""
+    has, key, width = struct.unpack_from("<?qB", payload)
+    return key if has else None, np.frombuffer(payload, dtype=f"<u{width}", offset=10).astype("<u4")
+
+
 def _place(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri if "://" in uri else f"file://{uri}" if not uri.startswith("file:") else uri.replace("file:", "file://", 1))
 
@@ -72,8 +91,50 @@ def read_record(uri: str, number: int) -> bytes:
         return read_frame(shard)
 
 
-def write(df: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text", folder: str | None = None) -> DataFrame:
-    """Write shards below ``folder`` in the order of ids; returns the manifest: part, path, n_records, n_ids."""
+class Encoder:
+    """Whole texts to ids with a tokenizer of the library; lives in a task.
+
+    With ``by_word`` the library encodes every distinct word once and its ids are kept, bounded in words and characters. That
+    gives the ids of the whole text only for a tokenizer whose pieces never hold or depend on a blank.
+    """
+
+    def __init__(self, path: str, by_word: bool) -> None:
+        from tokenizers import Tokenizer
+
+        self.model, self.by_word = Tokenizer.from_file(path), by_word
+        self.known: dict[str, bytes] = {}  # ids of 32 bits
+
+    def _learn(self, words: list[str]) -> None:
+        """Encodes words as one text of lines and cuts its ids at the lines' starts."""
+        found = self.model.encode("\n".join(words), add_special_tokens=False)
+        ids, starts = np.array(found.ids, dtype="<u4").tobytes(), np.array([start for start, _ in found.offsets], dtype=np.int64)
+        lines = np.cumsum([0, *(len(word) + 1 for word in words)])
+        cuts = (np.searchsorted(starts, lines) * 4).tolist()
+        self.known.update((word, ids[at:end]) for word, at, end in zip(words, cuts, cuts[1:]))
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        if not self.by_word:
+            return [np.array(found.ids, dtype="<u4") for found in self.model.encode_batch_fast(texts, add_special_tokens=False)]
+        if len(self.known) >= KEPT_WORDS:
+            self.known.clear()
+        worded = [WORD.findall(text) for text in texts]
+        new = list(set(chain.from_iterable(worded)).difference(self.known))
+        for at in range(0, len(new), LEARNED_AT_ONCE):
+            self._learn(new[at : at + LEARNED_AT_ONCE])
+        ids = [np.frombuffer(b"".join(map(self.known.__getitem__, words)), dtype="<u4") for words in worded]
+        for word in new:
+            if len(word) > KEPT_CHARS:
+                del self.known[word]
+        return ids
+
+
+def write(
+    df: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text", folder: str | None = None, by_word: bool = False
+) -> DataFrame:
+    """Write shards below ``folder`` in the order of ids; returns the manifest: part, path, n_records, n_ids.
+
+    ``by_word`` says that the tokenizer's pieces never hold or depend on a blank, so that repeated words are encoded once.
+    """
     spark = df.sparkSession
     folder = folder or scratch_path(spark, "token-records")
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -84,12 +145,10 @@ def write(df: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "te
 
     def work(rows: Iterator[tuple]) -> Iterator[tuple]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
         part = TaskContext.get().partitionId()
         uri = f"{folder}/part-{part:05d}-{uuid.uuid4().hex}.records"
         files, path = _place(uri)
-        model, total, offset, count = Tokenizer.from_file(tokenizer), 0, 0, 0
+        model, total, offset, count = Encoder(tokenizer, by_word), 0, 0, 0
         first = next(rows, None)
         if first is None:
             return
@@ -106,10 +165,9 @@ def write(df: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "te
 
         with files.open_output_stream(path) as out, files.open_output_stream(f"{path}.index") as index:
             for group in groups():
-                for (key, _), found in zip(group, model.encode_batch([body for _, body in group], add_special_tokens=False)):
-                    ids = array("I", found.ids)
-                    ids.append(END_ID)
-                    record = frame(struct.pack("<?q", key is not None, key or 0) + packed(ids))
+                for (key, _), ids in zip(group, model.encode([body for _, body in group])):
+                    ids = np.append(ids, np.uint32(END_ID))
+                    record = frame(_payload(key, ids))
                     out.write(record)
                     index.write(struct.pack("<Q", offset))
                     offset, total, count = offset + len(record), total + len(ids), count + 1
@@ -132,10 +190,9 @@ def read(manifest: DataFrame) -> DataFrame:
             at = base
             with files.open_input_stream(path) as shard:
                 while (payload := read_frame(shard)) is not None:
-                    has, key = struct.unpack_from("<?q", payload)
-                    ids = payload[9:]
-                    yield key if has else None, at, len(ids) // 4, zlib.crc32(ids)
-                    at += len(ids) // 4
+                    key, ids = sequence(payload)
+                    yield key, at, len(ids), zlib.crc32(ids.tobytes())
+                    at += len(ids)
 
     spread = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return map_rows(shards.repartition(spread, "path"), "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint", work)

@@ -215,6 +215,16 @@ def test_records(spark, small_sf, odd, empty):
     assert token_records.read(token_records.write(empty, queries.WORD_MODEL)).count() == 0
 
 
+def test_encoding_by_word_is_encoding_of_the_text():
+    model, by_word, rnd = Tokenizer.from_file(queries.WORD_MODEL), token_records.Encoder(queries.WORD_MODEL, True), np.random.RandomState(9)
+    marks = ["a", "Σ", "ΑΣ", "é", "e", "\u0301", "\u0345", " ", "\n", "\t", "\x1c", "\x85", "\u00a0", "\u2000", "\u200b", "İ", "'s", "'ll", "7", "日本", "한", "ᄒ", "ᅡ", "--", "<|endoftext|>", "\r\n", "👍🏽", "\x00"]
+    texts = ["".join(rnd.choice(marks, rnd.randint(0, 30))) for _ in range(20_000)]
+    texts += ["x" * 500 + " " + "y" * 500, "", " "]
+    for at in range(0, len(texts), 64):
+        group = texts[at : at + 64]
+        assert [x.tolist() for x in by_word.encode(group)] == [model.encode(t, add_special_tokens=False).ids for t in group]
+
+
 def test_damaged_record(tmp_path):
     data = bytearray(token_records.frame(b"payload"))
     data[14] ^= 1
