@@ -15,13 +15,14 @@ import heapq
 from array import array
 from collections.abc import Iterator
 
+import numpy as np
 import regex
 from pyspark.sql import DataFrame
 
 from creditloom.llm.tasks import map_rows
 
-#: Distinct words a task keeps with their ids, and the longest that it keeps.
-KEPT_WORDS = 200_000
+#: Distinct words a task keeps with their packed ids, 100 MB or so, and the longest that it keeps.
+KEPT_WORDS = 500_000
 KEPT_CHARS = 64
 
 
@@ -86,26 +87,24 @@ class Codec:
         self.ranks = load_ranks(path)
         self.pieces = {rank: token for token, rank in self.ranks.items()}
         self.words = regex.compile(pattern)
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}
 
-    def ids(self, word: str) -> list[int]:
+    def ids(self, word: str) -> bytes:
         found = self.known.get(word)
         if found is None:
-            found = fold(word.encode("utf-8"), self.ranks)
+            found = packed(array("I", fold(word.encode("utf-8"), self.ranks)))
             if len(word) <= KEPT_CHARS:
                 if len(self.known) >= KEPT_WORDS:
                     self.known.clear()
                 self.known[word] = found
         return found
 
-    def encode(self, text: str | None) -> array:
-        ids = array("I")
-        for match in self.words.finditer(text or ""):
-            ids.extend(self.ids(match[0]))
-        return ids
+    def encode(self, text: str | None) -> bytes:
+        """The packed ids of a whole text."""
+        return b"".join([self.ids(match[0]) for match in self.words.finditer(text or "")])
 
-    def decode(self, ids: array) -> bytes:
-        return b"".join(map(self.pieces.__getitem__, ids))
+    def decode(self, data: bytes) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, np.frombuffer(data, dtype="<u4").tolist()))
 
 
 def packed(ids: array) -> bytes:
@@ -123,7 +122,7 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text") -> DataFr
         codec = Codec(path, pattern)
         for *kept, body in rows:
             ids = codec.encode(body)
-            yield (*kept, packed(ids), len(ids))
+            yield (*kept, ids, len(ids) // 4)
 
     return _with(df, text, "ids binary, n_tokens bigint", work)
 
@@ -133,8 +132,7 @@ def decode(df: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     def work(rows: Iterator[tuple]) -> Iterator[tuple]:
         pieces = {rank: token for token, rank in load_ranks(path).items()}
         for *kept, body in rows:
-            data = body or b""
-            yield (*kept, b"".join(pieces[int.from_bytes(data[i : i + 4], "little")] for i in range(0, len(data), 4)))
+            yield (*kept, b"".join(map(pieces.__getitem__, np.frombuffer(body or b"", dtype="<u4").tolist())))
 
     return _with(df, ids, "decoded binary", work)
 
@@ -145,7 +143,7 @@ def round_trip(df: DataFrame, path: str, pattern: str, text: str = "text") -> Da
         codec = Codec(path, pattern)
         for *kept, body in rows:
             ids = codec.encode(body)
-            yield (*kept, len(ids), hashlib.sha256(packed(ids)).hexdigest(), hashlib.sha256(codec.decode(ids)).hexdigest())
+            yield (*kept, len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(codec.decode(ids)).hexdigest())
 
     return _with(df, text, "n_tokens bigint, ids_sha256 string, decoded_sha256 string", work)
 
