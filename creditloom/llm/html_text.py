@@ -5,6 +5,12 @@ node then gets its density, the characters per tag below it, scaled down the mor
 sum of its children's densities. The node of largest sum is the heart of the page; the lowest density on the path from the
 body to it is the threshold; of every subtree that reaches the threshold, the node of largest sum is main text, whole.
 
+The share of link text that scales densities is that of the whole body, links of furniture included. The scale's logarithm
+has a base that sinks to 1 where links are rare; its own logarithm counts as 1 at least, so that without any link a density
+is the characters per tag times the logarithm of their product. A node that only its class, id or role calls furniture is
+kept if it holds most of the body's text outside links, unless the page marks another text by <article> or <main>; tags that
+are furniture by name are always cut.
+
 A null or empty page, and one whose body has no text, gives an empty string. Rows are judged one by one, so repeated rows
 and null ids give a row each. Nesting is walked without recursion, so depth is not limited.
 """
@@ -22,7 +28,8 @@ from pyspark.sql import DataFrame
 from creditloom.llm.tasks import map_rows
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SKIPPED = frozenset("head script style noscript template svg iframe object canvas nav header footer aside form button select textarea dialog menu".split())
+SILENT = frozenset("head script style noscript template svg iframe object canvas".split())
+SKIPPED = SILENT | frozenset("nav header footer aside form button select textarea dialog menu".split())
 BLOCKS = frozenset(
     "html body article section main div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption blockquote pre figure "
     "figcaption address details summary fieldset center hr".split()
@@ -36,6 +43,8 @@ FURNITURE = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer header masthead "
     "menu nav navbar navigation newsletter notice popup promo related respond share sharing sidebar social sponsor sponsored subscribe toolbar widget".split()
 )
+#: The page's own marks of main text, which no class word outranks.
+MARKED = frozenset(("article", "main"))
 BLANK = re.compile(r"\s+")
 
 
@@ -44,6 +53,7 @@ class Node:
     tag: str
     children: list = field(default_factory=list)  # nodes and strings, in page order
     skipped: bool = False
+    named: bool = False  # furniture by a word of its class, id or role only
     chars: int = 0
     tags: int = 0
     link_chars: int = 0
@@ -52,17 +62,12 @@ class Node:
     total: float = 0.0
 
 
-def _is_furniture(tag: str, attributes: list) -> bool:
-    if tag in SKIPPED:
-        return True
-    if tag in ("html", "body", "article", "main"):
-        return False
-    for name, value in attributes:
-        if name in ("class", "id", "role") and FURNITURE.intersection(re.split(r"[\W_]+", (value or "").lower())):
-            return True
-        if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
-    return False
+def _is_hidden(attributes: list) -> bool:
+    return any(name == "hidden" or (name == "aria-hidden" and value == "true") for name, value in attributes)
+
+
+def _is_named(attributes: list) -> bool:
+    return any(name in ("class", "id", "role") and FURNITURE.intersection(re.split(r"[\W_]+", (value or "").lower())) for name, value in attributes)
 
 
 class Tree(HTMLParser):
@@ -102,7 +107,11 @@ class Tree(HTMLParser):
         if tag == "body":  # ends a head left open
             while len(self.open) > 1:
                 self._pop()
-        node = Node(tag, skipped=_is_furniture(tag, attrs))
+        node = Node(tag, skipped=tag in SKIPPED)
+        if attrs and not node.skipped and tag not in MARKED and tag not in ("html", "body"):
+            node.skipped = _is_hidden(attrs)
+            node.named = not node.skipped and _is_named(attrs)
+            node.skipped = node.skipped or node.named
         self.open[-1].children.append(node)
         if tag not in VOID:
             self._push(node)
@@ -130,6 +139,33 @@ def parse(html: str) -> Node:
     return next((x for x in tree.root.children if isinstance(x, Node) and x.tag == "body"), tree.root)
 
 
+def _link_share(root: Node) -> float:
+    """The share of link text in the whole body. Nodes of furniture by class word that hold most of the text are kept from here on."""
+    found, stack = [], [(root, False, False)]
+    while stack:  # parents first; silent nodes have no text
+        node, linked, marked = stack.pop()
+        linked, marked = linked or node.tag == "a", marked or node.tag in MARKED
+        found.append((node, linked, marked))
+        stack.extend((x, linked, marked) for x in node.children if isinstance(x, Node) and x.tag not in SILENT)
+    chars = link_chars = 0
+    plain: dict[int, tuple[int, int]] = {}  # by node, characters outside links that only a class word may cut: all, and those in marked nodes
+    for node, linked, marked in reversed(found):
+        own = sum(len(BLANK.sub("", x)) for x in node.children if isinstance(x, str))
+        chars += own
+        link_chars += own if linked else 0
+        text, main = (0 if linked else own), (own if marked and not linked else 0)
+        for x in node.children:
+            if isinstance(x, Node):
+                more = plain.get(id(x), (0, 0))
+                text, main = text + more[0], main + more[1]
+        plain[id(node)] = (0, 0) if node.skipped and not node.named else (text, main)
+    text, main = plain[id(root)]
+    for node, _, marked in found:
+        if node.named and 2 * plain[id(node)][0] > text and (marked or plain[id(node)][1] == main):
+            node.skipped = False
+    return link_chars / max(chars, 1)
+
+
 def _order(root: Node) -> list[tuple[Node, Node | None]]:
     """Kept nodes with their parents, parents first."""
     found, stack = [], [(root, None)]
@@ -142,6 +178,7 @@ def _order(root: Node) -> list[tuple[Node, Node | None]]:
 
 def measure(root: Node) -> list[tuple[Node, Node | None]]:
     """Sets the counts, densities and sums of all kept nodes."""
+    share = _link_share(root)
     order = _order(root)
     for node, _ in reversed(order):  # children first
         node.chars = sum(len(BLANK.sub("", x)) if isinstance(x, str) else 0 if x.skipped else x.chars for x in node.children)
@@ -149,13 +186,12 @@ def measure(root: Node) -> list[tuple[Node, Node | None]]:
         node.tags = sum(x.tags + 1 for x in kept)
         node.link_chars = node.chars if node.tag == "a" else sum(x.link_chars for x in kept)
         node.link_tags = sum(x.link_tags + (x.tag == "a") for x in kept)
-    share = root.link_chars / max(root.chars, 1)
     for node, _ in order:
         if node.chars:
             plain = max(node.chars - node.link_chars, 1)
             base = math.log(node.chars / plain * node.link_chars + share * node.chars + math.e)
             scale = node.chars / max(node.link_chars, 1) * max(node.tags, 1) / max(node.link_tags, 1)
-            node.density = node.chars / max(node.tags, 1) * max(math.log(scale) / math.log(base), 0.0) if base > 1.0 else 0.0
+            node.density = node.chars / max(node.tags, 1) * max(math.log(scale) / max(math.log(base), 1.0), 0.0)
     for node, _ in reversed(order):
         node.total = sum(x.density for x in node.children if isinstance(x, Node) and not x.skipped)
     return order
