@@ -1,18 +1,22 @@
 """License notices by conditional compression.
 
 Lines with a licensing cue are candidate blocks (neighbouring lines form one block). Each block is compressed alone and then
-with every template as a raw zstandard dictionary; templates are ranked by how much smaller the block got. The winners are
-confirmed by their wording: the words a template must have and the block lacks decide, not the size. A block whose words
-fit no template is listed as ``unknown`` if it names a license, and is left out otherwise.
+with every template as a raw zstandard dictionary; templates are ranked by how much smaller the block got. Every template is
+then confirmed by its wording: word for word, or, for a long template that saves bytes, but for a few words. Words that tell
+licenses apart (versions, names, ShareAlike, Lesser...) may neither be lacking nor be added. A block whose words fit no
+template is listed as ``unknown`` if it names a license, and is left out otherwise.
 
-Null and empty texts have no blocks. Blocks are cut at fixed lengths only for compression, never for the comparison of words.
+Null and empty texts have no blocks. Blocks are compressed in parts that overlap by more than a template; words are compared
+over the whole block.
 Rows are judged one by one, so repeated rows and null ids give a row each.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import zstandard
 from pyspark.sql import DataFrame
@@ -35,13 +39,14 @@ TEMPLATES = {
 }
 CUE = re.compile(r"licen[sc]e|copyright|all rights reserved|permission is hereby|redistribution and use|creative commons|spdx|proprietary and|waived all", re.IGNORECASE)
 NAMED = re.compile(r"\blicen[sc]ed?\b", re.IGNORECASE)
-WORD = re.compile(r"[a-z0-9]+")
-#: Templates ranked best that are confirmed by wording; ties with the last are tried too.
-CONFIRMED = 5
+WORD = re.compile(r"[A-Za-z0-9]+")
 #: Percent of a template's words that may be lacking or passed over; a short template must be there word for word.
 MAX_CHANGED_PERCENT = 15
 SHORT_WORDS = 16
-COMPRESSED_CHARS = 8192
+#: Words that make another license of a notice: never passed over. These, names and whatever holds a digit are never lacking.
+VARIANTS = frozenset("affero lesser library nc nd noncommercial noderivatives noderivs sa sharealike".split())
+NAMES = frozenset("apache attribution bsd cc gnu mit mozilla".split())
+COMPRESSED_WORDS = 1024
 
 
 def blocks(text: str) -> Iterator[tuple[int, int]]:
@@ -58,23 +63,60 @@ def blocks(text: str) -> Iterator[tuple[int, int]]:
         yield start, at - 1
 
 
-def confirmed(wanted: list[str], words: list[str]) -> bool:
-    """Whether some run of the block has the template's wording, but for the changes allowed."""
-    allowed = len(wanted) * MAX_CHANGED_PERCENT // 100 if len(wanted) > SHORT_WORDS else 0
-    for start in (i for i, w in enumerate(words) if w in wanted[: allowed + 1]):
-        at, changed = start, 0
-        for word in wanted:
-            window = words[at : at + 1 + allowed]
-            if word in window:
-                changed += window.index(word)
-                at += window.index(word) + 1
-            else:
-                changed += 1
-            if changed > allowed:
-                break
-        else:
-            return True
-    return False
+def _words(text: str) -> list[str]:
+    return [w.lower() for w in WORD.findall(text)]
+
+
+def aligned(wanted: list[str], words: list[str], allowed: int) -> tuple[int, int] | None:
+    """The run of words nearest to the template, first and end, if at most ``allowed`` words are lacking or passed over."""
+    never = allowed + 1
+    costs, firsts = [0] * (len(words) + 1), list(range(len(words) + 1))
+    for want in wanted:
+        lack = never if want in VARIANTS or want in NAMES or not want.isalpha() else 1
+        above, first = costs[0], firsts[0]
+        costs[0] += lack
+        for j, word in enumerate(words, 1):
+            best, start = costs[j] + lack, firsts[j]
+            if (cost := costs[j - 1] + (never if word in VARIANTS else 1)) < best:
+                best, start = cost, firsts[j - 1]
+            if word == want and above <= best:
+                best, start = above, first
+            above, first = costs[j], firsts[j]
+            costs[j], firsts[j] = best, start
+    best = min(costs)
+    return (firsts[costs.index(best)], costs.index(best)) if best <= allowed else None
+
+
+class Block:
+    """The words of a block, and where runs of them are."""
+
+    def __init__(self, words: list[str]) -> None:
+        self.words = words
+        self.line = f" {' '.join(words)} "
+        self.starts = list(accumulate((len(w) + 1 for w in words), initial=0))
+
+    def exact(self, wanted: list[str]) -> Iterator[int]:
+        """Where the words are, in order and without any other between."""
+        run, at = f" {' '.join(wanted)} ", -1
+        while (at := self.line.find(run, at + 1)) >= 0:
+            yield bisect_left(self.starts, at)
+
+    def near(self, wanted: list[str]) -> Iterator[tuple[int, int]]:
+        """Runs with the template's wording, but for the changes allowed. One more piece than changes: some piece is whole in each."""
+        allowed = len(wanted) * MAX_CHANGED_PERCENT // 100
+        bounds = [i * len(wanted) // (allowed + 1) for i in range(allowed + 2)]
+        tried = set()
+        found: list[tuple[int, int]] = []
+        for at, end in zip(bounds, bounds[1:]):
+            for place in self.exact(wanted[at:end]):
+                low = place - at - allowed
+                if low in tried or any(first <= place < last for first, last in found):
+                    continue
+                tried.add(low)
+                base = max(low, 0)
+                if run := aligned(wanted, self.words[base : low + len(wanted) + 2 * allowed], allowed):
+                    found.append((base + run[0], base + run[1]))
+                    yield found[-1]
 
 
 class Scanner:
@@ -83,26 +125,32 @@ class Scanner:
         self.templates = []
         for name, notices in TEMPLATES.items():
             for notice in notices:
-                known = zstandard.ZstdCompressionDict(notice.lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-                self.templates.append((name, WORD.findall(notice.lower()), zstandard.ZstdCompressor(level=3, dict_data=known)))
+                words = _words(notice)
+                known = zstandard.ZstdCompressionDict(" ".join(words).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+                self.templates.append((name, words, zstandard.ZstdCompressor(level=3, dict_data=known)))
+        self.overlap = 2 * max(len(words) for _, words, _ in self.templates)
 
-    def rank(self, block: str) -> list[tuple[int, str, list[str]]]:
-        """Templates by the bytes they save, best first."""
+    def rank(self, words: list[str]) -> list[tuple[int, str, list[str]]]:
+        """Templates by the bytes they save in the part of the block that they suit best, best first."""
         saved = [0] * len(self.templates)
-        low = block.lower()
-        for start in range(0, len(low), COMPRESSED_CHARS):
-            data = low[start : start + COMPRESSED_CHARS].encode()
+        for start in range(0, max(len(words) - self.overlap, 1), COMPRESSED_WORDS):
+            data = " ".join(words[start : start + COMPRESSED_WORDS + self.overlap]).encode()
             plain = len(self.alone.compress(data))
             for i, (_, _, squeezed) in enumerate(self.templates):
-                saved[i] += plain - len(squeezed.compress(data))
+                saved[i] = max(saved[i], plain - len(squeezed.compress(data)))
         rows = [(s, name, words) for s, (name, words, _) in zip(saved, self.templates)]
         return sorted(rows, key=lambda r: (-r[0], r[1], r[2]))
 
+    def runs(self, words: list[str]) -> Iterator[tuple[int, int, str]]:
+        """First and end word of all runs with a template's wording, and the license, the best template first."""
+        block = Block(words)
+        for saved, name, wanted in self.rank(words):
+            yield from ((at, at + len(wanted), name) for at in block.exact(wanted))
+            if saved > 0 and len(wanted) > SHORT_WORDS:
+                yield from ((first, end, name) for first, end in block.near(wanted))
+
     def names(self, block: str) -> list[str]:
-        ranked = self.rank(block)
-        floor = ranked[min(CONFIRMED, len(ranked)) - 1][0]
-        words = WORD.findall(block.lower())
-        found = sorted({name for saved, name, wanted in ranked if saved >= floor and confirmed(wanted, words)})
+        found = sorted({name for _, _, name in self.runs(_words(block))})
         return found or (["unknown"] if NAMED.search(block) else [])
 
     def scan(self, text: str | None) -> list[tuple[int, int, str]]:
@@ -111,6 +159,12 @@ class Scanner:
         return [(start, end, name) for start, end in blocks(text) for name in self.names(text[start:end])]
 
 
+def scan(self, text: str | None) -> list[tuple[int, int, str]]:
+        """Start, end and license of every confirmed block; a block may confirm several."""
+        text = text or ""
+        return [(start, end, name) for start, end in blocks(text) for name in self.names(text[start:end])]
+
+
 def scan(df: DataFrame, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
     """``keep`` columns with the number of notices, the distinct licenses, and all notices as license:start:end."""
     def work(rows: Iterator[tuple]) -> Iterator[tuple]:

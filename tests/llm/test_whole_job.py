@@ -1,6 +1,6 @@
 """Cases beyond the tables: pages without links, wrapped notices, account numbers as people print them."""
 
-from creditloom.llm import html_text
+from creditloom.llm import html_text, license_scan
 
 PARAGRAPH = "The lender weighs every application against the history of the applicant, and keeps the reasons beside the answer. " * 4
 ARTICLE = f"<article><h1>On lending</h1>{''.join(f'<p>{i}. {PARAGRAPH}</p>' for i in range(6))}</article>"
@@ -36,3 +36,27 @@ def test_class_word_on_the_main_text():
     assert html_text.main_text(f'<body><div class="content widget">{plain}</div><p>End.</p></body>').count("The lender") == 24
     assert html_text.main_text(f'<body><article><h1>On lending</h1><div class="social">{plain}</div></article></body>').count("The lender") == 24
     assert html_text.main_text(f'<body><div class="ad">{PARAGRAPH}</div><article><p>Short.</p></article></body>') == "Short."
+
+
+GPL = "you can redistribute it and/or modify it under the terms of the GNU {}General Public License as published by the Free Software Foundation; either version {} of the License"
+
+
+def names(text):
+    return sorted({n for _, _, n in license_scan.Scanner().scan(text)})
+
+
+def test_every_license_of_a_block():
+    gpl = "This work is licensed under the GNU General Public License, version 3."
+    assert names(f"Copyright 2020 Foo. All rights reserved.\n{gpl}") == ["GPL-3.0", "proprietary"]
+    assert names(f"Released under the MIT License.\n{gpl}") == ["GPL-3.0", "MIT"]
+    everything = [n for notices in license_scan.TEMPLATES.values() for n in notices]
+    assert names("\n".join(f"{n} (license)" for n in everything)) == sorted(license_scan.TEMPLATES)
+    far = " ".join(f"w{i % 977}" for i in range(9000))
+    assert names(f"license {far} All rights reserved. {far} Licensed under CC BY 4.0. {far}") == ["CC-BY-4.0", "proprietary"]
+
+
+def test_words_that_tell_licenses_apart():
+    assert names(GPL.format("", 2)) == ["GPL-2.0"] and names(GPL.format("", 3)) == ["GPL-3.0"]
+    assert names(GPL.format("Lesser ", 3)) == names(GPL.format("Affero ", 3)) == names(GPL.format("", 1)) == ["unknown"]
+    assert names(GPL.format("", 3).replace("as published", "(GPL) as published")) == ["GPL-3.0"]
+    assert names(GPL.format("", 3).replace("Free Software Foundation", "FSF")) == ["unknown"]
