@@ -1,10 +1,13 @@
 """License notices by conditional compression.
 
-Lines with a licensing cue are candidate blocks (neighbouring lines form one block). Each block is compressed alone and then
+Paragraphs with a licensing cue are candidate blocks (neighbouring paragraphs form one block), so that a notice may be wrapped
+in any way and have comment signs before its lines. Each block is compressed alone and then
 with every template as a raw zstandard dictionary; templates are ranked by how much smaller the block got. Every template is
 then confirmed by its wording: word for word, or, for a long template that saves bytes, but for a few words. Words that tell
-licenses apart (versions, names, ShareAlike, Lesser...) may neither be lacking nor be added. A block whose words fit no
-template is listed as ``unknown`` if it names a license, and is left out otherwise.
+licenses apart (versions, names, ShareAlike, Lesser...) may neither be lacking nor be added.
+
+A notice runs over its whole lines and the neighbouring lines with cues. Lines with cues that no notice runs over are listed
+as ``unknown`` if they name a license, and are left out otherwise.
 
 Null and empty texts have no blocks. Blocks are compressed in parts that overlap by more than a template; words are compared
 over the whole block.
@@ -14,7 +17,7 @@ Rows are judged one by one, so repeated rows and null ids give a row each.
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -23,21 +26,72 @@ from pyspark.sql import DataFrame
 
 from creditloom.llm.tasks import map_rows
 
-#: Notices by SPDX name; ``{...}`` marks words that a notice may replace. Fixed values.
+_GPL = """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as
+    published by the Free Software Foundation, either version {version} of the License, or (at your option) any later version.
+
+    This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of
+    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.
+
+    You should have received a copy of the GNU General Public License along with this program. If not, see
+    <https://www.gnu.org/licenses/>."""
+#: Notices by SPDX name, in full or in part. Fixed values.
 TEMPLATES = {
-    "MIT": ["Released under the MIT License.", "Licensed under the MIT License.", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"],
-    "Apache-2.0": ["Licensed under the Apache License, Version 2.0", "Released under the Apache License 2.0.", "SPDX-License-Identifier: Apache-2.0"],
-    "GPL-3.0": ["under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3", "Licensed under the GNU General Public License v3.0.", "This work is licensed under the GNU General Public License, version 3."],
-    "GPL-2.0": ["under the terms of the GNU General Public License as published by the Free Software Foundation, either version 2", "Licensed under the GNU General Public License v2.0.", "This work is licensed under the GNU General Public License, version 2."],
-    "BSD-3-Clause": ["Redistribution and use in source and binary forms, with or without modification, are permitted", "Licensed under the BSD 3-Clause License."],
-    "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
+    "MIT": [
+        """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation
+        files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy,
+        modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the
+        Software is furnished to do so, subject to the following conditions:
+
+        The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+
+        THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
+        WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR
+        COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE,
+        ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
+        "Released under the MIT License.", "Licensed under the MIT License.", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"],
+    "Apache-2.0": [
+        """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the
+        License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0
+
+        Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an
+        "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific
+        language governing permissions and limitations under the License.""",
+        "Licensed under the Apache License, Version 2.0", "Released under the Apache License 2.0.", "SPDX-License-Identifier: Apache-2.0"],
+    "GPL-3.0": [
+        _GPL.format(version=3),
+        "under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3", "Licensed under the GNU General Public License v3.0.", "This work is licensed under the GNU General Public License, version 3."],
+    "GPL-2.0": [
+        _GPL.format(version=2),
+        "under the terms of the GNU General Public License as published by the Free Software Foundation, either version 2", "Licensed under the GNU General Public License v2.0.", "This work is licensed under the GNU General Public License, version 2."],
+    "BSD-3-Clause": [
+        """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following
+        conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the
+        following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and
+        the following disclaimer in the documentation and/or other materials provided with the distribution. Neither the name of the
+        copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software
+        without specific prior written permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND
+        ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR
+        A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT,
+        INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE
+        GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY,
+        WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS
+        SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted", "Licensed under the BSD 3-Clause License."],
+    "MPL-2.0": [
+        """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not
+        distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.""",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
     "CC-BY-4.0": ["This work is licensed under a Creative Commons Attribution 4.0 International License.", "Licensed under CC BY 4.0."],
     "CC-BY-SA-4.0": ["This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "Licensed under CC BY-SA 4.0."],
     "CC-BY-NC-4.0": ["This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", "Licensed under CC BY-NC 4.0."],
     "CC0-1.0": ["To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."],
     "proprietary": ["All rights reserved.", "Proprietary and confidential. Unauthorized copying of this file is strictly prohibited."],
 }
-CUE = re.compile(r"licen[sc]e|copyright|all rights reserved|permission is hereby|redistribution and use|creative commons|spdx|proprietary and|waived all", re.IGNORECASE)
+#: The words of a cue may stand on two lines.
+CUE = re.compile(
+    r"licen[sc]e|copyright|all\W+rights\W+reserved|permission\W+is\W+hereby|redistribution\W+and\W+use|creative\W+commons|spdx|proprietary\W+and|waived\W+all|mozilla\W+public",
+    re.IGNORECASE,
+)
 NAMED = re.compile(r"\blicen[sc]ed?\b", re.IGNORECASE)
 WORD = re.compile(r"[A-Za-z0-9]+")
 #: Percent of a template's words that may be lacking or passed over; a short template must be there word for word.
@@ -49,18 +103,38 @@ NAMES = frozenset("apache attribution bsd cc gnu mit mozilla".split())
 COMPRESSED_WORDS = 1024
 
 
-def blocks(text: str) -> Iterator[tuple[int, int]]:
-    """Bounds of candidate blocks: runs of lines that each hold a cue."""
-    at, start = 0, None
-    for line in text.split("\n"):
-        if CUE.search(line):
+def blocks(text: str) -> Iterator[tuple[int, int, list[tuple[int, int]]]]:
+    """Bounds of candidate blocks, runs of paragraphs that each hold a cue, with the runs of lines in them that each hold a part of a cue."""
+    cues = [m.span() for m in CUE.finditer(text)]
+    if not cues:
+        return
+    at = next_cue = 0
+    whole: list[tuple[int, int]] = []  # paragraphs with cues that neighbour each other
+    marked: list[tuple[int, int]] = []  # their runs of lines with cues
+    start, lines = None, []  # of the paragraph
+    for line in [*text.split("\n"), ""]:
+        end = at + len(line)
+        while next_cue < len(cues) and cues[next_cue][1] <= at:
+            next_cue += 1
+        if any(c.isalnum() for c in line):
             start = at if start is None else start
+            if next_cue < len(cues) and cues[next_cue][0] < end:
+                if lines and lines[-1][1] == at - 1:
+                    lines[-1] = (lines[-1][0], end)
+                else:
+                    lines.append((at, end))
+            last = end
         elif start is not None:
-            yield start, at - 1
-            start = None
-        at += len(line) + 1
-    if start is not None:
-        yield start, at - 1
+            if lines:
+                whole.append((start, last))
+                marked += lines
+            elif whole:
+                yield whole[0][0], whole[-1][1], marked
+                whole, marked = [], []
+            start, lines = None, []
+        at = end + 1
+    if whole:
+        yield whole[0][0], whole[-1][1], marked
 
 
 def _words(text: str) -> list[str]:
@@ -149,11 +223,40 @@ class Scanner:
             if saved > 0 and len(wanted) > SHORT_WORDS:
                 yield from ((first, end, name) for first, end in block.near(wanted))
 
-    def names(self, block: str) -> list[str]:
-        found = sorted({name for _, _, name in self.runs(_words(block))})
-        return found or (["unknown"] if NAMED.search(block) else [])
+    def notices(self, text: str, start: int, end: int, marked: list[tuple[int, int]]) -> set[tuple[int, int, str]]:
+        """The notices of a block."""
+        words = [(m.start(), m.end(), m[0].lower()) for m in WORD.finditer(text, start, end)]
+        starts, ends = [a for a, _ in marked], [b for _, b in marked]
+        touched = set()
+        found: dict[str, list[tuple[int, int]]] = {}
+        for first, last, name in self.runs([w for _, _, w in words]):
+            low = max(text.rfind("\n", start, words[first][0]) + 1, start)
+            high = text.find("\n", words[last - 1][1], end)
+            high = end if high < 0 else high
+            at, past = bisect_right(ends, low), bisect_left(starts, high)  # the lines with cues that it runs over
+            if at < past:
+                touched.update(range(at, past))
+                low, high = min(starts[at], low), max(ends[past - 1], high)
+            found.setdefault(name, []).append((low, high))
+        out = set()
+        for name, spans in found.items():
+            low, high = min(spans)
+            for a, b in sorted(spans):  # runs of one license that overlap are one notice
+                if a >= high:
+                    out.add((low, high, name))
+                    low = a
+                high = max(high, b)
+            out.add((low, high, name))
+        unknown = {(a, b, "unknown") for i, (a, b) in enumerate(marked) if i not in touched and NAMED.search(text, a, b)}
+        return out | unknown
 
     def scan(self, text: str | None) -> list[tuple[int, int, str]]:
+        """Start, end and license of every notice; lines may hold several."""
+        text = text or ""
+        return sorted(notice for start, end, marked in blocks(text) for notice in self.notices(text, start, end, marked))
+
+
+def scan(self, text: str | None) -> list[tuple[int, int, str]]:
         """Start, end and license of every confirmed block; a block may confirm several."""
         text = text or ""
         return [(start, end, name) for start, end in blocks(text) for name in self.names(text[start:end])]

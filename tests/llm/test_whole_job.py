@@ -60,3 +60,52 @@ def test_words_that_tell_licenses_apart():
     assert names(GPL.format("Lesser ", 3)) == names(GPL.format("Affero ", 3)) == names(GPL.format("", 1)) == ["unknown"]
     assert names(GPL.format("", 3).replace("as published", "(GPL) as published")) == ["GPL-3.0"]
     assert names(GPL.format("", 3).replace("Free Software Foundation", "FSF")) == ["unknown"]
+
+
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software."""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer."""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+GPL_HEADER = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 2 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+
+You should have received a copy of the GNU General Public License
+along with this program.  If not, see <https://www.gnu.org/licenses/>."""
+
+
+def test_wrapped_notices():
+    headers = {"MIT": MIT, "BSD-3-Clause": BSD, "MPL-2.0": MPL, "GPL-2.0": GPL_HEADER}
+    for name, header in headers.items():
+        for sign in ("", "# ", " * ", "// "):
+            lines = "\n".join(sign + line for line in header.split("\n"))
+            assert names(lines) == names(f"one\ntwo\n\n{lines}\n\nthree") == names(f"one\n{lines}\nthree") == [name]
+    wrapped = "\n".join(license_scan.TEMPLATES["Apache-2.0"][0].split())  # a word a line
+    assert license_scan.Scanner().scan(f"one\n{wrapped}\ntwo") == [(4, 4 + len(wrapped), "Apache-2.0")]
+    assert names("all rights\nreserved") == ["proprietary"]
+
+
+def test_bounds_of_wrapped_notices():
+    scan = license_scan.Scanner().scan
+    assert scan(f"one\n\n{GPL_HEADER}\n\ntwo") == [(5, 5 + len(GPL_HEADER), "GPL-2.0")]
+    assert scan(f"{MPL}\n\nplain\n\nreleased under the\nMIT license") == [(0, len(MPL), "MPL-2.0"), (len(MPL) + 9, len(MPL) + 39, "MIT")]
+    assert scan("plain\nown license\nplain\n\nplain") == [(6, 17, "unknown")]
