@@ -5,7 +5,9 @@ deterministic parser expands to both sides, finds the span's bounds and validate
 card, digits of a phone number). Spans of one kind never overlap; a span that fails its check is dropped and not retried.
 
 Beside the base kinds (email, ip, card, phone) there are ``login`` (user and password in a url) and ``secret`` (a value that
-follows an identifier cue). A null or empty text has no spans. Rows are judged one by one; other columns pass through.
+follows an identifier cue). Each sort of cue has its own parser: a password is any run of signs, a key is long or mixed, an
+account and a social security number have so many digits with or without separators, and an IBAN may be printed in groups,
+has its country's length and passes the mod-97 check. A null or empty text has no spans. Rows are judged one by one; other columns pass through.
 """
 
 from __future__ import annotations
@@ -22,7 +24,11 @@ from creditloom.llm.texts import LOWER, UPPER
 
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "login", "secret")
-CUES = ("password", "passwd", "pwd", "secret", "token", "api_key", "api-key", "apikey", "access_key", "account", "iban", "ssn")
+#: Identifier cues and the parser of what follows.
+CUES = {
+    "password": "password", "passwd": "password", "pwd": "password", "secret": "password", "token": "key", "api_key": "key", "api-key": "key", "apikey": "key",
+    "access_key": "key", "account": "account", "iban": "iban", "ssn": "ssn",
+}
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -31,7 +37,27 @@ CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 DIGITS = re.compile(r"[0-9]+")
 LOGIN = re.compile(r"[^\s/?#@:\"'<>]+:[^\s/?#@\"'<>]+(?=@[A-Za-z0-9])")
-VALUE = re.compile(r"""(?:[ _-]?(?:number|no|id|key))?["']?[ ]?[:=#][ ]?["']?([A-Za-z0-9][A-Za-z0-9_+/.=-]{7,}[A-Za-z0-9_+/=-])""")
+#: From a cue to its value; the group is there if a sign or a verb says that a value follows.
+LINK = re.compile(r"""s?(?:[ _-]?(?:number|num|no|nr|id|key|code)\b\.?)?["']?(?:[ \t]*([:=#]{1,2}>?|->)|[ ]((?:is|was)\b:?))?[ \t]*""", re.IGNORECASE)
+QUOTED = re.compile(r""""([^"\n]+)"|'([^'\n]+)'""")
+PASSWORD = re.compile(r"""[^\s"'<>,;]{4,}""")
+KEY = re.compile(r"[A-Za-z0-9][A-Za-z0-9_+/.=-]*[A-Za-z0-9_+/=-]")
+LONG_KEY, MIXED_KEY = 16, 9
+#: An unbroken number, or groups; letters may stand before it.
+ACCOUNT = re.compile(r"(?:[A-Za-z]{1,4}[ -]?)?(?:[0-9]{6,}(?:-[0-9]+)*|[0-9]{1,5}(?:[ -][0-9]{2,})+)(?![A-Za-z0-9])")
+ACCOUNT_CODE = re.compile(r"[A-Za-z0-9][A-Za-z0-9_+/.=-]{4,}[A-Za-z0-9]")
+SSN = re.compile(r"[0-9]{3}([ -]?)[0-9]{2}\1[0-9]{4}(?![A-Za-z0-9])")
+IBAN = re.compile(r"[A-Za-z]{2}[0-9]{2}(?:[ \xA0-]?[A-Za-z0-9]){11,30}")
+#: Characters of an IBAN by country; others have 15 to 34. Fixed values.
+IBAN_CHARS = {
+    name: size
+    for size, names in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+        23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+        28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for name in names.split()
+}
 _LOWER = str.maketrans(UPPER, LOWER)
 
 Span = tuple[int, int, str]
@@ -43,7 +69,7 @@ def _automaton() -> ahocorasick.Automaton:
         found.add_word(sign, (sign if sign in "@+" else "digit", 1))
     found.add_word("://", ("scheme", 3))
     for cue in CUES:
-        found.add_word(cue, ("cue", len(cue)))
+        found.add_word(cue, (cue, len(cue)))
     found.make_automaton()
     return found
 
@@ -60,6 +86,74 @@ def _signs(text: str) -> str:
     return "".join(c for c in text if c in "0123456789")
 
 
+def mod_97(iban: str) -> bool:
+    """The check digits of an IBAN without separators."""
+    return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97 == 1
+
+
+def _iban(text: str, at: int) -> tuple[int, int] | None:
+    """An IBAN that starts here. Of a country unknown, the longest that passes the check."""
+    if not (match := IBAN.match(text, at)):
+        return None
+    ends = [i + 1 for i in range(at, match.end()) if text[i].isalnum()]  # by number of characters
+    signs = "".join(c for c in match[0] if c.isalnum())
+    size = IBAN_CHARS.get(signs[:2].upper())
+    for n in [size] if size else range(len(signs), 14, -1):
+        if n <= len(signs) and not text[ends[n - 1] : ends[n - 1] + 1].isalnum() and mod_97(signs[:n]):
+            return at, ends[n - 1]
+    return None
+
+
+def _password(text: str, at: int) -> tuple[int, int] | None:
+    """Anything quoted; else a run of signs that is not just a word."""
+    if match := QUOTED.match(text, at):
+        return at + 1, match.end() - 1
+    if match := PASSWORD.match(text, at + (text[at : at + 1] in ("'", '"'))):
+        value = match[0].rstrip(".:)]}")
+        if len(value) >= 4 and not value.isalpha():
+            return match.start(), match.start() + len(value)
+    return None
+
+
+def _key(text: str, at: int) -> tuple[int, int] | None:
+    """A digit, and either many signs or letters of both cases."""
+    if match := KEY.match(text, at):
+        value = match[0]
+        mixed = len(value) >= MIXED_KEY and any("a" <= c <= "z" for c in value) and any("A" <= c <= "Z" for c in value)
+        if (mixed or len(value) >= LONG_KEY) and _signs(value):
+            return match.span()
+    return None
+
+
+def _account(text: str, at: int, told: bool) -> tuple[int, int] | None:
+    """An IBAN, 6 to 24 digits with or without separators, or a code with as many; untold, 7 digits or more without blanks."""
+    if span := _iban(text, at):
+        return span
+    if match := ACCOUNT.match(text, at):
+        if 6 <= len(_signs(match[0])) <= 24 and (told or (len(_signs(match[0])) >= 7 and " " not in match[0])):
+            return match.span()
+    if told and (match := ACCOUNT_CODE.match(text, at)) and 6 <= len(_signs(match[0])) <= 24:
+        return match.span()
+    return None
+
+
+def secret(text: str, cue: str, at: int) -> tuple[int, int] | None:
+    """Bounds of the value of a cue that ends at ``at``."""
+    link = LINK.match(text, at)
+    told, kind, at = bool(link[1] or link[2]), CUES[cue], link.end()
+    if kind == "password":
+        return _password(text, at) if told else None
+    at += text[at : at + 1] in ("'", '"')
+    if kind == "key":
+        return _key(text, at) if told else None
+    if kind == "account":
+        return _account(text, at, told)
+    if kind == "iban":
+        return _iban(text, at)
+    match = SSN.match(text, at)
+    return match.span() if match else None
+
+
 class Finder:
     def __init__(self) -> None:
         self.anchors = _automaton()
@@ -101,10 +195,9 @@ class Finder:
                 if at >= ends["login"] and (match := LOGIN.match(text, at + 3)):
                     ends["login"] = match.end()
                     out.append((at + 3, match.end(), "login"))
-            elif at >= ends["secret"] and not (at and text[at - 1].isalnum()) and (match := VALUE.match(text, at + size)):
-                if any(c in "0123456789" for c in match[1]):
-                    ends["secret"] = match.end(1)
-                    out.append((match.start(1), match.end(1), "secret"))
+            elif at >= ends["secret"] and not (at and text[at - 1].isalnum()) and (found := secret(text, kind, last + 1)):
+                ends["secret"] = found[1]
+                out.append((*found, "secret"))
         return sorted(out, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 

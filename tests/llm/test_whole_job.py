@@ -1,6 +1,8 @@
 """Cases beyond the tables: pages without links, wrapped notices, account numbers as people print them."""
 
-from creditloom.llm import html_text, license_scan
+import pytest
+
+from creditloom.llm import html_text, license_scan, pii
 
 PARAGRAPH = "The lender weighs every application against the history of the applicant, and keeps the reasons beside the answer. " * 4
 ARTICLE = f"<article><h1>On lending</h1>{''.join(f'<p>{i}. {PARAGRAPH}</p>' for i in range(6))}</article>"
@@ -109,3 +111,28 @@ def test_bounds_of_wrapped_notices():
     assert scan(f"one\n\n{GPL_HEADER}\n\ntwo") == [(5, 5 + len(GPL_HEADER), "GPL-2.0")]
     assert scan(f"{MPL}\n\nplain\n\nreleased under the\nMIT license") == [(0, len(MPL), "MPL-2.0"), (len(MPL) + 9, len(MPL) + 39, "MIT")]
     assert scan("plain\nown license\nplain\n\nplain") == [(6, 17, "unknown")]
+
+
+SECRETS = [
+    "IBAN: [DE89 3704 0044 0532 0130 00] is mine", "IBAN [DE89370400440532013000].", "iban=[GB82 WEST 1234 5698 7654 32], ok", "account: [NL91 ABNA 0417 1643 00]",
+    "Iban [NO93 8601 1117 947] 12", "IBAN: DE88 3704 0044 0532 0130 00", "IBAN: DE89 3704 0044 0532 0130 001", "IBAN follows",
+    "account: [12345678]", "account number is [1234567890].", "account no.: [1234-5678-90]", "Account #[12 34 56 78] x", "account [1234567890]", "account: [AB12345678]",
+    "account: [X_12345678/9]", "account: [40-47-84 70872490]", "account of 2023 10 05", "account: 12345", "accounts 2023", "account: [1234567890123456789012]", "account: 1234567890123456789012345",
+    "ssn: [123-45-6789]", "SSN [123 45 6789]", "ssn is [123456789],", "ssn: 123-45-678", "ssn: 1234567890",
+    "password: [hunter22]", "password: [p@ss!]", "pwd='[correct horse]'", "password is [abc123].", "passwd=[Tr0ub4dor&3]", "password: required", "password protected", "secret: [s3cr3t]",
+    'token = "[99dbebab99ab99999d99]"', "token=[aB3dE6gH9]", "token=position1", "api_key: [sk-0123456789abcdef]", "tokens: 12", "mytoken=99dbebab99ab99999d99",
+]
+LOGINS = ["ftp://[user:pass]@host/x", "https://[a:b-1]@h.de", "https://host/a:b@c", "http://user@host", "x://[u:p]@h y://[v:q]@h"]
+
+
+def marked(text, kind):
+    parts, at = [], 0
+    for start, end, _ in (s for s in pii.Finder().spans(text) if s[2] == kind):
+        parts += [text[at:start], "[", text[start:end], "]"]
+        at = end
+    return "".join([*parts, text[at:]])
+
+
+@pytest.mark.parametrize(("wanted", "kind"), [*((x, "secret") for x in SECRETS), *((x, "login") for x in LOGINS)])
+def test_values_of_cues_and_logins(wanted, kind):
+    assert marked(wanted.replace("[", "").replace("]", ""), kind) == wanted
