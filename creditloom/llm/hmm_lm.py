@@ -8,7 +8,8 @@ size, while the counts behind it hold every word of the training texts and grow
 A frequent word (at least one token in ``1 / HOT_SHARE``, so no more than ``1 / HOT_SHARE`` words) may have a class of its own;
 the rest share classes by hash. Frequent words' counts go to every task, a size bounded by that share; counts of rare words are
 joined by shuffle, on keys that are rare by definition. Each Baum-Welch step sends every partition's expected counts, a table
-of fixed size, into one sum.
+of fixed size, into one sum. Steps go on until the likelihood, with the priors, settles; it never falls from step to step, so
+they end. A text is one sequence whatever its length: forward and backward states are carried over the borders of segments.
 
 Tokens are words in lower case (A-Z only) and one end for each text. Null and empty texts are one end. Rows are scored one by
 one, so repeated rows and null ids give a row each; a null id counts as the empty text in the choice of training rows.
@@ -36,16 +37,16 @@ WORD = re.compile(r"[^ \x09-\x0D]+")
 _LOWER = str.maketrans(UPPER, LOWER)
 #: The end's name among words; no word is empty.
 END = ""
-#: Tokens of one sequence in training; a longer text is trained as several, all of them.
-SEGMENT = 512
-SEGMENTS_AT_ONCE = 256
+#: Places of the sequences that are trained together, padded to the next power of two. A longer text is walked by segments of this size.
+PLACES_AT_ONCE = 1 << 18
 TEXTS_AT_ONCE = 128
 
 
 @dataclass(frozen=True)
 class Plan:
     states: int = 4
-    steps: int = 2
+    #: training ends when a step raises the log likelihood by less than this share of it
+    settled: float = 1e-4
     #: share of tokens from which a word's count goes to every task
     hot_share: float = 1 / 65536
     #: frequent words with a class of their own
@@ -101,8 +102,8 @@ def forward(start: np.ndarray, move: np.ndarray, emit: np.ndarray, texts: list[n
     return out
 
 
-def expected(start: np.ndarray, move: np.ndarray, emit: np.ndarray, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Expected counts of first states, moves and emissions of class sequences, by the scaled forward and backward recursions."""
+def expected(start: np.ndarray, move: np.ndarray, emit: np.ndarray, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """Expected counts of first states, moves and emissions of class sequences, by the scaled forward and backward recursions, and the log likelihood."""
     k, n = len(start), len(texts)
     lengths = np.array([len(x) for x in texts])
     longest = int(lengths.max())
@@ -135,7 +136,43 @@ def expected(start: np.ndarray, move: np.ndarray, emit: np.ndarray, texts: list[
     weights[~inside] = 0.0
     flat = padded.ravel()
     emissions = np.stack([np.bincount(flat, weights=weights[:, :, s].ravel(), minlength=emit.shape[1]) for s in range(k)])
-    return weights[0].sum(axis=0), moves * move, emissions
+    return weights[0].sum(axis=0), moves * move, emissions, float(np.log(scales[inside]).sum())
+
+
+def expected_long(start: np.ndarray, move: np.ndarray, emit: np.ndarray, text: np.ndarray, segment: int = PLACES_AT_ONCE) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """``expected`` of one sequence that is held a segment at a time: forward over all segments, then back, each walked forward again."""
+    by_class = np.ascontiguousarray(emit.T)
+    k, borders = len(start), range(0, len(text), segment)
+
+    def ahead_of(state: np.ndarray, part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Forward states and scales of a segment, from the state before its first emission."""
+        states, scales = np.empty((len(part), k)), np.empty(len(part))
+        for t, c in enumerate(part.tolist()):
+            state = (state if t == 0 else state @ move) * by_class[c]
+            scales[t] = state.sum()
+            states[t] = state = state / scales[t]
+        return states, scales
+
+    entries, value = [start], 0.0
+    for at in borders:
+        states, scales = ahead_of(entries[-1], text[at : at + segment])
+        entries.append(states[-1] @ move)
+        value += float(np.log(scales).sum())
+    moves, emissions, coming = np.zeros((k, k)), np.zeros_like(emit), None
+    for at, entry in zip(reversed(borders), reversed(entries[:-1])):
+        part = text[at : at + segment]
+        states, scales = ahead_of(entry, part)
+        weights = np.empty((len(part), k))
+        for t in range(len(part) - 1, -1, -1):
+            if coming is None:  # the text's end
+                back = np.ones(k)
+            else:
+                moves += np.outer(states[t], coming)
+                back = move @ coming
+            weights[t] = states[t] * back
+            coming = by_class[part[t]] * back / scales[t]
+        emissions += np.stack([np.bincount(part, weights=weights[:, s], minlength=emit.shape[1]) for s in range(k)])
+    return weights[0], moves * move, emissions, value
 
 
 # -- training -----------------------------------------------------------------------------------------------------------
@@ -223,43 +260,52 @@ def encode(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "t
 
 
 def baum_welch(encoded: DataFrame, model: Model, plan: Plan = PLAN) -> Model:
-    """The model after ``plan.steps`` passes over the training rows."""
+    """The model after as many passes over the training rows as it takes to settle."""
     training = encoded.filter("NOT held_out").select("classes")
     start, move, emit = model.start, model.move, model.emit
     k = plan.states
-    for _ in range(plan.steps if model.n_tokens else 0):
+    before = None
+    while model.n_tokens:
         sent = encoded.sparkSession.sparkContext.broadcast((start, move, emit))
 
         def work(rows: Iterator[tuple], sent=sent) -> Iterator[tuple]:
             params = sent.value
-            sums = [np.zeros_like(p) for p in params]
-            group: list[np.ndarray] = []
+            sums = [np.zeros_like(p) for p in params] + [np.zeros(1)]
+            groups: dict[int, list[np.ndarray]] = {}  # texts by the power of two that their length is below
 
-            def add() -> None:
-                for total, part in zip(sums, expected(*params, group)):
+            def add(found: tuple) -> None:
+                for total, part in zip(sums, found):
                     total += part
 
             for (data,) in rows:
                 classes = np.frombuffer(data, dtype="<u2")
-                for at in range(0, len(classes), SEGMENT):
-                    group.append(classes[at : at + SEGMENT])
-                    if len(group) == SEGMENTS_AT_ONCE:
-                        add()
-                        group = []
-            if group:
-                add()
+                size = len(classes).bit_length()
+                if 1 << size > PLACES_AT_ONCE:
+                    add(expected_long(*params, classes))
+                    continue
+                group = groups.setdefault(size, [])
+                group.append(classes)
+                if len(group) << size >= PLACES_AT_ONCE:
+                    add(expected(*params, groups.pop(size)))
+            for group in groups.values():
+                add(expected(*params, group))
             for kind, total in enumerate(sums):
                 for row, values in enumerate(np.atleast_2d(total)):
                     for place in np.flatnonzero(values).tolist():
                         yield kind, row, place, float(values[place])
 
         counts = map_rows(training, "kind int, row int, place int, x double", work).groupBy("kind", "row", "place").agg(F.sum("x").alias("x")).collect()
-        sums = [np.zeros((1, k)), np.zeros((k, k)), np.zeros_like(emit)]
+        sums = [np.zeros((1, k)), np.zeros((k, k)), np.zeros_like(emit), np.zeros((1, 1))]
         for kind, row, place, x in counts:
             sums[kind][row, place] = x
+        sent.unpersist()
+        # what the steps raise: the likelihood times the priors, whose exponents are the added counts
+        value = sums[3][0, 0] + plan.smoothing * (np.log(start).sum() + np.log(move).sum()) + plan.prior_tokens * (np.log(emit) @ model.shares).sum()
+        if before is not None and value - before < plan.settled * abs(value):
+            break
+        before = value
         smooth = [sums[0] + plan.smoothing, sums[1] + plan.smoothing, sums[2] + plan.prior_tokens * model.shares]
         start, move, emit = smooth[0][0] / smooth[0].sum(), *(s / s.sum(axis=1, keepdims=True) for s in smooth[1:])
-        sent.unpersist()
     return Model(start, move, emit, model.spread, model.shares, model.hot, model.own, model.shared, model.n_tokens, model.n_words)
 
 

@@ -1,8 +1,11 @@
 """Cases beyond the tables: pages without links, wrapped notices, account numbers as people print them."""
 
+import dataclasses
+
+import numpy as np
 import pytest
 
-from creditloom.llm import html_text, license_scan, pii
+from creditloom.llm import hmm_lm, html_text, license_scan, pii
 
 PARAGRAPH = "The lender weighs every application against the history of the applicant, and keeps the reasons beside the answer. " * 4
 ARTICLE = f"<article><h1>On lending</h1>{''.join(f'<p>{i}. {PARAGRAPH}</p>' for i in range(6))}</article>"
@@ -136,3 +139,31 @@ def marked(text, kind):
 @pytest.mark.parametrize(("wanted", "kind"), [*((x, "secret") for x in SECRETS), *((x, "login") for x in LOGINS)])
 def test_values_of_cues_and_logins(wanted, kind):
     assert marked(wanted.replace("[", "").replace("]", ""), kind) == wanted
+
+
+def test_states_over_segment_borders():
+    rnd, k, c = np.random.RandomState(2), 3, 5
+    start, move, emit = (x / x.sum(-1, keepdims=True) for x in (rnd.rand(k), rnd.rand(k, k), rnd.rand(k, c)))
+    for size in (1, 6, 7, 8, 50):
+        text = rnd.randint(0, c, size).astype("<u2")
+        for long, whole in zip(hmm_lm.expected_long(start, move, emit, text, segment=7), hmm_lm.expected(start, move, emit, [text])):
+            assert np.allclose(long, whole)
+        assert np.isclose(hmm_lm.expected_long(start, move, emit, text, segment=7)[3], hmm_lm.forward(start, move, emit, [text])[0])
+
+
+def test_training_settles_on_whole_texts(spark, small_sf):
+    docs = spark.read.parquet(f"{small_sf}/documents.parquet").select("doc_id", "text")
+    model = hmm_lm.initial(hmm_lm.count_words(docs.filter(~hmm_lm.held_out("doc_id"))))
+    encoded = hmm_lm.encode(docs, model)
+    trained = hmm_lm.baum_welch(encoded, model)
+    texts = [np.frombuffer(r[0], dtype="<u2") for r in encoded.filter("NOT held_out").select("classes").collect()]
+
+    def value(m):
+        found = hmm_lm.forward(m.start, m.move, m.emit, texts).sum() + hmm_lm.PLAN.smoothing * (np.log(m.start).sum() + np.log(m.move).sum())
+        return found + hmm_lm.PLAN.prior_tokens * (np.log(m.emit) @ m.shares).sum()
+
+    sums = [sum(x) for x in zip(*(hmm_lm.expected(trained.start, trained.move, trained.emit, [x])[:3] for x in texts))]
+    assert np.isclose(sums[0].sum(), len(texts))
+    sums = [sums[0] + hmm_lm.PLAN.smoothing, sums[1] + hmm_lm.PLAN.smoothing, sums[2] + hmm_lm.PLAN.prior_tokens * model.shares]
+    again = dataclasses.replace(trained, **{n: x / x.sum(-1, keepdims=True) for n, x in zip(("start", "move", "emit"), sums)})
+    assert 0 <= value(again) - value(trained) < 1e-4 * abs(value(trained))
