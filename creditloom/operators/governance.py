@@ -89,7 +89,10 @@ def production_run(runs: DataFrame) -> DataFrame:
 
 
 def find_run(runs: DataFrame, run_id: str) -> DataFrame:
-    """Runs that share the 8-character prefix of ``run_id``; none is an error."""
+    """The run of that very id, else the runs that share its 8-character prefix; none is an error."""
+    exact = runs.where(F.col("run_id") == run_id)
+    if exact.take(1):
+        return exact
     hit = runs.where(version_of(F.col("run_id")) == run_id[:8])
     if not hit.take(1):
         raise FileNotFoundError(f"no model run starts with {run_id[:8]}")

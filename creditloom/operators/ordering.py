@@ -21,8 +21,6 @@ from creditloom.runtime import materialise, small_table
 
 # rows one task may order; tables up to this size use a single range
 ROWS_PER_RANGE = 1_000_000
-# up to this many values an order statistic is read off all of them, beyond it off brackets
-FEW_VALUES = 50_000
 # bounds of more ranges than this would cost more than they save
 MAX_RANGES = 4_096
 # quantile sketches only choose where to look; a wrong bracket costs time, never exactness
@@ -191,21 +189,6 @@ def _ask(df: DataFrame, by: str, rows: list[tuple], *names: str) -> DataFrame:
     return F.broadcast(small_table(df.sparkSession, rows, T.StructType([df.schema[by], *fields])))
 
 
-def _values_of_few(df: DataFrame, by: str, value: str, targets: dict) -> dict[object, dict[int, object]]:
-    """The same answer for few values, where one window task per group is enough."""
-    counted = df.groupBy(by, F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("n"))
-    ask = _ask(df, by, [(g, r) for g, ranks in targets.items() for r in ranks], "rank")
-    hits = (
-        _window_sums(counted, by, "v", ["n"])
-        .join(ask, by)
-        .where("cum_n - n <= rank AND rank < cum_n")
-    )
-    out: dict[object, dict[int, object]] = defaultdict(dict)
-    for r in hits.select(by, "rank", "v").collect():
-        out[r[by]][r["rank"]] = r["v"]
-    return dict(out)
-
-
 def _merge(spans: list[tuple[float, float]]) -> list[dict[str, float]]:
     merged: list[list[float]] = []
     for low, high in sorted(spans):
@@ -236,8 +219,6 @@ def order_statistics(
     targets = {g: ranks for g, ranks in targets.items() if ranks}
     if not targets:
         return {}
-    if sum(n for n, _ in sizes.values()) <= min(FEW_VALUES, rows_per_range):
-        return _values_of_few(df, by, value, targets)
     brackets = _brackets(sizes, targets)
     got = _values_at(df, by, value, targets, brackets, rows_per_range)
     lost = {g: [r for r in ranks if r not in got.get(g, {})] for g, ranks in targets.items()}
@@ -389,14 +370,35 @@ def time_folds(df: DataFrame, key: str, folds: int = TIME_FOLDS, out: str = "fol
     return df.withColumn(out, number)
 
 
+# bytes of a text that one number holds exactly, as a double as well, beside how many there are
+CODE_BYTES = 6
+
+
+def text_at_rank(df: DataFrame, key: str, rank: int) -> str:
+    """The text at a 0-based rank in byte order, found by a few bytes at a time behind what all candidates share."""
+    while True:
+        low, high = df.agg(F.min(key), F.max(key)).first()
+        if low == high:
+            return low
+        first, last = low.encode(), high.encode()
+        shared = next((i for i, (a, b) in enumerate(zip(first, last)) if a != b), min(len(first), len(last)))
+        part = F.substring(F.col(key).cast("binary"), shared + 1, CODE_BYTES)
+        number = F.conv(F.rpad(F.hex(part), 2 * CODE_BYTES, "0"), 16, 10).cast("long")
+        coded = df.withColumn("_code", number * (CODE_BYTES + 1) + F.octet_length(part))
+        code = order_statistics(coded, "_code", lambda _, n: [rank])[0][rank]
+        rank -= coded.where(F.col("_code") < code).count()
+        df = coded.where(F.col("_code") == code).drop("_code")
+
+
 def seek_page(
-    df: DataFrame, time: str, key: str, limit: int, offset: int, shallow: int = 100_000
+    df: DataFrame, time: str, key: str, limit: int, offset: int, shallow: int = 0
 ) -> DataFrame:
     """Rows ``offset`` to ``offset + limit`` in newest-first order, equal times by rising key.
 
-    Spark's own offset keeps every skipped row of each task in memory. A deep page is found
-    instead by two exact order statistics, first on the time and then on the key among rows of that
-    very time, so one bulk load that shares a single timestamp stays cheap as well.
+    Spark's own offset keeps every skipped row of each task in memory. A page is found instead by
+    two exact order statistics, first on the time and then on the key, a number or a text, among rows
+    of that very time, so one bulk load that shares a single timestamp stays cheap as well. Only
+    offsets up to ``shallow`` are left to Spark: by default the first page, which skips nothing.
     """
     if not 1 <= limit <= 1000:
         raise ValueError("limit must be between 1 and 1000")
@@ -405,7 +407,8 @@ def seek_page(
     order = [F.col(time).desc(), F.col(key).asc()]
     if offset <= shallow:
         return df.orderBy(*order).offset(offset).limit(limit)
-    micros = F.unix_micros(F.col(time).cast("timestamp"))
+    # rows without a time come last
+    micros = F.coalesce(F.unix_micros(F.col(time).cast("timestamp")), F.lit(-(2**63)))
     timed = df.withColumn("_micros", micros)
 
     def newest_first(_, n):
@@ -415,9 +418,18 @@ def seek_page(
     if not found or not found.get(0):
         return df.limit(0)
     edge = next(iter(found[0].values()))
-    newer = timed.where(F.col("_micros") > edge).count()
-    skip = offset - newer
+    skip = offset - timed.where(F.col("_micros") > edge).count()
     same = timed.where(F.col("_micros") == edge)
-    start = next(iter(order_statistics(same, key, lambda _, n: [skip])[0].values()))
-    rest = timed.where((F.col("_micros") < edge) | ((F.col("_micros") == edge) & (F.col(key) >= F.lit(start))))
-    return rest.drop("_micros").orderBy(*order).limit(limit)
+    n_null = same.where(F.col(key).isNull()).count()
+    at_edge = F.col("_micros") == edge
+    if skip >= n_null:
+        rank = skip - n_null
+        keyed = same.where(F.col(key).isNotNull())
+        if isinstance(df.schema[key].dataType, T.StringType):
+            start = text_at_rank(keyed.select(key), key, rank)
+        else:
+            start = order_statistics(keyed, key, lambda _, n: [rank])[0][rank]
+        at_edge = at_edge & (F.col(key) >= F.lit(start))
+        skip = rank - keyed.where(F.col(key) < F.lit(start)).count()  # of rows that share time and key
+    rest = timed.where((F.col("_micros") < edge) | at_edge)
+    return rest.drop("_micros").orderBy(*order).offset(skip).limit(limit)

@@ -74,7 +74,7 @@ def tiers_in_order(scores: DataFrame) -> DataFrame:
 
 def score_page(
     scores: DataFrame, period: str, as_of: Column | datetime, limit: int = 100, offset: int = 0,
-    tier: str | None = None, columns: list[str] | None = None, shallow: int = 100_000,
+    tier: str | None = None, columns: list[str] | None = None, shallow: int = 0,
 ) -> DataFrame:
     """A page of scores, newest first; equal times come in id order."""
     rows = in_period(scores, period, as_of)
