@@ -10,8 +10,9 @@ their Jaccard similarity is at least a threshold.
   from a table of counters of fixed size over all texts, so any corpus gives one total order and the filter is exact.
 * The index is sorted by element and set and scanned as lists. In each list, every set is paired with the list's first set
   only. A set that links to it takes its component over; pairs inside a component need no check of their own.
-* Lists whose sets then lie in several components are skipped through by size and position: two sets are compared only when
-  the elements behind their positions in the list can still reach the threshold.
+* Lists whose sets then lie in several components are joined with themselves. Two sets are compared only when the elements behind
+  their positions in the list can still reach the threshold, but no block of a list is skipped: all pairs of such a list are
+  enumerated, the square of its length.
 
 Sorting is by range of (element, set), so a hot list spans tasks; first sets of its pieces are tied at their borders.
 Components spread by smallest neighbour and pointer jumping over written tables.
