@@ -1,9 +1,13 @@
 import itertools
+import json
 import math
 import random
+import time
 
 import numpy as np
 import pytest
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from creditloom.operators import attribution as X
@@ -22,32 +26,95 @@ def fitted(spark):
     return df, model
 
 
+def passes(step, value):
+    return step.low < value <= step.high and all((value in members) == inside for members, inside in step.sets)
+
+
 def value_of(leaves, x, known):
     """Expected margin when only the features in ``known`` are given."""
     total = 0.0
     for leaf in leaves:
         p = leaf.value
-        for f, (low, high, share) in leaf.steps.items():
-            p *= float(low < x[f] <= high) if f in known else share
+        for f, step in leaf.steps.items():
+            p *= float(passes(step, x[f])) if f in known else step.share
         total += p
     return total
 
 
+def slow_shapley(leaves, x):
+    n, out = len(x), []
+    for f in range(n):
+        others, total = [o for o in range(n) if o != f], 0.0
+        for size in range(n):
+            w = math.factorial(size) * math.factorial(n - size - 1) / math.factorial(n)
+            for s in itertools.combinations(others, size):
+                total += w * (value_of(leaves, x, {*s, f}) - value_of(leaves, x, set(s)))
+        out.append(total)
+    return out
+
+
 def test_shapley_values_are_exact(spark, fitted):
     df, model = fitted
     leaves = X.tree_leaves(model.stages[-1])
     rows = np.array([[0.1, 0.9, 0.0], [0.7, 0.2, 1.0], [0.95, 0.5, 2.0]])
-    got = X.shapley_of_leaves(rows, leaves)
-    for x, phi in zip(rows, got):
-        for f in range(3):
-            wanted = 0.0
-            others = [o for o in range(3) if o != f]
-            for size in range(3):
-                for s in itertools.combinations(others, size):
-                    w = math.factorial(size) * math.factorial(2 - size) / 6
-                    wanted += w * (value_of(leaves, x, {*s, f}) - value_of(leaves, x, set(s)))
-            assert phi[f] == pytest.approx(wanted)
-        assert phi.sum() == pytest.approx(value_of(leaves, x, {0, 1, 2}) - value_of(leaves, x, set()))
+    for x, phi in zip(rows, X.shapley(rows, X.leaf_blocks(leaves))):
+        assert phi == pytest.approx(slow_shapley(leaves, x))
+        assert phi.sum() == pytest.approx(value_of(leaves, x, {0, 1, 2}) - X.base_margin(leaves))
+
+
+def random_leaves(rng, features, depth, count):
+    """Paths with intervals, category sets, and shares of 0 and 1."""
+    out = []
+    for _ in range(count):
+        steps = {}
+        for f in rng.sample(range(features), rng.randint(0, depth)):
+            share = rng.choice([0.0, 1.0, rng.random(), rng.random()])
+            if f % 2:
+                sets = tuple((tuple(float(v) for v in rng.sample(range(5), 2)), rng.random() < 0.5) for _ in range(rng.randint(1, 2)))
+                steps[f] = X.Step(-np.inf, np.inf, sets, share)
+            else:
+                low = rng.uniform(-1, 3)
+                steps[f] = X.Step(low, rng.choice([low + 2, np.inf]), (), share)
+        out.append(X.Leaf(rng.uniform(-2, 2), steps))
+    return out
+
+
+def test_polynomials_against_all_subsets(monkeypatch):
+    monkeypatch.setattr(X, "LEAVES_AT_ONCE", 5)
+    rng = random.Random(8)
+    leaves = random_leaves(rng, 8, 7, 40)
+    rows = np.array([[float(rng.randint(0, 4)) for _ in range(8)] for _ in range(6)])
+    for x, phi in zip(rows, X.shapley(rows, X.leaf_blocks(leaves))):
+        assert phi == pytest.approx(slow_shapley(leaves, x), abs=1e-9)
+    assert X.shapley(rows, X.leaf_blocks([X.Leaf(3.0, {})])).sum() == 0.0 and X.base_margin([X.Leaf(3.0, {})]) == 3.0
+
+
+def test_cost_grows_with_the_square_of_the_depth():
+    """30 steps a path would be 2^29 subsets a feature and leaf."""
+    rng = random.Random(9)
+    steps = {f: X.Step(rng.random(), 2.0, (), 0.5 + rng.random() / 2) for f in range(30)}
+    leaves, rows = [X.Leaf(1.0, steps)] * 20, np.random.default_rng(1).random((50, 30)) * 2
+    start = time.perf_counter()
+    phi = X.shapley(rows, X.leaf_blocks(leaves))
+    assert time.perf_counter() - start < 5
+    margin = 20 * ((rows > [s.low for s in steps.values()]) & (rows <= 2.0)).all(axis=1)
+    assert phi.sum(axis=1) == pytest.approx(margin - X.base_margin(leaves), abs=1e-9)
+
+
+def test_category_splits_of_a_fitted_model(spark):
+    """A nominal column makes Spark split on sets of categories."""
+    rng = random.Random(4)
+    rows = [(i, float(rng.randrange(6)), rng.random()) for i in range(600)]
+    df = spark.createDataFrame([(i, c, v, int((c in (1.0, 4.0)) != (v > 0.7))) for i, c, v in rows], "id long, c double, v double, y int")
+    attribute = {"ml_attr": {"type": "nominal", "vals": [str(k) for k in range(6)], "name": "c"}}
+    marked = VectorAssembler(inputCols=["c", "v"], outputCol="features").transform(df.withColumn("c", F.col("c").alias("c", metadata=attribute)))
+    model = models.gbt({"maxIter": 3, "minInstancesPerNode": 5, "featureSubsetStrategy": "all"}, labelCol="y").fit(marked)
+    leaves = X.tree_leaves(model)
+    assert any(step.sets for leaf in leaves for step in leaf.steps.values())
+    scored = model.transform(marked).withColumn("margin", vector_to_array("rawPrediction")[1])
+    for r in X.tree_attribution(scored, leaves, ["c", "v"], ["c", "v", "margin"], 1).collect():
+        assert r.base + r.rest + r.top[0].shap_value == pytest.approx(r.margin)
+        assert [r.top[0].shap_value, r.rest] == pytest.approx(sorted(slow_shapley(leaves, [r.c, r.v]), key=lambda p: -abs(p)))
 
 
 def test_attributions_add_up_to_the_score(spark, fitted):
@@ -62,6 +129,17 @@ def test_attributions_add_up_to_the_score(spark, fitted):
         assert 1 / (1 + math.exp(-2 * (base + s))) == pytest.approx(scores[i], abs=1e-9)
 
 
+def test_attribution_text_holds_descriptions(spark, fitted):
+    df, model = fitted
+    prepared = models.run_stages(df, model.stages[:-1])
+    names = ["AMT_CREDIT", "b", "c"]
+    top = X.tree_attribution(prepared, model.stages[-1], names, ["id"], 2)
+    for r in top.select("top", X.attribution_text(F.col("top"), names).alias("text")).limit(20).collect():
+        cells = json.loads(r.text)
+        assert [(c["feature_name"], c["shap_value"], c["feature_value"]) for c in cells] == [(c.feature_name, c.shap_value, c.feature_value) for c in r.top]
+        assert all(c["description"] == ("Credit amount of the loan" if c["feature_name"] == "AMT_CREDIT" else "") for c in cells)
+
+
 def test_linear_top_and_ties(spark):
     df = spark.createDataFrame([(1, 2.0, -2.0, 0.5)], "id int, AMT_CREDIT double, x double, z double")
     top = X.linear_attribution(df, {"AMT_CREDIT": 1.0, "x": 1.0, "z": 1.0}, dict.fromkeys(["AMT_CREDIT", "x", "z"], 0.0), ["id"], 2)
