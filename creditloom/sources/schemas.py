@@ -6,42 +6,81 @@ from pyspark.sql import types as T
 
 from creditloom.functions.registry import ID_COLUMN, LABEL_COLUMN, feature_rows
 
-_TYPES = {"L": T.LongType(), "D": T.DoubleType(), "S": T.StringType(), "I": T.IntegerType()}
-
-# fixed values: raw columns and their types (L whole number, D real number, S text, I small number)
-RAW_COLUMNS = {
+# fixed values: raw tables and the types of their columns, as Spark DDL
+RAW_TABLES = {
     "bureau": """
-SK_ID_CURR L, SK_ID_BUREAU L, CREDIT_ACTIVE S, CREDIT_CURRENCY S, DAYS_CREDIT L,
-CREDIT_DAY_OVERDUE L, DAYS_CREDIT_ENDDATE D, DAYS_ENDDATE_FACT D, AMT_CREDIT_MAX_OVERDUE D,
-AMT_CREDIT_SUM D, AMT_CREDIT_SUM_DEBT D, AMT_CREDIT_SUM_LIMIT D, AMT_CREDIT_SUM_OVERDUE D,
-CREDIT_TYPE S, DAYS_CREDIT_UPDATE L, AMT_ANNUITY D, CNT_CREDIT_PROLONG L
-""",
-    "bureau_balance": "SK_ID_BUREAU L, MONTHS_BALANCE L, STATUS S",
+        SK_ID_CURR BIGINT,
+        SK_ID_BUREAU BIGINT,
+        CREDIT_ACTIVE STRING,
+        CREDIT_CURRENCY STRING,
+        DAYS_CREDIT BIGINT,
+        CREDIT_DAY_OVERDUE BIGINT,
+        DAYS_CREDIT_ENDDATE DOUBLE,
+        DAYS_ENDDATE_FACT DOUBLE,
+        AMT_CREDIT_MAX_OVERDUE DOUBLE,
+        AMT_CREDIT_SUM DOUBLE,
+        AMT_CREDIT_SUM_DEBT DOUBLE,
+        AMT_CREDIT_SUM_LIMIT DOUBLE,
+        AMT_CREDIT_SUM_OVERDUE DOUBLE,
+        CREDIT_TYPE STRING,
+        DAYS_CREDIT_UPDATE BIGINT,
+        AMT_ANNUITY DOUBLE,
+        CNT_CREDIT_PROLONG BIGINT
+    """,
+    "bureau_balance": """
+        SK_ID_BUREAU BIGINT,
+        MONTHS_BALANCE BIGINT,
+        STATUS STRING
+    """,
     "previous_application": """
-SK_ID_CURR L, SK_ID_PREV L, NAME_CONTRACT_STATUS S, DAYS_DECISION L, AMT_APPLICATION D,
-AMT_CREDIT D, AMT_ANNUITY D, RATE_DOWN_PAYMENT D, CNT_PAYMENT D
-""",
+        SK_ID_CURR BIGINT,
+        SK_ID_PREV BIGINT,
+        NAME_CONTRACT_STATUS STRING,
+        DAYS_DECISION BIGINT,
+        AMT_APPLICATION DOUBLE,
+        AMT_CREDIT DOUBLE,
+        AMT_ANNUITY DOUBLE,
+        RATE_DOWN_PAYMENT DOUBLE,
+        CNT_PAYMENT DOUBLE
+    """,
     "POS_CASH_balance": """
-SK_ID_CURR L, SK_ID_PREV L, MONTHS_BALANCE L, CNT_INSTALMENT D, CNT_INSTALMENT_FUTURE D,
-NAME_CONTRACT_STATUS S, SK_DPD L, SK_DPD_DEF L
-""",
+        SK_ID_CURR BIGINT,
+        SK_ID_PREV BIGINT,
+        MONTHS_BALANCE BIGINT,
+        CNT_INSTALMENT DOUBLE,
+        CNT_INSTALMENT_FUTURE DOUBLE,
+        NAME_CONTRACT_STATUS STRING,
+        SK_DPD BIGINT,
+        SK_DPD_DEF BIGINT
+    """,
     "installments_payments": """
-SK_ID_CURR L, SK_ID_PREV L, NUM_INSTALMENT_VERSION D, NUM_INSTALMENT_NUMBER D,
-DAYS_INSTALMENT D, DAYS_ENTRY_PAYMENT D, AMT_INSTALMENT D, AMT_PAYMENT D
-""",
+        SK_ID_CURR BIGINT,
+        SK_ID_PREV BIGINT,
+        NUM_INSTALMENT_VERSION DOUBLE,
+        NUM_INSTALMENT_NUMBER DOUBLE,
+        DAYS_INSTALMENT DOUBLE,
+        DAYS_ENTRY_PAYMENT DOUBLE,
+        AMT_INSTALMENT DOUBLE,
+        AMT_PAYMENT DOUBLE
+    """,
     "credit_card_balance": """
-SK_ID_CURR L, SK_ID_PREV L, MONTHS_BALANCE L, AMT_BALANCE D, AMT_CREDIT_LIMIT_ACTUAL D,
-AMT_DRAWINGS_ATM_CURRENT D, AMT_DRAWINGS_CURRENT D, CNT_DRAWINGS_CURRENT D,
-AMT_INST_MIN_REGULARITY D, AMT_PAYMENT_CURRENT D, AMT_TOTAL_RECEIVABLE D, SK_DPD L, SK_DPD_DEF L
-""",
+        SK_ID_CURR BIGINT,
+        SK_ID_PREV BIGINT,
+        MONTHS_BALANCE BIGINT,
+        AMT_BALANCE DOUBLE,
+        AMT_CREDIT_LIMIT_ACTUAL DOUBLE,
+        AMT_DRAWINGS_ATM_CURRENT DOUBLE,
+        AMT_DRAWINGS_CURRENT DOUBLE,
+        CNT_DRAWINGS_CURRENT DOUBLE,
+        AMT_INST_MIN_REGULARITY DOUBLE,
+        AMT_PAYMENT_CURRENT DOUBLE,
+        AMT_TOTAL_RECEIVABLE DOUBLE,
+        SK_DPD BIGINT,
+        SK_DPD_DEF BIGINT
+    """,
 }
 
 
-def _struct(text: str) -> T.StructType:
-    pairs = (cell.split() for cell in text.replace("\n", " ").split(","))
-    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
-
-
 def application_schema(with_label: bool = True) -> T.StructType:
     """Application columns from the registry: text for categories and yes/no flags, numbers else."""
     fields = [T.StructField(ID_COLUMN, T.LongType())]
@@ -58,7 +97,7 @@ def application_schema(with_label: bool = True) -> T.StructType:
 def raw_schema(table: str) -> T.StructType:
     if table.startswith("application"):
         return application_schema(with_label=not table.endswith("test"))
-    return _struct(RAW_COLUMNS[table])
+    return T.StructType.fromDDL(RAW_TABLES[table])
 
 
 # fixed values: child lists of a scoring request and the raw table each one follows
