@@ -1,30 +1,33 @@
 """Prefix trie of conversations, built from its leaves up by peeling off the last turn.
 
-Every distinct sequence of first turns is a node; the root is the empty sequence. The work starts at the greatest length: the conversations that
-end there are grouped into nodes. Then, level by level towards the root, the surviving nodes lose their last turn, meet the
-conversations that end one level higher up, and are grouped anew. A group is discovered and given its figures (members, children, leaves,
-saved text) in that same aggregation, whose input is one row per child and per distinct ended conversation, so a node that
-a third of all conversations share costs one row per child and not one per conversation. Each level is a table of its own in the shared folder.
+Every distinct sequence of first turns is a node; the root is the empty sequence. Conversations are dealt out by ranges of their paths and
+sorted there, so those that share turns are neighbours. A task keeps the nodes of the current path open. Where the next conversation leaves the path, the deepest
+node is complete: it gets its figures (members, children, leaves, saved text), loses its last turn, and is merged with what else survives or ends at the
+node that remains, and so on up to the turn where the two part. So nodes are found and aggregated in one pass, from the greatest depth up, and a
+task holds one path. The depth-first order stands in for one round per depth over the whole table: a single conversation of 400 turns would make
+400 rounds.
+
+Only nodes of the first and the last path of a task may go on in another task. Their unfinished figures, two paths a task at most, are peeled the same
+way in one more pass. A node that a third of all conversations share is such a node of many tasks, one row in each.
 
 A turn is known by a 128-bit digest of its role and text, and a node by the chained digest of its turns.
 
 Odd input: a null role or text counts as empty; turns of a conversation are ordered by turn number, null first, and equal numbers by the
 turns' digests; exactly repeated turn rows are turns of their own. Rows without a conversation id belong to no conversation and are left out. Only
 the named columns are read; others, whatever their names, are not touched. No conversations: no nodes, not even a root. Texts are
-digested whole, however long; a conversation's digests (about 40 bytes a turn, and the square of its turns for its path) are held by one task.
+digested whole, however long; a conversation's digests (some 60 bytes a turn) are held by one task.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creditloom.llm.tasks import map_rows
-from creditloom.runtime import materialise, scratch_path
+from creditloom.runtime import materialise
 
 #: Ids that are joined to one piece of text before the pieces of a node meet.
 IDS_A_PIECE = 65_536
@@ -47,96 +50,166 @@ def sessions(rows: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role
     return grouped.select("conv_id", F.transform("marks", lambda m: F.struct(m["digest"].alias("digest"), m["size"].alias("size"))).alias("turns"))
 
 
-def _path(turns: str) -> Column:
-    """Per prefix of a conversation: the chained digest that is its node's key, and the size of its last text."""
-    start = F.array().cast("array<struct<key:binary,size:int>>")
+def _keys(turns: str) -> Column:
+    """The chained digests of a conversation's prefixes, the root's left out."""
+
+    def longer(keys: Column, turn: Column) -> Column:
+        before = F.when(F.size(keys) > 0, F.element_at(keys, -1)).otherwise(F.lit(b""))
+        return F.concat(keys, F.array(_digest(F.concat(before, turn["digest"]))))
+
+    return F.aggregate(turns, F.array().cast("array<binary>"), longer)
+
+
+class Node:
+    """An open node with what has been merged into it so far."""
+
+    __slots__ = ("key", "size", "open", "conv", "n", "kids", "leaves", "saved", "ends")
+
+    def __init__(self, key: bytes, size: int, is_open: bool) -> None:
+        self.key, self.size, self.open = key, size, is_open
+        self.conv, self.n, self.kids, self.leaves, self.saved, self.ends = None, 0, 0, 0, 0, EMPTY_DIGEST
+
+    def add(self, conv: int | None, n: int, kids: int, leaves: int, saved: int) -> None:
+        if conv is not None and (self.conv is None or conv < self.conv):
+            self.conv = conv
+        self.n, self.kids, self.leaves, self.saved = self.n + n, self.kids + kids, self.leaves + leaves, self.saved + saved
+
+
+class Peeler:
+    """The open nodes of one path; ``peel`` closes those that the next path does not share, deepest first."""
+
+    def __init__(self) -> None:
+        self.stack: list[Node] = []
+
+    def peel(self, keys: list[bytes]) -> Iterator[tuple]:
+        """Rows of the closed nodes, and of those that may go on in other tasks with what this task knows of them (KIND first)."""
+        shared = 0
+        while shared < min(len(keys), len(self.stack) - 1) and self.stack[shared + 1].key == keys[shared]:
+            shared += 1
+        while len(self.stack) > shared + 1:
+            yield self._close()
+
+    def _close(self) -> tuple:
+        node = self.stack.pop()
+        parent, depth = (self.stack[-1].key if self.stack else None), len(self.stack)
+        if node.open:
+            path = [*self.stack[1:], node] if self.stack else []
+            known = node.conv, node.n, node.kids, node.leaves, node.saved, node.ends
+            return PARTIAL, node.key, parent, depth, *known, [n.key for n in path], [n.size for n in path], None, None
+        leaves, saved = node.leaves or 1, node.saved + (node.n - 1) * node.size
+        if self.stack:
+            self.stack[-1].add(node.conv, node.n, 1, leaves, saved)
+        return CLOSED, node.key, parent, depth, node.conv, node.n, node.kids, leaves, saved, node.ends, None, None, None, None
+
+    def push(self, keys: list[bytes], sizes: list[int], is_open: bool) -> Node:
+        """Opens the nodes of a path that are not open yet; returns the last one."""
+        if not self.stack:
+            self.stack.append(Node(b"", 0, is_open))
+        for d in range(len(self.stack) - 1, len(keys)):
+            self.stack.append(Node(keys[d], sizes[d], is_open))
+        return self.stack[-1]
+
+    def end(self, may_go_on: bool) -> Iterator[tuple]:
+        for node in self.stack:
+            node.open |= may_go_on
+        while self.stack:
+            yield self._close()
 
-    def longer(path: Column, turn: Column) -> Column:
-        before = F.when(F.size(path) > 0, F.element_at(path, -1)["key"]).otherwise(F.lit(b""))
-        return F.concat(path, F.array(F.struct(_digest(F.concat(before, turn["digest"])).alias("key"), turn["size"].alias("size"))))
 
-    return F.aggregate(turns, start, longer)
+#: Kinds of rows: a finished node, one that may go on in other tasks, a piece of the ids that end at a node.
+CLOSED, PARTIAL, PIECE = 0, 1, 2
+EMPTY_DIGEST = hashlib.sha256(b"").hexdigest()
+PEELED = (
+    "kind int, key binary, parent_key binary, depth bigint, conv_id bigint, n_convs bigint, n_children bigint, n_leaves bigint, saved_tokens bigint, "
+    "ends_sha256 string, keys array<binary>, sizes array<int>, first bigint, piece string"
+)
 
 
-def _key(path: Column) -> Column:
-    return F.when(F.size(path) > 0, F.element_at(path, -1)["key"]).otherwise(F.lit(b""))
+def _piece(key: bytes, ids: list[int]) -> tuple:
+    return PIECE, key, *[None] * 10, ids[0], ",".join(map(str, ids))
 
 
-def id_digests(members: DataFrame) -> DataFrame:
-    """Per key the SHA-256 of its decimal ids, ascending and comma-joined (columns key, conv_id to key, ends_sha256).
+def peel_sorted(rows: Iterator[tuple]) -> Iterator[tuple]:
+    """Rows (keys, sizes, conv_id) sorted by path and id, as rows of ``PEELED``.
 
-    Ids are sorted over all tasks first, and join up to pieces of text there, so that the task that digests a key's text reads few rows and
-    keeps one piece at a time.
+    The ids that end at a node are digested at once if the task has all of them and they are one piece. Else they are given out in
+    pieces, and the node's digest stays null.
     """
-    spread = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-    def join_ids(rows: Iterator[tuple]) -> Iterator[tuple]:
-        key, ids = None, []
-        for at, conv in rows:
-            if ids and (at != key or len(ids) == IDS_A_PIECE):
-                yield key, ids[0], ",".join(map(str, ids))
-                ids = []
-            key = at
-            ids.append(conv)
-        if ids:
-            yield key, ids[0], ",".join(map(str, ids))
-
-    def digest(rows: Iterator[tuple]) -> Iterator[tuple]:
-        key, state = None, None
-        for at, _, piece in rows:
-            if state is None or at != key:
-                if state is not None:
-                    yield key, state.hexdigest()
-                key, state = at, hashlib.sha256(piece.encode())
-            else:
-                state.update(b"," + piece.encode())
-        if state is not None:
-            yield key, state.hexdigest()
-
-    ordered = members.select("key", "conv_id").repartitionByRange(spread, "key", "conv_id").sortWithinPartitions("key", "conv_id")
-    pieces = map_rows(ordered, "key binary, first bigint, piece string", join_ids)
-    return map_rows(pieces.repartition(spread, "key").sortWithinPartitions("key", "first"), "key binary, ends_sha256 string", digest)
+    peeler, node, at, ids, is_first = Peeler(), None, None, [], True
+    for keys, sizes, conv in rows:
+        if keys != at:
+            if ids and node.ends is not None and not is_first:
+                node.ends = hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+            elif ids:
+                node.ends = None
+                yield _piece(node.key, ids)
+            is_first = at is None
+            yield from peeler.peel(keys)
+            # the first path may have begun in another task
+            node, at, ids = peeler.push(keys, sizes, is_first), keys, []
+        node.add(conv, 1, 0, 0, 0)
+        if len(ids) == IDS_A_PIECE:
+            node.ends = None
+            yield _piece(node.key, ids)
+            ids = []
+        ids.append(conv)
+    if ids:
+        node.ends = None
+        yield _piece(node.key, ids)
+    yield from peeler.end(True)
+
+
+def peel_partial(rows: Iterator[tuple]) -> Iterator[tuple]:
+    """Unfinished nodes (keys, sizes, conv, n, kids, leaves, saved, ends) of all tasks, sorted by path, as finished ones."""
+    peeler, node, at = Peeler(), None, None
+    for keys, sizes, conv, n, kids, leaves, saved, ends in rows:
+        if keys != at:
+            yield from peeler.peel(keys)
+            node, at = peeler.push(keys, sizes, False), keys
+        node.add(conv, n, kids, leaves, saved)
+        if ends != EMPTY_DIGEST:
+            node.ends = ends
+    yield from peeler.end(False)
+
+
+def _digest_pieces(rows: Iterator[tuple]) -> Iterator[tuple]:
+    """Pieces (key, first, piece) in order as the SHA-256 of every key's ids; one piece is held at a time."""
+    key, state = None, None
+    for at, _, piece in rows:
+        if state is None or at != key:
+            if state is not None:
+                yield key, state.hexdigest()
+            key, state = at, hashlib.sha256(piece.encode())
+        else:
+            state.update(b"," + piece.encode())
+    if state is not None:
+        yield key, state.hexdigest()
 
 
 def build(conversations: DataFrame) -> DataFrame:
     """Nodes of the trie over conversations (columns conv_id and turns, as ``sessions`` gives them; turns may be empty).
 
     conv_id (smallest member), depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens (over the subtree, members beyond the first
-    times the code points of the node's last text), ends_sha256 (of the ids that end here), key and parent_key.
+    times the code points of the node's last text), ends_sha256 (of the ids that end here, decimal, ascending and comma-joined), key and parent_key.
     """
-    spark = conversations.sparkSession
-    whole = materialise(conversations.select("conv_id", _path("turns").alias("path")), "trie-paths")
-    ended_at = scratch_path(spark, "trie-ended")
-    ended = whole.groupBy("path").agg(F.min("conv_id").alias("conv_id"), F.count(F.lit(1)).alias("n_convs"))
-    ended = ended.select("*", F.size("path").alias("depth"))
-    ended.write.partitionBy("depth").parquet(ended_at)
-    ended = spark.read.schema(ended.schema).parquet(ended_at)
-    deepest = ended.agg(F.max("depth")).first()[0]
-    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
-    empty_digest = hashlib.sha256(b"").hexdigest()
-    levels: list[DataFrame] = []
-    for depth in range(-1 if deepest is None else deepest, -1, -1):
-        met = ended.where(F.col("depth") == depth).select("path", "conv_id", "n_convs", zero.alias("kids"), zero.alias("leaves"), zero.alias("saved"))
-        if levels:
-            stripped = levels[-1].select(F.slice("path", 1, depth).alias("path"), "conv_id", "n_convs", one.alias("kids"), "leaves", "saved")
-            met = met.unionByName(stripped)
-        last = F.when(F.size("path") > 0, F.element_at("path", -1)["size"]).otherwise(0)
-        nodes = met.groupBy("path").agg(
-            F.min("conv_id").alias("conv_id"), F.sum("n_convs").alias("n_convs"), F.sum("kids").alias("kids"),
-            F.greatest(F.sum("leaves"), one).alias("leaves"), F.sum("saved").alias("saved"),
-        )
-        levels.append(materialise(nodes.withColumn("saved", F.col("saved") + (F.col("n_convs") - 1) * last), f"trie-level-{depth}"))
-    if not levels:
-        levels = [ended.select("path", "conv_id", "n_convs", zero.alias("kids"), zero.alias("leaves"), zero.alias("saved"))]
-    nodes = reduce(DataFrame.union, levels).select(
-        _key(F.col("path")).alias("key"), "conv_id", F.size("path").cast("long").alias("depth"), "n_convs",
-        F.col("kids").alias("n_children"), F.col("leaves").alias("n_leaves"), F.col("saved").alias("saved_tokens"),
-        F.when(F.size("path") > 0, _key(F.slice("path", 1, F.size("path") - 1))).alias("parent_key"),
+    spread = int(conversations.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    paths = materialise(conversations.select(_keys("turns").alias("keys"), F.transform("turns", lambda t: t["size"]).alias("sizes"), "conv_id"), "trie-paths")
+    ordered = paths.repartitionByRange(spread, "keys", "conv_id").sortWithinPartitions("keys", "conv_id")
+    peeled = materialise(map_rows(ordered, PEELED, peel_sorted), "trie-peeled")
+    figures = ["conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
+    # two paths a task: few enough for one task, which again holds one path
+    partial = peeled.where(F.col("kind") == PARTIAL).select("keys", "sizes", *figures).repartition(1).sortWithinPartitions("keys", F.col("ends_sha256").isNull())
+    finished = map_rows(partial, PEELED, peel_partial)
+    columns = ["key", "parent_key", "depth", *figures]
+    nodes = peeled.where(F.col("kind") == CLOSED).select(*columns).unionByName(finished.select(*columns))
+    pieces = peeled.where(F.col("kind") == PIECE).select("key", "first", "piece").repartition(spread, "key").sortWithinPartitions("key", "first")
+    digests = map_rows(pieces, "key binary, joined_sha256 string", _digest_pieces)
+    open_ends = F.col("ends_sha256").isNull()
+    known = nodes.where(~open_ends).unionByName(
+        nodes.where(open_ends).drop("ends_sha256").join(digests.withColumnRenamed("joined_sha256", "ends_sha256"), "key")
     )
-    parents = nodes.select(F.col("key").alias("parent_key"), F.col("conv_id").alias("parent_conv_id"))
-    ends = id_digests(whole.select(_key(F.col("path")).alias("key"), "conv_id"))
-    joined = nodes.join(parents, "parent_key", "left").join(ends, "key", "left")
-    return joined.select(
-        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
-        F.coalesce("ends_sha256", F.lit(empty_digest)).alias("ends_sha256"), "key", "parent_key",
+    stored = materialise(known, "trie-nodes")
+    parents = stored.select(F.col("key").alias("parent_key"), F.col("conv_id").alias("parent_conv_id"))
+    return stored.join(parents, "parent_key", "left").select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256", "key", "parent_key",
     )
