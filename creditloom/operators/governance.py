@@ -89,14 +89,12 @@ def production_run(runs: DataFrame) -> DataFrame:
 
 
 def find_run(runs: DataFrame, run_id: str) -> DataFrame:
-    """The run of that very id, else the runs that share its 8-character prefix; none is an error."""
-    exact = runs.where(F.col("run_id") == run_id)
-    if exact.take(1):
-        return exact
-    hit = runs.where(version_of(F.col("run_id")) == run_id[:8])
-    if not hit.take(1):
-        raise FileNotFoundError(f"no model run starts with {run_id[:8]}")
-    return hit
+    """The run of that very id, else the newest run whose id starts with ``run_id``; none is an error."""
+    hits = runs.where(F.col("run_id").startswith(run_id))
+    newest = hits.orderBy(F.desc(F.col("run_id") == run_id), F.desc_nulls_last("created_at"), "run_id").limit(1)
+    if not newest.take(1):
+        raise FileNotFoundError(f"no model run starts with {run_id}")
+    return newest
 
 
 def model_info(runs: DataFrame, metrics: DataFrame) -> DataFrame:

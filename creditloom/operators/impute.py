@@ -6,7 +6,8 @@ a single projection, so scoring reuses exactly what training saw.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import json
+from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -70,6 +71,15 @@ class ImputeProfile:
     scores: dict[str, float] = field(default_factory=dict)
     numbers: dict[str, float] = field(default_factory=dict)
     texts: list[str] = field(default_factory=list)
+    #: Medians of columns that were full in training; a later null takes them, and the column keeps its type.
+    full_numbers: dict[str, float] = field(default_factory=dict)
+
+    def to_json(self) -> str:
+        return json.dumps(asdict(self), sort_keys=True)
+
+    @staticmethod
+    def from_json(text: str) -> ImputeProfile:
+        return ImputeProfile(**json.loads(text))
 
 
 def _car_age_zeroed(df: DataFrame) -> DataFrame:
@@ -80,11 +90,18 @@ def _car_age_zeroed(df: DataFrame) -> DataFrame:
     return df.withColumn(CAR_AGE, age)
 
 
+def _keeps_type(f: T.StructField) -> bool:
+    """Whether a fill leaves the column's type as it is: text, and numbers that are not categories by name."""
+    return isinstance(f.dataType, T.StringType) or (isinstance(f.dataType, T.NumericType) and not is_category(f.name, f.dataType))
+
+
 def fit_imputer(
     df: DataFrame,
     skip: tuple[str, ...] = (ID_COLUMN, LABEL_COLUMN),
     rows_per_range: int = ROWS_PER_RANGE,
+    every_column: bool = False,
 ) -> ImputeProfile:
+    """Fills of a training table. With ``every_column``, columns that are full get one too, for tables scored later."""
     zeroed = _car_age_zeroed(df)
     n_rows, raw_nulls = null_counts(df)
     dropped = [c for c in df.columns if is_droppable(c, raw_nulls[c] / n_rows if n_rows else 0.0)]
@@ -101,7 +118,7 @@ def fit_imputer(
             continue
         if f.name.startswith(SCORE_PREFIX):
             medians_for.append(f.name)
-        elif nulls[f.name] == 0:
+        elif nulls[f.name] == 0 and not (every_column and _keeps_type(f)):
             continue
         elif is_category(f.name, f.dataType):
             profile.texts.append(f.name)
@@ -112,8 +129,10 @@ def fit_imputer(
     for name, median in exact_medians(kept, medians_for, rows_per_range).items():
         if name.startswith(SCORE_PREFIX):
             profile.scores[name] = SCORE_DEFAULT if median is None else median
-        else:
+        elif nulls[name]:
             profile.numbers[name] = NUMBER_DEFAULT if median is None else median
+        elif median is not None:
+            profile.full_numbers[name] = median
     return profile
 
 
@@ -138,6 +157,8 @@ def apply_imputer(df: DataFrame, profile: ImputeProfile) -> DataFrame:
             c = F.coalesce(c.cast("string"), F.lit("Missing"))
         elif name in profile.numbers:
             c = F.coalesce(_as_number(c, types[name]), F.lit(float(profile.numbers[name])))
+        elif name in profile.full_numbers:
+            c = F.coalesce(c, F.lit(float(profile.full_numbers[name])).cast(types[name]))
         if name in YES_NO_COLUMNS:
             c = yes_no_flag(c)
         return c.alias(name)

@@ -35,11 +35,13 @@ from creditloom.operators import (
     portfolio,
     quality,
 )
+from creditloom.plans import lifecycle
 from creditloom.plans.roles import TABLES, role, table, with_roles
 from creditloom.runtime import materialise, scratch_path, small_table
 from creditloom.sources import readers, writers
-from creditloom.sources.schemas import raw_schema, request_schema
+from creditloom.sources.schemas import ATTRIBUTION, REQUEST_LISTS, raw_schema, request_schema
 from creditloom.streaming import online
+from creditloom.streaming.answer_cache import rows_to_answer
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -266,6 +268,22 @@ def _(spark, folder):
     return rounded(impute.impute(role(spark, folder, "application")))
 
 
+@query(
+    "impute_unseen_nulls",
+    f"""{with_roles('application')}, med AS (SELECT median(AMT_INCOME_TOTAL) AS income, CAST(trunc(median(DAYS_BIRTH)) AS INT) AS days FROM application)
+        SELECT SK_ID_CURR, round(CASE WHEN SK_ID_CURR % 11 = 0 THEN income ELSE AMT_INCOME_TOTAL END + 1e-7, 4) AS AMT_INCOME_TOTAL,
+               CASE WHEN SK_ID_CURR % 13 = 0 THEN days ELSE DAYS_BIRTH END AS DAYS_BIRTH,
+               CASE WHEN FLAG_OWN_CAR = 'Y' AND SK_ID_CURR % 3 > 0 THEN 1 ELSE 0 END AS FLAG_OWN_CAR FROM application, med""",
+)
+def _(spark, folder):
+    """Columns that were full in training have nulls later; the stored imputer knows a fill for them too."""
+    train = role(spark, folder, "application")
+    profile = impute.ImputeProfile.from_json(impute.fit_imputer(train, every_column=True).to_json())
+    gaps = {"AMT_INCOME_TOTAL": 11, "DAYS_BIRTH": 13, "FLAG_OWN_CAR": 3}
+    later = train.withColumns({c: F.when(F.col(ID_COLUMN) % n != 0, F.col(c)) for c, n in gaps.items()})
+    return rounded(impute.apply_imputer(later, profile).select(ID_COLUMN, *gaps))
+
+
 def _filled_history_sql() -> str:
     names = [n for g in ("bureau", "ins", "cc", "pos", "prev") for n in feature_names(group=g)] + PRESENCE_FLAGS
     return ", ".join(f'COALESCE("{n}", {fill_for_missing_history(n)}) AS "{n}"' for n in names)
@@ -372,17 +390,18 @@ def _(spark, folder):
     return quality.residual_nulls(impute.impute(role(spark, folder, "application")))
 
 
-INVENTORY = {"customer": 5, "orders": 6, "lineitem": 11, "events": 6, "supplier": 4, "part": 6, "nation": 3, "region": 2}
+GIVEN = [*TABLES, "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
 @query(
     "table_inventory",
     " UNION ALL ".join(
-        f"SELECT '{t}' AS file, COUNT(*) AS \"rows\", {n} AS cols FROM {t}" for t, n in INVENTORY.items()
+        f"SELECT '{t}' AS file, COUNT(*) AS \"rows\", (SELECT CAST(COUNT(*) AS INT) FROM (DESCRIBE SELECT * FROM {t})) AS cols FROM {t}" for t in GIVEN
     ),
 )
 def _(spark, folder):
-    return quality.table_inventory({t: table(spark, folder, t) for t in INVENTORY})
+    found = readers.list_tables(spark, folder)
+    return quality.table_inventory({name: spark.read.parquet(f"{folder}/{name}.parquet") for name in found})
 
 
 @query(
@@ -1030,6 +1049,42 @@ def _(spark, folder):
     return attribution.describe_top(top, [ID_COLUMN])
 
 
+#: Ten features, so that the ten reported reasons are all of them.
+TEN = (NUMERIC[:9], CATEGORIES)
+
+
+def registered_model(spark, folder):
+    """A registry whose production model was trained on the feature table, and the imputer that the table was built with."""
+    registry = scratch_path(spark, "registry")
+    profile = impute.fit_imputer(role(spark, folder, "application"), every_column=True)
+    settings = {"maxIter": 5, "minInstancesPerNode": 5}
+    run_id = lifecycle.train(stored_master(spark, folder), registry, *TEN, settings, imputer=profile, now=AS_OF)
+    lifecycle.promote(spark, registry, run_id, force=True, now=AS_OF)
+    return registry
+
+
+def reasons(audit, base):
+    """Audit rows with what their stored reasons say: how many there are, and whether they add up to the score."""
+    cells = F.from_json("top_shap_features", ATTRIBUTION)
+    margin = F.log(F.col("default_probability") / (1 - F.col("default_probability"))) / 2
+    total = F.aggregate(cells, F.lit(base), lambda s, c: s + c["shap_value"])
+    described = F.forall(cells, lambda c: F.length(c["description"]) > 0)
+    return audit.select("*", F.size(cells).alias("n_reasons"), (F.abs(margin - total) < 1e-6).alias("add_up"), described.alias("described"))
+
+
+@query(
+    "batch_reasons",
+    """SELECT c_custkey AS application_id, 10 AS n_reasons, TRUE AS add_up, TRUE AS described, 'batch_ingest' AS source FROM customer""",
+)
+def _(spark, folder):
+    """Everyone scored by the production model; the reasons read back from the audit table explain each stored score in full."""
+    registry, audit, table_path = registered_model(spark, folder), scratch_path(spark, "audit"), scratch_path(spark, "features")
+    writers.write_parquet(stored_master(spark, folder), table_path)
+    lifecycle.score_everyone(spark, [table_path], registry, audit, AS_OF)
+    base = attribution.base_margin(lifecycle.Explainer(*lifecycle.load_run(spark, registry)).leaves)
+    return reasons(readers.read_audit(spark, audit), base).select("application_id", "n_reasons", "add_up", "described", "source")
+
+
 @query("logreg_cv")
 def _(spark, folder):
     master = stored_master(spark, folder)
@@ -1336,10 +1391,29 @@ def _(spark, folder):
 # ---------------------------------------------------------------- streams
 
 
+BATCHES = 3
+
+
+def arriving_events(spark, folder, late=False):
+    """The events as a folder of files in the order of their time, and the stream that reads one file per batch.
+
+    With ``late`` some early events of the first file come in the last one only.
+    """
+    events = table(spark, folder, "events")
+    path = scratch_path(spark, "arriving")
+    span = events.agg(F.min("ts").alias("a"), F.max("ts").alias("b")).first()
+    cuts = [span["a"] + (span["b"] - span["a"]) * i / BATCHES for i in range(1, BATCHES)]
+    number = sum((F.when(F.col("ts") >= F.lit(c), 1).otherwise(0) for c in cuts), F.lit(0))
+    if late:
+        early = F.col("ts") < F.lit(span["a"] + (span["b"] - span["a"]) / 6)
+        number = F.when(early & (F.col("event_id") % 97 == 0), BATCHES - 1).otherwise(number)
+    for i in range(BATCHES):
+        events.where(number == i).coalesce(1).write.mode("append").parquet(path)
+    return online.read_table_stream(spark, path, events.schema, files_per_batch=1)
+
+
 def score_stream(spark, folder):
-    schema = table(spark, folder, "events").schema
-    events = online.read_table_stream(spark, folder, schema, "events.parquet")
-    return events.select(
+    return arriving_events(spark, folder).select(
         F.col("event_id").alias("id"), F.col("user_id").alias("application_id"),
         (F.col("value") / 500.0).alias("default_probability"), F.col("ts").cast("timestamp").alias("predicted_at"),
         F.concat_ws(":", F.lit("prediction"), "user_id", "event_type").alias("key"),
@@ -1359,56 +1433,78 @@ def score_stream(spark, folder):
        SELECT f[2] AS id, key, f[1] AS predicted_at FROM first JOIN kept USING (key, s)""",
 )
 def _(spark, folder):
-    out = scratch_path(spark, "answers")
-
-    def answer(batch, batch_id):
-        before = None
-        if readers.path_exists(spark, out):
-            done = spark.read.parquet(out).where(F.col("batch") != batch_id)
-            before = done.groupBy("key").agg(F.max(F.unix_seconds("predicted_at")).alias("last_second"))
-        fresh = online.first_answers(batch, "key", "predicted_at", "id", answered=before)
-        fresh.select("id", "key", "predicted_at").write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-
-    online.run_to_end(score_stream(spark, folder), answer)
-    return spark.read.parquet(out).select("id", "key", F.col("predicted_at").cast("timestamp_ntz").alias("predicted_at"))
+    scores = score_stream(spark, folder).select("id", "key", "predicted_at")
+    answered = online.drain(rows_to_answer(scores, "key", "predicted_at", "id", online.CACHE_SECONDS))
+    return answered.withColumn("predicted_at", F.col("predicted_at").cast("timestamp_ntz"))
+
+
+#: A request per event. It depends on the user, the event's type and a number below 7 only, so requests repeat.
+REQUEST = """to_json(named_struct(
+    'application', named_struct('SK_ID_CURR', user_id, 'NAME_INCOME_TYPE', event_type, 'DAYS_BIRTH', -9000 - 500 * (event_id % 7),
+        'AMT_INCOME_TOTAL', CASE WHEN user_id % 4 > 0 THEN 1000D * (event_id % 7) END, 'FLAG_OWN_CAR', CASE WHEN user_id % 2 = 0 THEN 'Y' END),
+    'bureau', transform(sequence(1, 1 + CAST(event_id % 3 AS INT)), i -> named_struct('SK_ID_BUREAU', i, 'CREDIT_TYPE', CASE WHEN i > 1 THEN event_type END,
+        'CREDIT_ACTIVE', CASE WHEN i = 1 THEN 'Active' ELSE 'Closed' END, 'AMT_CREDIT_SUM', 100D * (event_id % 7 + i),
+        'AMT_CREDIT_SUM_DEBT', CASE WHEN i < 3 THEN 50D * (event_id % 7) END, 'DAYS_CREDIT', -30 * i)),
+    'bureau_balance', transform(sequence(0, CAST(event_id % 7 AS INT)), i -> named_struct('SK_ID_BUREAU', 1 + i % 2, 'MONTHS_BALANCE', -i, 'STATUS', substring('CX0123', 1 + i % 6, 1))),
+    'previous_applications', CASE WHEN event_id % 7 > 1 THEN transform(sequence(1, CAST(event_id % 7 AS INT)), i -> named_struct('SK_ID_PREV', i,
+        'NAME_CONTRACT_STATUS', CASE WHEN i % 2 = 0 THEN 'Refused' ELSE 'Approved' END, 'DAYS_DECISION', -10 * (i % 3), 'AMT_CREDIT', 10D * i)) END,
+    'installments', CASE WHEN event_id % 7 < 6 THEN transform(sequence(1, 3), i -> named_struct('AMT_INSTALMENT', 10D * i, 'AMT_PAYMENT', CASE WHEN i < 3 THEN 9D * i + event_id % 7 END,
+        'DAYS_INSTALMENT', -30D, 'DAYS_ENTRY_PAYMENT', -35D + i)) END,
+    'credit_card', CASE WHEN event_id % 7 < 4 THEN transform(sequence(1, 4), i -> named_struct('SK_ID_PREV', i, 'MONTHS_BALANCE', -(i % 2), 'AMT_BALANCE', CASE WHEN i < 4 THEN 5D * i END,
+        'AMT_CREDIT_LIMIT_ACTUAL', 100D)) END))"""
+
+
+def scores_by_tables(spark, documents, explainer):
+    """Scores of request documents (key, text) by the operators of the table build, over one table per child list."""
+    parsed = documents.withColumn("request", F.from_json("text", request_schema()))
+    lists = {
+        name: parsed.select("key", F.explode(f"request.{name}").alias("c")).select("key", *[f"c.{n}" for n in raw_schema(t).names if n != ID_COLUMN])
+        for name, t in REQUEST_LISTS.items()
+    }
+    loan = F.concat_ws(":", "key", "SK_ID_BUREAU")
+    months = features.loan_month_features(lists["bureau_balance"].withColumn("loan", loan), "loan")
+    histories = [
+        features.bureau_features(lists["bureau"].withColumn("loan", loan), months, "key", "loan"),
+        features.installment_features(lists["installments"], "key"),
+        features.credit_card_features(lists["credit_card"], "key"),
+        features.pos_features(lists["pos_cash"], "key"),
+        features.previous_application_features(lists["previous_applications"], "key"),
+    ]
+    base = impute.apply_imputer(parsed.select("key", "request.application.*"), explainer.imputer)
+    wide = features.fill_joined_nulls(features.star_join(base, *histories, key="key"), skip=("key", ID_COLUMN))
+    return explainer.score(wide, ["key"]).select("key", F.col("score").alias("table_score"))
 
 
 @query(
     "stream_requests",
-    """WITH RECURSIVE e AS (SELECT user_id, event_type, event_id % 7 AS v, CAST(floor(epoch(ts)) AS BIGINT) AS s, ts,
-           concat(user_id, ':', event_type, ':', event_id % 7) AS key FROM events),
+    """WITH RECURSIVE e AS (SELECT user_id, event_type, event_id % 7 AS v, event_id % 3 AS u, CAST(floor(epoch(ts)) AS BIGINT) AS s, ts,
+           concat(user_id, ':', event_type, ':', event_id % 7, ':', event_id % 3) AS key FROM events),
        d AS (SELECT key, s FROM e GROUP BY 1, 2),
        nxt AS (SELECT key, s, MIN(s) OVER (PARTITION BY key ORDER BY s
                  RANGE BETWEEN 3600 FOLLOWING AND UNBOUNDED FOLLOWING) AS nxt FROM d),
        kept AS (SELECT key, MIN(s) AS s FROM d GROUP BY 1
                 UNION ALL SELECT nxt.key, nxt.nxt FROM kept JOIN nxt USING (key, s) WHERE nxt.nxt IS NOT NULL),
-       first AS (SELECT key, s, MIN(ts) AS ts, ANY_VALUE(user_id) AS user_id, ANY_VALUE(v) AS v FROM e GROUP BY 1, 2),
-       scored AS (SELECT user_id, ts, 0.4e0 + (50e0 * v) / (100e0 * (v + 1) + 1e-5) - 0.1e0 AS p FROM first JOIN kept USING (key, s))
-       SELECT user_id AS application_id, round(p + 1e-9, 6) AS default_probability,
-              CASE WHEN p < 0.3e0 THEN 'LOW' WHEN p <= 0.6e0 THEN 'MEDIUM' ELSE 'HIGH' END AS risk_tier,
-              'stream01' AS model_version, ts AS predicted_at, 'api' AS source FROM scored""",
-)
-def _(spark, folder):
-    """Every event as a scoring request with one bureau loan, answered by the streaming job."""
-    events = online.read_table_stream(spark, folder, table(spark, folder, "events").schema, "events.parquet")
-    text = F.expr(
-        """to_json(named_struct('application', named_struct('SK_ID_CURR', user_id, 'NAME_TYPE_SUITE', event_type),
-           'bureau', array(named_struct('SK_ID_BUREAU', event_id % 7, 'AMT_CREDIT_SUM', 100D * (event_id % 7 + 1),
-           'AMT_CREDIT_SUM_DEBT', 50D * (event_id % 7)))))"""
-    )
-    requests = events.select(text.alias("text"), F.col("ts").cast("timestamp").alias("received_at"))
-    audit = scratch_path(spark, "audit")
-    profile = impute.ImputeProfile(scores={"EXT_SOURCE_1": 0.4})
-
-    def score(df):
-        return df.withColumn("score", F.col("EXT_SOURCE_1") + F.col("debt_to_credit_ratio") - F.lit(0.1))
+       first AS (SELECT key, s, MIN(ts) AS ts, ANY_VALUE(user_id) AS user_id FROM e GROUP BY 1, 2)
+       SELECT user_id AS application_id, ts AS predicted_at, 'api' AS source, 10 AS n_reasons, TRUE AS add_up, TRUE AS described, TRUE AS as_by_tables,
+              TRUE AS tier_fits FROM first JOIN kept USING (key, s)""",
+)
+def _(spark, folder):
+    """Every event as a scoring request, answered by the serving job with the production model.
 
-    online.run_to_end(
-        requests, lambda batch, number: online.answer_batch(batch, number, audit, profile, score, "stream0123456789")
-    )
-    rows = readers.read_audit(spark, audit).withColumn("predicted_at", F.col("predicted_at").cast("timestamp_ntz"))
-    return rounded(
-        rows.select("application_id", "default_probability", "risk_tier", "model_version", "predicted_at", "source"), 6
+    Each stored score must be the one that the same documents get from the table operators and a scored table.
+    """
+    registry, audit = registered_model(spark, folder), scratch_path(spark, "audit")
+    requests = arriving_events(spark, folder).select(F.expr(REQUEST).alias("text"), F.col("ts").cast("timestamp").alias("received_at"))
+    lifecycle.serve(spark, registry, requests, audit, scratch_path(spark, "offsets"))
+    explainer = lifecycle.Explainer(*lifecycle.load_run(spark, registry))
+    text = F.get_json_object("request_payload", "$.text")
+    rows = readers.read_audit(spark, audit).withColumns({"text": text, "key": F.sha2(text, 256)})
+    documents = rows.groupBy("key").agg(F.first("text").alias("text"))
+    joined = reasons(rows, attribution.base_margin(explainer.leaves)).join(scores_by_tables(spark, documents, explainer), "key")
+    return joined.select(
+        "application_id", F.col("predicted_at").cast("timestamp_ntz").alias("predicted_at"), "source", "n_reasons", "add_up", "described",
+        (F.abs(F.col("default_probability") - F.col("table_score")) < 1e-9).alias("as_by_tables"),
+        (F.col("risk_tier") == risk_tier(F.col("table_score"))).alias("tier_fits"),
     )
 
 
@@ -1424,13 +1520,13 @@ def _(spark, folder):
 
 @query(
     "stream_drift",
-    """WITH e AS (SELECT ts, value AS v FROM events),
+    """WITH e AS (SELECT ts, value AS v, event_id % 97 = 0 AND epoch_us(ts) < (SELECT MIN(epoch_us(ts)) + (MAX(epoch_us(ts)) - MIN(epoch_us(ts))) / 6 FROM events) AS late FROM events),
        q AS (SELECT list_value("""
     + ", ".join(f"quantile_cont(v, 0.{i})" for i in range(1, 10))
     + """) AS cuts FROM e),
-       binned AS (SELECT ts, len(list_filter(cuts, lambda x: v > x)) AS bin FROM e, q),
+       binned AS (SELECT ts, late, len(list_filter(cuts, lambda x: v > x)) AS bin FROM e, q),
        days AS (SELECT CAST(unnest(generate_series(MIN(CAST(ts AS DATE)) + INTERVAL 1 DAY, MAX(CAST(ts AS DATE)) + INTERVAL 7 DAY, INTERVAL 1 DAY)) AS TIMESTAMP) AS w FROM e),
-       h AS (SELECT w AS window_end, bin, COUNT(*) AS n FROM days JOIN binned ON ts < w AND ts >= w - INTERVAL 7 DAY
+       h AS (SELECT w AS window_end, bin, COUNT(*) AS n FROM days JOIN binned ON NOT late AND ts < w AND ts >= w - INTERVAL 7 DAY
              WHERE w <= (SELECT MAX(ts) FROM e) - INTERVAL 1 HOUR GROUP BY 1, 2),
        ref AS (SELECT bin, COUNT(*) / (SELECT COUNT(*) FROM binned) AS p FROM binned GROUP BY 1),
        t AS (SELECT window_end, SUM(n) AS t FROM h GROUP BY 1),
@@ -1441,7 +1537,7 @@ def _(spark, folder):
 def _(spark, folder):
     events = table(spark, folder, "events").select("value")
     edges = drift.reference_edges(events, ["value"])
-    stream = online.read_table_stream(spark, folder, table(spark, folder, "events").schema, "events.parquet")
+    stream = arriving_events(spark, folder, late=True)
     timed = stream.select("value", F.col("ts").cast("timestamp").alias("ts"))
     counts = online.drain(online.lookback_histograms(timed, edges, "ts"))
     psi = drift.psi_from_counts(drift.bin_counts(events, edges), counts, "window_end")

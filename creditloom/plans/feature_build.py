@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from creditloom.functions.registry import ID_COLUMN, LABEL_COLUMN
 from creditloom.operators import features, impute, quality
+from creditloom.runtime import small_table
 from creditloom.sources.readers import diagonal_union, list_csv, read_raw_table
 from creditloom.sources.writers import write_parquet
 
@@ -31,7 +32,7 @@ def feature_path(out: str, name: str) -> str:
 
 
 def build_features(spark: SparkSession, raw: str, out: str, per_table_imputer: bool = False) -> None:
-    """Write the train and test feature tables (test rows carry an empty label).
+    """Write the train and test feature tables (test rows carry an empty label), and the train imputer beside them.
 
     The imputer is fitted on train and applied to both, unless ``per_table_imputer`` asks for
     each table's own; a column only one of them dropped gets its default there. Both tables go through
@@ -48,7 +49,7 @@ def build_features(spark: SparkSession, raw: str, out: str, per_table_imputer: b
     quality.require_unique(test, ID_COLUMN, "application_test")
     quality.require_no_nulls(train, LABEL_COLUMN, "application_train")
 
-    profile = impute.fit_imputer(train)
+    profile = impute.fit_imputer(train, every_column=True)
     own = impute.fit_imputer(test) if per_table_imputer else profile
     applications = diagonal_union(
         [
@@ -58,6 +59,18 @@ def build_features(spark: SparkSession, raw: str, out: str, per_table_imputer: b
     )
     wide = features.fill_joined_nulls(features.star_join(applications, *history_features(tables)))
     write_parquet(wide, out, partition_by=["part"])
+    stored = small_table(spark, [(profile.to_json(),)], "value string")
+    stored.write.mode("overwrite").option("partitionOverwriteMode", "static").text(_imputer_path(out))
+
+
+def _imputer_path(out: str) -> str:
+    # readers of the tables pass over names with an underscore
+    return f"{out.rstrip('/')}/_imputer"
+
+
+def stored_imputer(spark: SparkSession, out: str) -> impute.ImputeProfile:
+    """The profile the tables below ``out`` were built with."""
+    return impute.ImputeProfile.from_json(spark.read.text(_imputer_path(out)).first()["value"])
 
 
 def profile_raw_tables(spark: SparkSession, raw: str, out: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Train, evaluate, promote, score and watch: the model's life as jobs over tables.
+"""Train, evaluate, promote, score, serve and watch: the model's life as jobs over tables.
 
 The registry folder holds ``runs`` (versions of the run table), ``metrics`` (appended rows) and one
 folder per fitted model.
@@ -13,14 +13,16 @@ from datetime import date, datetime, timezone
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from creditloom.functions.registry import ID_COLUMN, LABEL_COLUMN
-from creditloom.operators import drift, evaluation, governance, models, ordering
-from creditloom.operators.impute import align_to
+from creditloom.operators import attribution, drift, evaluation, governance, models, ordering
+from creditloom.operators.impute import ImputeProfile, align_to
 from creditloom.runtime import materialise, small_table
 from creditloom.sources.readers import path_exists, read_all_present, read_audit
 from creditloom.sources.schemas import METRIC_SCHEMA, MODEL_RUN_SCHEMA
 from creditloom.sources.writers import audit_rows, replace_source, write_drift_report
+from creditloom.streaming import online
 
 
 def _runs_path(registry: str) -> str:
@@ -50,10 +52,12 @@ def _register(spark: SparkSession, registry: str, row: tuple) -> None:
 
 def train(
     table: DataFrame, registry: str, numeric: list[str], categories: list[str], settings: dict | None = None,
-    fair: bool = False, fit_on: str = "train", now: datetime | None = None,
+    fair: bool = False, fit_on: str = "train", now: datetime | None = None, imputer: ImputeProfile | None = None,
 ) -> str:
     """Fit boosted trees, save the model and register it as staging; returns the run id.
 
+    ``imputer`` is the profile the table was built with. It is stored with the run, and ``serve`` needs it.
+
     The first 80% of the applications by id train the model. ``fit_on="all"`` uses every row, which
     makes a later evaluation on the last 20% an in-sample one. ``fair`` reweighs the rows by age
     group and adds per-age thresholds found on the newest quarter of the training rows, which the
@@ -85,6 +89,8 @@ def train(
         model = models.train_boosted(rows, numeric, categories, LABEL_COLUMN, settings)
     model.write().overwrite().save(path)
     info = {"numeric": numeric, "categories": categories, "settings": {**models.BEST_SETTINGS, **(settings or {})}}
+    if imputer is not None:
+        info["imputer"] = imputer.to_json()
     when = now or datetime.now(timezone.utc)
     _register(
         spark, registry,
@@ -105,10 +111,36 @@ def load_run(spark: SparkSession, registry: str, run_id: str | None = None) -> t
     return row.asDict(), PipelineModel.load(row["path"])
 
 
+def _aligned(table: DataFrame, info: dict) -> DataFrame:
+    return align_to(table, info["numeric"] + info["categories"], info["categories"])
+
+
 def _scored(table: DataFrame, run: dict, model: PipelineModel, keep: list[str]) -> DataFrame:
-    info = json.loads(run["params"])
-    aligned = align_to(table, info["numeric"] + info["categories"], info["categories"])
-    return models.score_table(aligned, model, keep)
+    return models.score_table(_aligned(table, json.loads(run["params"])), model, keep)
+
+
+class Explainer:
+    """A run that scores tables and says why: ``score`` and, as JSON text, the ten largest ``attribution`` cells.
+
+    The trees are read once, however many tables or batches are scored.
+    """
+
+    def __init__(self, run: dict, model: PipelineModel) -> None:
+        self.run_id, self.info = run["run_id"], json.loads(run["params"])
+        self.stages, self.leaves = model.stages, attribution.tree_leaves(model.stages[-1])
+        self.names = models.feature_order(self.info["numeric"], self.info["categories"])
+
+    @property
+    def imputer(self) -> ImputeProfile:
+        if "imputer" not in self.info:
+            raise ValueError(f"run {self.run_id} was registered without its imputer")
+        return ImputeProfile.from_json(self.info["imputer"])
+
+    def score(self, table: DataFrame, keep: list[str]) -> DataFrame:
+        prepared = models.run_stages(_aligned(table, self.info), self.stages[:-1])
+        scored = models.probability_of_default(self.stages[-1].transform(prepared.select(*keep, "features")))
+        found = attribution.tree_attribution(scored, self.leaves, self.names, [*keep, "score"])
+        return found.select(*keep, "score", attribution.attribution_text(F.col("top"), self.names).alias("attribution"))
 
 
 def evaluate(table: DataFrame, registry: str, run_id: str, cutoff: float = evaluation.DEFAULT_CUTOFF) -> DataFrame:
@@ -151,9 +183,30 @@ def score_everyone(spark: SparkSession, tables: list[str], registry: str, audit:
     combined = read_all_present(spark, tables)
     if ID_COLUMN not in combined.columns:
         raise ValueError(f"{ID_COLUMN} is missing from {tables}")
-    scored = _scored(combined, run, model, [ID_COLUMN])
+    scored = Explainer(run, model).score(combined, [ID_COLUMN])
     when = F.lit(now or datetime.now(timezone.utc))
-    replace_source(audit_rows(scored, ID_COLUMN, F.col("score"), F.lit(run["run_id"]), when), audit)
+    rows = audit_rows(scored, ID_COLUMN, F.col("score"), F.lit(run["run_id"]), when, attribution=F.col("attribution"))
+    replace_source(rows, audit)
+
+
+def serve(
+    spark: SparkSession, registry: str, requests: DataFrame, audit: str, checkpoint: str, run_id: str | None = None,
+    late: str = "1 hour", once: bool = True,
+) -> StreamingQuery:
+    """Answer a stream of request documents (text, received_at) with the production model, or the named run.
+
+    Every request that conforms and was not answered within the last hour becomes one audit row: its features folded from its own child
+    lists, missing values filled by the imputer the model was trained with, its score and its reasons. With ``once`` the
+    job handles what is there and ends; else it runs until it is stopped. A restart goes on from ``checkpoint``.
+    """
+    explainer = Explainer(*load_run(spark, registry, run_id))
+    profile, keep = explainer.imputer, [ID_COLUMN, "text", "received_at"]
+
+    def handle(batch: DataFrame, number: int) -> None:
+        online.answer_batch(batch, number, audit, profile, lambda rows: explainer.score(rows, keep), explainer.run_id)
+
+    fresh = online.fresh_requests(requests, late=late)
+    return online.run_to_end(fresh, handle, checkpoint) if once else online.run_on(fresh, handle, checkpoint)
 
 
 def watch_drift(

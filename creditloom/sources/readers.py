@@ -27,6 +27,14 @@ def list_csv(spark: SparkSession, folder: str, skip: tuple[str, ...] = NOT_DATA)
     return sorted(n for n in (f.getPath().getName() for f in found) if not any(fnmatch(n, pattern) for pattern in skip))
 
 
+def list_tables(spark: SparkSession, folder: str, suffix: str = ".parquet") -> list[str]:
+    """Names of the Parquet tables of a folder, whether each is a file or a folder of files."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(folder.rstrip("/"))
+    found = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(hadoop_path)
+    names = (f.getPath().getName() for f in found)
+    return sorted(n.removesuffix(suffix) for n in names if n.endswith(suffix))
+
+
 def read_csv(
     spark: SparkSession, path: str, schema: T.StructType | None = None, charset: str = "UTF-8"
 ) -> DataFrame:

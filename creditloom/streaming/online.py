@@ -1,7 +1,7 @@
 """Scoring requests as they arrive, with the answer cache and the audit trail.
 
-The stream itself is stateless. What was answered before is read from the audit table, so a
-restart or a lost executor loses nothing, and a replayed batch writes the same folder again.
+What was answered before is keyed state of the stream, kept with its checkpoint, so a restart or a lost executor loses
+nothing, and a replayed batch finds the same state and writes the same folder again.
 """
 
 from __future__ import annotations
@@ -16,22 +16,13 @@ from pyspark.sql.streaming import StreamingQuery
 from creditloom.functions.registry import ID_COLUMN
 from creditloom.functions.scalars import cache_key, json_text
 from creditloom.operators.drift import bin_cells
-from creditloom.operators.features import (
-    bureau_features,
-    credit_card_features,
-    fill_joined_nulls,
-    installment_features,
-    loan_month_features,
-    pos_features,
-    previous_application_features,
-    star_join,
-)
+from creditloom.operators.features import fill_joined_nulls, loans_with_months, request_history_columns
 from creditloom.operators.impute import ImputeProfile, apply_imputer
 from creditloom.operators.quality import conforming_requests
 from creditloom.runtime import scratch_path
-from creditloom.sources.readers import path_exists, read_audit
-from creditloom.sources.schemas import REQUEST_LISTS, raw_schema, request_schema
+from creditloom.sources.schemas import REQUEST_LISTS, request_schema
 from creditloom.sources.writers import append_audit, audit_rows
+from creditloom.streaming.answer_cache import rows_to_answer
 
 # fixed value: seconds an answer stays valid
 CACHE_SECONDS = 3600
@@ -54,109 +45,48 @@ def request_key(requests: DataFrame) -> Column:
     return cache_key(F.col(f"request.application.{ID_COLUMN}"), F.col("text"))
 
 
-def first_answers(
-    rows: DataFrame, key: str, ts: str, order: str, seconds: int = CACHE_SECONDS,
-    answered: DataFrame | None = None,
-) -> DataFrame:
-    """Rows that need a new answer: the first of a key, then the first once it has expired.
+def request_features(requests: DataFrame, profile: ImputeProfile, keep: tuple[str, ...] = ("text", "received_at")) -> DataFrame:
+    """Model features of parsed requests, each folded inside its own row; no shuffle.
 
-    Time counts in whole seconds. Rows shrink to one per key and second by a partial aggregation
-    before a key's seconds meet, so what one task holds grows with the time a batch spans and not
-    with how often a hot key is repeated. ``answered`` gives the last answer second per key
-    (columns ``key``, ``last_second``).
+    The definitions are those of the table build, and the imputer is the stored one from training.
     """
-    second = F.unix_seconds(F.col(ts))
-    picked = rows.groupBy(F.col(key).alias("_key"), second.alias("_second")).agg(
-        F.min(F.struct(F.col(ts), F.col(order))).alias("_first")
-    )
-    timeline = picked.groupBy("_key").agg(F.array_sort(F.collect_list("_second")).alias("_seconds"))
-    never = F.lit(-(2**62)).cast("long")
-    if answered is None:
-        timeline = timeline.withColumn("_last", never)
-    else:
-        known = answered.select(F.col("key").alias("_key"), F.col("last_second").cast("long").alias("_last"))
-        timeline = timeline.join(known, "_key", "left").withColumn("_last", F.coalesce("_last", never))
-    start = F.struct(F.col("_last").alias("last"), F.array().cast("array<bigint>").alias("kept"))
-    walked = F.aggregate(
-        "_seconds",
-        start,
-        lambda acc, s: F.when(
-            s >= acc["last"] + F.lit(seconds),
-            F.struct(s.alias("last"), F.concat(acc["kept"], F.array(s)).alias("kept")),
-        ).otherwise(acc),
-    )
-    kept = timeline.select("_key", F.explode(walked["kept"]).alias("_second"))
-    chosen = picked.join(kept, ["_key", "_second"]).select(
-        F.col("_key").alias(key), F.col(f"_first.{ts}").alias(ts), F.col(f"_first.{order}").alias(order)
-    )
-    return rows.join(chosen, [key, ts, order], "left_semi")
+    lists = {name: F.coalesce(F.col(f"request.{name}"), F.array()).alias(f"_{name}") for name in REQUEST_LISTS}
+    base = requests.select(*keep, "request.application.*", *lists.values())
+    imputed = apply_imputer(base, profile).withColumn("_bureau", loans_with_months(F.col("_bureau"), F.col("_bureau_balance")))
+    wide = imputed.withColumns(request_history_columns(lambda name: F.col(f"_{name}"))).drop(*[f"_{name}" for name in lists])
+    return fill_joined_nulls(wide, skip=(*keep, ID_COLUMN))
 
 
-def request_features(requests: DataFrame, profile: ImputeProfile) -> DataFrame:
-    """Model features of parsed requests, by the same operators the table build uses.
+def fresh_requests(stream: DataFrame, seconds: int = CACHE_SECONDS, late: str = "1 hour") -> DataFrame:
+    """Request documents (text, received_at) that conform and were not answered within the last ``seconds``.
 
-    Every request is its own applicant here: children carry the request's key, so two requests of
-    one person in a batch do not mix. The imputer is the stored one from training.
-    """
-    tables = {}
-    for field, table in REQUEST_LISTS.items():
-        schema = raw_schema(table)
-        children = requests.select("key", F.explode(F.col(f"request.{field}")).alias("c"))
-        columns = [F.col(f"c.{f.name}").alias(f.name) for f in schema.fields if f.name != ID_COLUMN]
-        tables[field] = children.select("key", *columns)
-    loans = F.concat_ws(":", "key", "SK_ID_BUREAU")
-    months = loan_month_features(tables["bureau_balance"].withColumn("loan", loans), "loan")
-    histories = [
-        bureau_features(tables["bureau"].withColumn("loan", loans), months, "key", "loan"),
-        installment_features(tables["installments"], "key"),
-        credit_card_features(tables["credit_card"], "key"),
-        pos_features(tables["pos_cash"], "key"),
-        previous_application_features(tables["previous_applications"], "key"),
-    ]
-    base = requests.select("key", "text", "received_at", "request.application.*")
-    joined = star_join(apply_imputer(base, profile), *histories, key="key")
-    return fill_joined_nulls(joined, skip=("key", "text", "received_at", ID_COLUMN))
-
-
-def answered_before(spark: SparkSession, audit_path: str, since: Column, own_load: str = "") -> DataFrame | None:
-    """Last answer second per cache key among answers young enough to matter.
-
-    Rows of ``own_load`` do not count: a replayed batch must answer again what it is about to replace.
+    Documents that do not conform are left to ``conforming_requests`` callers; they are never scored.
     """
-    if not path_exists(spark, audit_path):
-        return None
-    recent = read_audit(spark, audit_path, since).where((F.col("source") == API_SOURCE) & (F.col("load") != own_load))
-    key = cache_key(F.col("application_id"), F.get_json_object("request_payload", "$.text"))
-    return recent.groupBy(key.alias("key")).agg(F.max(F.unix_seconds("predicted_at")).alias("last_second"))
+    accepted, _ = conforming_requests(stream, "text", request_schema(), f"application.{ID_COLUMN}")
+    keyed = accepted.select(request_key(accepted).alias("key"), "text", "received_at")
+    return rows_to_answer(keyed, "key", "received_at", "text", seconds, late)
 
 
-def answer_batch(
-    batch: DataFrame, batch_id: int, audit_path: str, profile: ImputeProfile,
-    score: Callable[[DataFrame], DataFrame], run_id: str, seconds: int = CACHE_SECONDS,
-) -> None:
-    """Parse, drop repeats, build features, score, and append to the audit table.
+def answer_rows(batch: DataFrame, profile: ImputeProfile, score: Callable[[DataFrame], DataFrame], run_id: str) -> DataFrame:
+    """Audit rows of a batch of fresh requests: parsed, features built, scored.
 
-    ``score`` adds a ``score`` column (and may add ``attribution`` text). Documents that do not
-    conform are left to ``conforming_requests`` callers; they are never scored.
+    ``score`` adds a ``score`` column (and may add ``attribution`` text).
     """
-    spark = batch.sparkSession
     accepted, _ = conforming_requests(batch, "text", request_schema(), f"application.{ID_COLUMN}")
-    keyed = accepted.withColumn("key", request_key(accepted))
-    first = batch.agg(F.min("received_at").alias("t")).first()["t"]
-    if first is None:
-        return
-    load = f"stream-{batch_id}"
-    before = answered_before(spark, audit_path, F.lit(first) - F.expr(f"INTERVAL {seconds} SECONDS"), load)
-    fresh = first_answers(keyed, "key", "received_at", "text", seconds, before).dropDuplicates(
-        ["key", "received_at"]
-    )
-    scored = score(request_features(fresh, profile))
+    scored = score(request_features(accepted, profile))
     attribution = F.col("attribution") if "attribution" in scored.columns else None
-    rows = audit_rows(
+    return audit_rows(
         scored, ID_COLUMN, F.col("score"), F.lit(run_id), F.col("received_at"), API_SOURCE,
         attribution, json_text(F.lit(API_SOURCE).alias("source"), F.col("text")),
     )
-    append_audit(rows, audit_path, API_SOURCE, load)
+
+
+def answer_batch(
+    batch: DataFrame, batch_id: int, audit_path: str, profile: ImputeProfile,
+    score: Callable[[DataFrame], DataFrame], run_id: str,
+) -> None:
+    """Append the answers of one batch to the audit table, under a load named by the batch, so that a replay replaces them."""
+    append_audit(answer_rows(batch, profile, score, run_id), audit_path, API_SOURCE, f"stream-{batch_id}")
 
 
 def run_to_end(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str | None = None) -> StreamingQuery:
@@ -170,6 +100,11 @@ def run_to_end(stream: DataFrame, handle: Callable[[DataFrame, int], None], chec
     return query
 
 
+def run_on(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
+    """Start a stream that goes on until it is stopped."""
+    return stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).start()
+
+
 def drain(stream: DataFrame, mode: str = "append") -> DataFrame:
     """Run a stream over everything available into a Parquet sink and read the sink."""
     spark: SparkSession = stream.sparkSession
@@ -206,12 +141,20 @@ def daily_means(scores: DataFrame, ts: str = "predicted_at", late: str = "1 hour
 def lookback_histograms(
     scores: DataFrame, edges: dict[str, list[float]], ts: str = "predicted_at", days: int = 7, late: str = "1 hour"
 ) -> DataFrame:
-    """Bin counts per feature over sliding windows of the last days, one window per day."""
-    return (
+    """Bin counts per feature over sliding windows of the last days, one window per day.
+
+    Two windows in a chain: rows are counted once, by day; closed days, a row per feature and bin each, are then added up over
+    the windows that hold them. Rows that come behind the watermark are dropped.
+    """
+    daily = (
         scores.withWatermark(ts, late)
         .select(ts, F.inline(bin_cells(edges)))
         .where("bin IS NOT NULL")
-        .groupBy(F.window(ts, f"{days} days", "1 day").alias("w"), "feature", "bin")
+        .groupBy(F.window(ts, "1 day").alias("day"), "feature", "bin")
         .agg(F.count(F.lit(1)).alias("n"))
+    )
+    return (
+        daily.groupBy(F.window(F.window_time("day"), f"{days} days", "1 day").alias("w"), "feature", "bin")
+        .agg(F.sum("n").alias("n"))
         .select(F.col("w.end").alias("window_end"), "feature", "bin", "n")
     )

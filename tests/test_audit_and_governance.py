@@ -44,7 +44,7 @@ def test_gate_and_stages(spark, tmp_path):
     runs = spark.createDataFrame(
         [("a1", "staging", None), ("b2", "production", datetime(2023, 1, 1)), ("c3", "staging", None), ("d4", "archived", None), ("e5", "staging", None)],
         "run_id string, stage string, promoted_at timestamp",
-    )
+    ).withColumn("created_at", F.lit(datetime(2023, 1, 1)))
     metrics = spark.createDataFrame(
         [("a1", "auc_roc", 0.8), ("a1", "disparate_impact_ratio", 0.9), ("c3", "auc_roc", 0.8),
          ("c3", "disparate_impact_ratio", float("nan")), ("d4", "auc_roc", 0.7), ("d4", "disparate_impact_ratio", 0.85)],

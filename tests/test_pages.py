@@ -1,5 +1,7 @@
 """Pages over audit tables as they are written, and runs by their full id."""
 
+from datetime import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -26,7 +28,11 @@ def test_small_offsets_do_not_skip_rows_in_one_task(spark):
     assert "Offset 200" not in plan and "limit=210" not in plan
 
 
-def test_run_by_full_id_first(spark):
-    runs = spark.createDataFrame([("abcdefgh-1",), ("abcdefgh-2",)], "run_id string")
-    assert [r.run_id for r in governance.find_run(runs, "abcdefgh-2").collect()] == ["abcdefgh-2"]
-    assert governance.find_run(runs, "abcdefgh").count() == 2
+def test_run_by_full_id_or_newest_prefix(spark):
+    old, new = datetime(2024, 1, 1), datetime(2024, 2, 1)
+    runs = spark.createDataFrame([("abcdefgh-1", new), ("abcdefgh-2", old), ("abcdefgh", old), ("abcx", None)], "run_id string, created_at timestamp")
+    found = {wanted: [r.run_id for r in governance.find_run(runs, wanted).collect()] for wanted in ("abcdefgh-2", "abcdefgh", "abcdefgh-", "abc", "abcx")}
+    assert found == {"abcdefgh-2": ["abcdefgh-2"], "abcdefgh": ["abcdefgh"], "abcdefgh-": ["abcdefgh-1"], "abc": ["abcdefgh-1"], "abcx": ["abcx"]}
+    for unknown in ("abcdefgh-3", "zz"):
+        with pytest.raises(FileNotFoundError):
+            governance.find_run(runs, unknown)

@@ -1,5 +1,6 @@
 """Whole jobs on small CSV folders, and the shape of the physical plans."""
 
+import json
 import random
 from datetime import datetime
 
@@ -13,7 +14,7 @@ from creditloom.plans import catalog, feature_build, lifecycle
 from creditloom.plans.catalog import ORACLES, QUERIES
 from creditloom.plans.roles import role
 from creditloom.sources.readers import list_csv, read_audit, read_csv, read_drift_reports
-from creditloom.sources.schemas import RAW_COLUMNS, raw_schema
+from creditloom.sources.schemas import RAW_TABLES, raw_schema
 
 HEAVY = {"gbt_train_score", "gbt_early_stopping", "tree_attribution_topk", "logreg_cv", "random_search"}
 
@@ -120,7 +121,7 @@ def raw(spark, tmp_path_factory):
     test = [applicant(i, 0) for i in range(n, n + 60)]
     t = app.names.index("TARGET")
     write("application_test", [c for c in app.names if c != "TARGET"], [r[:t] + r[t + 1 :] for r in test])
-    for table in RAW_COLUMNS:
+    for table in RAW_TABLES:
         schema = raw_schema(table)
         rows = []
         for i in range(500):
@@ -180,12 +181,17 @@ def test_from_csv_to_production(spark, raw, tmp_path):
     table = train.withColumn("NOT_THERE", F.lit(0.0))
     settings = {"maxIter": 4, "minInstancesPerNode": 2}
     now = datetime(2024, 5, 1)
+    profile = feature_build.stored_imputer(spark, out)
+    assert set(profile.scores) == {"EXT_SOURCE_1", "EXT_SOURCE_2", "EXT_SOURCE_3"}
     first = lifecycle.train(table, registry, numeric, ["CODE_GENDER"], settings, now=now)
+    with pytest.raises(ValueError, match="without its imputer"):
+        lifecycle.Explainer(*lifecycle.load_run(spark, registry, first)).imputer  # noqa: B018
     assert lifecycle.promote(spark, registry, first)["reason"] == "no evaluation metrics"
     metrics = lifecycle.evaluate(train, registry, first).first()
     assert metrics.auc_roc > 0.6
     lifecycle.promote(spark, registry, first, force=True, now=now)
-    fair = lifecycle.train(table, registry, numeric, ["CODE_GENDER"], settings, fair=True, now=now)
+    fair = lifecycle.train(table, registry, numeric, ["CODE_GENDER"], settings, fair=True, now=now, imputer=profile)
+    assert lifecycle.Explainer(*lifecycle.load_run(spark, registry, fair)).imputer == profile
     lifecycle.evaluate(train, registry, fair[:8])
     assert lifecycle.promote(spark, registry, fair, force=True, now=datetime(2024, 5, 2))["decision"] == "promote"
     run, _ = lifecycle.load_run(spark, registry)
@@ -196,6 +202,9 @@ def test_from_csv_to_production(spark, raw, tmp_path):
     lifecycle.score_everyone(spark, tables, registry, audit, datetime(2024, 5, 4))
     scores = read_audit(spark, audit)
     assert scores.count() == 360 and scores.select("model_version").distinct().first()[0] == fair[:8]
+    reasons = json.loads(scores.where("application_id = 7").first().top_shap_features)
+    assert {c["feature_name"] for c in reasons} == {*numeric, "CODE_GENDER"} and all(set(c) == {"feature_name", "shap_value", "feature_value", "description"} for c in reasons)
+    assert [abs(c["shap_value"]) for c in reasons] == sorted((abs(c["shap_value"]) for c in reasons), reverse=True)
 
     report = lifecycle.watch_drift(spark, train_path, audit, registry, reports, datetime(2024, 5, 5))
     assert report.count() == 7 and read_drift_reports(spark, reports).count() == 7
