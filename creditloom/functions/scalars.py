@@ -112,15 +112,21 @@ def version_of(run_id: Column) -> Column:
     return F.substring(run_id, 1, 8)
 
 
-def within_period(ts: Column, period: str, as_of: Column | datetime) -> Column:
-    """Rows of the last 6 months, the last year, or all; another period is an error."""
+def period_start(period: str, as_of: Column | datetime) -> Column | None:
+    """First moment of the last 6 months or the last year, None for all; another period is an error."""
     if period not in PERIODS:
         raise ValueError(f"period must be one of {', '.join(PERIODS)}, not {period!r}")
     span = PERIODS[period]
     if span is None:
-        return F.lit(True)
+        return None
     until = as_of if isinstance(as_of, Column) else F.lit(as_of)
-    return ts >= until - F.expr(span)
+    return until - F.expr(span)
+
+
+def within_period(ts: Column, period: str, as_of: Column | datetime) -> Column:
+    """Whether a time lies in a period."""
+    start = period_start(period, as_of)
+    return F.lit(True) if start is None else ts >= start
 
 
 def heading(name: str) -> str:

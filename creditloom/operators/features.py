@@ -286,8 +286,8 @@ def star_join(base: DataFrame, *histories: DataFrame, key: str = ID_COLUMN) -> D
     return base
 
 
-def fill_joined_nulls(df: DataFrame, skip: tuple[str, ...] = (ID_COLUMN, LABEL_COLUMN)) -> DataFrame:
-    """-1 for ratios and averages, 0 for other numbers, "Missing" for text, in one projection."""
+def filled_columns(schema: T.StructType, skip: tuple[str, ...] = (ID_COLUMN, LABEL_COLUMN)) -> list[Column]:
+    """The projection of ``fill_joined_nulls`` for a table of this schema."""
 
     def filled(field: T.StructField) -> Column:
         name = f"`{field.name}`"
@@ -300,4 +300,9 @@ def fill_joined_nulls(df: DataFrame, skip: tuple[str, ...] = (ID_COLUMN, LABEL_C
             return F.coalesce(F.col(name), F.lit("Missing")).alias(field.name)
         return F.col(name)
 
-    return df.select(*[filled(f) for f in df.schema.fields])
+    return [filled(f) for f in schema.fields]
+
+
+def fill_joined_nulls(df: DataFrame, skip: tuple[str, ...] = (ID_COLUMN, LABEL_COLUMN)) -> DataFrame:
+    """-1 for ratios and averages, 0 for other numbers, "Missing" for text, in one projection."""
+    return df.select(*filled_columns(df.schema, skip))

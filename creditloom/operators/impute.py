@@ -82,12 +82,15 @@ class ImputeProfile:
         return ImputeProfile(**json.loads(text))
 
 
-def _car_age_zeroed(df: DataFrame) -> DataFrame:
+def _car_age(age: Column) -> Column:
     """Applicants without a car have a car age of 0."""
+    return F.when(F.col(CAR_FLAG) == "N", F.lit(0.0)).otherwise(age)
+
+
+def _car_age_zeroed(df: DataFrame) -> DataFrame:
     if CAR_AGE not in df.columns or CAR_FLAG not in df.columns:
         return df
-    age = F.when(F.col(CAR_FLAG) == "N", F.lit(0.0)).otherwise(F.col(CAR_AGE))
-    return df.withColumn(CAR_AGE, age)
+    return df.withColumn(CAR_AGE, _car_age(F.col(CAR_AGE)))
 
 
 def _keeps_type(f: T.StructField) -> bool:
@@ -145,12 +148,14 @@ def _as_number(c: Column, data_type: T.DataType) -> Column:
     return c.cast("double")
 
 
-def apply_imputer(df: DataFrame, profile: ImputeProfile) -> DataFrame:
-    kept = _car_age_zeroed(df).drop(*profile.dropped)
-    types = {f.name: f.dataType for f in kept.schema.fields}
+def imputed_columns(schema: T.StructType, profile: ImputeProfile) -> list[Column]:
+    """The projection that fills a table of this schema; a job with many small batches builds it once."""
+    types = {f.name: f.dataType for f in schema.fields if f.name not in profile.dropped}
 
     def treated(name: str) -> Column:
         c = F.col(f"`{name}`")
+        if name == CAR_AGE and CAR_FLAG in types:
+            c = _car_age(c)
         if name in profile.scores:
             c = F.coalesce(c.cast("double"), F.lit(float(profile.scores[name])))
         elif name in profile.texts:
@@ -163,12 +168,12 @@ def apply_imputer(df: DataFrame, profile: ImputeProfile) -> DataFrame:
             c = yes_no_flag(c)
         return c.alias(name)
 
-    flags = [
-        F.col(f"`{c}`").isNull().cast("tinyint").alias(f"MISSING_{c}")
-        for c in kept.columns
-        if c in profile.scores
-    ]
-    return kept.select(*[treated(c) for c in kept.columns], *flags)
+    flags = [F.col(f"`{c}`").isNull().cast("tinyint").alias(f"MISSING_{c}") for c in types if c in profile.scores]
+    return [*[treated(c) for c in types], *flags]
+
+
+def apply_imputer(df: DataFrame, profile: ImputeProfile) -> DataFrame:
+    return df.select(*imputed_columns(df.schema, profile))
 
 
 def impute(df: DataFrame, train: DataFrame | None = None, **kwargs) -> DataFrame:

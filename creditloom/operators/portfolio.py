@@ -14,10 +14,12 @@ from creditloom.functions.scalars import (
     nan_to_null,
     percent,
     percent_text,
+    period_start,
     tier_rank,
     within_period,
 )
 from creditloom.operators.ordering import seek_page
+from creditloom.sources.audit_table import AuditTable
 
 # fixed values: columns of a page of scores
 PAGE_COLUMNS = [
@@ -85,6 +87,18 @@ def score_page(
     return seek_page(rows.select(*(columns or PAGE_COLUMNS)), "predicted_at", "id", limit, offset, shallow)
 
 
+def audit_page(
+    audit: AuditTable, period: str, as_of: Column | datetime, limit: int = 100, offset: int = 0,
+    tier: str | None = None, columns: list[str] | None = None,
+) -> DataFrame:
+    """The same page out of a written audit table, of which only the files that can hold it are opened."""
+    return audit.page(limit, offset, period_start(period, as_of), tier).select(*(columns or PAGE_COLUMNS))
+
+
+def audit_total(audit: AuditTable, period: str, as_of: Column | datetime, tier: str | None = None) -> DataFrame:
+    return audit.total(period_start(period, as_of), tier).withColumn("period", F.lit(period))
+
+
 def page_total(scores: DataFrame, period: str, as_of: Column | datetime, tier: str | None = None) -> DataFrame:
     rows = in_period(scores, period, as_of)
     if tier is not None:

@@ -39,6 +39,7 @@ from creditloom.plans import lifecycle
 from creditloom.plans.roles import TABLES, role, table, with_roles
 from creditloom.runtime import materialise, scratch_path, small_table
 from creditloom.sources import readers, writers
+from creditloom.sources.audit_table import AuditTable
 from creditloom.sources.schemas import ATTRIBUTION, REQUEST_LISTS, raw_schema, request_schema
 from creditloom.streaming import online
 from creditloom.streaming.answer_cache import rows_to_answer
@@ -1388,6 +1389,83 @@ def _(spark, folder):
     return rounded(kept, 6)
 
 
+BULK = datetime(2024, 1, 15)
+BULK_SQL = f"""audit AS (
+    SELECT user_id AS application_id, value / 500e0 AS default_probability, ts AS predicted_at, 'api' AS source, '' AS id FROM events
+    UNION ALL SELECT c_custkey, {PROBABILITY}, TIMESTAMP '2024-01-15', 'batch_ingest', concat('batch_ingest:', c_custkey, ':2024-01-15 00:00:00') FROM customer),
+  tiered AS (SELECT *, CASE WHEN default_probability < 0.3e0 THEN 'LOW' WHEN default_probability <= 0.6e0 THEN 'MEDIUM' ELSE 'HIGH' END AS risk_tier FROM audit)"""
+AUDIT_PAGE_SQL = "application_id, round(default_probability + 1e-9, 6) AS default_probability, risk_tier, predicted_at, source"
+
+
+def written_audit(spark, folder):
+    """An audit table as the jobs leave it: three loads of single scores, and everyone scored at one moment, twice."""
+    audit = AuditTable(spark, scratch_path(spark, "audit"))
+    run_id = F.lit("abcdef0123456789")
+    events = table(spark, folder, "events")
+    for i in range(BATCHES):
+        part = events.where(F.col("event_id") % BATCHES == i)
+        rows = writers.audit_rows(part, "user_id", F.col("value") / 500.0, run_id, F.col("ts"), online.API_SOURCE, payload=F.concat_ws(":", "event_id", "props"))
+        audit.append(rows, online.API_SOURCE, f"stream-{i}")
+    for shift in (0.7, 0.0):
+        audit.replace(writers.audit_rows(score_customers(spark, folder, shift), "c_custkey", F.col("p"), run_id, F.lit(BULK)), writers.BATCH_SOURCE)
+    return audit
+
+
+def audit_columns(page):
+    return rounded(page.withColumn("predicted_at", F.col("predicted_at").cast("timestamp_ntz")), 6)
+
+
+PAGE_OF_AUDIT = ["application_id", "default_probability", "risk_tier", "predicted_at", "source"]
+
+
+@query(
+    "audit_deep_page",
+    f"""WITH {BULK_SQL}, ranked AS (SELECT *, row_number() OVER (ORDER BY predicted_at DESC, id) AS place FROM tiered),
+        start AS (SELECT COUNT(*) + 40 AS skipped FROM events WHERE ts > TIMESTAMP '2024-01-15')
+        SELECT {AUDIT_PAGE_SQL} FROM ranked, start WHERE place > skipped AND place <= skipped + 100""",
+)
+def _(spark, folder):
+    """A page deep in a bulk load, whose rows share one time and differ in their text ids only."""
+    audit = written_audit(spark, folder)
+    newer = table(spark, folder, "events").where(F.col("ts") > F.lit(BULK)).count()
+    return audit_columns(portfolio.audit_page(audit, "all", AS_OF, 100, newer + 40, columns=PAGE_OF_AUDIT))
+
+
+@query(
+    "audit_flagged_page",
+    f"""WITH {BULK_SQL} SELECT {AUDIT_PAGE_SQL} FROM tiered WHERE risk_tier = 'HIGH' AND predicted_at >= TIMESTAMP '2024-07-15' - INTERVAL 6 MONTH
+        ORDER BY predicted_at DESC, id LIMIT 50 OFFSET 25""",
+)
+def _(spark, folder):
+    return audit_columns(portfolio.audit_page(written_audit(spark, folder), "6m", AS_OF, 50, 25, "HIGH", PAGE_OF_AUDIT))
+
+
+@query(
+    "audit_totals",
+    f"""WITH {BULK_SQL} SELECT '6m' AS period, COUNT(*) AS total FROM tiered WHERE predicted_at >= TIMESTAMP '2024-07-15' - INTERVAL 6 MONTH
+        UNION ALL SELECT 'all', COUNT(*) FROM tiered WHERE risk_tier = 'HIGH'""",
+)
+def _(spark, folder):
+    audit = written_audit(spark, folder)
+    return portfolio.audit_total(audit, "6m", AS_OF).unionByName(portfolio.audit_total(audit, "all", AS_OF, "HIGH"))
+
+
+@query(
+    "audit_compaction",
+    f"""WITH {BULK_SQL} SELECT source, risk_tier, COUNT(*) AS n, round(SUM(default_probability) + 1e-7, 4) AS total, MIN(predicted_at) AS oldest,
+        MAX(predicted_at) AS newest FROM tiered GROUP BY ALL""",
+)
+def _(spark, folder):
+    """Small files of earlier loads merged; every row is still there, once."""
+    audit = written_audit(spark, folder)
+    audit.compact()
+    found = audit.read().groupBy("source", "risk_tier").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("default_probability").alias("total"),
+        F.min("predicted_at").cast("timestamp_ntz").alias("oldest"), F.max("predicted_at").cast("timestamp_ntz").alias("newest"),
+    )
+    return rounded(found)
+
+
 # ---------------------------------------------------------------- streams
 
 
@@ -1508,6 +1586,46 @@ def _(spark, folder):
     )
 
 
+@query(
+    "stream_replay",
+    """WITH RECURSIVE e AS (SELECT user_id, event_type, event_id % 7 AS v, CAST(floor(epoch(ts)) AS BIGINT) AS s, ts,
+           concat(user_id, ':', event_type, ':', event_id % 7) AS key FROM events),
+       d AS (SELECT key, s FROM e GROUP BY 1, 2),
+       nxt AS (SELECT key, s, MIN(s) OVER (PARTITION BY key ORDER BY s
+                 RANGE BETWEEN 3600 FOLLOWING AND UNBOUNDED FOLLOWING) AS nxt FROM d),
+       kept AS (SELECT key, MIN(s) AS s FROM d GROUP BY 1
+                UNION ALL SELECT nxt.key, nxt.nxt FROM kept JOIN nxt USING (key, s) WHERE nxt.nxt IS NOT NULL),
+       first AS (SELECT key, s, MIN(ts) AS ts, ANY_VALUE(user_id) AS user_id, ANY_VALUE(v) AS v FROM e GROUP BY 1, 2),
+       scored AS (SELECT user_id, ts, 0.4e0 + (50e0 * v) / (100e0 * (v + 1) + 1e-5) - 0.1e0 AS p FROM first JOIN kept USING (key, s))
+       SELECT user_id AS application_id, round(p + 1e-9, 6) AS default_probability,
+              CASE WHEN p < 0.3e0 THEN 'LOW' WHEN p <= 0.6e0 THEN 'MEDIUM' ELSE 'HIGH' END AS risk_tier,
+              'stream01' AS model_version, ts AS predicted_at, 'api' AS source FROM scored""",
+)
+def _(spark, folder):
+    """Every batch of requests is answered twice, as after a failure between the write and the commit; its rows are there once."""
+    text = F.expr(
+        """to_json(named_struct('application', named_struct('SK_ID_CURR', user_id, 'NAME_TYPE_SUITE', event_type),
+           'bureau', array(named_struct('SK_ID_BUREAU', event_id % 7, 'AMT_CREDIT_SUM', 100D * (event_id % 7 + 1),
+           'AMT_CREDIT_SUM_DEBT', 50D * (event_id % 7)))))"""
+    )
+    requests = arriving_events(spark, folder).select(text.alias("text"), F.col("ts").cast("timestamp").alias("received_at"))
+    audit = scratch_path(spark, "audit")
+    parsed = online.RequestFeatures(impute.ImputeProfile(scores={"EXT_SOURCE_1": 0.4}))
+
+    def score(df):
+        return df.withColumn("score", F.col("EXT_SOURCE_1") + F.col("debt_to_credit_ratio") - F.lit(0.1))
+
+    def twice(batch, number):
+        for _ in range(2):
+            online.answer_batch(batch, number, audit, parsed, score, "stream0123456789")
+
+    online.run_to_end(online.fresh_requests(requests), twice)
+    rows = readers.read_audit(spark, audit).withColumn("predicted_at", F.col("predicted_at").cast("timestamp_ntz"))
+    return rounded(
+        rows.select("application_id", "default_probability", "risk_tier", "model_version", "predicted_at", "source"), 6
+    )
+
+
 @query(
     "stream_daily",
     """SELECT date, n, round(avg_probability + 1e-7, 4) AS avg_probability FROM (

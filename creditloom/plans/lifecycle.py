@@ -200,10 +200,10 @@ def serve(
     job handles what is there and ends; else it runs until it is stopped. A restart goes on from ``checkpoint``.
     """
     explainer = Explainer(*load_run(spark, registry, run_id))
-    profile, keep = explainer.imputer, [ID_COLUMN, "text", "received_at"]
+    features, keep = online.RequestFeatures(explainer.imputer), [ID_COLUMN, "text", "received_at"]
 
     def handle(batch: DataFrame, number: int) -> None:
-        online.answer_batch(batch, number, audit, profile, lambda rows: explainer.score(rows, keep), explainer.run_id)
+        online.answer_batch(batch, number, audit, features, lambda rows: explainer.score(rows, keep), explainer.run_id)
 
     fresh = online.fresh_requests(requests, late=late)
     return online.run_to_end(fresh, handle, checkpoint) if once else online.run_on(fresh, handle, checkpoint)

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from creditloom.sources.schemas import AUDIT_SCHEMA, DRIFT_SCHEMA, raw_schema
+from creditloom.sources.audit_table import AuditTable
+from creditloom.sources.schemas import DRIFT_SCHEMA, raw_schema
 
 # fixed values: files beside the raw tables that are not data
 NOT_DATA = ("*_columns_description.csv", "sample_submission.csv")
@@ -76,11 +77,8 @@ def diagonal_union(frames: list[DataFrame]) -> DataFrame:
 
 
 def read_audit(spark: SparkSession, path: str, since: Column | None = None) -> DataFrame:
-    """The audit table; ``since`` prunes date partitions and is pushed into the scan."""
-    df = spark.read.schema(AUDIT_SCHEMA).parquet(path)
-    if since is None:
-        return df
-    return df.where((F.col("predicted_date") >= since.cast("date")) & (F.col("predicted_at") >= since))
+    """The audit table as it is now, or its rows from ``since`` on; a table nothing was written to is empty."""
+    return AuditTable(spark, path).read(since)
 
 
 def read_drift_reports(spark: SparkSession, path: str) -> DataFrame:

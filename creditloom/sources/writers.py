@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creditloom.functions.scalars import json_text, risk_tier, version_of
+from creditloom.sources.audit_table import AuditTable
 from creditloom.sources.schemas import AUDIT_SCHEMA
 
 # fixed values: tag of table-wide scoring
 BATCH_SOURCE = "batch_ingest"
-ROWS_PER_FILE = 5_000_000
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None) -> None:
@@ -47,44 +45,17 @@ def audit_rows(
     return scored.select(*[columns[f.name].alias(f.name) for f in AUDIT_SCHEMA.fields])
 
 
-def _write_load(rows: DataFrame, folder: str) -> None:
-    """Replace one folder of the audit table, whatever dates it held before."""
-    (
-        rows.drop("source", "load").write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .option("maxRecordsPerFile", ROWS_PER_FILE)
-        .option("compression", "snappy")
-        .partitionBy("predicted_date")
-        .parquet(folder)
-    )
-
-
 def replace_source(rows: DataFrame, path: str, source: str = BATCH_SOURCE) -> None:
-    """Write rows so that they replace all earlier rows of their source, and no others.
-
-    The table is partitioned by source, then load, then date. The new load is written whole under a
-    name of its own, and only then do the earlier loads of the source go, so a job that fails on the
-    way leaves the table as it was. Other sources are not touched.
-    """
-    spark = rows.sparkSession
-    folder = f"{path.rstrip('/')}/source={source}"
-    load = f"bulk-{uuid.uuid4().hex}"
-    _write_load(rows, f"{folder}/load={load}")
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    for status in fs.listStatus(hadoop_path):
-        name = status.getPath().getName()
-        if name.startswith("load=") and name != f"load={load}":
-            fs.delete(status.getPath(), True)
+    """Write rows so that they replace all earlier rows of their source, and no others, in one step for every reader."""
+    AuditTable(rows.sparkSession, path).replace(rows, source)
 
 
 def append_audit(rows: DataFrame, path: str, source: str, load: str) -> None:
     """Add one load of audit rows; a failed write fails the job, because the trail is mandatory.
 
-    The load is named by the caller (a stream names its batch), so a retry writes the same folder
-    again instead of a second copy.
+    The load is named by the caller (a stream names its batch), so a retry replaces it instead of adding a second copy.
     """
-    _write_load(rows, f"{path.rstrip('/')}/source={source}/load={load}")
+    AuditTable(rows.sparkSession, path).append(rows, source, load)
 
 
 def write_drift_report(report: DataFrame, path: str) -> None:

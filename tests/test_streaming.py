@@ -93,7 +93,7 @@ def test_scoring_stream_end_to_end(spark, tmp_path):
 
     stream = online.fresh_requests(online.read_request_stream(spark, str(inbox)))
     checkpoint = str(tmp_path / "cp")
-    handle = lambda b, i: online.answer_batch(b, i, audit, profile, score, "run1234567")
+    handle = lambda b, i: online.answer_batch(b, i, audit, online.RequestFeatures(profile), score, "run1234567")
     online.run_to_end(stream, handle, checkpoint)
     rows = read_audit(spark, audit).collect()
     assert sorted(r.application_id for r in rows) == [1, 1, 2]  # the repeat is answered from the cache
@@ -108,7 +108,7 @@ def test_features_of_a_request_need_no_shuffle(spark):
     batch = spark.createDataFrame([(json.dumps(request(1)), datetime(2024, 1, 1)), (json.dumps({"application": {"SK_ID_CURR": 2}}), None)], "text string, received_at timestamp")
     profile = ImputeProfile(scores={"EXT_SOURCE_1": 0.4}, numbers={"AMT_INCOME_TOTAL": 7.0})
     good, _ = conforming_requests(batch, "text", request_schema(), "application.SK_ID_CURR")
-    features = online.request_features(good, profile)
+    features = online.RequestFeatures(profile)(good)
     assert "Exchange" not in features._jdf.queryExecution().executedPlan().toString()
     one, two = sorted(features.collect(), key=lambda r: r.SK_ID_CURR)
     assert (one.bureau_loan_count, one.bureau_global_worst_status, one.bureau_active_debt, one.HAS_BUREAU_RECORD) == (1, 3, 50.0, 1)
@@ -121,7 +121,7 @@ def test_replayed_batch_keeps_its_rows(spark, tmp_path):
     batch = spark.createDataFrame([(t,) for t in text], "text string").withColumn("received_at", F.lit("2024-01-01 00:00:00").cast("timestamp"))
     profile = ImputeProfile(scores={"EXT_SOURCE_1": 0.4}, numbers={"AMT_INCOME_TOTAL": 7.0})
     for _ in range(3):
-        online.answer_batch(batch, 0, audit, profile, lambda df: df.withColumn("score", F.lit(0.5)), "run1234567")
+        online.answer_batch(batch, 0, audit, online.RequestFeatures(profile), lambda df: df.withColumn("score", F.lit(0.5)), "run1234567")
         rows = read_audit(spark, audit).collect()
         assert sorted(r.application_id for r in rows) == [1, 1, 2] and len({r.id for r in rows}) == 3
 
