@@ -16,7 +16,7 @@ from creditloom.operators.ordering import (
     running_totals,
     temporal_split,
 )
-from creditloom.runtime import small_table
+from creditloom.runtime import materialise, small_table
 
 # fixed values: watched features, lookback, smallest current sample
 WATCHED = [
@@ -56,16 +56,28 @@ def payload_features(audit: DataFrame, features: list[str] | None = None, payloa
     return parsed.select(*[F.col(f"p.application.{n}").try_cast("double").alias(n) for n in names])
 
 
+#: Column of how many scores a row of current features stands for.
+WEIGHT = "n_scores"
+
+
 def current_features(recent: DataFrame, master: DataFrame, key: str, features: list[str], score_key: str = "application_id") -> DataFrame:
-    """Watched features of recently scored applicants, read from the feature table.
+    """Watched features of recently scored applicants, read from the feature table, one row per applicant with the number of its scores.
 
-    Table-wide scoring stores no request text, so the payload alone would miss those rows.
+    Table-wide scoring stores no request text, so the payload alone would miss those rows. Scores are counted before the join, so
+    an applicant that is scored again and again is one row in it.
     """
-    return recent.select(F.col(score_key).alias(key)).join(master.select(key, *features), key).select(*features)
+    scored = recent.groupBy(F.col(score_key).alias(key)).agg(F.count(F.lit(1)).alias(WEIGHT))
+    return scored.join(master.select(key, *features), key).select(*features, WEIGHT)
+
+
+def _weight(df: DataFrame) -> Column:
+    return F.col(WEIGHT) if WEIGHT in df.columns else F.lit(1)
 
 
 def enough_rows(current: DataFrame, minimum: int = MINIMUM_ROWS) -> bool:
-    return current.limit(minimum).count() >= minimum
+    """Whether there are ``minimum`` scores; every row stands for one at least."""
+    few = current.select(_weight(current).alias("n")).limit(minimum)
+    return (few.agg(F.sum("n")).first()[0] or 0) >= minimum
 
 
 def bin_cells(edges: dict[str, list[float]]) -> Column:
@@ -85,9 +97,9 @@ def bin_cells(edges: dict[str, list[float]]) -> Column:
 
 
 def bin_counts(df: DataFrame, edges: dict[str, list[float]], *keys: str | Column) -> DataFrame:
-    """Rows per (keys, feature, bin); nulls and NaN are not counted."""
-    long = df.select(*keys, F.inline(bin_cells(edges))).where("bin IS NOT NULL")
-    return long.groupBy(*long.columns).agg(F.count(F.lit(1)).alias("n"))
+    """Rows, or the scores they stand for, per (keys, feature, bin); nulls and NaN are not counted."""
+    long = df.select(*keys, _weight(df).alias("_n"), F.inline(bin_cells(edges))).where("bin IS NOT NULL")
+    return long.groupBy(*[c for c in long.columns if c != "_n"]).agg(F.sum("_n").alias("n"))
 
 
 def reference_edges(reference: DataFrame, features: list[str], rows_per_range: int = ROWS_PER_RANGE) -> dict[str, list[float]]:
@@ -109,21 +121,23 @@ def psi_from_counts(reference: DataFrame, current: DataFrame, *keys: str) -> Dat
     """Population stability index per feature (and key) from two tables of bin counts.
 
     The reference side has one row per feature, a number fixed by the caller's feature list, so it
-    is broadcast. Empty bins count as a share of 1e-4.
+    is broadcast. Empty bins count as a share of 1e-4. Without keys every feature of the reference has its row, with a score
+    of 0 if there are no current values.
     """
     ref = _bin_columns(reference, "reference", "feature")
     cur = _bin_columns(current, "current", *keys, "feature")
     shares = [
-        F.expr(f"greatest({side}_{i} / n_{side}, {SHARE_FLOOR}D) AS {side}_share_{i}")
+        F.expr(f"greatest(try_divide({side}_{i}, n_{side}), {SHARE_FLOOR}D) AS {side}_share_{i}")
         for side in ("reference", "current") for i in BINS
     ]
     psi = " + ".join(
         f"(current_share_{i} - reference_share_{i}) * ln(current_share_{i} / reference_share_{i})" for i in BINS
     )
     kept = [*keys, "feature", "n_reference", "n_current"]
-    return cur.join(F.broadcast(ref), "feature").select(*kept, *shares).select(
-        *keys, "feature", F.expr(psi).alias("psi"), "n_reference", "n_current"
-    )
+    both = cur.join(F.broadcast(ref), "feature") if keys else ref.join(cur, "feature", "left")
+    found = both.withColumn("n_current", F.coalesce("n_current", F.lit(0))).select(*kept, *shares)
+    scored = F.when(F.col("n_current") > 0, F.expr(psi)).otherwise(0.0)
+    return found.select(*keys, "feature", scored.alias("psi"), "n_reference", "n_current")
 
 
 def psi_scores(
@@ -137,13 +151,12 @@ def ks_scores(
     reference: DataFrame, current: DataFrame, features: list[str], rows_per_range: int = ROWS_PER_RANGE
 ) -> DataFrame:
     """Largest gap between the two cumulative distributions, per feature, exact."""
+    zero = F.lit(0).cast("long")
     tagged = (
-        long_form(reference, features).withColumn("r", F.lit(1))
-        .unionByName(long_form(current, features).withColumn("r", F.lit(0)))
-    )
-    per_value = tagged.groupBy("name", "value").agg(
-        F.count_if(F.col("r") == 1).alias("ref"), F.count_if(F.col("r") == 0).alias("cur")
+        long_form(reference, features).select("*", F.lit(1).cast("long").alias("ref"), zero.alias("cur"))
+        .unionByName(long_form(current, features, _weight(current).cast("long").alias("cur")).withColumn("ref", zero))
     )
+    per_value = tagged.groupBy("name", "value").agg(F.sum("ref").alias("ref"), F.sum("cur").alias("cur"))
     curve = running_totals(per_value, "value", ["ref", "cur"], "name", rows_per_range)
     sizes = [(g, t["ref"], t["cur"]) for g, t in curve.totals.items()]
     table = F.broadcast(
@@ -157,12 +170,21 @@ def drift_report(
     reference: DataFrame, current: DataFrame, features: list[str], report_date: date,
     lookback_days: int = LOOKBACK_DAYS, rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame | None:
-    """One row per watched feature, or nothing when there are too few current rows."""
+    """One row per watched feature, or nothing when there are too few current rows.
+
+    A feature that one of the two sides lacks, as a column or in all its rows, counts as not drifted, with a score of 0 and no KS.
+    """
     if not enough_rows(current):
         return None
-    psi = psi_scores(reference, current, features, rows_per_range)
-    ks = ks_scores(reference, current, features, rows_per_range)
-    return psi.join(ks, "feature", "left").select(
+    shared = [f for f in features if f in reference.columns and f in current.columns]
+    watched = small_table(reference.sparkSession, [(f,) for f in features], "feature string")
+    # a row per feature; as a stored table it keeps the long bin expressions out of the filters that readers put on the report
+    psi = materialise(psi_scores(reference, current, shared, rows_per_range), "psi")
+    ks = ks_scores(reference, current, shared, rows_per_range)
+    found = watched.join(psi, "feature", "left").withColumns(
+        {"psi": F.coalesce("psi", F.lit(0.0)), "n_reference": F.coalesce("n_reference", F.lit(0)), "n_current": F.coalesce("n_current", F.lit(0))}
+    )
+    return found.join(ks, "feature", "left").select(
         "feature", "psi", "ks",
         (F.col("psi") >= PSI_WARNING).alias("drifted"),
         psi_status(F.col("psi")).alias("status"),

@@ -131,8 +131,8 @@ def row_index(
     )
 
 
-def long_form(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Numeric columns as (name, value) rows without nulls."""
+def long_form(df: DataFrame, columns: list[str], *keep: Column) -> DataFrame:
+    """Numeric columns as (name, value) rows without nulls, beside what is kept of their row."""
     cells = F.expr(
         "array("
         + ", ".join(
@@ -140,7 +140,7 @@ def long_form(df: DataFrame, columns: list[str]) -> DataFrame:
         )
         + ")"
     )
-    return df.select(F.inline(cells)).where("value IS NOT NULL AND NOT isnan(value)")
+    return df.select(*keep, F.inline(cells)).where("value IS NOT NULL AND NOT isnan(value)")
 
 
 def quantile_grids(
@@ -390,46 +390,79 @@ def text_at_rank(df: DataFrame, key: str, rank: int) -> str:
         df = coded.where(F.col("_code") == code).drop("_code")
 
 
-def seek_page(
-    df: DataFrame, time: str, key: str, limit: int, offset: int, shallow: int = 0
-) -> DataFrame:
+#: Rows a task may keep to skip them, and the steps of the grid that narrows down to so few.
+ROWS_SKIPPED, SEEK_STEPS = 10_000, 500
+
+
+def _next_to(value: int | float, side: int) -> int | float:
+    """The neighbour of a number, below (-1) or above (1) it."""
+    return value + side if isinstance(value, int) else math.nextafter(value, side * math.inf)
+
+
+def narrowed(df: DataFrame, value: str, rank: int, most: int = ROWS_SKIPPED) -> tuple[object, int] | None:
+    """A value at or before the 0-based ``rank`` in ascending order, and how many rows lie below it; None beyond the last row.
+
+    At most ``most`` rows lie from it to the rank, unless that many share the value. Every round is one aggregation: it counts the rows below
+    and inside the bracket of the round before, and lays a sketched grid over the inside, of which the next bracket is a few steps. The counts
+    are exact and decide; a sketch that misses costs a round.
+    """
+    v, steps = F.col(value), [i / SEEK_STEPS for i in range(SEEK_STEPS + 1)]
+    low = high = None  # the bracket in which the rank is known to lie
+    guess = None
+    while True:
+        if guess is None:
+            below, inside = F.lit(False), v.isNotNull()
+        else:
+            below, inside = v < F.lit(guess[0]), v.between(F.lit(guess[0]), F.lit(guess[1]))
+        grid = F.percentile_approx(F.when(inside, v), F.array(*map(F.lit, steps)), 10 * SEEK_STEPS)
+        row = df.agg(F.count_if(below).alias("below"), F.count_if(inside).alias("inside"), grid.alias("grid")).first()
+        if row["below"] <= rank < row["below"] + row["inside"]:
+            before, cuts = row["below"], row["grid"]
+            low, high = cuts[0], cuts[-1]
+            if rank - before + 1 <= most or low == high:
+                return low, before
+            at = int((rank - before) / row["inside"] * SEEK_STEPS)
+            better = cuts[max(0, at - 1)], cuts[min(SEEK_STEPS, at + 2)]
+            # many rows at both ends: a half of the bracket instead
+            guess = better if better != (low, high) else (low, low + (high - low) // 2 if isinstance(low, int) else low + (high - low) / 2)
+        elif guess is None:
+            return None
+        elif rank < row["below"]:
+            guess = low, _next_to(guess[0], -1)
+        else:
+            guess = _next_to(guess[1], 1), high
+
+
+def seek_page(df: DataFrame, time: str, key: str, limit: int, offset: int, skipped: int = ROWS_SKIPPED) -> DataFrame:
     """Rows ``offset`` to ``offset + limit`` in newest-first order, equal times by rising key.
 
-    Spark's own offset keeps every skipped row of each task in memory. A page is found instead by
-    two exact order statistics, first on the time and then on the key, a number or a text, among rows
-    of that very time, so one bulk load that shares a single timestamp stays cheap as well. Only
-    offsets up to ``shallow`` are left to Spark: by default the first page, which skips nothing.
+    Spark's own offset keeps every skipped row of each task in memory. Here the rank is first narrowed down to a time with few rows between, and, if
+    very many rows share that time, to a key among them, a number or a text; Spark skips what is left, ``skipped`` rows at most.
     """
     if not 1 <= limit <= 1000:
         raise ValueError("limit must be between 1 and 1000")
     if offset < 0:
         raise ValueError("offset must not be negative")
     order = [F.col(time).desc(), F.col(key).asc()]
-    if offset <= shallow:
-        return df.orderBy(*order).offset(offset).limit(limit)
-    # rows without a time come last
-    micros = F.coalesce(F.unix_micros(F.col(time).cast("timestamp")), F.lit(-(2**63)))
-    timed = df.withColumn("_micros", micros)
-
-    def newest_first(_, n):
-        return [n - 1 - offset] if offset < n else []
-
-    found = order_statistics(timed, "_micros", newest_first)
-    if not found or not found.get(0):
+    if offset == 0:
+        return df.orderBy(*order).limit(limit)
+    # time runs backwards; rows without a time come last
+    timed = df.withColumn("_back", F.coalesce(-F.unix_micros(F.col(time).cast("timestamp")), F.lit(2**63 - 1)))
+    found = narrowed(timed, "_back", offset, skipped)
+    if found is None:
         return df.limit(0)
-    edge = next(iter(found[0].values()))
-    skip = offset - timed.where(F.col("_micros") > edge).count()
-    same = timed.where(F.col("_micros") == edge)
-    n_null = same.where(F.col(key).isNull()).count()
-    at_edge = F.col("_micros") == edge
-    if skip >= n_null:
-        rank = skip - n_null
-        keyed = same.where(F.col(key).isNotNull())
-        if isinstance(df.schema[key].dataType, T.StringType):
-            start = text_at_rank(keyed.select(key), key, rank)
-        else:
-            start = order_statistics(keyed, key, lambda _, n: [rank])[0][rank]
-        at_edge = at_edge & (F.col(key) >= F.lit(start))
-        skip = rank - keyed.where(F.col(key) < F.lit(start)).count()  # of rows that share time and key
-    rest = timed.where((F.col("_micros") < edge) | at_edge)
-    return rest.drop("_micros").orderBy(*order).offset(skip).limit(limit)
+    edge, before = found
+    rest, skip = F.col("_back") >= F.lit(edge), offset - before
+    if skip >= skipped:
+        same = timed.where(F.col("_back") == F.lit(edge))
+        n_null = same.where(F.col(key).isNull()).count()
+        if skip >= n_null:
+            keyed = same.where(F.col(key).isNotNull())
+            if isinstance(df.schema[key].dataType, T.StringType):
+                start = text_at_rank(keyed.select(key), key, skip - n_null)
+                before = keyed.where(F.col(key) < F.lit(start)).count()
+            else:
+                start, before = narrowed(keyed, key, skip - n_null, skipped)
+            rest = (F.col("_back") > F.lit(edge)) | ((F.col("_back") == F.lit(edge)) & (F.col(key) >= F.lit(start)))
+            skip -= n_null + before  # of rows that share time and key, or are few
+    return timed.where(rest).drop("_back").orderBy(*order).offset(skip).limit(limit)

@@ -76,7 +76,7 @@ def tiers_in_order(scores: DataFrame) -> DataFrame:
 
 def score_page(
     scores: DataFrame, period: str, as_of: Column | datetime, limit: int = 100, offset: int = 0,
-    tier: str | None = None, columns: list[str] | None = None, shallow: int = 0,
+    tier: str | None = None, columns: list[str] | None = None,
 ) -> DataFrame:
     """A page of scores, newest first; equal times come in id order."""
     rows = in_period(scores, period, as_of)
@@ -84,7 +84,7 @@ def score_page(
         if tier not in TIERS:
             raise ValueError(f"tier must be one of {TIERS}")
         rows = rows.where(F.col("risk_tier") == tier)
-    return seek_page(rows.select(*(columns or PAGE_COLUMNS)), "predicted_at", "id", limit, offset, shallow)
+    return seek_page(rows.select(*(columns or PAGE_COLUMNS)), "predicted_at", "id", limit, offset)
 
 
 def audit_page(

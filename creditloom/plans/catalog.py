@@ -672,7 +672,7 @@ def _(spark, folder):
         ORDER BY predicted_at DESC, id LIMIT 100 OFFSET 700""",
 )
 def _(spark, folder):
-    return rounded(portfolio.score_page(role(spark, folder, "predictions"), "all", AS_OF, 100, 700, shallow=0))
+    return rounded(portfolio.score_page(role(spark, folder, "predictions"), "all", AS_OF, 100, 700))
 
 
 @query(
@@ -1108,7 +1108,7 @@ def _(spark, folder):
 
 # ---------------------------------------------------------------- drift
 
-DRIFT_FEATURES = ["AMT_INCOME_TOTAL", "DAYS_BIRTH", "EXT_SOURCE_1", "bureau_loan_count"]
+DRIFT_FEATURES = drift.WATCHED
 CUT = date(2000, 1, 1)
 
 
@@ -1123,13 +1123,13 @@ def _drift_sql() -> str:
         binned AS (SELECT feature, len(list_filter(e, lambda x: v > x)) AS bin, r, v, seen FROM long JOIN edges USING (feature)),
         totals AS (SELECT feature, COUNT(*) FILTER (WHERE r) AS nr, COUNT(*) FILTER (WHERE NOT r) AS nc FROM binned GROUP BY 1),
         shares AS (SELECT feature, bin, greatest(COUNT(*) FILTER (WHERE r) / MAX(nr), 1e-4) AS pr,
-                          greatest(COUNT(*) FILTER (WHERE NOT r) / MAX(nc), 1e-4) AS pc
+                          greatest(COUNT(*) FILTER (WHERE NOT r) / nullif(MAX(nc), 0), 1e-4) AS pc
                    FROM binned JOIN totals USING (feature) GROUP BY 1, 2),
-        psi AS (SELECT feature, SUM((pc - pr) * ln(pc / pr)) AS psi FROM shares GROUP BY 1),
+        psi AS (SELECT feature, CASE WHEN MAX(nc) > 0 THEN SUM((pc - pr) * ln(pc / pr)) ELSE 0 END AS psi FROM shares JOIN totals USING (feature) GROUP BY 1),
         per_value AS (SELECT feature, v, COUNT(*) FILTER (WHERE r) AS cr, COUNT(*) FILTER (WHERE NOT r) AS cc FROM long GROUP BY 1, 2),
         run AS (SELECT feature, SUM(cr) OVER w AS sr, SUM(cc) OVER w AS sc FROM per_value
                 WINDOW w AS (PARTITION BY feature ORDER BY v)),
-        ks AS (SELECT feature, MAX(abs(sr::DOUBLE / nr - sc::DOUBLE / nc)) AS ks FROM run JOIN totals USING (feature) GROUP BY 1),
+        ks AS (SELECT feature, MAX(abs(sr::DOUBLE / nr - sc::DOUBLE / nullif(nc, 0))) AS ks FROM run JOIN totals USING (feature) GROUP BY 1),
         report AS (SELECT feature, psi, ks, psi >= 0.1 AS drifted,
                CASE WHEN psi < 0.1 THEN 'Stable' WHEN psi <= 0.2 THEN 'Warning' ELSE 'Alert' END AS status,
                nr AS n_reference, nc AS n_current FROM psi JOIN ks USING (feature) JOIN totals USING (feature))"""
@@ -1266,13 +1266,15 @@ def _(spark, folder):
 def _(spark, folder):
     recent = drift.recent_scores(role(spark, folder, "predictions"), datetime(2024, 1, 30))
     rows = drift.current_features(recent, role(spark, folder, "application"), ID_COLUMN, ["AMT_INCOME_TOTAL"])
-    return rounded(rows.agg(F.count(F.lit(1)).alias("n"), F.avg("AMT_INCOME_TOTAL").alias("mean_income")))
+    income, n = F.col("AMT_INCOME_TOTAL"), F.col(drift.WEIGHT)
+    return rounded(rows.agg(F.sum(n).alias("n"), (F.sum(income * n) / F.sum(F.when(income.isNotNull(), n))).alias("mean_income")))
 
 
 @query(
     "drift_reference",
     f"""{with_roles('drift_rows')}, r AS (SELECT *, row_number() OVER (ORDER BY SK_ID_CURR) AS i, COUNT(*) OVER () AS n FROM drift_rows)
-        SELECT round(AMT_INCOME_TOTAL + 1e-7, 4) AS AMT_INCOME_TOTAL, DAYS_BIRTH, round(EXT_SOURCE_1 + 1e-7, 4) AS EXT_SOURCE_1, bureau_loan_count
+        SELECT round(AMT_INCOME_TOTAL + 1e-7, 4) AS AMT_INCOME_TOTAL, DAYS_BIRTH, round(EXT_SOURCE_1 + 1e-7, 4) AS EXT_SOURCE_1,
+            round(EXT_SOURCE_2 + 1e-7, 4) AS EXT_SOURCE_2, round(EXT_SOURCE_3 + 1e-7, 4) AS EXT_SOURCE_3, bureau_loan_count, debt_to_credit_ratio
         FROM r WHERE i <= CAST(floor(n * 0.8e0) AS BIGINT)""",
 )
 def _(spark, folder):

@@ -126,7 +126,10 @@ ROLE_SQL = {
         SELECT o_orderkey AS SK_ID_CURR, o_totalprice AS AMT_INCOME_TOTAL,
                CAST(-(7000 + (o_orderkey * 37) % 18000) AS DOUBLE) AS DAYS_BIRTH,
                CASE WHEN o_orderkey % 6 = 0 THEN NULL ELSE (o_totalprice / 1000e0) END AS EXT_SOURCE_1,
+               (o_orderkey * 7919 % 1000) / 1000e0 * CASE WHEN o_orderdate < DATE '2000-01-01' THEN 1e0 ELSE 0.7e0 END AS EXT_SOURCE_2,
+               (o_orderkey * 104729 % 1000) / 1000e0 + CASE WHEN o_orderdate < DATE '2000-01-01' THEN 0e0 ELSE 0.12e0 END AS EXT_SOURCE_3,
                CAST(o_orderkey % 12 AS DOUBLE) AS bureau_loan_count,
+               CASE WHEN o_orderdate < DATE '2000-01-01' THEN (o_orderkey % 90) / 100e0 END AS debt_to_credit_ratio,
                CAST(o_orderdate AS DATE) AS seen
         FROM {orders}""",
     "runs": """

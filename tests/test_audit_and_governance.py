@@ -103,3 +103,17 @@ def test_empty_period(spark):
     scores = spark.createDataFrame([], "risk_tier string, default_probability double, predicted_at timestamp")
     r = portfolio.portfolio_summary(scores, "6m", datetime(2024, 1, 1)).first()
     assert (r.total_predictions, r.tier_breakdown, r.high_risk_count, r.avg_default_probability) == (0, [], 0, 0.0)
+
+
+def test_an_applicant_scored_again_and_again(spark):
+    """One applicant holds a third of the scores: it is one row of the join, and the report equals that of a row per score."""
+    master = spark.range(400).selectExpr("id AS SK_ID_CURR", "cast(id % 89 as double) AS x", "CASE WHEN id % 3 > 0 THEN cast(id as double) END AS y")
+    recent = spark.range(3000).selectExpr("CASE WHEN id % 3 = 0 THEN 7 ELSE id * id % 300 END AS application_id")
+    weighted = drift.current_features(recent, master, "SK_ID_CURR", ["x", "y"])
+    assert weighted.count() == recent.distinct().count() and weighted.agg(F.sum(drift.WEIGHT)).first()[0] == 3000
+    rows = recent.join(master, recent.application_id == master.SK_ID_CURR).select("x", "y")
+    got, wanted = (sorted(tuple(r) for r in drift.drift_report(master, current, ["x", "y", "gone"], date(2024, 1, 1)).collect()) for current in (weighted, rows))
+    assert got == [tuple(pytest.approx(v) if isinstance(v, float) else v for v in r) for r in wanted]
+    assert [(r[0], r[1], r[2], r[3], r[4], r[6]) for r in got if r[0] == "gone"] == [("gone", 0.0, None, False, "Stable", 0)]
+    assert drift.drift_report(master, weighted.limit(0), ["x"], date(2024, 1, 1)) is None
+    assert drift.enough_rows(weighted.where("n_scores > 900")) and not drift.enough_rows(spark.range(9))

@@ -84,7 +84,7 @@ def test_deep_pages_with_one_shared_time(spark):
     for offset in (0, 13, 599, 600, 601, 890, 899, 900, 5000):
         wanted = [r[0] for r in order[offset : offset + 20]]
         assert [r.id for r in O.seek_page(df, "ts", "id", 20, offset).collect()] == wanted
-        assert [r.id for r in O.seek_page(df, "ts", "id", 20, offset, shallow=-1).collect()] == wanted
+        assert [r.id for r in O.seek_page(df, "ts", "id", 20, offset, skipped=3).collect()] == wanted
     with pytest.raises(ValueError):
         O.seek_page(df, "ts", "id", 1001, 0)
     with pytest.raises(ValueError):
