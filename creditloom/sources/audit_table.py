@@ -127,7 +127,8 @@ class AuditTable:
         """Write rows as files of a load of their own; returns their snapshot rows."""
         name = f"{load}-{uuid.uuid4().hex}"
         timed = F.when(F.col("predicted_at").isNull(), F.raise_error(F.lit("a score has no time"))).otherwise(F.col("predicted_at"))
-        order = ["predicted_date", F.unix_micros("predicted_at").desc(), "id"]
+        # the partition columns come first, as the writer would else sort by them once more and lose the order inside
+        order = [*PARTITIONS, F.unix_micros("predicted_at").desc(), "id"]
         # the rows may be dear to compute, and cutting them into ranges reads them twice
         staged = f"{self.path}/_staging/{name}"
         rows.withColumns({"predicted_at": timed, "source": F.lit(source), "load": F.lit(name)}).write.parquet(staged)
