@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from creditloom.functions.scalars import AGE_BINS, age_bucket, age_years
-from creditloom.operators.ordering import ROWS_PER_RANGE, order_statistics, running_totals
+from creditloom.operators.ordering import FAN, ROWS_PER_RANGE, order_statistics, running_totals
 from creditloom.runtime import small_table
 
 # fixed values: four-fifths rule, default cut-off, age that splits the reweighing groups
@@ -20,7 +20,7 @@ REWEIGH_AGE = 45
 
 
 def score_curve(
-    df: DataFrame, label: str = "y", score: str = "score", rows_per_range: int = ROWS_PER_RANGE
+    df: DataFrame, label: str = "y", score: str = "score", rows_per_range: int = ROWS_PER_RANGE, fan: int = FAN
 ) -> tuple[DataFrame, int, int]:
     """One row per distinct score with class counts and running class counts, plus the totals.
 
@@ -33,16 +33,16 @@ def score_curve(
         .groupBy(F.col(score).cast("double").alias("score"))
         .agg(F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg"))
     )
-    curve = running_totals(per_score, "score", ["pos", "neg"], rows_per_range=rows_per_range)
+    curve = running_totals(per_score, "score", ["pos", "neg"], rows_per_range=rows_per_range, fan=fan)
     totals = curve.totals.get(0, {"pos": 0, "neg": 0})
     return curve.rows, totals["pos"], totals["neg"]
 
 
 def rank_metrics(
-    df: DataFrame, label: str = "y", score: str = "score", rows_per_range: int = ROWS_PER_RANGE
+    df: DataFrame, label: str = "y", score: str = "score", rows_per_range: int = ROWS_PER_RANGE, fan: int = FAN
 ) -> DataFrame:
     """AUC (ties count half), Gini and KS as one row; null where a class is empty."""
-    curve, n_pos, n_neg = score_curve(df, label, score, rows_per_range)
+    curve, n_pos, n_neg = score_curve(df, label, score, rows_per_range, fan)
     p, n = F.lit(float(n_pos)), F.lit(float(n_neg))
     below = F.col("cum_neg") - F.col("neg")
     wins = F.sum(F.col("pos") * (below + F.col("neg") / F.lit(2.0)))

@@ -2,8 +2,8 @@
 
 A window with no partition columns moves every row into one task. The operators here cut the
 ordered values into ranges instead: a range is chosen by fixed bounds, so any pass (or a retry
-after a lost executor) puts a value into the same range. Only range totals meet on the driver,
-and their number is the number of ranges, not of rows.
+after a lost executor) puts a value into the same range. Ranges are cut level by level and their
+totals are added up level by level, so neither a task nor the driver holds more with more rows.
 """
 
 from __future__ import annotations
@@ -21,8 +21,10 @@ from creditloom.runtime import materialise, small_table
 
 # rows one task may order; tables up to this size use a single range
 ROWS_PER_RANGE = 1_000_000
-# bounds of more ranges than this would cost more than they save
-MAX_RANGES = 4_096
+# ranges that one range of a level is cut into; more ranges take more levels, so no list grows with the table
+FAN = 256
+# bounds compared in one step when a value looks for its range
+BOUNDS_PER_STEP = 16
 # quantile sketches only choose where to look; a wrong bracket costs time, never exactness
 SKETCH_K = 1024
 SKETCH_SPREAD = 64
@@ -31,8 +33,7 @@ BRACKET_STEPS = 3
 
 
 def range_bounds(df: DataFrame, value: str, ranges: int) -> list[float]:
-    """Inner bounds that cut ``value`` into about equal ranges, at most ``MAX_RANGES`` of them."""
-    ranges = min(ranges, MAX_RANGES)
+    """Inner bounds that cut ``value`` into about equal ranges; they are held on the driver, so ``ranges`` must be a small number."""
     if ranges <= 1:
         return []
     found = quantile_grids(df.withColumn("_all", F.lit(0)), "_all", value, ranges)
@@ -42,16 +43,74 @@ def range_bounds(df: DataFrame, value: str, ranges: int) -> list[float]:
 def with_range(df: DataFrame, value: str, bounds: list[float], out: str = "range_no") -> DataFrame:
     """Add the range number of each value; nulls go to range -1."""
     if not bounds:
-        return df.withColumn(out, F.when(F.col(value).isNull(), -1).otherwise(0))
+        return df.withColumn(out, F.when(F.col(value).isNull(), -1).otherwise(0).cast("long"))
     cutter = Bucketizer(
         splits=[-math.inf, *bounds, math.inf], inputCol="_as_double", outputCol="_range",
         handleInvalid="keep",
     )
     cut = cutter.transform(df.withColumn("_as_double", F.col(value).cast("double")))
-    number = F.when(F.col(value).isNull(), -1).otherwise(F.col("_range").cast("int"))
+    number = F.when(F.col(value).isNull(), -1).otherwise(F.col("_range")).cast("long")
     return cut.withColumn(out, number).drop("_as_double", "_range")
 
 
+def with_ranges(df: DataFrame, value: str, ranges: int, fan: int = FAN) -> DataFrame:
+    """Add ``range_no``, which rises with ``value``; about ``ranges`` of them, of about equal size, -1 for nulls.
+
+    The first level is cut by at most ``fan`` bounds that the driver holds. Every further level cuts each range into ``fan`` again: one
+    aggregation sketches all ranges side by side, and their bounds stay in a stored table that is joined by range. It is stored because
+    sketches differ from run to run, and all passes must agree on the range of a value.
+    """
+    out, reached = with_range(df, value, range_bounds(df, value, min(ranges, fan))), fan
+    while reached < ranges:
+        step = min(fan, math.ceil(ranges / reached))
+        number = F.col(value).cast("double")
+        solid = out.where(F.col(value).isNotNull() & ~F.isnan(number))
+        inner = F.array_sort(F.array_distinct(F.slice("grid", 2, step - 1)))
+        cuts = _sketched(solid, "range_no", value, step).select(F.col("range_no").alias("_upper"), inner.alias("_cuts"))
+        blocks = F.transform(
+            F.sequence(F.lit(0), F.greatest(F.size("_cuts") - 1, F.lit(0)), F.lit(BOUNDS_PER_STEP)),
+            lambda i: F.slice("_cuts", i + 1, F.lit(BOUNDS_PER_STEP)),
+        )
+        cuts = materialise(cuts.select("_upper", blocks.alias("_blocks")), "range-cuts")
+        block = F.size(F.filter("_blocks", lambda b: F.get(b, F.lit(0)) <= number))
+        within = F.size(F.filter(F.get("_blocks", block - 1), lambda c: c <= number))
+        local = F.when(block > 0, (block - 1) * BOUNDS_PER_STEP + within).otherwise(0)
+        deeper = F.when(F.col("range_no") < 0, F.col("range_no")).otherwise(F.col("range_no") * step + F.coalesce(local, F.lit(0)))
+        out = out.join(cuts, F.col("range_no") == F.col("_upper"), "left").withColumn("range_no", deeper).drop("_upper", "_blocks")
+        reached *= step
+    return out
+
+
+def range_starts(sizes: DataFrame, sums: list[str], by: list[str], fan: int = FAN) -> DataFrame:
+    """For every range, the sums over all earlier ranges of its group, as ``_before_<name>``.
+
+    ``sizes`` has a row per (``by``, range_no). Ranges are added up in blocks of ``fan``, blocks of blocks and so on, until few are left,
+    so no window holds more than ``fan`` rows of a group, and nothing comes to the driver.
+    """
+    top = sizes.agg(F.max("range_no")).first()[0]
+
+    def before(table: DataFrame, last: int) -> DataFrame:
+        block = F.floor(F.col("range_no") / F.lit(fan)).cast("long")
+        up_to = Window.partitionBy(*by, "_block").orderBy("range_no").rowsBetween(Window.unboundedPreceding, -1)
+        local = table.withColumn("_block", block if last >= fan else F.lit(0)).withColumns(
+            {f"_before_{s}": F.coalesce(F.sum(s).over(up_to), F.lit(0)).cast(table.schema[s].dataType) for s in sums}
+        )
+        if last < fan:
+            return local.drop("_block")
+        blocks = local.groupBy(*by, F.col("_block").alias("range_no")).agg(*[F.sum(s).cast(table.schema[s].dataType).alias(s) for s in sums])
+        upper = before(blocks, last // fan).select(
+            *[F.col(b).alias(f"_up_{b}") for b in by], F.col("range_no").alias("_up"), *[F.col(f"_before_{s}").alias(f"_add_{s}") for s in sums]
+        )
+        match = F.col("_block") == F.col("_up")
+        for b in by:
+            match &= F.col(b).eqNullSafe(F.col(f"_up_{b}"))
+        return local.join(upper, match).withColumns({f"_before_{s}": F.col(f"_before_{s}") + F.col(f"_add_{s}") for s in sums}).drop(
+            "_block", "_up", *[f"_up_{b}" for b in by], *[f"_add_{s}" for s in sums]
+        )
+
+    return before(sizes, -1 if top is None else top).drop(*sums)
+
+
 class RunningTotals(NamedTuple):
     rows: DataFrame
     totals: dict[object, dict[str, int]]
@@ -59,7 +118,7 @@ class RunningTotals(NamedTuple):
 
 def running_totals(
     df: DataFrame, value: str, sums: list[str], group: str | None = None,
-    rows_per_range: int = ROWS_PER_RANGE,
+    rows_per_range: int = ROWS_PER_RANGE, fan: int = FAN,
 ) -> RunningTotals:
     """Running sums in ascending ``value`` order, per group, over tables of any size.
 
@@ -75,13 +134,15 @@ def running_totals(
     per_group = {r[by]: r.asDict() for r in found.collect()}
     totals = {(g if group else 0): {s: r[s] for s in sums} for g, r in per_group.items()}
     n_rows = sum(r["_n"] for r in per_group.values())
-    cumulated = _ranged_sums if n_rows > rows_per_range else _window_sums
-    out = cumulated(stored, by, value, sums, math.ceil(n_rows / rows_per_range))
+    if n_rows > rows_per_range:
+        out = _ranged_sums(stored, by, value, sums, math.ceil(n_rows / rows_per_range), fan)
+    else:
+        out = _window_sums(stored, by, value, sums)
     keep = ([group] if group else []) + [value, *sums, *[f"cum_{s}" for s in sums]]
     return RunningTotals(out.select(*keep), totals)
 
 
-def _window_sums(stored: DataFrame, by, value: str, sums: list[str], _ranges: int = 1) -> DataFrame:
+def _window_sums(stored: DataFrame, by, value: str, sums: list[str]) -> DataFrame:
     parts = [by] if isinstance(by, str) else by
     window = Window.partitionBy(*parts).orderBy(F.col(value).asc_nulls_first()).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
@@ -89,48 +150,54 @@ def _window_sums(stored: DataFrame, by, value: str, sums: list[str], _ranges: in
     return stored.withColumns({f"cum_{s}": F.sum(s).over(window) for s in sums})
 
 
-def _ranged_sums(stored: DataFrame, by: str, value: str, sums: list[str], ranges: int) -> DataFrame:
-    ranged = with_range(stored, value, range_bounds(stored, value, ranges))
-    per_range = ranged.groupBy(by, "range_no").agg(*[F.sum(s).alias(s) for s in sums]).collect()
-    seen: dict[object, dict[str, int]] = defaultdict(lambda: dict.fromkeys(sums, 0))
-    before = []
-    for row in sorted(per_range, key=lambda r: r["range_no"]):
-        before.append((row[by], row["range_no"], *[seen[row[by]][s] for s in sums]))
-        for s in sums:
-            seen[row[by]][s] += row[s] or 0
-    schema = T.StructType(
-        [stored.schema[by], T.StructField("range_no", T.IntegerType())]
-        + [T.StructField(f"_before_{s}", stored.schema[s].dataType) for s in sums]
-    )
-    # one row per (group, range): ranges grow with rows / rows_per_range, far below any limit
-    shift = F.broadcast(small_table(stored.sparkSession, before, schema))
+def _ranged_sums(stored: DataFrame, by: str, value: str, sums: list[str], ranges: int, fan: int) -> DataFrame:
+    ranged = with_ranges(stored, value, ranges, fan)
+    sizes = materialise(ranged.groupBy(by, "range_no").agg(*[F.sum(s).alias(s) for s in sums]), "range-sums")
+    shift = range_starts(sizes, sums, [by], fan).withColumnsRenamed({by: "_r_by", "range_no": "_r_no"})
     local = _window_sums(ranged, [by, "range_no"], value, sums)
-    return local.join(shift, [by, "range_no"]).withColumns(
+    return local.join(shift, F.col(by).eqNullSafe(F.col("_r_by")) & (F.col("range_no") == F.col("_r_no"))).withColumns(
         {f"cum_{s}": F.col(f"cum_{s}") + F.col(f"_before_{s}") for s in sums}
     )
 
 
-def row_index(
-    df: DataFrame, key: str, out: str = "row_index", rows_per_range: int = ROWS_PER_RANGE
-) -> DataFrame:
-    """0-based position of each row in the order of a unique numeric ``key``."""
-    bounds = range_bounds(df, key, math.ceil(df.count() / rows_per_range))
-    ranged = with_range(df, key, bounds)
-    sizes = sorted((r["range_no"], r["count"]) for r in ranged.groupBy("range_no").count().collect())
-    starts, seen = [], 0
-    for number, size in sizes:
-        starts.append((number, seen))
-        seen += size
-    shift = small_table(df.sparkSession, starts, "range_no int, _start long")
-    local = F.row_number().over(Window.partitionBy("range_no").orderBy(key)) - 1
+def _numbered(ranged: DataFrame, order: list[Column], out: str, fan: int) -> DataFrame:
+    """0-based positions of rows whose ``range_no`` rises with the order."""
+    sizes = materialise(ranged.groupBy("range_no").agg(F.count(F.lit(1)).alias("_n")), "range-sizes")
+    starts = range_starts(sizes, ["_n"], [], fan)
+    local = F.row_number().over(Window.partitionBy("range_no").orderBy(*order)) - 1
     return (
         ranged.withColumn("_local", local)
-        .join(F.broadcast(shift), "range_no")
-        .withColumn(out, F.col("_start") + F.col("_local"))
-        .drop("range_no", "_local", "_start")
+        .join(starts, "range_no")
+        .withColumn(out, F.col("_before__n") + F.col("_local"))
+        .drop("range_no", "_local", "_before__n")
     )
 
 
+def row_index(
+    df: DataFrame, key: str, out: str = "row_index", rows_per_range: int = ROWS_PER_RANGE, fan: int = FAN
+) -> DataFrame:
+    """0-based position of each row in the order of a unique numeric ``key``."""
+    ranges = math.ceil(df.count() / rows_per_range)
+    if ranges <= 1:
+        whole = Window.partitionBy("_all").orderBy(F.col(key).asc_nulls_first())
+        return df.withColumn("_all", F.lit(0)).withColumn(out, (F.row_number().over(whole) - 1).cast("long")).drop("_all")
+    return _numbered(with_ranges(df, key, ranges, fan), [F.col(key).asc_nulls_first()], out, fan)
+
+
+def text_index(
+    df: DataFrame, key: str, out: str = "position", rows_per_range: int = ROWS_PER_RANGE, fan: int = FAN
+) -> DataFrame:
+    """The distinct texts of a column with their 0-based positions in byte order, as a stored table; nulls are left out.
+
+    Texts that begin alike cannot be told apart by a number, so the ranges are Spark's own range partitions of the distinct texts,
+    stored with their numbers before anything is counted.
+    """
+    distinct = materialise(df.select(key).where(F.col(key).isNotNull()).distinct(), "texts")
+    ranges = max(1, math.ceil(distinct.count() / rows_per_range))
+    ranged = distinct.repartitionByRange(ranges, key).withColumn("range_no", F.spark_partition_id().cast("long"))
+    return materialise(_numbered(materialise(ranged, "text-ranges"), [F.col(key)], out, fan), "text-index")
+
+
 def long_form(df: DataFrame, columns: list[str], *keep: Column) -> DataFrame:
     """Numeric columns as (name, value) rows without nulls, beside what is kept of their row."""
     cells = F.expr(
@@ -151,6 +218,11 @@ def quantile_grids(
     The first step is spread over ``SKETCH_SPREAD`` reducers per group, so no single reducer meets
     the sketches of every map task.
     """
+    return {r[group]: (r["n"], list(r["grid"])) for r in _sketched(df, group, value, steps).collect()}
+
+
+def _sketched(df: DataFrame, group: str, value: str, steps: int) -> DataFrame:
+    """What ``quantile_grids`` collects, as a table: group, n, grid."""
     spread = F.pmod(F.spark_partition_id(), F.lit(SKETCH_SPREAD)).alias("_spread")
     parts = (
         df.select(group, F.col(value).cast("double").alias("_v"), spread)
@@ -161,8 +233,7 @@ def quantile_grids(
     merged = parts.groupBy(group).agg(
         F.sum("n").alias("n"), F.kll_merge_agg_double("sketch", F.lit(SKETCH_K)).alias("sketch")
     )
-    rows = merged.select(group, "n", F.kll_sketch_get_quantile_double("sketch", grid).alias("grid"))
-    return {r[group]: (r["n"], list(r["grid"])) for r in rows.where("n > 0").collect()}
+    return merged.select(group, "n", F.kll_sketch_get_quantile_double("sketch", grid).alias("grid")).where("n > 0")
 
 
 def _brackets(sizes: dict, targets: dict) -> list[tuple[object, list[dict[str, float]]]]:

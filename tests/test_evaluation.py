@@ -22,9 +22,9 @@ def brute_auc(pairs):
     return sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
 
 
-@pytest.mark.parametrize("rows_per_range", [1_000_000, 20])
-def test_rank_metrics(df, rows_per_range):
-    r = E.rank_metrics(df, rows_per_range=rows_per_range).first()
+@pytest.mark.parametrize("rows_per_range,fan", [(1_000_000, 256), (20, 256), (20, 4)])
+def test_rank_metrics(df, rows_per_range, fan):
+    r = E.rank_metrics(df, rows_per_range=rows_per_range, fan=fan).first()
     pairs = [(y, s) for _, y, s, _ in ROWS]
     assert r.auc_roc == pytest.approx(brute_auc(pairs))
     assert r.gini == pytest.approx(2 * r.auc_roc - 1)

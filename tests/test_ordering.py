@@ -50,10 +50,14 @@ def test_missed_bracket_is_still_exact(df, monkeypatch):
     assert O.order_statistics(df, "u", lambda g, n: [1234, 2000], None, 300)[0] == {1234: values[1234], 2000: values[2000]}
 
 
-@pytest.mark.parametrize("rows_per_range", [1_000_000, 100])
-def test_running_totals(df, rows_per_range):
+# one range; one level of ranges; three levels
+LEVELS = [(1_000_000, 256), (100, 256), (20, 8)]
+
+
+@pytest.mark.parametrize("rows_per_range,fan", LEVELS)
+def test_running_totals(df, rows_per_range, fan):
     per_value = df.groupBy("g", "hot").agg(F.count(F.lit(1)).alias("n"))
-    got = O.running_totals(per_value, "hot", ["n"], "g", rows_per_range)
+    got = O.running_totals(per_value, "hot", ["n"], "g", rows_per_range, fan)
     rows = {(r.g, r.hot): r.cum_n for r in got.rows.collect()}
     for g in "ab":
         mine = [r[1] for r in ROWS if r[3] == g]
@@ -63,12 +67,36 @@ def test_running_totals(df, rows_per_range):
             assert rows[(g, v)] == below
 
 
-@pytest.mark.parametrize("rows_per_range", [1_000_000, 100])
-def test_row_index(df, rows_per_range):
-    got = O.row_index(df.select((F.col("id") * 3 - 5).alias("id")), "id", rows_per_range=rows_per_range)
+@pytest.mark.parametrize("rows_per_range,fan", LEVELS)
+def test_row_index(df, rows_per_range, fan):
+    got = O.row_index(df.select((F.col("id") * 3 - 5).alias("id")), "id", rows_per_range=rows_per_range, fan=fan)
     assert sorted((r.id, r.row_index) for r in got.collect()) == [(i * 3 - 5, i) for i in range(N)]
 
 
+def test_levels_of_ranges_stay_even_and_in_order(df):
+    far = df.select((F.pow(F.col("u"), 9) * 1e9).alias("v")).unionByName(df.select(F.lit(None).cast("double").alias("v")).limit(3))
+    got = O.with_ranges(far, "v", 200, 8).groupBy("range_no").agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+    ranges = sorted(got.collect(), key=lambda r: r.range_no)
+    assert (ranges[0].range_no, ranges[0].n) == (-1, 3)
+    assert all(a.high < b.low for a, b in zip(ranges[1:], ranges[2:]))
+    assert len(ranges) > 150 and max(r.n for r in ranges) < 10 * N / 200
+
+
+def test_starts_of_ranges_add_up_block_by_block(spark):
+    rows = [(g, r, r * r % 7 + 1) for g in ("a", "b", None) for r in range(-1, 600) if r % 11]
+    starts = O.range_starts(spark.createDataFrame(rows, "g string, range_no long, n long"), ["n"], ["g"], 5)
+    want = {(g, r): sum(n for h, q, n in rows if h == g and q < r) for g, r, _ in rows}
+    assert {(r.g, r.range_no): r._before_n for r in starts.collect()} == want
+
+
+def test_text_index_is_byte_order(spark):
+    texts = ["", "a", "b\u00e9", "b", "B", "\uffee", "\U0001f600"] + [f"same-long-start-{i:05d}" for i in range(2000)]
+    df = spark.createDataFrame([(t,) for t in [*texts, *texts[:50], None]], "t string")
+    got = {r.t: r.position for r in O.text_index(df, "t", rows_per_range=30, fan=4).collect()}
+    assert got == {t: i for i, t in enumerate(sorted(set(texts), key=str.encode))}
+    assert O.text_index(df.limit(0), "t").count() == 0
+
+
 def test_split_and_folds(df):
     train = O.temporal_split(df, "id").where("split = 'train'")
     assert (train.count(), train.agg(F.max("id")).first()[0]) == (int(N * 0.8), int(N * 0.8) - 1)
