@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creditloom.operators.evaluation import rank_metrics
-from creditloom.operators.ordering import TIME_FOLDS, time_folds
+from creditloom.operators.ordering import ROWS_PER_RANGE, TIME_FOLDS, text_index, time_folds
 from creditloom.runtime import materialise, small_table
 
 # fixed values: tuned settings of the boosted trees that Spark's learner also has
@@ -41,9 +41,17 @@ SEARCH_RANGES = {
 }
 TRIALS = 30
 
+# a dictionary of categories up to this size is broadcast whole
+DICTIONARY_BYTES = 32 << 20
+# of a larger one, values with at least one row in so many, each up to so many bytes; rows without a value to look up get one of so many salts
+HOT_PARTS, HOT_BYTES, SALTS = 1_000, 10_000, 1_024
+
 
 def fit_ordinal(df: DataFrame, columns: list[str]) -> list[Transformer]:
-    """Sorted categories to 0..k-1; unseen and null become -1. Output columns end in ``_code``."""
+    """Sorted categories to 0..k-1; unseen and null become -1. Output columns end in ``_code``.
+
+    For a model, which carries its categories with it; a column with more of them than a model should carry goes through ``ordinal_encode``.
+    """
     if not columns:
         return []
     indexer = StringIndexer(
@@ -58,11 +66,44 @@ def fit_ordinal(df: DataFrame, columns: list[str]) -> list[Transformer]:
     return [model, SQLTransformer(statement=f"SELECT *, {codes} FROM __THIS__")]
 
 
-def ordinal_encode(df: DataFrame, columns: list[str], fitted_on: DataFrame | None = None) -> DataFrame:
-    out = df
-    for stage in fit_ordinal(df if fitted_on is None else fitted_on, columns):
-        out = stage.transform(out)
-    return out.drop(*[f"_{c}_index" for c in columns])
+def ordinal_encode(
+    df: DataFrame, columns: list[str], fitted_on: DataFrame | None = None, broadcast_bytes: int = DICTIONARY_BYTES,
+    rows_per_range: int = ROWS_PER_RANGE,
+) -> DataFrame:
+    """Sorted categories to 0..k-1 in ``<column>_code``, for any number of categories; unseen and null become -1.
+
+    The categories of each column become a stored table with their positions, which is joined back; none of them comes to the driver.
+    """
+    source = df if fitted_on is None else fitted_on
+    for c in columns:
+        codes = text_index(source.select(F.col(c).cast("string").alias("_category")), "_category", "_position", rows_per_range)
+        df = _with_code(df, F.col(c).cast("string"), codes, f"{c}_code", broadcast_bytes)
+    return df
+
+
+def _with_code(df: DataFrame, text: Column, codes: DataFrame, out: str, broadcast_bytes: int) -> DataFrame:
+    """Join positions to the rows: a dictionary of few bytes is broadcast; of a larger one the frequent values are, and the others are shuffled.
+
+    A row whose value is frequent or null has no key left for the second join; a salt spreads such rows, so they do not meet in one task.
+    """
+    size = codes.agg(F.coalesce(F.sum(F.octet_length("_category") + 16), F.lit(0))).first()[0]
+    if size <= broadcast_bytes:
+        found = df.join(F.broadcast(codes), text == F.col("_category"), "left")
+        return found.withColumn(out, F.coalesce("_position", F.lit(-1)).cast("double")).drop("_category", "_position")
+    counts = materialise(df.groupBy(text.alias("_value")).agg(F.count(F.lit(1)).alias("_n")), "category-counts")
+    n_rows = counts.agg(F.sum("_n")).first()[0] or 0
+    # at most HOT_PARTS rows, each of at most HOT_BYTES
+    frequent = counts.where((F.col("_n") * HOT_PARTS >= n_rows) & (F.octet_length("_value") <= HOT_BYTES))
+    hot = frequent.join(codes, F.col("_value") == F.col("_category"), "left").select(
+        F.col("_value").alias("_hot"), F.coalesce("_position", F.lit(-1)).alias("_hot_position")
+    )
+    rows = df.join(F.broadcast(materialise(hot, "frequent-categories")), text == F.col("_hot"), "left")
+    rows = rows.withColumn("_rest", F.when(F.col("_hot").isNull(), text))
+    salt = F.when(F.col("_rest").isNull(), F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)) + 1).otherwise(0)
+    rare = codes.withColumn("_rare", F.lit(0).cast("long"))
+    joined = rows.withColumn("_salt", salt.cast("long")).join(rare, (F.col("_rest") == F.col("_category")) & (F.col("_salt") == F.col("_rare")), "left")
+    code = F.coalesce("_hot_position", "_position", F.lit(-1)).cast("double")
+    return joined.withColumn(out, code).drop("_hot", "_hot_position", "_rest", "_salt", "_rare", "_category", "_position")
 
 
 def feature_stages(df: DataFrame, numeric: list[str], categories: list[str], scale: bool = False) -> list[Transformer]:

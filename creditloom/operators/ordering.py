@@ -89,10 +89,10 @@ def range_starts(sizes: DataFrame, sums: list[str], by: list[str], fan: int = FA
     """
     top = sizes.agg(F.max("range_no")).first()[0]
 
-    def before(table: DataFrame, last: int) -> DataFrame:
-        block = F.floor(F.col("range_no") / F.lit(fan)).cast("long")
+    def before(table: DataFrame, last: int, shift: int = 0) -> DataFrame:
+        block = F.floor((F.col("range_no") + shift) / F.lit(fan)).cast("long")
         up_to = Window.partitionBy(*by, "_block").orderBy("range_no").rowsBetween(Window.unboundedPreceding, -1)
-        local = table.withColumn("_block", block if last >= fan else F.lit(0)).withColumns(
+        local = table.withColumn("_block", block).withColumns(
             {f"_before_{s}": F.coalesce(F.sum(s).over(up_to), F.lit(0)).cast(table.schema[s].dataType) for s in sums}
         )
         if last < fan:
@@ -108,7 +108,8 @@ def range_starts(sizes: DataFrame, sums: list[str], by: list[str], fan: int = FA
             "_block", "_up", *[f"_up_{b}" for b in by], *[f"_add_{s}" for s in sums]
         )
 
-    return before(sizes, -1 if top is None else top).drop(*sums)
+    # the range of nulls is -1
+    return before(sizes, 0 if top is None else top + 1, 1).drop("_block", *sums)
 
 
 class RunningTotals(NamedTuple):
@@ -177,10 +178,12 @@ def row_index(
     df: DataFrame, key: str, out: str = "row_index", rows_per_range: int = ROWS_PER_RANGE, fan: int = FAN
 ) -> DataFrame:
     """0-based position of each row in the order of a unique numeric ``key``."""
-    ranges = math.ceil(df.count() / rows_per_range)
+    size = df.agg(F.count(F.lit(1)).alias("n"), F.count(key).alias("keyed")).first()
+    ranges = math.ceil(size["n"] / rows_per_range)
     if ranges <= 1:
-        whole = Window.partitionBy("_all").orderBy(F.col(key).asc_nulls_first())
-        return df.withColumn("_all", F.lit(0)).withColumn(out, (F.row_number().over(whole) - 1).cast("long")).drop("_all")
+        local = F.row_number().over(Window.partitionBy("range_no").orderBy(key)) - 1
+        start = F.when(F.col("range_no") < 0, 0).otherwise(size["n"] - size["keyed"])
+        return with_range(df, key, []).withColumn(out, (local + start).cast("long")).drop("range_no")
     return _numbered(with_ranges(df, key, ranges, fan), [F.col(key).asc_nulls_first()], out, fan)
 
 
@@ -193,7 +196,10 @@ def text_index(
     stored with their numbers before anything is counted.
     """
     distinct = materialise(df.select(key).where(F.col(key).isNotNull()).distinct(), "texts")
-    ranges = max(1, math.ceil(distinct.count() / rows_per_range))
+    ranges = math.ceil(distinct.count() / rows_per_range)
+    if ranges <= 1:
+        whole = Window.partitionBy(F.lit(0)).orderBy(key)
+        return materialise(distinct.withColumn(out, (F.row_number().over(whole) - 1).cast("long")), "text-index")
     ranged = distinct.repartitionByRange(ranges, key).withColumn("range_no", F.spark_partition_id().cast("long"))
     return materialise(_numbered(materialise(ranged, "text-ranges"), [F.col(key)], out, fan), "text-index")
 

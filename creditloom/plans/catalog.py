@@ -761,6 +761,16 @@ def _(spark, folder):
     return ordering.row_index(table(spark, folder, "orders").select("o_orderkey"), "o_orderkey")
 
 
+@query(
+    "row_index_levels",
+    """SELECT key, row_number() OVER (ORDER BY key) - 1 AS row_index
+       FROM (SELECT DISTINCT l_orderkey * 100000 + l_partkey AS key FROM lineitem)""",
+)
+def _(spark, folder):
+    keys = table(spark, folder, "lineitem").select((F.col("l_orderkey") * 100000 + F.col("l_partkey")).alias("key")).distinct()
+    return ordering.row_index(keys, "key", rows_per_range=500, fan=64)
+
+
 @query(
     "temporal_split",
     """SELECT o_orderkey, CASE WHEN row_number() OVER (ORDER BY o_orderkey) <= CAST(floor(COUNT(*) OVER () * 0.8e0) AS BIGINT)
@@ -803,6 +813,18 @@ def _(spark, folder):
     return coded.select("SK_ID_BUREAU", "CREDIT_TYPE_code")
 
 
+@query(
+    "ordinal_encode_wide",
+    """SELECT event_id, CAST(COALESCE(p.code, -1) AS DOUBLE) AS props_code, CAST(COALESCE(t.code, -1) AS DOUBLE) AS event_type_code FROM events
+       LEFT JOIN (SELECT props, row_number() OVER (ORDER BY props) - 1 AS code FROM events WHERE value > 0 GROUP BY props) p USING (props)
+       LEFT JOIN (SELECT event_type, row_number() OVER (ORDER BY event_type) - 1 AS code FROM events WHERE value > 0 GROUP BY event_type) t USING (event_type)""",
+)
+def _(spark, folder):
+    events = table(spark, folder, "events").select("event_id", "props", "event_type", "value")
+    coded = models.ordinal_encode(events, ["props", "event_type"], events.where("value > 0"), broadcast_bytes=10_000, rows_per_range=500)
+    return coded.select("event_id", "props_code", "event_type_code")
+
+
 @query(
     "one_hot",
     with_roles("previous") + " SELECT SK_ID_PREV, "
@@ -843,6 +865,17 @@ def _(spark, folder):
     return rounded(evaluation.rank_metrics(role(spark, folder, "scored")), 6)
 
 
+@query(
+    "auc_gini_ks_levels",
+    f"""{with_roles('scored')}, {CURVE_SQL.format(score='score')}
+        SELECT round(SUM(pos * (cum_neg - neg + neg / 2e0)) / (MAX(p)::DOUBLE * MAX(n)) + 1e-9, 6) AS auc_roc,
+               round(2 * SUM(pos * (cum_neg - neg + neg / 2e0)) / (MAX(p)::DOUBLE * MAX(n)) - 1 + 1e-9, 6) AS gini,
+               round(MAX(abs(cum_pos::DOUBLE / p - cum_neg::DOUBLE / n)) + 1e-9, 6) AS ks_stat FROM curve""",
+)
+def _(spark, folder):
+    return rounded(evaluation.rank_metrics(role(spark, folder, "scored"), rows_per_range=100, fan=64), 6)
+
+
 @query(
     "roc_curve",
     f"""{with_roles('scored')}, {CURVE_SQL.format(score='score')}

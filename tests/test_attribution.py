@@ -153,6 +153,18 @@ def test_unseen_categories_get_minus_one(spark):
     assert [r.c_code for r in models.ordinal_encode(new, ["c"], seen).collect()] == [0.0, 2.0, -1.0, -1.0]
 
 
+def test_a_category_with_a_million_values(spark):
+    """A third of the rows share a value, others are null or unseen; the dictionary is too large to broadcast."""
+    n = 1_000_000
+    seen = spark.range(n, numPartitions=8).select(F.format_string("shop-%07d", "id").alias("c"))
+    value = F.when(F.col("id") % 3 == 0, F.lit("shop-0000007")).when(F.col("id") % 10 == 1, F.lit(None)).when(F.col("id") % 10 == 2, F.lit("zz"))
+    new = spark.range(300_000, numPartitions=8).withColumn("c", value.otherwise(F.format_string("shop-%07d", (F.col("id") * 7) % n)))
+    want = F.when(F.col("c").startswith("shop-"), F.substring("c", 6, 7).cast("double")).otherwise(-1.0)
+    got = models.ordinal_encode(new, ["c"], seen, broadcast_bytes=1 << 20, rows_per_range=200_000)
+    row = got.agg(F.count("*").alias("n"), F.count_distinct("id").alias("ids"), F.count_if(F.col("c_code") != want).alias("wrong")).first()
+    assert (got.columns, row.n, row.ids, row.wrong) == (["id", "c", "c_code"], 300_000, 300_000, 0)
+
+
 def test_search_settings_are_repeatable():
     assert models.draw_settings(1, 3) == models.draw_settings(1, 3) != models.draw_settings(2, 3)
     assert all(3 <= s["maxDepth"] <= 7 for s in models.draw_settings(1, 30))
