@@ -2,10 +2,12 @@
 
 Benchmark items become windows of ten words (a shorter item is one window). Their hashes form a set that is broadcast while
 its counted size is below a bound; beyond it Spark joins by shuffle. Documents are scanned window by window; a hash that
-hits is verified by comparing words. Words inside verified windows are hit.
+hits is verified by comparing words. Words inside verified windows are hit. A text is cut into blocks of words first, so that
+a window is accompanied by its block and not by its text: time and rows grow with the words of a text, however long it is.
 
 Null and empty texts have no words. Items without words give no window; items without an id mark words but are not listed.
 Results depend on the key columns and the text, so repeated rows get equal results, each its own row.
+Without items, or in an empty table of documents, nothing is hit. Other columns of any name do not matter and stay untouched.
 """
 
 from __future__ import annotations
@@ -13,13 +15,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from creditloom.llm.texts import lower_ascii, replacing, text_of
+from creditloom.llm.texts import lower_ascii, packed, text_of
 from creditloom.runtime import materialise
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 10
-#: Windows whose hashes and words may be broadcast: 64 MB or so.
-MAX_BROADCAST_WINDOWS = 500_000
+#: Windows whose hashes and words may be broadcast: 64 MB or so. Of more windows only the hashes are, up to the second bound: 128 MB or so.
+MAX_BROADCAST_WINDOWS, MAX_BROADCAST_HASHES = 500_000, 4_000_000
+#: Rows of a key and a digest that may be broadcast: 100 MB or so.
+MAX_BROADCAST_DOCUMENTS = 1_000_000
+#: Starts of windows in a block.
+BLOCK = 64
 
 
 def normal_words(text: Column) -> Column:
@@ -30,11 +36,12 @@ def _hash_at(words: Column, at: Column, size: int) -> Column:
     return F.xxhash64(F.lit(size), *(F.get(words, at + k) for k in range(size)))
 
 
-def _windows(words: Column, size: int) -> Column:
-    """Start, size and hash of every window of ``size`` words."""
+def _windows(words: Column, size: int, starts: int | None = None) -> Column:
+    """Start, size and hash of every window of ``size`` words; of the first ``starts`` only, if given."""
+    last = F.size(words) - size
     return F.when(
         F.size(words) >= size,
-        F.transform(F.sequence(F.lit(0), F.size(words) - size), lambda i: F.struct(i.alias("at"), F.lit(size).alias("size"), _hash_at(words, i, size).alias("hash"))),
+        F.transform(F.sequence(F.lit(0), last if starts is None else F.least(last, F.lit(starts - 1))), lambda i: F.struct(i.alias("at"), F.lit(size).alias("size"), _hash_at(words, i, size).alias("hash"))),
     ).otherwise(F.array().cast("array<struct<at:int,size:int,hash:bigint>>"))
 
 
@@ -49,8 +56,8 @@ def benchmark_windows(items: DataFrame, item_id: str = "item_id", text: str = "t
     windows = F.lit(None).cast("array<struct<at:int,size:int,hash:bigint>>")
     for size in sizes:
         windows = F.when(F.least(F.size("words"), F.lit(WINDOW)) == size, _windows(F.col("words"), size)).otherwise(windows)
-    found = worded.select("item", "words", F.explode(windows).alias("w"))
-    grams = found.select("item", "w.size", "w.hash", _words_of(F.col("words"), F.col("w.at"), F.col("w.size")).alias("gram")).distinct()
+    worded_windows = F.transform(windows, lambda w: F.struct(w["size"], w["hash"], _words_of(F.col("words"), w["at"], w["size"]).alias("gram")))
+    grams = worded.select("item", F.inline(worded_windows)).toDF("item", "size", "hash", "gram").distinct()
     return grams, sizes
 
 
@@ -59,16 +66,26 @@ def hits(docs: DataFrame, items: DataFrame, keys: tuple[str, ...] = ("doc_id",),
     grams, sizes = benchmark_windows(items)
     grams = materialise(grams, "benchmark-windows")
     known = grams.select("hash", "gram").distinct()
-    if known.count() <= MAX_BROADCAST_WINDOWS:
-        known = F.broadcast(known)
     body = text_of(f"`{text}`")
     worded = docs.select(*(F.col(f"`{k}`") for k in keys), F.md5(body).alias("_digest"), normal_words(body).alias("_words"))
-    windows = F.concat(*(_windows(F.col("_words"), n) for n in sizes)) if sizes else F.array().cast("array<struct<at:int,size:int,hash:bigint>>")
-    scanned = worded.select(*keys, "_digest", "_words", F.explode(windows).alias("_w")).select(*keys, "_digest", "_words", "_w.at", "_w.size", "_w.hash")
-    same = F.coalesce(_words_of(F.col("_words"), F.col("at"), F.col("size")) == F.col("gram"), F.lit(False))
-    found = materialise(
-        scanned.join(known, "hash").filter(same).select(*keys, "_digest", F.col("at").cast("int").alias("at"), "size", "hash", "gram"), "benchmark-hits"
+    blocks = F.transform(
+        F.sequence(F.lit(0), F.greatest(F.size("_words") - 1, F.lit(0)), F.lit(BLOCK)),
+        lambda i: F.struct(i.alias("base"), F.slice("_words", i + 1, F.lit(BLOCK + WINDOW - 1)).alias("words")),
     )
+    cut = worded.select(*keys, "_digest", F.explode(blocks).alias("_b")).select(*keys, "_digest", "_b.base", F.col("_b.words").alias("_words"))
+    windows = F.concat(*(_windows(F.col("_words"), n, BLOCK) for n in sizes)) if sizes else F.array().cast("array<struct<at:int,size:int,hash:bigint>>")
+    scanned = cut.select(*keys, "_digest", "base", "_words", F.explode(windows).alias("_w")).select(*keys, "_digest", "base", "_words", "_w.at", "_w.size", "_w.hash")
+    gram = _words_of(F.col("_words"), F.col("at"), F.col("size"))
+    place = (F.col("base") + F.col("at")).cast("int").alias("at")
+    n_known = known.count()
+    if n_known <= MAX_BROADCAST_WINDOWS:
+        same = F.coalesce(gram == F.col("gram"), F.lit(False))
+        verified = scanned.join(F.broadcast(known), "hash").filter(same).select(*keys, "_digest", place, "size", "hash", "gram")
+    else:
+        if n_known <= MAX_BROADCAST_HASHES:
+            scanned = scanned.join(F.broadcast(known.select("hash").distinct()), "hash", "left_semi")
+        verified = scanned.select(*keys, "_digest", place, "size", "hash", gram.alias("gram")).join(known, ["hash", "gram"], "left_semi")
+    found = materialise(verified, "benchmark-hits")
     places = F.array_distinct(F.flatten(F.transform(F.col("windows"), lambda w: F.sequence(w["at"], w["at"] + w["size"] - 1))))
     spans = found.groupBy(*keys, "_digest").agg(F.array_sort(F.collect_set(F.struct("at", "size"))).alias("windows"))
     spans = spans.withColumn("n_hit", F.size(places).cast("long"))
@@ -104,7 +121,8 @@ def report(docs: DataFrame, items: DataFrame, keys: tuple[str, ...] = ("doc_id",
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, keys: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
-    """The documents without a hit, with all their columns."""
-    marked = replacing(docs, _digest=F.md5(text_of(f"`{text}`")))
-    bad = hits(docs, items, keys, text).select(*keys, "_digest")
-    return _left(marked, bad, keys, "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
+    """The documents without a hit, with all their columns. Texts are only shuffled if the hit documents are too many to broadcast."""
+    rows = packed(docs, **{k: F.col(f"`{k}`") for k in keys}, _digest=F.md5(text_of(f"`{text}`")))
+    bad = materialise(hits(docs, items, keys, text).select(*keys, "_digest"), "contaminated")
+    few = bad.count() <= MAX_BROADCAST_DOCUMENTS
+    return _left(rows, F.broadcast(bad) if few else bad, keys, "left_anti").select("_whole.*")

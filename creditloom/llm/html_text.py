@@ -27,6 +27,8 @@ from pyspark.sql import DataFrame
 
 from creditloom.llm.tasks import map_rows
 
+#: What may hide the rest of a page: a comment, or an element whose content is no markup.
+OPENING = re.compile(r"<!--|<(script|style|textarea|title)\b", re.I)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SILENT = frozenset("head script style noscript template svg iframe object canvas".split())
 SKIPPED = SILENT | frozenset("nav header footer aside form button select textarea dialog menu".split())
@@ -128,8 +130,35 @@ class Tree(HTMLParser):
         self.open[-1].children.append(data)
 
 
+def _sound_comments(html: str) -> str:
+    """The page up to a comment that is never closed, without the short comments that close at once.
+
+    Marks of comments in raw text elements are no comments.
+    """
+    at, kept = 0, []
+    while found := OPENING.search(html, at):
+        end = None
+        if found[1]:
+            closing = re.compile(rf"</{found[1]}[\s/>]", re.I).search(html, found.end())
+            end = closing and closing.end()
+        elif short := re.compile("-?>").match(html, found.end()):
+            kept.append(html[at : found.start()])
+            at = short.end()
+            continue
+        elif (dashes := html.find("-->", found.end())) >= 0:
+            end = dashes + 3
+        else:
+            return "".join([*kept, html[at : found.start()]])
+        if end is None:
+            break
+        kept.append(html[at:end])
+        at = end
+    return "".join([*kept, html[at:]])
+
+
 def parse(html: str) -> Node:
-    """The body of a page. A tag cut off by the end of the page is left out."""
+    """The body of a page. A tag or comment cut off by the end of the page is left out."""
+    html = _sound_comments(html)
     cut = html.rfind("<")
     if cut >= 0 and ">" not in html[cut:] and re.match(r"<[a-zA-Z/!?]", html[cut:]):
         html = html[:cut]

@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from creditloom.llm.tasks import map_rows
-from creditloom.llm.texts import LOWER, UPPER, replacing, text_of
+from creditloom.llm.texts import LOWER, UPPER, packed, text_of
 from creditloom.runtime import materialise
 
 SHINGLE = 5
@@ -264,6 +264,6 @@ def link(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar: i
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One document of each component, the one that names it; documents with an empty set stay. Rows that repeat its id and text stay with it."""
     keepers = link(docs, doc_id, text).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id"), "digest").distinct()
-    marked = replacing(docs, _digest=F.xxhash64(text_of(f"`{text}`")))
-    match = marked[f"`{doc_id}`"].eqNullSafe(keepers["_id"]) & (marked["_digest"] == keepers["digest"])
-    return marked.join(keepers, match, "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns))
+    marked = packed(docs, _doc=F.col(f"`{doc_id}`"), _digest=F.xxhash64(text_of(f"`{text}`")))
+    match = marked["_doc"].eqNullSafe(keepers["_id"]) & (marked["_digest"] == keepers["digest"])
+    return marked.join(keepers, match, "left_semi").select("_whole.*")

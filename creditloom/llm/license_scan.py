@@ -256,18 +256,6 @@ class Scanner:
         return sorted(notice for start, end, marked in blocks(text) for notice in self.notices(text, start, end, marked))
 
 
-def scan(self, text: str | None) -> list[tuple[int, int, str]]:
-        """Start, end and license of every confirmed block; a block may confirm several."""
-        text = text or ""
-        return [(start, end, name) for start, end in blocks(text) for name in self.names(text[start:end])]
-
-
-def scan(self, text: str | None) -> list[tuple[int, int, str]]:
-        """Start, end and license of every confirmed block; a block may confirm several."""
-        text = text or ""
-        return [(start, end, name) for start, end in blocks(text) for name in self.names(text[start:end])]
-
-
 def scan(df: DataFrame, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
     """``keep`` columns with the number of notices, the distinct licenses, and all notices as license:start:end."""
     def work(rows: Iterator[tuple]) -> Iterator[tuple]:

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from creditloom.llm.texts import BLANK_RUN, BLANKS, blank_words, replacing, text_of
+from creditloom.llm.texts import BLANK_RUN, BLANKS, blank_words, packed, replacing, text_of
 
 SYMBOLS = r"[#*$%&|<>]"
 BARS = r"[|\x{BB}\x{203A}\x{B7}]"
@@ -175,10 +175,11 @@ def judge(df: DataFrame, text: str = "text", rules: Rules = RULES) -> DataFrame:
 
 
 def clean(df: DataFrame, text: str = "text", rules: Rules = RULES) -> DataFrame:
-    """The documents that pass, without their failing lines.
+    """The documents that pass, without their failing lines; all other columns stay as they are, whatever their names.
 
     The row number keeps the filter above the judged columns; pushed below them, it would spell out every figure again wherever it is used.
     """
-    judged = replacing(judge(df, text, rules), _row=F.monotonically_increasing_id())
-    names = df.columns
-    return judged.filter(F.col("kept") & (F.col("_row") >= 0)).select(*(F.col("clean_text").alias(c) if c == text else F.col(f"`{c}`") for c in names))
+    judged = replacing(judge(packed(df, text, _text=F.col(f"`{text}`")), "_text", rules), _row=F.monotonically_increasing_id())
+    return judged.filter(F.col("kept") & (F.col("_row") >= 0)).select(
+        *(F.col("clean_text").alias(c) if c == text else F.col(f"_whole.`{c}`").alias(c) for c in df.columns)
+    )

@@ -31,6 +31,12 @@ def blank_words(text: Column) -> Column:
     return F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, BLANK_RUN))
 
 
+def packed(df: DataFrame, *left_out: str, **columns: Column) -> DataFrame:
+    """The columns of ``df`` in one struct ``_whole``, where no name can clash with the given new columns beside it."""
+    whole = [F.col(f"`{c}`") for c in df.columns if c not in left_out]
+    return df.select((F.struct(*whole) if whole else F.lit(None)).alias("_whole"), *(value.alias(name) for name, value in columns.items()))
+
+
 def replacing(df: DataFrame, **columns: Column) -> DataFrame:
     """``df`` with the given columns last; columns of the same names, in any case, give way to them."""
     taken = {name.lower() for name in columns}
