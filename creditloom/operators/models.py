@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creditloom.operators.evaluation import rank_metrics
-from creditloom.operators.ordering import ROWS_PER_RANGE, TIME_FOLDS, text_index, time_folds
+from creditloom.operators.ordering import ROWS_PER_RANGE, TIME_FOLDS, first_holdout_key, text_index, time_folds
 from creditloom.runtime import materialise, small_table
 
 # fixed values: tuned settings of the boosted trees that Spark's learner also has
@@ -40,6 +40,29 @@ SEARCH_RANGES = {
     "stepSize": (0.01, 0.1, "float"),
 }
 TRIALS = 30
+# fixed values: ranges of the second search, which also draws the weight of positives, and what it holds still
+SECOND_RANGES = {
+    "maxDepth": (3, 7, "int"),
+    "minInstancesPerNode": (1, 50, "int"),
+    "minInfoGain": (0.0, 1.0, "float"),
+    "positiveWeight": (1.0, 10.0, "float"),
+    "stepSize": (0.01, 0.1, "float"),
+}
+SECOND_FIXED = {"subsamplingRate": 0.8, "featureSubsetStrategy": "0.8", "maxIter": 500, "seed": 42}
+# fixed values: the settings that the second search led to
+SECOND_SETTINGS = {
+    "maxDepth": 5,
+    "minInstancesPerNode": 38,
+    "minInfoGain": 0.16691306730017352,
+    "positiveWeight": 5.586941175444759,
+    "stepSize": 0.06296893710250466,
+    "subsamplingRate": 0.8,
+    "featureSubsetStrategy": "0.8",
+    "maxIter": 2000,
+    "seed": 42,
+}
+# share of the newest training rows that early stopping watches
+LATE_SHARE = 0.1
 
 # a dictionary of categories up to this size is broadcast whole
 DICTIONARY_BYTES = 32 << 20
@@ -158,20 +181,30 @@ def probability_of_default(model_output: DataFrame, out: str = "score") -> DataF
     return model_output.withColumn(out, vector_to_array("probability")[1])
 
 
+def _parted(settings: dict | None) -> tuple[dict, float]:
+    """Settings of the learner, and the weight of positives, which goes into the rows."""
+    rest = dict(settings or {})
+    return rest, rest.pop("positiveWeight", POSITIVE_WEIGHT)
+
+
 def train_boosted(
     df: DataFrame, numeric: list[str], categories: list[str], label: str, settings: dict | None = None,
     weight: str | None = None, validation: Column | None = None,
 ) -> PipelineModel:
-    """Encode and fit boosted trees; ``validation`` marks rows kept for early stopping."""
+    """Encode and fit boosted trees; ``validation`` marks rows kept for early stopping.
+
+    ``settings`` are those of the learner; ``positiveWeight`` among them says how often a positive counts.
+    """
+    rest, factor = _parted(settings)
     stages = feature_stages(df, numeric, categories)
-    w = positive_weight(F.col(label), F.col(weight) if weight else None)
+    w = positive_weight(F.col(label), F.col(weight) if weight else None, factor)
     prepared = run_stages(df.withColumn("_weight", w), stages)
     columns = {"labelCol": label, "weightCol": "_weight"}
     if validation is not None:
         prepared = prepared.withColumn("_validation", validation)
         columns["validationIndicatorCol"] = "_validation"
     kept = ["features", label, "_weight"] + (["_validation"] if validation is not None else [])
-    fitted = gbt(settings, **columns).fit(materialise(prepared.select(*kept), "train"))
+    fitted = gbt(rest, **columns).fit(materialise(prepared.select(*kept), "train"))
     return PipelineModel(stages=[*stages, fitted])
 
 
@@ -231,27 +264,64 @@ def draw_settings(seed: int, trials: int = TRIALS, ranges: dict | None = None) -
     return out
 
 
+def fold_vectors(
+    df: DataFrame, numeric: list[str], categories: list[str], key: str, label: str, folds: int = TIME_FOLDS, late_share: float = LATE_SHARE,
+) -> list[DataFrame]:
+    """Per time fold one stored table: ``label``, the vector ``features``, and ``part``, which is train, late or test.
+
+    Late rows are the newest share of those before the test slice. Encoders see the rows before the test slice only.
+    """
+    sliced = materialise(time_folds(df.select(key, label, *numeric, *categories), key, folds), "search")
+    stored = []
+    for fold in range(1, folds + 1):
+        before = sliced.where(F.col("fold") < fold)
+        late = F.lit(False) if late_share <= 0 else F.col(key) >= F.lit(first_holdout_key(before, key, late_share))
+        part = F.when(F.col("fold") == fold, "test").when(late, "late").otherwise("train")
+        rows = run_stages(sliced.where(F.col("fold") <= fold), feature_stages(before, numeric, categories))
+        stored.append(materialise(rows.select(label, "features", part.alias("part")), "fold"))
+    return stored
+
+
+def fold_auc(stored: DataFrame, label: str, settings: dict, stop_early: bool) -> float | None:
+    """AUC on the test rows of one fold, of trees fitted on the rows before them."""
+    rest, factor = _parted(settings)
+    train = stored.where("part <> 'test'").select(
+        "features", label, positive_weight(F.col(label), factor=factor).alias("_weight"), (F.col("part") == "late").alias("_late")
+    )
+    columns = {"labelCol": label, "weightCol": "_weight", **({"validationIndicatorCol": "_late"} if stop_early else {})}
+    model = gbt(rest, **columns).fit(train)
+    tested = probability_of_default(model.transform(stored.where("part = 'test'"))).select(label, "score")
+    return rank_metrics(tested, label, "score").first()["auc_roc"]
+
+
 def random_search(
     df: DataFrame, numeric: list[str], categories: list[str], key: str, label: str, trials: int = TRIALS,
     folds: int = TIME_FOLDS, seed: int = 42, ranges: dict | None = None, fixed: dict | None = None,
-    parallel: int = 4,
+    parallel: int = 4, stop_early: bool = False, kept_share: float = 1.0,
 ) -> DataFrame:
-    """Mean time-fold AUC of every drawn setting, best first; trials run side by side."""
-    sliced = materialise(time_folds(df.select(key, label, *numeric, *categories), key, folds), "search")
+    """Mean time-fold AUC of every drawn setting, best first; trials run side by side, over one stored copy of each fold.
+
+    Each fold is a rung: after it, the best ``kept_share`` of the trials go on to the next one. ``folds`` says how many a trial has seen, and
+    trials that saw more stand first. ``stop_early`` ends a trial's boosting when the newest training rows gain no more.
+    """
+    stored = fold_vectors(df, numeric, categories, key, label, folds, LATE_SHARE if stop_early else 0.0)
+    drawn = draw_settings(seed, trials, ranges)
+    aucs: dict[int, list[float]] = {number: [] for number in range(trials)}
+    seen = dict.fromkeys(aucs, 0)
 
-    def one(item: tuple[int, dict]) -> tuple[int, str, float]:
-        number, settings = item
-        aucs = []
-        for fold in range(1, folds + 1):
-            train = sliced.where(F.col("fold") < fold)
-            model = train_boosted(train, numeric, categories, label, {**settings, **(fixed or {})})
-            tested = score_table(sliced.where(F.col("fold") == fold), model, [label])
-            auc = rank_metrics(tested, label, "score").first()["auc_roc"]
-            if auc is not None:
-                aucs.append(auc)
-        return number, json.dumps(settings, sort_keys=True), fmean(aucs) if aucs else float("nan")
+    def mean(number: int) -> float:
+        return fmean(aucs[number]) if aucs[number] else float("nan")
 
+    going = list(aucs)
     with ThreadPoolExecutor(parallel) as pool:
-        rows = list(pool.map(one, enumerate(draw_settings(seed, trials, ranges))))
-    table = small_table(df.sparkSession, rows, "trial int, settings string, mean_auc double")
-    return table.orderBy(F.desc("mean_auc"), "trial")
+        for rows in stored:
+            found = pool.map(lambda number: fold_auc(rows, label, {**drawn[number], **(fixed or {})}, stop_early), going)
+            for number, auc in zip(going, list(found)):
+                seen[number] += 1
+                if auc is not None:
+                    aucs[number].append(auc)
+            best = sorted(going, key=lambda number: (-mean(number) if aucs[number] else math.inf, number))
+            going = best[: max(1, math.ceil(len(best) * kept_share))]
+    rows = [(number, json.dumps(drawn[number], sort_keys=True), seen[number], mean(number)) for number in aucs]
+    table = small_table(df.sparkSession, rows, "trial int, settings string, folds int, mean_auc double")
+    return table.orderBy(F.desc("folds"), F.isnan("mean_auc"), F.desc("mean_auc"), "trial")

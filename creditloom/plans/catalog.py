@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -1129,6 +1130,20 @@ def _(spark, folder):
     return models.fold_table(master, scores, "logistic")
 
 
+@query(
+    "search_folds",
+    """SELECT fold, part, CASE part WHEN 'train' THEN old WHEN 'late' THEN before - old ELSE size END AS n
+       FROM (SELECT fold, part, n // 6 AS size, n - (6 - fold) * (n // 6) AS before,
+                    CAST(floor((n - (6 - fold) * (n // 6)) * (1 - 0.1e0)) AS BIGINT) AS old
+             FROM (SELECT COUNT(*) AS n FROM customer), (SELECT CAST(unnest(range(1, 6)) AS INT) AS fold), (SELECT unnest(['train', 'late', 'test']) AS part))""",
+)
+def _(spark, folder):
+    """What every trial of the search is fitted and tested on: rows by fold and part, as stored."""
+    stored = models.fold_vectors(stored_master(spark, folder), NUMERIC, CATEGORIES, ID_COLUMN, "TARGET")
+    counts = [rows.groupBy("part").agg(F.count(F.lit(1)).alias("n")).withColumn("fold", F.lit(i)) for i, rows in enumerate(stored, 1)]
+    return reduce(DataFrame.unionByName, counts).select("fold", "part", "n")
+
+
 @query("random_search")
 def _(spark, folder):
     master = stored_master(spark, folder)

@@ -165,6 +165,21 @@ def test_a_category_with_a_million_values(spark):
     assert (got.columns, row.n, row.ids, row.wrong) == (["id", "c", "c_code"], 300_000, 300_000, 0)
 
 
+def test_search_over_rungs(spark):
+    """All trials see the first fold, half of them the next, and so on; a trial that saw all folds has the mean of its own AUCs."""
+    rows = [(i, int((i * 37 % 100) + (i % 5) * 8 > 80), float(i * 37 % 100), "pq"[i % 2]) for i in range(1200)]
+    df = spark.createDataFrame(rows, "id long, y int, a double, c string")
+    fixed = {"maxIter": 3, "maxDepth": 2, "minInfoGain": 0.0, "subsamplingRate": 1.0, "featureSubsetStrategy": "all", "seed": 1}
+    found = models.random_search(
+        df, ["a"], ["c"], "id", "y", trials=4, folds=3, ranges=models.SECOND_RANGES, fixed=fixed, stop_early=True, kept_share=0.5
+    ).collect()
+    assert [r.folds for r in found] == [3, 2, 1, 1] and {r.trial for r in found} == {0, 1, 2, 3}
+    assert all(1.0 <= json.loads(r.settings)["positiveWeight"] <= 10.0 for r in found)
+    stored = models.fold_vectors(df, ["a"], ["c"], "id", "y", 3)
+    best = {**json.loads(found[0].settings), **fixed}
+    assert found[0].mean_auc == pytest.approx(sum(models.fold_auc(t, "y", best, True) for t in stored) / 3) and found[0].mean_auc > 0.8
+
+
 def test_search_settings_are_repeatable():
     assert models.draw_settings(1, 3) == models.draw_settings(1, 3) != models.draw_settings(2, 3)
     assert all(3 <= s["maxDepth"] <= 7 for s in models.draw_settings(1, 30))
