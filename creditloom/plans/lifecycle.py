@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from creditloom.functions.registry import ID_COLUMN, LABEL_COLUMN
 from creditloom.operators import attribution, drift, evaluation, governance, models, ordering
 from creditloom.operators.impute import ImputeProfile, align_to
-from creditloom.runtime import materialise, small_table
+from creditloom.runtime import materialise, scratch_scope, small_table
 from creditloom.sources.readers import path_exists, read_all_present, read_audit
 from creditloom.sources.schemas import METRIC_SCHEMA, MODEL_RUN_SCHEMA
 from creditloom.sources.writers import audit_rows, replace_source, write_drift_report
@@ -67,27 +67,28 @@ def train(
     run_id = uuid.uuid4().hex
     path = f"{registry.rstrip('/')}/models/{run_id}"
     needed = list(dict.fromkeys([ID_COLUMN, LABEL_COLUMN, "DAYS_BIRTH", *numeric, *categories]))
-    rows = table.select(*needed)
-    if fit_on == "train":
-        rows = ordering.temporal_split(rows, ID_COLUMN).where("split = 'train'").drop("split")
-    elif fit_on != "all":
-        raise ValueError("fit_on must be 'train' or 'all'")
-    rows = materialise(rows, "train-rows")
-    thresholds = None
-    if fair:
-        marked = ordering.temporal_split(rows, ID_COLUMN, 0.25)
-        fitting = marked.where("split = 'train'").drop("split")
-        weighted = evaluation.reweigh(fitting, LABEL_COLUMN, "DAYS_BIRTH", "fair_weight")
-        model = models.train_boosted(weighted, numeric, categories, LABEL_COLUMN, settings, "fair_weight")
-        held = materialise(
-            models.score_table(marked.where("split = 'holdout'"), model, [LABEL_COLUMN, "DAYS_BIRTH"]), "calibration"
-        )
-        rate = evaluation.youden(held, LABEL_COLUMN).first()["selection_rate"]
-        found = evaluation.group_thresholds(held, rate, "score", "DAYS_BIRTH")
-        thresholds = {r["bucket"]: r["threshold"] for r in found.collect()}
-    else:
-        model = models.train_boosted(rows, numeric, categories, LABEL_COLUMN, settings)
-    model.write().overwrite().save(path)
+    with scratch_scope(spark):
+        rows = table.select(*needed)
+        if fit_on == "train":
+            rows = ordering.temporal_split(rows, ID_COLUMN).where("split = 'train'").drop("split")
+        elif fit_on != "all":
+            raise ValueError("fit_on must be 'train' or 'all'")
+        rows = materialise(rows, "train-rows")
+        thresholds = None
+        if fair:
+            marked = ordering.temporal_split(rows, ID_COLUMN, 0.25)
+            fitting = marked.where("split = 'train'").drop("split")
+            weighted = evaluation.reweigh(fitting, LABEL_COLUMN, "DAYS_BIRTH", "fair_weight")
+            model = models.train_boosted(weighted, numeric, categories, LABEL_COLUMN, settings, "fair_weight")
+            held = materialise(
+                models.score_table(marked.where("split = 'holdout'"), model, [LABEL_COLUMN, "DAYS_BIRTH"]), "calibration"
+            )
+            rate = evaluation.youden(held, LABEL_COLUMN).first()["selection_rate"]
+            found = evaluation.group_thresholds(held, rate, "score", "DAYS_BIRTH")
+            thresholds = {r["bucket"]: r["threshold"] for r in found.collect()}
+        else:
+            model = models.train_boosted(rows, numeric, categories, LABEL_COLUMN, settings)
+        model.write().overwrite().save(path)
     info = {"numeric": numeric, "categories": categories, "settings": {**models.BEST_SETTINGS, **(settings or {})}}
     if imputer is not None:
         info["imputer"] = imputer.to_json()
@@ -147,18 +148,19 @@ def evaluate(table: DataFrame, registry: str, run_id: str, cutoff: float = evalu
     """Metrics of a run on the newest 20% of the applications, logged and returned as one row."""
     spark = table.sparkSession
     run, model = load_run(spark, registry, run_id)
-    holdout = ordering.temporal_split(table, ID_COLUMN).where("split = 'holdout'")
-    scored = materialise(
-        _scored(holdout, run, model, [LABEL_COLUMN, "DAYS_BIRTH"]).withColumnsRenamed(
-            {LABEL_COLUMN: "y", "DAYS_BIRTH": "days_birth"}
-        ),
-        "scored",
-    )
-    thresholds = None
-    if run["group_thresholds"]:
-        thresholds = small_table(spark, list(run["group_thresholds"].items()), "bucket string, threshold double")
-    metrics = materialise(evaluation.evaluate(scored, cutoff=cutoff, thresholds=thresholds), "metrics")
-    log_metrics(evaluation.tall_metrics(metrics, run["run_id"]).where("value IS NOT NULL"), registry)
+    with scratch_scope(spark):
+        holdout = ordering.temporal_split(table, ID_COLUMN).where("split = 'holdout'")
+        scored = materialise(
+            _scored(holdout, run, model, [LABEL_COLUMN, "DAYS_BIRTH"]).withColumnsRenamed(
+                {LABEL_COLUMN: "y", "DAYS_BIRTH": "days_birth"}
+            ),
+            "scored",
+        )
+        thresholds = None
+        if run["group_thresholds"]:
+            thresholds = small_table(spark, list(run["group_thresholds"].items()), "bucket string, threshold double")
+        metrics = materialise(evaluation.evaluate(scored, cutoff=cutoff, thresholds=thresholds), "metrics", keep=True)
+        log_metrics(evaluation.tall_metrics(metrics, run["run_id"]).where("value IS NOT NULL"), registry)
     return metrics
 
 
@@ -219,18 +221,19 @@ def watch_drift(
     """
     master = spark.read.parquet(table)
     names = [f for f in (features or drift.WATCHED) if f in master.columns]
-    since = F.lit(as_of) - F.expr(f"INTERVAL {drift.LOOKBACK_DAYS} DAYS")
-    current = drift.current_features(read_audit(spark, audit, since), master, ID_COLUMN, names)
-    reference = drift.reference_rows(master, ID_COLUMN, names)
-    day: date = as_of.date()
-    report = drift.drift_report(reference, current, names, day)
-    if report is None:
-        return None
-    stored = materialise(report, "drift")
-    write_drift_report(stored, reports)
-    runs = governance.read_runs(spark, _runs_path(registry))
-    live = governance.production_run(runs).first() if runs is not None else None
-    if live is not None:
-        log_metrics(drift.drift_metrics(stored, live["run_id"]), registry)
+    with scratch_scope(spark):
+        since = F.lit(as_of) - F.expr(f"INTERVAL {drift.LOOKBACK_DAYS} DAYS")
+        current = drift.current_features(read_audit(spark, audit, since), master, ID_COLUMN, names)
+        reference = drift.reference_rows(master, ID_COLUMN, names)
+        day: date = as_of.date()
+        report = drift.drift_report(reference, current, names, day)
+        if report is None:
+            return None
+        stored = materialise(report, "drift", keep=True)
+        write_drift_report(stored, reports)
+        runs = governance.read_runs(spark, _runs_path(registry))
+        live = governance.production_run(runs).first() if runs is not None else None
+        if live is not None:
+            log_metrics(drift.drift_metrics(stored, live["run_id"]), registry)
     return stored
 

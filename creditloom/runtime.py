@@ -4,6 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+from dataclasses import dataclass, field
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -57,13 +61,46 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/creditloom/{label}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
+@dataclass
+class Scratch:
+    """Paths that a block has written below the shared folder: those that go at its end, and those that outlive it."""
+
+    made: list[str] = field(default_factory=list)
+    kept: list[str] = field(default_factory=list)
+
+
+_SCRATCH: ContextVar[Scratch | None] = ContextVar("scratch", default=None)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[Scratch]:
+    """At the end of the block, also after an error, the copies go that ``materialise`` wrote in it and was not told to keep.
+
+    For jobs whose result is written by then. Kept copies belong to the block around this one, if there is one.
+    """
+    outer, scope = _SCRATCH.get(), Scratch()
+    token = _SCRATCH.set(scope)
+    try:
+        yield scope
+    finally:
+        _SCRATCH.reset(token)
+        if outer is not None:
+            outer.made.extend(scope.kept)
+        for path in scope.made:
+            hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+            hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
+def materialise(df: DataFrame, label: str = "stage", keep: bool = False) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Used where several passes must see the same rows: the lineage is cut, the copy outlives
-    lost executors, and later passes read only the columns they need.
+    lost executors, and later passes read only the columns they need. ``keep`` lets it outlive
+    the ``scratch_scope`` it is written in.
     """
     path = scratch_path(df.sparkSession, label)
+    if (scope := _SCRATCH.get()) is not None:
+        (scope.kept if keep else scope.made).append(path)
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

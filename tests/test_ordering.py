@@ -5,6 +5,7 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
+from creditloom import runtime as R
 from creditloom.operators import ordering as O
 
 random.seed(7)
@@ -123,3 +124,23 @@ def test_quantiles_interpolate(spark):
     df = spark.createDataFrame([(float(x),) for x in (1, 2, 10, 20)] + [(None,), (float("nan"),)], "x double")
     assert O.exact_quantiles(df, ["x"], [0.0, 0.25, 0.5, 1.0])["x"] == [1.0, 1.75, 6.0, 20.0]
     assert math.isclose(O.exact_quantiles(df, ["x"], [0.9])["x"][0], 17.0)
+
+
+def test_scratch_goes_with_its_block(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(R, "shared_dir", lambda _: str(tmp_path))
+
+    def listed():
+        return sorted(f.name.split("-")[0] for f in (tmp_path / "creditloom").iterdir() if not f.name.startswith("."))
+
+    with R.scratch_scope(spark):
+        with R.scratch_scope(spark):
+            inner = R.materialise(spark.range(5), "inner")
+            told = R.materialise(inner.selectExpr("id * 2 AS id"), "told", keep=True)
+        assert listed() == ["told"] and told.count() == 5
+    assert listed() == []
+    with pytest.raises(RuntimeError), R.scratch_scope(spark):
+        R.materialise(spark.range(5), "failed")
+        raise RuntimeError
+    assert listed() == []
+    R.materialise(spark.range(5), "outside")
+    assert listed() == ["outside"]
