@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from creditloom.runtime import materialise, small_table
+from creditloom.runtime import materialise, scratch_scope, small_table
 
 # rows one task may order; tables up to this size use a single range
 ROWS_PER_RANGE = 1_000_000
@@ -58,26 +58,31 @@ def with_ranges(df: DataFrame, value: str, ranges: int, fan: int = FAN) -> DataF
 
     The first level is cut by at most ``fan`` bounds that the driver holds. Every further level cuts each range into ``fan`` again: one
     aggregation sketches all ranges side by side, and their bounds stay in a stored table that is joined by range. It is stored because
-    sketches differ from run to run, and all passes must agree on the range of a value.
+    sketches differ from run to run, and all passes must agree on the range of a value. The rows are stored with the numbers of each level, so
+    that no level is worked out again for the next; those of the last level stay.
     """
     out, reached = with_range(df, value, range_bounds(df, value, min(ranges, fan))), fan
-    while reached < ranges:
-        step = min(fan, math.ceil(ranges / reached))
-        number = F.col(value).cast("double")
-        solid = out.where(F.col(value).isNotNull() & ~F.isnan(number))
-        inner = F.array_sort(F.array_distinct(F.slice("grid", 2, step - 1)))
-        cuts = _sketched(solid, "range_no", value, step).select(F.col("range_no").alias("_upper"), inner.alias("_cuts"))
-        blocks = F.transform(
-            F.sequence(F.lit(0), F.greatest(F.size("_cuts") - 1, F.lit(0)), F.lit(BOUNDS_PER_STEP)),
-            lambda i: F.slice("_cuts", i + 1, F.lit(BOUNDS_PER_STEP)),
-        )
-        cuts = materialise(cuts.select("_upper", blocks.alias("_blocks")), "range-cuts")
-        block = F.size(F.filter("_blocks", lambda b: F.get(b, F.lit(0)) <= number))
-        within = F.size(F.filter(F.get("_blocks", block - 1), lambda c: c <= number))
-        local = F.when(block > 0, (block - 1) * BOUNDS_PER_STEP + within).otherwise(0)
-        deeper = F.when(F.col("range_no") < 0, F.col("range_no")).otherwise(F.col("range_no") * step + F.coalesce(local, F.lit(0)))
-        out = out.join(cuts, F.col("range_no") == F.col("_upper"), "left").withColumn("range_no", deeper).drop("_upper", "_blocks")
-        reached *= step
+    if reached >= ranges:
+        return out
+    with scratch_scope(df.sparkSession):
+        while reached < ranges:
+            step = min(fan, math.ceil(ranges / reached))
+            number = F.col(value).cast("double")
+            solid = out.where(F.col(value).isNotNull() & ~F.isnan(number))
+            inner = F.array_sort(F.array_distinct(F.slice("grid", 2, step - 1)))
+            cuts = _sketched(solid, "range_no", value, step, max(1, SKETCH_SPREAD // reached)).select(F.col("range_no").alias("_upper"), inner.alias("_cuts"))
+            blocks = F.transform(
+                F.sequence(F.lit(0), F.greatest(F.size("_cuts") - 1, F.lit(0)), F.lit(BOUNDS_PER_STEP)),
+                lambda i: F.slice("_cuts", i + 1, F.lit(BOUNDS_PER_STEP)),
+            )
+            cuts = materialise(cuts.select("_upper", blocks.alias("_blocks")), "range-cuts")
+            block = F.size(F.filter("_blocks", lambda b: F.get(b, F.lit(0)) <= number))
+            within = F.size(F.filter(F.get("_blocks", block - 1), lambda c: c <= number))
+            local = F.when(block > 0, (block - 1) * BOUNDS_PER_STEP + within).otherwise(0)
+            deeper = F.when(F.col("range_no") < 0, F.col("range_no")).otherwise(F.col("range_no") * step + F.coalesce(local, F.lit(0)))
+            out = out.join(cuts, F.col("range_no") == F.col("_upper"), "left").withColumn("range_no", deeper).drop("_upper", "_blocks")
+            reached *= step
+            out = materialise(out, "ranged", keep=reached >= ranges)
     return out
 
 
@@ -178,6 +183,8 @@ def row_index(
     df: DataFrame, key: str, out: str = "row_index", rows_per_range: int = ROWS_PER_RANGE, fan: int = FAN
 ) -> DataFrame:
     """0-based position of each row in the order of a unique numeric ``key``."""
+    # every level passes over the rows again, and they may be dear to compute
+    df = materialise(df, "row-index")
     size = df.agg(F.count(F.lit(1)).alias("n"), F.count(key).alias("keyed")).first()
     ranges = math.ceil(size["n"] / rows_per_range)
     if ranges <= 1:
@@ -227,9 +234,9 @@ def quantile_grids(
     return {r[group]: (r["n"], list(r["grid"])) for r in _sketched(df, group, value, steps).collect()}
 
 
-def _sketched(df: DataFrame, group: str, value: str, steps: int) -> DataFrame:
-    """What ``quantile_grids`` collects, as a table: group, n, grid."""
-    spread = F.pmod(F.spark_partition_id(), F.lit(SKETCH_SPREAD)).alias("_spread")
+def _sketched(df: DataFrame, group: str, value: str, steps: int, reducers: int = SKETCH_SPREAD) -> DataFrame:
+    """What ``quantile_grids`` collects, as a table: group, n, grid. ``reducers`` share a group; many groups need but one each."""
+    spread = F.pmod(F.spark_partition_id(), F.lit(reducers)).alias("_spread")
     parts = (
         df.select(group, F.col(value).cast("double").alias("_v"), spread)
         .groupBy(group, "_spread")

@@ -144,3 +144,19 @@ def test_scratch_goes_with_its_block(spark, tmp_path, monkeypatch):
     assert listed() == []
     R.materialise(spark.range(5), "outside")
     assert listed() == ["outside"]
+
+
+def test_rows_and_levels_are_worked_out_once(spark):
+    """Passes over the rows read stored copies: the input once, and each level of ranges from the level before."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    rows = spark.range(3000).mapInPandas(counted, "id long")
+    got = O.row_index(rows, "id", rows_per_range=10, fan=8)
+    assert [r.row_index for r in got.orderBy("id").collect()] == list(range(3000))
+    assert seen.value == 3000
+    assert "BroadcastHashJoin" not in O.with_ranges(spark.range(3000), "id", 100, 8)._jdf.queryExecution().executedPlan().toString()
