@@ -1520,12 +1520,15 @@ def _(spark, folder):
 
 
 BATCHES = 3
+#: Events in a file of an arriving batch, about.
+EVENTS_PER_FILE = 100_000
 
 
 def arriving_events(spark, folder, late=False):
-    """The events as a folder of files in the order of their time, and the stream that reads one file per batch.
+    """The events as a folder of files in the order of their time, and the stream that reads a third of them per batch.
 
-    With ``late`` some early events of the first file come in the last one only.
+    With ``late`` some early events of the first batch come in the last one only. All batches have the same number of files, so that a count of
+    files is a batch: events dealt round by round leave none of them empty when there are so many for each.
     """
     events = table(spark, folder, "events")
     path = scratch_path(spark, "arriving")
@@ -1535,9 +1538,12 @@ def arriving_events(spark, folder, late=False):
     if late:
         early = F.col("ts") < F.lit(span["a"] + (span["b"] - span["a"]) / 6)
         number = F.when(early & (F.col("event_id") % 97 == 0), BATCHES - 1).otherwise(number)
-    for i in range(BATCHES):
-        events.where(number == i).coalesce(1).write.mode("append").parquet(path)
-    return online.read_table_stream(spark, path, events.schema, files_per_batch=1)
+    batches = [events.where(number == i) for i in range(BATCHES)]
+    sizes = {r["i"]: r["count"] for r in events.groupBy(number.alias("i")).count().collect()}
+    files = max(1, min(sizes.get(i, 0) for i in range(BATCHES)) // EVENTS_PER_FILE)
+    for batch in batches:
+        (batch.repartition(files) if files > 1 else batch.coalesce(1)).write.mode("append").parquet(path)
+    return online.read_table_stream(spark, path, events.schema, files_per_batch=files)
 
 
 def score_stream(spark, folder):

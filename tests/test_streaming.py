@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from creditloom.operators.impute import ImputeProfile
 from creditloom.operators.quality import conforming_requests
+from creditloom.plans import catalog
 from creditloom.sources.readers import read_audit, records_to_table
 from creditloom.sources.schemas import raw_schema, request_schema
 from creditloom.streaming import online
@@ -134,3 +135,35 @@ def test_closed_days_only(spark, tmp_path):
     stream = online.read_table_stream(spark, str(tmp_path / "s"), spark.createDataFrame([], schema).schema)
     got = {str(r.date): r.n for r in online.drain(online.daily_means(stream)).collect()}
     assert got == {"2024-01-01": 24, "2024-01-02": 24}
+
+
+def test_state_is_one_table_a_bucket(spark, tmp_path):
+    """Many keys share the state of few buckets, and every key is still answered on its own."""
+    start = datetime(2024, 1, 1)
+    random.seed(4)
+    rows = [(i, f"k{random.randint(0, 400)}", start + timedelta(seconds=random.randint(0, 20000))) for i in range(2500)]
+    cuts = [start, start + timedelta(seconds=7000), start + timedelta(seconds=13000), start + timedelta(days=1)]
+    parts = [[r for r in rows if a <= r[2] < b] for a, b in zip(cuts, cuts[1:])]
+    stream = stream_of(spark, str(tmp_path / "in"), parts, "id long, key string, ts timestamp")
+    out = str(tmp_path / "out")
+    query = online.run_to_end(rows_to_answer(stream, "key", "ts", "id", 3600, buckets=6), lambda b, _: b.write.mode("append").parquet(out))
+    got = [r.id for r in spark.read.parquet(out).collect()]
+    assert len(got) == len(set(got)) and set(got) == walked(rows)
+    assert max(s.numRowsTotal for p in query.recentProgress for s in p.stateOperators) == 6
+
+
+def test_many_files_make_the_same_batches(spark, tmp_path, monkeypatch):
+    start = datetime(2024, 1, 1)
+    rows = [(i, start + timedelta(minutes=i), i % 7, "view", 1.0, None) for i in range(900)]
+    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "events.parquet"))
+    monkeypatch.setattr(catalog, "EVENTS_PER_FILE", 20)
+    seen = {}
+
+    def handle(batch, number):
+        if found := [r.event_id for r in batch.collect()]:
+            seen[number] = sorted(found), batch.rdd.getNumPartitions()
+
+    stream = catalog.arriving_events(spark, str(tmp_path))
+    online.run_to_end(stream, handle)
+    assert [ids for ids, _ in seen.values()] == [[*range(300)], [*range(300, 600)], [*range(600, 900)]]
