@@ -11,12 +11,14 @@ Null ids come first; equal ids are ordered by their texts; a null or empty text
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -32,13 +34,25 @@ from creditloom.runtime import materialise, scratch_path
 MASK_DELTA = 0xA282EAD8
 END_ID = 1
 ENCODED_AT_ONCE = 64
-#: Distinct words a task keeps with their ids, 100 MB or so, and the longest that it keeps.
+#: Distinct words, and pieces of them, that a worker keeps with their ids, 100 MB or so each, and the longest that it keeps.
 KEPT_WORDS = 500_000
 KEPT_CHARS = 64
 #: New words that are encoded as one text.
 LEARNED_AT_ONCE = 1024
-#: Runs between ASCII blanks.
-WORD = re.compile(r"[^ \x09-\x0D]+")
+#: Words of visible ASCII and Latin-1 letters: they are in normal form, and their lower case and classes are the same for every library.
+PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+#: What the pre-tokenizer below finds in plain words of lower case.
+PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+#: The steps before the merges of models whose plain words ``PIECE`` cuts.
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+PRE_TOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": SPLIT}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
 
 
 def masked_crc(data: bytes) -> int:
@@ -92,35 +106,86 @@ def read_record(uri: str, number: int) -> bytes:
 
 
 class Encoder:
-    """Whole texts to ids with a tokenizer of the library; lives in a task.
+    """Whole texts to ids with a tokenizer of the library; lives in a worker process, which keeps it for its next task.
 
     With ``by_word`` the library encodes every distinct word once and its ids are kept, bounded in words and characters. That
-    gives the ids of the whole text only for a tokenizer whose pieces never hold or depend on a blank.
+    gives the ids of the whole text only for a tokenizer whose pieces never hold or depend on a blank. Many distinct words are
+    made of the same pieces, by case and marks around them; where the tokenizer's own steps say what a plain word's pieces are,
+    the library encodes distinct pieces, and words are put together from their ids.
     """
 
     def __init__(self, path: str, by_word: bool) -> None:
         from tokenizers import Tokenizer
 
         self.model, self.by_word = Tokenizer.from_file(path), by_word
-        self.known: dict[str, bytes] = {}  # ids of 32 bits
-
-    def _learn(self, words: list[str]) -> None:
+        self.known: dict[bytes, bytes] = {}  # words in UTF-8 and their ids of 32 bits
+        self.pieces: dict[str, bytes] = {}
+        self.last = self._last_ids() if by_word else None
+
+    def _last_ids(self) -> np.ndarray | None:
+        """By id, whether a token ends a piece; None unless plain words fall into the pieces of ``PIECE`` and each ends in such a token."""
+        steps = json.loads(self.model.to_str())
+        suffix = steps["model"].get("end_of_word_suffix")
+        rest = (steps["normalizer"], steps["pre_tokenizer"], steps["post_processor"], steps["truncation"], steps["padding"], steps["model"].get("dropout"))
+        if not suffix or rest != (NORMALIZER, PRE_TOKENIZER, None, None, None, None):
+            return None
+        vocab = self.model.get_vocab()
+        last = np.zeros(max(vocab.values()) + 1, dtype=bool)
+        last[[at for token, at in vocab.items() if token.endswith(suffix)]] = True
+        self.added = [token.content for token in self.model.get_added_tokens_decoder().values()]
+        return last
+
+    def _learn(self, words: list[bytes]) -> None:
         """Encodes words as one text of lines and cuts its ids at the lines' starts."""
-        found = self.model.encode("\n".join(words), add_special_tokens=False)
+        lines = [word.decode("utf-8") for word in words]
+        found = self.model.encode("\n".join(lines), add_special_tokens=False)
         ids, starts = np.array(found.ids, dtype="<u4").tobytes(), np.array([start for start, _ in found.offsets], dtype=np.int64)
-        lines = np.cumsum([0, *(len(word) + 1 for word in words)])
-        cuts = (np.searchsorted(starts, lines) * 4).tolist()
+        ends = np.cumsum([0, *(len(line) + 1 for line in lines)])
+        cuts = (np.searchsorted(starts, ends) * 4).tolist()
         self.known.update((word, ids[at:end]) for word, at, end in zip(words, cuts, cuts[1:]))
 
+    def _learn_pieces(self, pieces: list[str]) -> None:
+        """Encodes pieces as one text and cuts its ids behind the tokens that end one."""
+        (found,) = self.model.encode_batch_fast([" ".join(pieces)], add_special_tokens=False)
+        ids = np.array(found.ids, dtype="<u4")
+        cuts = [0, *((np.flatnonzero(self.last[ids]) + 1) * 4).tolist()]
+        if len(cuts) != len(pieces) + 1 or cuts[-1] != 4 * len(ids):
+            raise ValueError("the tokenizer cuts a plain word in other places")
+        packed = ids.tobytes()
+        self.pieces.update((piece, packed[at:end]) for piece, at, end in zip(pieces, cuts, cuts[1:]))
+
+    def _learn_plain(self, words: list[bytes]) -> list[bytes]:
+        """Learns the plain words and returns the others."""
+        if len(self.pieces) >= KEPT_WORDS:
+            self.pieces.clear()
+        plain, cut, others = [], [], []
+        joined = b" ".join(words).decode("utf-8")  # words hold no blank
+        marked = any(token in joined for token in self.added)
+        for word, line, low in zip(words, joined.split(" "), joined.lower().split(" ")):
+            if PLAIN.fullmatch(line) and not (marked and any(token in line for token in self.added)):
+                plain.append(word)
+                cut.append((low,) if low.isalpha() else PIECE.findall(low))
+            else:
+                others.append(word)
+        new = list(set(chain.from_iterable(cut)).difference(self.pieces))
+        for at in range(0, len(new), LEARNED_AT_ONCE):
+            self._learn_pieces(new[at : at + LEARNED_AT_ONCE])
+        self.known.update((word, b"".join(map(self.pieces.__getitem__, parts))) for word, parts in zip(plain, cut))
+        for piece in new:
+            if len(piece) > KEPT_CHARS:
+                del self.pieces[piece]
+        return others
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if not self.by_word:
             return [np.array(found.ids, dtype="<u4") for found in self.model.encode_batch_fast(texts, add_special_tokens=False)]
         if len(self.known) >= KEPT_WORDS:
             self.known.clear()
-        worded = [WORD.findall(text) for text in texts]
+        worded = [text.encode("utf-8").split() for text in texts]  # bytes split at ASCII blanks alone
         new = list(set(chain.from_iterable(worded)).difference(self.known))
-        for at in range(0, len(new), LEARNED_AT_ONCE):
-            self._learn(new[at : at + LEARNED_AT_ONCE])
+        rest = new if self.last is None else self._learn_plain(new)
+        for at in range(0, len(rest), LEARNED_AT_ONCE):
+            self._learn(rest[at : at + LEARNED_AT_ONCE])
         ids = [np.frombuffer(b"".join(map(self.known.__getitem__, words)), dtype="<u4") for words in worded]
         for word in new:
             if len(word) > KEPT_CHARS:
@@ -128,6 +193,12 @@ class Encoder:
         return ids
 
 
+@lru_cache(maxsize=1)
+def kept_encoder(path: str, by_word: bool) -> Encoder:
+    """The encoder of this process: a worker's tasks use one after the other, so the tokenizer and the words' ids are read once."""
+    return Encoder(path, by_word)
+
+
 def write(
     df: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text", folder: str | None = None, by_word: bool = False
 ) -> DataFrame:
@@ -148,7 +219,7 @@ def write(
         part = TaskContext.get().partitionId()
         uri = f"{folder}/part-{part:05d}-{uuid.uuid4().hex}.records"
         files, path = _place(uri)
-        model, total, offset, count = Encoder(tokenizer, by_word), 0, 0, 0
+        model, total, offset, count = kept_encoder(tokenizer, by_word), 0, 0, 0
         first = next(rows, None)
         if first is None:
             return
