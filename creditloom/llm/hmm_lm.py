@@ -19,27 +19,33 @@ An empty training set gives a model that knows no word.
 from __future__ import annotations
 
 import math
-import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from creditloom.llm.tasks import map_rows
-from creditloom.llm.texts import LOWER, UPPER, blank_words, lower_ascii, text_of
 from creditloom.runtime import materialise
 
-WORD = re.compile(r"[^ \x09-\x0D]+")
-_LOWER = str.maketrans(UPPER, LOWER)
 #: The end's name among words; no word is empty.
 END = ""
-#: Places of the sequences that are trained together, padded to the next power of two. A longer text is walked by segments of this size.
-PLACES_AT_ONCE = 1 << 18
-TEXTS_AT_ONCE = 128
+#: Places of the sequences that advance together, some 150 MB while training.
+PLACES_AT_ONCE = 1 << 21
+#: What a text counts beside its places, so that short ones are not held in any number.
+PLACES_OF_A_TEXT = 64
+#: A text longer than this is trained by segments of this size.
+SEGMENT = 1 << 18
+#: Steps after which the forward states are scaled to a sum of 1.
+RESCALED_EVERY = 8
+#: Distinct words that a task holds at a time, with their counts or classes.
+KEPT_WORDS = 200_000
 
 
 @dataclass(frozen=True)
@@ -66,80 +72,93 @@ def held_out(doc_id: str) -> Column:
     return F.crc32(F.coalesce(F.col(f"`{doc_id}`").cast("string"), F.lit("")).cast("binary")) % 7 == 2
 
 
-def tokens(text: Column) -> Column:
-    return F.concat(blank_words(lower_ascii(text_of(text))), F.array(F.lit(END)))
-
-
-def _tokens(text: str | None) -> list[str]:
-    found = WORD.findall((text or "").translate(_LOWER))
-    found.append(END)
+def _tokens(text: str | None) -> list[bytes]:
+    """The tokens in UTF-8. Bytes have no capitals but A-Z and no blanks but those of ASCII."""
+    found = (text or "").encode("utf-8").lower().split()
+    found.append(END.encode())
     return found
 
 
 # -- the recursion ------------------------------------------------------------------------------------------------------
 
 
-def forward(start: np.ndarray, move: np.ndarray, emit: np.ndarray, texts: list[np.ndarray]) -> np.ndarray:
-    """Natural log likelihood of each class sequence. All sequences advance together; each leaves when it ends."""
+def _side_by_side(texts: list[np.ndarray]) -> tuple[list[int], list[int], np.ndarray]:
+    """The texts from the longest to the shortest, and their classes by time: those of time t stand from at[t] to at[t + 1]."""
     order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
     lengths = np.array([len(texts[i]) for i in order])
-    out = np.zeros(len(texts))
-    longest = int(lengths[0]) if len(order) else 0
-    padded = np.zeros((longest, len(order)), dtype=np.int32)
+    active = np.searchsorted(-lengths, -np.arange(lengths[0]), side="left")  # texts longer than t
+    at = np.concatenate([[0], np.cumsum(active)])
+    flat = np.empty(at[-1], dtype=np.intp)
     for place, i in enumerate(order):
-        padded[: lengths[place], place] = texts[i]
-    active = np.searchsorted(-lengths, -np.arange(longest), side="left")  # sequences longer than t
-    total = np.zeros(len(order))
-    state = np.broadcast_to(start, (len(order), len(start)))
-    by_class = np.ascontiguousarray(emit.T)
-    for t in range(longest):
-        n = active[t]
-        state = (state[:n] if t == 0 else state[:n] @ move) * by_class[padded[t, :n]]
-        scale = state.sum(axis=1)
-        state = state / scale[:, None]
-        total[:n] += np.log(scale)
+        flat[at[: lengths[place]] + place] = texts[i]
+    return order, at.tolist(), flat
+
+
+def forward(start: np.ndarray, move: np.ndarray, emit: np.ndarray, texts: list[np.ndarray]) -> np.ndarray:
+    """Natural log likelihood of each class sequence. All sequences advance together; each leaves when it ends."""
+    out = np.zeros(len(texts))
+    if not len(texts):
+        return out
+    order, at, flat = _side_by_side(texts)
+    total, onward = np.zeros(len(order)), np.ascontiguousarray(move.T)
+    state = np.broadcast_to(start[:, None], (len(start), len(order)))  # state, text
+    for t, (begin, end) in enumerate(zip(at, at[1:])):
+        n = end - begin
+        if n < state.shape[1]:
+            total[n : state.shape[1]] += np.log(state[:, n:].sum(axis=0))
+            state = state[:, :n]
+        state = (state if t == 0 else onward @ state) * emit[:, flat[begin:end]]
+        if t % RESCALED_EVERY == RESCALED_EVERY - 1:
+            scale = state.sum(axis=0)
+            state /= scale
+            total[:n] += np.log(scale)
+    total[: state.shape[1]] += np.log(state.sum(axis=0))
     out[order] = total
     return out
 
 
 def expected(start: np.ndarray, move: np.ndarray, emit: np.ndarray, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
     """Expected counts of first states, moves and emissions of class sequences, by the scaled forward and backward recursions, and the log likelihood."""
-    k, n = len(start), len(texts)
-    lengths = np.array([len(x) for x in texts])
-    longest = int(lengths.max())
-    padded = np.zeros((longest, n), dtype=np.int32)
-    for i, x in enumerate(texts):
-        padded[: len(x), i] = x
-    inside = np.arange(longest)[:, None] < lengths[None, :]
-    seen = emit.T[padded]  # time, text, state
-    ahead = np.empty((longest, n, k))
-    scales = np.ones((longest, n))
-    state = np.broadcast_to(start, (n, k))
-    for t in range(longest):
-        state = (state if t == 0 else state @ move) * seen[t]
-        scale = state.sum(axis=1)
-        scales[t] = scale
-        state = state / scale[:, None]
-        ahead[t] = state
-    back = np.ones((n, k))
-    moves = np.zeros((k, k))
-    weights = np.zeros((longest, n, k))
-    for t in range(longest - 1, -1, -1):
-        last = t == lengths - 1
-        if t < longest - 1:
-            coming = seen[t + 1] * back / scales[t + 1][:, None]
-            coming[~inside[t + 1]] = 0.0
-            moves += ahead[t].T @ coming
-            back = coming @ move.T
-        back[last] = 1.0
-        weights[t] = ahead[t] * back
-    weights[~inside] = 0.0
-    flat = padded.ravel()
-    emissions = np.stack([np.bincount(flat, weights=weights[:, :, s].ravel(), minlength=emit.shape[1]) for s in range(k)])
-    return weights[0].sum(axis=0), moves * move, emissions, float(np.log(scales[inside]).sum())
-
-
-def expected_long(start: np.ndarray, move: np.ndarray, emit: np.ndarray, text: np.ndarray, segment: int = PLACES_AT_ONCE) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    k = len(start)
+    _, at, flat = _side_by_side(texts)
+    onward, last = np.ascontiguousarray(move.T), len(at) - 2
+    seen = np.take(emit, flat, axis=1)  # state, place
+    ahead = np.empty((k, len(flat)))
+    scales: dict[int, tuple[int, np.ndarray]] = {}  # by time: the first text that is scaled, and the scales
+    state, value = np.broadcast_to(start[:, None], (k, at[1])), 0.0
+    for t, (begin, end) in enumerate(zip(at, at[1:])):
+        n = end - begin
+        here = ahead[:, begin:end]
+        np.multiply(state if t == 0 else onward @ state[:, :n], seen[:, begin:end], out=here)
+        going_on = at[t + 2] - end if t < last else 0
+        due = t % RESCALED_EVERY == RESCALED_EVERY - 1
+        if due or going_on < n:  # a text that ends is scaled, too
+            low = 0 if due else going_on
+            scale = here[:, low:].sum(axis=0)
+            here[:, low:] /= scale
+            scales[t] = low, scale
+            value += float(np.log(scale).sum())
+        state = here
+    moves, back = np.zeros((k, k)), np.ones((k, 0))
+    for t in range(last, -1, -1):
+        begin, end = at[t], at[t + 1]
+        n = end - begin
+        if back.shape[1] < n:
+            back = np.concatenate([back, np.ones((k, n - back.shape[1]))], axis=1)
+        coming = seen[:, begin:end]
+        coming *= back
+        if t in scales:
+            low, scale = scales[t]
+            coming[:, low:] /= scale
+        ahead[:, begin:end] *= back  # from now on the states' weights
+        if t:
+            moves += ahead[:, at[t - 1] : at[t - 1] + n] @ coming.T
+            back = move @ coming
+    emissions = np.stack([np.bincount(flat, weights=weights, minlength=emit.shape[1]) for weights in ahead])
+    return ahead[:, : at[1]].sum(axis=1), moves * move, emissions, value
+
+
+def expected_long(start: np.ndarray, move: np.ndarray, emit: np.ndarray, text: np.ndarray, segment: int = SEGMENT) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
     """``expected`` of one sequence that is held a segment at a time: forward over all segments, then back, each walked forward again."""
     by_class = np.ascontiguousarray(emit.T)
     k, borders = len(start), range(0, len(text), segment)
@@ -199,8 +218,26 @@ class Model:
 
 
 def count_words(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The count of every word of the texts, the end among them, as a written table."""
-    return materialise(docs.select(F.explode(tokens(F.col(f"`{text}`"))).alias("word")).groupBy("word").agg(F.count("*").alias("c")), "word-counts")
+    """The count of every word of the texts, the end among them, as a written table. Tasks add up repeated words before they are shuffled."""
+    schema = T.StructType.fromDDL("word string, c bigint")
+    arrow = to_arrow_schema(schema)
+
+    def batch(counts: Counter) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(counts.keys()), type=pa.binary()).cast(arrow[0].type), pa.array(list(counts.values()), type=arrow[1].type)], schema=arrow)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter = Counter()
+        for found in batches:
+            for body in found.column(0):
+                counts.update(_tokens(body.as_py()))
+                if len(counts) >= KEPT_WORDS:
+                    yield batch(counts)
+                    counts = Counter()
+        if counts:
+            yield batch(counts)
+
+    parts = docs.select(F.col(f"`{text}`").alias("body")).mapInArrow(work, schema)
+    return materialise(parts.groupBy("word").agg(F.sum("c").alias("c")), "word-counts")
 
 
 def initial(counts: DataFrame, plan: Plan = PLAN) -> Model:
@@ -232,28 +269,43 @@ def initial(counts: DataFrame, plan: Plan = PLAN) -> Model:
     )
 
 
+class _Classes(dict):
+    """Classes of words in UTF-8: the frequent words, and others as they come, bounded in number."""
+
+    def __init__(self, model: Model) -> None:
+        super().__init__((word.encode("utf-8"), place) for word, (_, place) in model.hot.items())
+        self.own, self.shared, self.room = model.own, model.shared, len(self) + KEPT_WORDS
+
+    def __missing__(self, word: bytes) -> int:
+        found = self.own + zlib.crc32(word) % self.shared
+        if len(self) < self.room:
+            self[word] = found
+        return found
+
+
 def encode(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Texts as classes, once: with the part of the score that frequent words decide, and the rare words with their numbers."""
     known = docs.sparkSession.sparkContext.broadcast(model)
 
     def work(rows: Iterator[tuple]) -> Iterator[tuple]:
         m = known.value
-        logs = {word: math.log10(count + 1) for word, (count, _) in m.hot.items()}
+        logs = {word.encode("utf-8"): math.log10(count + 1) for word, (count, _) in m.hot.items()}
+        class_of = _Classes(m).__getitem__
         for key, out, body in rows:
             found = _tokens(body)
-            places = {word: m.class_of(word) for word in set(found)}
-            classes = np.fromiter((places[w] for w in found), dtype="<u2", count=len(found))
+            classes = np.fromiter(map(class_of, found), dtype="<u2", count=len(found))
             times = Counter(found)
             hot = [(w, n) for w, n in times.items() if w in logs]
+            rare = [w for w in times if w not in logs]
             yield (
                 key, out, len(found), sum(n for _, n in hot), math.fsum(logs[w] * n for w, n in hot), float(m.spread[classes].sum()), classes.tobytes(),
-                [{"word": w, "n": n} for w, n in times.items() if w not in logs],
+                [w.decode("utf-8") for w in rare], [times[w] for w in rare],
             )
 
     kind = dict(docs.dtypes)[doc_id]
     schema = (
         f"doc_id {kind}, held_out boolean, n_tokens bigint, hot_known bigint, hot_log double, spread double, classes binary, "
-        "rare array<struct<word:string,n:bigint>>"
+        "rare array<string>, rare_n array<bigint>"
     )
     rows = map_rows(docs.select(F.col(f"`{doc_id}`"), held_out(doc_id), F.col(f"`{text}`")), schema, work)
     return materialise(rows.withColumn("row", F.monotonically_increasing_id()), "word-classes")
@@ -271,7 +323,8 @@ def baum_welch(encoded: DataFrame, model: Model, plan: Plan = PLAN) -> Model:
         def work(rows: Iterator[tuple], sent=sent) -> Iterator[tuple]:
             params = sent.value
             sums = [np.zeros_like(p) for p in params] + [np.zeros(1)]
-            groups: dict[int, list[np.ndarray]] = {}  # texts by the power of two that their length is below
+            group: list[np.ndarray] = []
+            places = 0
 
             def add(found: tuple) -> None:
                 for total, part in zip(sums, found):
@@ -279,15 +332,15 @@ def baum_welch(encoded: DataFrame, model: Model, plan: Plan = PLAN) -> Model:
 
             for (data,) in rows:
                 classes = np.frombuffer(data, dtype="<u2")
-                size = len(classes).bit_length()
-                if 1 << size > PLACES_AT_ONCE:
+                if len(classes) > SEGMENT:
                     add(expected_long(*params, classes))
                     continue
-                group = groups.setdefault(size, [])
                 group.append(classes)
-                if len(group) << size >= PLACES_AT_ONCE:
-                    add(expected(*params, groups.pop(size)))
-            for group in groups.values():
+                places += len(classes) + PLACES_OF_A_TEXT
+                if places >= PLACES_AT_ONCE:
+                    add(expected(*params, group))
+                    group, places = [], 0
+            if group:
                 add(expected(*params, group))
             for kind, total in enumerate(sums):
                 for row, values in enumerate(np.atleast_2d(total)):
@@ -315,6 +368,7 @@ def score(encoded: DataFrame, counts: DataFrame, model: Model) -> DataFrame:
 
     def work(rows: Iterator[tuple]) -> Iterator[tuple]:
         group: list[tuple] = []
+        places = 0
 
         def flush() -> Iterator[tuple]:
             for row, value in zip(group, forward(*params.value, [np.frombuffer(r[-1], dtype="<u2") for r in group])):
@@ -322,16 +376,17 @@ def score(encoded: DataFrame, counts: DataFrame, model: Model) -> DataFrame:
 
         for row in rows:
             group.append(row)
-            if len(group) == TEXTS_AT_ONCE:
+            places += len(row[-1]) // 2 + PLACES_OF_A_TEXT
+            if places >= PLACES_AT_ONCE:
                 yield from flush()
-                group = []
+                group, places = [], 0
         if group:
             yield from flush()
 
     names = ["row", "doc_id", "held_out", "n_tokens", "hot_known", "hot_log", "spread"]
     kinds = dict(encoded.dtypes)
     walked = map_rows(encoded.select(*names, "classes"), ", ".join(f"{n} {kinds[n]}" for n in names) + ", walk double", work)
-    rare = encoded.select("row", F.explode("rare").alias("r")).select("row", "r.word", "r.n")
+    rare = encoded.select("row", F.explode(F.arrays_zip(F.col("rare").alias("word"), F.col("rare_n").alias("n"))).alias("r")).select("row", "r.word", "r.n")
     known = rare.join(counts, "word").groupBy("row").agg(F.sum("n").alias("rare_known"), F.sum(F.col("n") * F.log10(F.col("c") + 1)).alias("rare_log"))
     logs = F.col("hot_log") + F.coalesce("rare_log", F.lit(0.0))
     return walked.join(known, "row", "left").select(
