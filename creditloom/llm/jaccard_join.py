@@ -5,17 +5,24 @@ their Jaccard similarity is at least a threshold.
 
 * Equal sets are one class and share one answer.
 * Texts become sets inside the tasks that read them, once to count, once to index, and once more for the few to be compared; sets
-  are never shuffled whole for all texts.
-* Every class indexes only as many of its elements as a partner cannot all lack (prefix filter), rarest first. Rarity comes
-  from a table of counters of fixed size over all texts, so any corpus gives one total order and the filter is exact.
-* The index is sorted by element and set and scanned as lists. In each list, every set is paired with the list's first set
-  only. A set that links to it takes its component over; pairs inside a component need no check of their own.
-* Lists whose sets then lie in several components are joined with themselves. Two sets are compared only when the elements behind
-  their positions in the list can still reach the threshold, but no block of a list is skipped: all pairs of such a list are
-  enumerated, the square of its length.
-
-Sorting is by range of (element, set), so a hot list spans tasks; first sets of its pieces are tied at their borders.
-Components spread by smallest neighbour and pointer jumping over written tables.
+  are never shuffled whole for all texts. A task hashes the words of many texts at once, as bytes.
+* A set is indexed by its neighbours: pairs of elements that follow each other in the order of hashes. An element that a
+  partner lacks breaks two of them, one that it has beside breaks one, so the threshold bounds how many a partner can miss; a set
+  indexes one more than that (prefix filter). Unlike one element, two neighbours are rarely shared by texts that are not similar,
+  however many texts there are. Thresholds below ``PAIRS_FROM`` leave too few whole neighbours; there elements are indexed.
+* Neighbours that many sets have come last. A table of counters of fixed size tells them apart, so any corpus gives one total
+  order and the filter is exact.
+* The index is sorted by entry and set and scanned as lists. In each list, every set is paired with the list's first set
+  only: first one such pair a set is compared, then those whose sets are still apart. A set that links takes the component over;
+  pairs inside a component need no check of their own.
+* Lists whose sets then lie in several components are joined with themselves. No block of a list is skipped: all pairs of such a
+  list are looked at, the square of its length.
+* A pair goes on to be compared only when its sizes, the places of the entry among either set's own, and the bits in which the
+  two sets' sketches differ can reach the threshold. A sketch is the parity of the elements that fall on each of its bits; two
+  sets differ in at least as many elements as their sketches in bits.
+
+Components grow by contraction: every component takes the smallest neighbour's name, names are followed to their end, and only
+links between different components go on to the next round.
 
 Null and empty texts have an empty set and link with nothing. Fewer words than a shingle has are one element. Rows of equal id
 are rows of their own; a null id is never a component's name unless all its rows lack one.
@@ -23,127 +30,250 @@ are rows of their own; a null id is never a component's name unless all its rows
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from creditloom.llm.tasks import map_rows
-from creditloom.llm.texts import LOWER, UPPER, packed, text_of
+from creditloom.llm.texts import packed, text_of
 from creditloom.runtime import materialise
 
 SHINGLE = 5
 #: The threshold in percent.
 SIMILAR = 75
-#: Counters that estimate how common an element is; a fixed table of 2 MB.
+#: The least threshold whose sets are indexed by neighbours.
+PAIRS_FROM = 70
+#: Counters that estimate how common an entry of the index is; a fixed table of 2 MB.
 COUNTERS = 1 << 18
+#: Words of 64 bits in a set's sketch.
+SKETCH = 16
+SKETCH_COLUMNS = [f"b{i}" for i in range(SKETCH)]
+#: Counters that travel in one row.
+CHUNK = 1 << 12
 
-
-#: Classes to be compared that may be named to every task: 32 MB of keys.
+#: Classes or pairs of them that may be named to every task: 32 MB of keys.
 MAX_BROADCAST_CLASSES = 1_000_000
-KEPT_WORDS = 200_000
-WORD = re.compile(r"[^ \x09-\x0D]+")
-_LOWER = str.maketrans(UPPER, LOWER)
+#: Classes that a task remembers to have indexed.
+KEPT_CLASSES = 200_000
+#: Bytes of texts that are hashed together; a longer text is hashed alone.
+BYTES_AT_ONCE = 1 << 20
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-class Shingler:
-    """Texts to sorted distinct hashes of their shingles; lives in a task and keeps the hashes of a bounded number of words."""
-
-    def __init__(self, size: int = SHINGLE) -> None:
-        self.size = size
-        self.known: dict[str, int] = {}
-
-    def _hash(self, word: str) -> int:
-        found = self.known.get(word)
-        if found is None:
-            if len(self.known) >= KEPT_WORDS:
-                self.known.clear()
-            found = self.known[word] = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
-        return found
-
-    def elements(self, text: str | None) -> np.ndarray:
-        words = np.fromiter(map(self._hash, WORD.findall((text or "").translate(_LOWER))), dtype=np.uint64)
-        if not len(words):
-            return np.empty(0, dtype=np.int64)
-        width = min(self.size, len(words))
-        total = np.full(len(words) - width + 1, width, dtype=np.uint64)
-        for k in range(width):  # a chain, so that order counts
-            total = (total ^ words[k : k + len(total)]) * _MIX
-            total ^= total >> np.uint64(29)
-        return np.unique(total.view(np.int64))
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """64 bits to 64 bits, one to one (splitmix64)."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _noise(start: int, end: int) -> np.ndarray:
+    return _mixed(np.arange(start, end, dtype=np.uint64) * _MIX)
+
+
+_BLANK = np.isin(np.arange(256), [32, *range(9, 14)])
+#: A number for each byte; capitals have that of their small letter, blanks none.
+_BYTE = _noise(1, 257)
+_BYTE[65:91] = _BYTE[97:123]
+_BYTE[_BLANK] = 0
+
+
+def _word_hashes(data: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of every word, and where each text's words begin and end among them: sums of numbers of byte times numbers of place in the word."""
+    blank = _BLANK[data]
+    first = ~blank
+    first[1:] &= blank[:-1]
+    inner = borders[:-1][borders[:-1] < len(data)]
+    first[inner] = ~blank[inner]
+    starts = np.flatnonzero(first)
+    words = np.searchsorted(starts, borders)
+    if not len(starts):
+        return np.empty(0, dtype=np.uint64), words
+    spans = np.diff(np.append(starts, len(data)))
+    place = np.arange(starts[0], len(data)) - np.repeat(starts, spans)
+    sums = np.add.reduceat(_BYTE[data[starts[0] :]] * (_noise(300, 300 + int(spans.max())) | np.uint64(1))[place], starts - starts[0])
+    return _mixed(sums), words
+
+
+def _chain(words: np.ndarray, width: int) -> np.ndarray:
+    """Hashes of ``width`` words from every word on; a chain, so that order counts."""
+    total = np.full(len(words) - width + 1, width, dtype=np.uint64)
+    for k in range(width):
+        total = (total ^ words[k : k + len(total)]) * _MIX
+        total ^= total >> np.uint64(29)
+    return total
+
+
+def _distinct(values: np.ndarray) -> np.ndarray:
+    values = np.sort(values)
+    if len(values) < 2:
+        return values
+    kept = np.empty(len(values), dtype=bool)
+    kept[0] = True
+    np.not_equal(values[1:], values[:-1], out=kept[1:])
+    return values[kept]
+
+
+def sets_of(bodies: pa.Array, size: int = SHINGLE) -> Iterator[list[np.ndarray]]:
+    """Sorted distinct hashes of the shingles of each text, given in UTF-8 and without nulls, some texts at a time."""
+    wide = pa.types.is_large_binary(bodies.type) or pa.types.is_large_string(bodies.type)
+    _, places, content = bodies.buffers()
+    if not len(bodies):
+        return
+    at = np.frombuffer(places, dtype=np.int64 if wide else np.int32)[bodies.offset : bodies.offset + len(bodies) + 1].astype(np.int64)
+    data = np.frombuffer(content, dtype=np.uint8) if content is not None else np.empty(0, dtype=np.uint8)
+    begin = 0
+    while begin < len(bodies):
+        end = max(begin + 1, int(np.searchsorted(at, at[begin] + BYTES_AT_ONCE, side="right")) - 1)
+        words, borders = _word_hashes(data[at[begin] : at[end]], at[begin : end + 1] - at[begin])
+        shingles = _chain(words, size).view(np.int64) if len(words) >= size else np.empty(0, dtype=np.int64)
+        found = []
+        for low, high in zip(borders.tolist(), borders[1:].tolist()):
+            if high - low >= size or high == low:
+                found.append(_distinct(shingles[low : max(low, high - size + 1)]))
+            else:
+                found.append(_chain(words[low:high], high - low).view(np.int64))
+        yield found
+        begin = end
 
 
 def _class(elements: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh64_intdigest(elements.tobytes())).astype(np.int64))
 
 
-def _commonness(texts: DataFrame, size: int) -> np.ndarray:
-    """How many elements of all sets fall on each counter. Every task sums its own table first."""
-    def work(rows: Iterator[tuple]) -> Iterator[tuple]:
-        shingler, table = Shingler(size), np.zeros(COUNTERS, dtype=np.int64)
-        for (body,) in rows:
-            np.add.at(table, shingler.elements(body) & (COUNTERS - 1), 1)
-        for at in np.flatnonzero(table).tolist():
-            yield at, int(table[at])
+def _sketch(elements: np.ndarray) -> bytes:
+    odd = np.bincount(elements & (64 * SKETCH - 1), minlength=64 * SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
 
-    rows = map_rows(texts, "at int, n bigint", work).groupBy("at").agg(F.sum("n").alias("n")).toPandas()
-    table = np.zeros(COUNTERS, dtype=np.int64)
-    table[rows["at"].to_numpy(dtype=np.int64)] = rows["n"].to_numpy(dtype=np.int64)
-    return table
 
+def _entries(elements: np.ndarray, similar: int) -> np.ndarray:
+    """What a set may be found by: its neighbours, or its elements."""
+    h = elements.view(np.uint64)
+    if similar < PAIRS_FROM:
+        return _mixed(h)
+    return _mixed((h[:-1] * _MIX) ^ (h[1:] >> np.uint64(1)))
 
-def _members(texts: DataFrame, common: np.ndarray, similar: int, size: int) -> DataFrame:
-    """doc_id and digest with the set's class, its size, and its rarest elements, as many as the filter needs."""
-    sent = texts.sparkSession.sparkContext.broadcast(common)
 
-    def work(rows: Iterator[tuple]) -> Iterator[tuple]:
-        table, shingler = sent.value, Shingler(size)
-        for key, digest, body in rows:
-            h = shingler.elements(body)
-            n = len(h)
-            need = n - (similar * n + 99) // 100 + 1 if n else 0
-            order = np.lexsort((h, table[h & (COUNTERS - 1)]))[:need]
-            yield key, digest, _class(h), n, h[order].tolist()
+@lru_cache(maxsize=1 << 16)
+def _missing(n: int, similar: int) -> int:
+    """How many entries of a set of n elements a partner can lack; -1 if no other set can be a partner.
 
-    kind = dict(texts.dtypes)["doc_id"]
-    return map_rows(texts, f"doc_id {kind}, digest bigint, cls bigint, n bigint, prefix array<bigint>", work)
+    Of a set with n elements, a partner lacks some and has others beside them: 100 * (n - lacked) >= similar * (n + beside).
+    """
+    if similar < PAIRS_FROM:
+        return n - (similar * n + 99) // 100
+    room = (100 - similar) * n
+    if room < similar:
+        return -1
+    # a hundred beside cost as much as ``similar`` lacked, which break more
+    return max(2 * ((room - similar * beside) // 100) + beside for beside in range(min(room // similar, 100) + 1))
 
 
-def _lists(index: DataFrame, parts: int) -> tuple[DataFrame, list]:
-    """Members of lists that several classes share: element, class, size, position, and the first class of the piece of list.
+def _members(texts: DataFrame, similar: int, size: int) -> tuple[DataFrame, np.ndarray]:
+    """doc_id and digest with the set's class, size and sketch; and how many entries of all sets fall on each counter.
 
-    Also returns the pieces of lists that go on in the next task, at most two rows for each task.
+    Every task sums its own table first, and writes it beside its rows.
     """
-    ordered = index.repartitionByRange(parts, "h", "cls").sortWithinPartitions("h", "cls").select("h", "cls", "n", "at")
+    schema = T.StructType.fromDDL(f"doc_id {dict(texts.dtypes)['doc_id']}, digest bigint, cls bigint, n bigint, chunk int, counts binary, {', '.join(f'{b} bigint' for b in SKETCH_COLUMNS)}")
+    arrow = to_arrow_schema(schema)
+
+    def batch(*columns: list | pa.Array) -> pa.RecordBatch:
+        rows = len(next(c for c in columns if c is not None))
+        made = [pa.nulls(rows, f.type) if c is None else pa.array(c, type=f.type) if isinstance(c, list) else c.cast(f.type) for c, f in zip(columns, arrow)]
+        return pa.RecordBatch.from_arrays(made, schema=arrow)
 
-    schema = T.StructType.fromDDL("h bigint, cls bigint, n bigint, at bigint, head bigint, head_n bigint, part int, edge int")
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros(COUNTERS, dtype=np.int64)
+        for rows in batches:
+            if not rows.num_rows:
+                continue
+            classes, sizes, sketches = [], [], []
+            for sets in sets_of(rows.column(2), size):
+                classes.extend(_class(s) for s in sets)
+                sizes.extend(len(s) for s in sets)
+                sketches.extend(_sketch(s) for s in sets)
+                entries = np.concatenate([_entries(s, similar) for s in sets])
+                table += np.bincount((entries & np.uint64(COUNTERS - 1)).view(np.int64), minlength=COUNTERS)
+            bits = np.frombuffer(b"".join(sketches), dtype=np.int64).reshape(-1, SKETCH)
+            yield batch(rows.column(0), rows.column(1), classes, sizes, None, None, *(pa.array(b) for b in bits.T.copy()))
+        if table.any():
+            chunks = table.reshape(-1, CHUNK)
+            yield batch(None, None, None, None, list(range(len(chunks))), [c.tobytes() for c in chunks], *[None] * SKETCH)
+
+    def summed(rows: Iterator[tuple]) -> Iterator[tuple]:
+        sums: dict[int, np.ndarray] = {}
+        for chunk, counts in rows:
+            sums[chunk] = sums.get(chunk, 0) + np.frombuffer(counts, dtype=np.int64)
+        for chunk, counts in sums.items():
+            yield chunk, counts.tobytes()
+
+    found = materialise(texts.select("doc_id", "digest", F.col("body").cast("binary")).mapInArrow(work, schema), "members")
+    common = np.zeros((COUNTERS // CHUNK, CHUNK), dtype=np.int64)
+    for chunk, counts in map_rows(found.filter("chunk IS NOT NULL").select("chunk", "counts").repartition(F.col("chunk")), "chunk int, counts binary", summed).collect():
+        common[chunk] = np.frombuffer(counts, dtype=np.int64)
+    return found.filter("chunk IS NULL").drop("chunk", "counts"), common.ravel()
+
+
+def _index(texts: DataFrame, common: np.ndarray, similar: int, size: int) -> DataFrame:
+    """The rarest entries of every set, as many as the filter needs: entry, class, and in one number the set's size and the entry's place.
+
+    Copies that a task meets are indexed once.
+    """
+    # entries are ordered by how common they are, to the power of two, and then by hash
+    sent = texts.sparkSession.sparkContext.broadcast(np.frexp(common.astype(np.float64))[1].astype(np.uint8))
+    schema = T.StructType.fromDDL("h bigint, cls bigint, size_at bigint")
     arrow = to_arrow_schema(schema)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def batch(rows: np.ndarray, heads: np.ndarray, edge: int) -> pa.RecordBatch:
-            columns = [*rows.T, heads[:, 1], heads[:, 2], np.full(len(rows), part), np.full(len(rows), edge)]
-            return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, arrow)], schema=arrow)
+        level, seen = sent.value, set()
+        for rows in batches:
+            for sets in sets_of(rows.column(0), size):
+                chosen, classes, sizes, counts = [], [], [], []
+                for elements in sets:
+                    missing = _missing(len(elements), similar) if len(elements) else -1
+                    if missing < 0 or (cls := _class(elements)) in seen:
+                        continue
+                    if len(seen) >= KEPT_CLASSES:
+                        seen.clear()
+                    seen.add(cls)
+                    entries = _entries(elements, similar)
+                    keys = (level[entries & np.uint64(COUNTERS - 1)].astype(np.uint64) << np.uint64(57)) | (entries >> np.uint64(7))
+                    keys = np.sort(np.partition(keys, missing)[: missing + 1] if missing < len(keys) else keys)
+                    chosen.append(keys)
+                    classes.append(cls)
+                    sizes.append(len(elements))
+                    counts.append(len(keys))
+                if chosen:
+                    size_at = np.concatenate([np.arange(c) + (n << 32) for n, c in zip(sizes, counts)])
+                    columns = [np.concatenate(chosen).view(np.int64), np.repeat(np.array(classes, dtype=np.int64), counts), size_at]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, arrow)], schema=arrow)
+
+    return texts.select(F.col("body").cast("binary")).mapInArrow(work, schema)
+
+
+def _lists(index: DataFrame, parts: int) -> DataFrame:
+    """Members of lists that several classes share: entry, class, size and place, and the same of the first class of the list."""
+    ordered = index.repartition(parts, "h").sortWithinPartitions("h", "cls").select("h", "cls", "size_at")
+    schema = T.StructType.fromDDL("h bigint, cls bigint, size_at bigint, head bigint, head_size_at bigint")
+    arrow = to_arrow_schema(schema)
 
-        first = head = last = None
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head = last = None
         sent = False  # whether the head that came from earlier batches is out
-        part = TaskContext.get().partitionId()
         for found in batches:
             if not found.num_rows:
                 continue
-            rows = np.stack([found.column(i).to_numpy(zero_copy_only=False) for i in range(4)], axis=1)
-            before = rows[:1] * 0 - 1 if last is None else last[None, :]
-            shifted = np.concatenate([before, rows[:-1]])
-            repeated = (rows[:, :2] == shifted[:, :2]).all(axis=1)
-            if last is None:
-                repeated[0] = False
+            rows = np.stack([found.column(i).to_numpy(zero_copy_only=False) for i in range(3)], axis=1)
+            repeated = np.zeros(len(rows), dtype=bool)
+            repeated[1:] = (rows[1:, :2] == rows[:-1, :2]).all(axis=1)
+            repeated[0] = last is not None and bool((rows[0, :2] == last[:2]).all())
             last = rows[-1]
             rows = rows[~repeated]
             if head is not None:
@@ -152,48 +282,67 @@ def _lists(index: DataFrame, parts: int) -> tuple[DataFrame, list]:
             counts = np.diff(np.append(starts, len(rows)))
             heads = np.repeat(rows[starts], counts, axis=0)
             out = np.repeat(counts > 1, counts)
-            first = rows[0] if first is None else first
             if sent:
                 out[0] = False
             sent = bool(counts[-1] > 1 or (sent and len(starts) == 1))
             head = rows[starts[-1]]
             if out.any():
-                yield batch(rows[out], heads[out], 0)
-        if first is not None:
-            ends = np.stack([first, head])
-            yield batch(ends, ends, 1)
-
-    found = materialise(ordered.mapInArrow(work, schema), "index-lists")
-    edges = found.filter("edge > 0").select("part", "h", "cls", "n").distinct().collect()
-    return found, edges
-
-
-def _border_pairs(edges: list) -> list[tuple]:
-    """First sets of the pieces of one list in different tasks, chained. ``edges`` has a row or two for each task."""
-    heads: dict[tuple, tuple] = {}
-    for part, h, cls, n in edges:
-        heads.setdefault((h, part), (cls, n))
-    by_list: dict[int, list] = {}
-    for (h, part), head in sorted(heads.items()):
-        by_list.setdefault(h, []).append(head)
-    return [(a[0], a[1], b[0], b[1]) for pieces in by_list.values() for a, b in zip(pieces, pieces[1:]) if a[0] != b[0]]
-
-
-def _linked(pairs: DataFrame, firsts: DataFrame, texts: DataFrame, similar: int, size: int) -> DataFrame:
-    """The pairs (a, b) whose sets reach the threshold. ``firsts`` names one text of each class, whose set is made anew for the comparison."""
-    pairs = materialise(pairs, "pairs")
-    wanted = materialise(firsts.join(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct(), "cls", "left_semi"), "compared-classes")
-    named = F.broadcast(wanted) if wanted.count() <= MAX_BROADCAST_CLASSES else wanted
+                columns = [*rows[out].T, *heads[out, 1:].T]
+                yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, arrow)], schema=arrow)
+
+    return materialise(ordered.mapInArrow(work, schema), "index-lists")
+
+
+def _shared(n_x: Column, n_y: Column, similar: int) -> Column:
+    """How many elements two sets of these sizes must share."""
+    return F.floor(((n_x + n_y) * similar + (99 + similar)) / (100 + similar))
+
+
+def _in_reach(x: str, y: str, similar: int) -> Column:
+    """Whether two sets can reach the threshold if this entry, by size and place in both, is the first that they share.
+
+    The entries before it are all missing in the other set, and the threshold bounds how many can be.
+    """
+    (n_x, at_x), (n_y, at_y) = ((F.shiftright(c, 32), F.col(c).bitwiseAND(F.lit((1 << 31) - 1))) for c in (x, y))
+    shared = _shared(n_x, n_y, similar)
+    own_x, own_y = n_x - shared, n_y - shared
+    most_x, most_y = (2 * own_x + own_y, 2 * own_y + own_x) if similar >= PAIRS_FROM else (own_x, own_y)
+    return (own_x >= 0) & (own_y >= 0) & (at_x <= most_x) & (at_y <= most_y)
+
+
+def _sketches_near(x: str, y: str, n_x: Column, n_y: Column, similar: int) -> Column:
+    """Whether the sketches, in columns of these endings, differ in no more bits than sets that reach the threshold may in elements."""
+    apart = sum((F.bit_count(F.col(b + x).bitwiseXOR(F.col(b + y))) for b in SKETCH_COLUMNS), F.lit(0))
+    return apart <= n_x + n_y - 2 * _shared(n_x, n_y, similar)
+
+
+def _named(df: DataFrame) -> DataFrame:
+    """A written table of classes or pairs, told to every task if that is small."""
+    return F.broadcast(df) if df.count() <= MAX_BROADCAST_CLASSES else df
+
+
+def _sets(pairs: DataFrame, firsts: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    """The sets of the classes in ``pairs``. ``firsts`` names one text of each class, whose set is made anew."""
+    named = _named(materialise(firsts.select("cls", "first").join(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct(), "cls", "left_semi"), "compared-classes"))
     match = (texts["digest"] == named["first.digest"]) & texts["doc_id"].eqNullSafe(named["first.doc_id"])
-    chosen = texts.join(named, match).select("cls", "body").dropDuplicates(["cls"])
+    schema = T.StructType.fromDDL("cls bigint, elements binary")
+    arrow = to_arrow_schema(schema)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            at = 0
+            for sets in sets_of(rows.column(1), size):
+                columns = [rows.column(0).slice(at, len(sets)), pa.array([s.tobytes() for s in sets], type=arrow[1].type)]
+                yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+                at += len(sets)
+
+    made = texts.join(named, match).select("cls", F.col("body").cast("binary").alias("body")).mapInArrow(work, schema)
+    return materialise(made.dropDuplicates(["cls"]), "compared-sets")
 
-    def sets(rows: Iterator[tuple]) -> Iterator[tuple]:
-        shingler = Shingler(size)
-        for cls, body in rows:
-            yield cls, shingler.elements(body).tobytes()
 
-    needed = materialise(map_rows(chosen, "cls bigint, elements binary", sets), "compared-sets")
-    left, right = (needed.select(F.col("cls").alias(c), F.col("elements").alias(f"set_{c}")) for c in "ab")
+def _linked(pairs: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
+    """The pairs (a, b) whose sets reach the threshold."""
+    left, right = (sets.select(F.col("cls").alias(c), F.col("elements").alias(f"set_{c}")) for c in "ab")
 
     def work(rows: Iterator[tuple]) -> Iterator[tuple]:
         for a, b, *both in rows:
@@ -205,19 +354,30 @@ def _linked(pairs: DataFrame, firsts: DataFrame, texts: DataFrame, similar: int,
     return materialise(map_rows(pairs.join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b"), "a bigint, b bigint", work), "links")
 
 
-def components(links: DataFrame) -> DataFrame:
-    """(cls, root) for every class that has a link: the smallest class that it reaches."""
-    both = materialise(links.select("a", "b").union(links.select("b", "a")).distinct(), "links-both-ways")
-    labels = materialise(both.groupBy(F.col("a").alias("cls")).agg(F.least(F.min("b"), F.first("a")).alias("root")), "labels")
+def _between(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """``pairs`` (a, b) with the components of both, root_a and root_b, where they differ."""
+    for c in "ab":
+        pairs = pairs.join(roots.select(F.col("cls").alias(c), F.col("root").alias(f"root_{c}")), c, "left").withColumn(f"root_{c}", F.coalesce(f"root_{c}", c))
+    return pairs.filter("root_a != root_b")
+
+
+def merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """(cls, root) after some links (a, b) more, for every class but those that are their component's smallest, its root."""
     while True:
-        near = both.join(labels, both["b"] == labels["cls"]).groupBy(F.col("a")).agg(F.min("root").alias("near"))
-        step = labels.join(near, labels["cls"] == near["a"], "left").select("cls", "root", F.least("root", "near").alias("low"))
-        up = labels.select(F.col("cls").alias("low"), F.col("root").alias("above"))
-        jumped = step.join(up, "low", "left").select("cls", F.least("low", "above").alias("root"), (F.least("low", "above") != F.col("root")).alias("moved"))
-        after = materialise(jumped, "labels")
-        if not after.filter("moved").limit(1).count():
-            return after.select("cls", "root")
-        labels = after.select("cls", "root")
+        ends = _between(links, roots).select(F.greatest("root_a", "root_b").alias("a"), F.least("root_a", "root_b").alias("b")).distinct()
+        links = materialise(ends, "links-between")
+        if not links.limit(1).count():
+            return roots
+        above = materialise(links.groupBy(F.col("a").alias("cls")).agg(F.min("b").alias("root")), "labels")
+        while True:  # a name is smaller than who takes it, so the names form trees
+            up = above.select(F.col("cls").alias("root"), F.col("root").alias("top"))
+            jumped = above.join(up, "root", "left").select("cls", F.coalesce("top", "root").alias("root"), F.col("top").isNotNull().alias("moved"))
+            jumped = materialise(jumped, "labels")
+            above = jumped.select("cls", "root")
+            if not jumped.filter("moved").limit(1).count():
+                break
+        up = above.select(F.col("cls").alias("root"), F.col("root").alias("top"))
+        roots = materialise(roots.join(up, "root", "left").select("cls", F.coalesce("top", "root").alias("root")).union(above), "roots")
 
 
 def link(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar: int = SIMILAR, size: int = SHINGLE) -> DataFrame:
@@ -226,33 +386,38 @@ def link(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar: i
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     body = text_of(f"`{text}`")
     texts = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.xxhash64(body).alias("digest"), body.alias("body"))
-    common = _commonness(texts.select("body"), size)
-    members = materialise(_members(texts, common, similar, size), "members")
-    firsts = materialise(members.filter("n > 0").groupBy("cls").agg(F.min(F.struct("doc_id", "digest")).alias("first")), "classes")
-    named = firsts.select(F.col("cls").alias("c"), "first")
-    is_first = (members["cls"] == named["c"]) & members["doc_id"].eqNullSafe(named["first.doc_id"]) & (members["digest"] == named["first.digest"])
-    index = members.join(named, is_first, "left_semi").select("cls", "n", F.posexplode("prefix").alias("at", "h")).select("h", "cls", "n", F.col("at").cast("long").alias("at"))
-    lists, edges = _lists(index, parts)
-    pairs = lists.filter("cls != head").select("cls", "n", "head", "head_n")
-    if border := _border_pairs(edges):
-        pairs = pairs.union(spark.createDataFrame(border, pairs.schema))
-    reachable = (F.least("n", "head_n") * 100 >= F.greatest("n", "head_n") * similar)
-    pairs = pairs.filter(reachable).select(F.least("cls", "head").alias("a"), F.greatest("cls", "head").alias("b")).distinct()
-    links = _linked(pairs, firsts, texts, similar, size)
-    roots = components(links)
-    # lists that still hold several components
-    rooted = lists.select("h", "cls", "n", "at").distinct().join(roots, "cls", "left").select("h", "cls", "n", "at", F.coalesce("root", "cls").alias("root"))
-    mixed = materialise(rooted.join(rooted.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("h"), "h", "left_semi"), "mixed-lists")
-    x, y = (mixed.select("h", *(F.col(c).alias(f"{c}_{s}") for c in ("cls", "n", "at", "root"))) for s in "xy")
-    overlap = F.least(F.col("n_x") - F.col("at_x"), F.col("n_y") - F.col("at_y"))
-    reach = overlap * (100 + similar) >= (F.col("n_x") + F.col("n_y")) * similar
+    found, common = _members(texts, similar, size)
+    members = found.select("doc_id", "digest", "cls", "n")
+    same = [F.first(c).alias(c) for c in ("n", *SKETCH_COLUMNS)]
+    firsts = materialise(found.filter("n > 0").groupBy("cls").agg(F.min(F.struct("doc_id", "digest")).alias("first"), *same), "classes")
+    sketches = firsts.drop("first")
+    lists = _lists(_index(texts, common, similar, size), parts)
+    # every set with the first sets of its lists; one of them first
+    pairs = lists.filter("cls != head").filter(_in_reach("size_at", "head_size_at", similar)).groupBy(F.col("cls").alias("a"), F.col("head").alias("b")).agg(F.count("*").alias("shared"))
+    for s in "ab":
+        pairs = pairs.join(sketches.select(*(F.col(c).alias(s if c == "cls" else c + s) for c in sketches.columns)), s)
+    pairs = materialise(pairs.filter(_sketches_near("a", "b", F.col("na"), F.col("nb"), similar)).select("a", "b", "shared"), "pairs")
+    tried = materialise(pairs.groupBy("a").agg(F.max_by("b", F.struct("shared", "b")).alias("b")), "first-pairs")
+    sets = _sets(pairs, firsts, texts, size)
+    roots = merged(spark.createDataFrame([], "cls bigint, root bigint"), _linked(tried, sets, similar))
+    open_pairs = materialise(_between(pairs.select("a", "b"), roots).select("a", "b").join(tried, ["a", "b"], "left_anti"), "open-pairs")
+    if open_pairs.limit(1).count():
+        roots = merged(roots, _linked(open_pairs, sets, similar))
+    # lists that still hold several components: those with a set apart from the first one
+    heads = materialise(lists.filter("cls != head").select(F.col("cls").alias("a"), F.col("head").alias("b")).distinct(), "heads")
+    apart = _named(materialise(_between(heads, roots).select(F.col("a").alias("cls"), F.col("b").alias("head")), "apart"))
+    hit = materialise(lists.join(apart, ["cls", "head"], "left_semi").select("h").distinct(), "mixed-entries")
+    mixed = lists.join(_named(hit), "h", "left_semi").select("h", "cls", "size_at").join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    mixed = materialise(mixed.join(sketches, "cls"), "mixed-lists")
+    x, y = (mixed.select("h", *(F.col(c).alias(f"{c}_{s}") for c in mixed.columns if c != "h")) for s in "xy")
+    reach = _in_reach("size_at_x", "size_at_y", similar) & _sketches_near("_x", "_y", F.col("n_x"), F.col("n_y"), similar)
     rest = (
         x.join(y, (x["h"] == y["h"]) & (F.col("cls_x") < F.col("cls_y")) & (F.col("root_x") != F.col("root_y")) & reach)
-        .select(F.col("cls_x").alias("a"), F.col("cls_y").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
+        .select(F.col("cls_y").alias("a"), F.col("cls_x").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
     )
-    more = _linked(rest, firsts, texts, similar, size)
-    if more.limit(1).count():
-        roots = components(links.union(more))
+    rest = materialise(rest, "rest-pairs")
+    if rest.limit(1).count():
+        roots = merged(roots, _linked(rest, _sets(rest, firsts, texts, size), similar))
     named = members.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("low")).join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     names = named.groupBy("root").agg(F.min("low").alias("component_id"))
     answers = named.join(names, "root").select("cls", "component_id")
