@@ -21,7 +21,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -36,8 +36,10 @@ from creditloom.runtime import materialise
 
 #: The end's name among words; no word is empty.
 END = ""
-#: Places of the sequences that advance together, some 150 MB while training.
-PLACES_AT_ONCE = 1 << 21
+#: Places of the sequences that advance together, some 75 MB while training.
+PLACES_AT_ONCE = 1 << 20
+#: Places of the sequences that are ordered by length before they are trained in groups, 16 MB.
+PLACES_ORDERED = 1 << 23
 #: What a text counts beside its places, so that short ones are not held in any number.
 PLACES_OF_A_TEXT = 64
 #: A text longer than this is trained by segments of this size.
@@ -311,9 +313,28 @@ def encode(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "t
     return materialise(rows.withColumn("row", F.monotonically_increasing_id()), "word-classes")
 
 
+def grouped(texts: Iterable[np.ndarray], most: int) -> Iterator[list[np.ndarray]]:
+    """The texts in their order, in groups that end with the text that brings the places to ``most``."""
+    group: list[np.ndarray] = []
+    places = 0
+    for text in texts:
+        group.append(text)
+        places += len(text) + PLACES_OF_A_TEXT
+        if places >= most:
+            yield group
+            group, places = [], 0
+    if group:
+        yield group
+
+
 def baum_welch(encoded: DataFrame, model: Model, plan: Plan = PLAN) -> Model:
-    """The model after as many passes over the training rows as it takes to settle."""
-    training = encoded.filter("NOT held_out").select("classes")
+    """The model after as many passes over the training rows as it takes to settle.
+
+    A group takes as many steps of time as its longest text has places, so texts of like length go together, and a task gets
+    enough of them: small partitions are joined, down to one for each core.
+    """
+    cores = encoded.sparkSession.sparkContext.defaultParallelism
+    training = encoded.filter("NOT held_out").select("classes").coalesce(max(cores, math.ceil(model.n_tokens / PLACES_ORDERED)))
     start, move, emit = model.start, model.move, model.emit
     k = plan.states
     before = None
@@ -323,25 +344,22 @@ def baum_welch(encoded: DataFrame, model: Model, plan: Plan = PLAN) -> Model:
         def work(rows: Iterator[tuple], sent=sent) -> Iterator[tuple]:
             params = sent.value
             sums = [np.zeros_like(p) for p in params] + [np.zeros(1)]
-            group: list[np.ndarray] = []
-            places = 0
 
             def add(found: tuple) -> None:
                 for total, part in zip(sums, found):
                     total += part
 
-            for (data,) in rows:
-                classes = np.frombuffer(data, dtype="<u2")
-                if len(classes) > SEGMENT:
-                    add(expected_long(*params, classes))
-                    continue
-                group.append(classes)
-                places += len(classes) + PLACES_OF_A_TEXT
-                if places >= PLACES_AT_ONCE:
+            def texts() -> Iterator[np.ndarray]:
+                for (data,) in rows:
+                    classes = np.frombuffer(data, dtype="<u2")
+                    if len(classes) > SEGMENT:
+                        add(expected_long(*params, classes))
+                    else:
+                        yield classes
+
+            for ordered in grouped(texts(), PLACES_ORDERED):
+                for group in grouped(sorted(ordered, key=len), PLACES_AT_ONCE):
                     add(expected(*params, group))
-                    group, places = [], 0
-            if group:
-                add(expected(*params, group))
             for kind, total in enumerate(sums):
                 for row, values in enumerate(np.atleast_2d(total)):
                     for place in np.flatnonzero(values).tolist():
