@@ -15,8 +15,9 @@ their Jaccard similarity is at least a threshold.
 * The index is sorted by entry and set and scanned as lists. In each list, every set is paired with the list's first set
   only: first one such pair a set is compared, then those whose sets are still apart. A set that links takes the component over;
   pairs inside a component need no check of their own.
-* Lists whose sets then lie in several components are joined with themselves. No block of a list is skipped: all pairs of such a
-  list are looked at, the square of its length.
+* In lists whose sets then lie in several components, sets that share ``TIED`` lists with the same first set meet once through it,
+  however many lists they have in common. Only sets that share fewer lists with a list's first set are joined with the list. No
+  block of a list is skipped: among the sets of a head, pairs from different components are looked at, the square of their number.
 * A pair goes on to be compared only when its sizes, the places of the entry among either set's own, and the bits in which the
   two sets' sketches differ can reach the threshold. A sketch is the parity of the elements that fall on each of its bits; two
   sets differ in at least as many elements as their sketches in bits.
@@ -52,6 +53,8 @@ SIMILAR = 75
 PAIRS_FROM = 70
 #: Counters that estimate how common an entry of the index is; a fixed table of 2 MB.
 COUNTERS = 1 << 18
+#: Lists with the same first set that a set must be in to meet others through that set instead of in each list.
+TIED = 4
 #: Words of 64 bits in a set's sketch.
 SKETCH = 16
 SKETCH_COLUMNS = [f"b{i}" for i in range(SKETCH)]
@@ -316,6 +319,27 @@ def _sketches_near(x: str, y: str, n_x: Column, n_y: Column, similar: int) -> Co
     return apart <= n_x + n_y - 2 * _shared(n_x, n_y, similar)
 
 
+def _near_pairs(mixed: DataFrame, similar: int) -> DataFrame:
+    """Pairs (a, b) of sets that share a list, lie in different components and by sizes and sketches can reach the threshold.
+
+    ``mixed`` has the lists without their first sets; ``tied`` says whether a set meets others through that first set.
+    """
+
+    def sides(left: DataFrame, right: DataFrame, by: str) -> tuple[DataFrame, DataFrame, Column]:
+        x, y = (d.select(by, *(F.col(c).alias(f"{c}_{s}") for c in d.columns if c != by)) for d, s in ((left, "x"), (right, "y")))
+        n_x, n_y = F.col("n_x"), F.col("n_y")
+        near = (F.least(n_x, n_y) >= _shared(n_x, n_y, similar)) & _sketches_near("_x", "_y", n_x, n_y, similar)
+        return x, y, (x[by] == y[by]) & (F.col("root_x") != F.col("root_y")) & near
+
+    pair = [F.greatest("cls_x", "cls_y").alias("a"), F.least("cls_x", "cls_y").alias("b")]
+    tied = materialise(mixed.filter("tied").drop("h", "size_at", "tied").dropDuplicates(["head", "cls"]), "tied-sets")
+    x, y, near = sides(tied, tied, "head")
+    through_heads = x.join(y, near & (F.col("cls_x") < F.col("cls_y"))).select(*pair)
+    x, y, near = sides(mixed.filter("NOT tied"), mixed, "h")
+    in_lists = x.join(y, near & (F.col("tied_y") | (F.col("cls_x") < F.col("cls_y"))) & _in_reach("size_at_x", "size_at_y", similar)).select(*pair)
+    return through_heads.union(in_lists).distinct()
+
+
 def _named(df: DataFrame) -> DataFrame:
     """A written table of classes or pairs, told to every task if that is small."""
     return F.broadcast(df) if df.count() <= MAX_BROADCAST_CLASSES else df
@@ -404,17 +428,14 @@ def link(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar: i
     if open_pairs.limit(1).count():
         roots = merged(roots, _linked(open_pairs, sets, similar))
     # lists that still hold several components: those with a set apart from the first one
-    heads = materialise(lists.filter("cls != head").select(F.col("cls").alias("a"), F.col("head").alias("b")).distinct(), "heads")
-    apart = _named(materialise(_between(heads, roots).select(F.col("a").alias("cls"), F.col("b").alias("head")), "apart"))
-    hit = materialise(lists.join(apart, ["cls", "head"], "left_semi").select("h").distinct(), "mixed-entries")
-    mixed = lists.join(_named(hit), "h", "left_semi").select("h", "cls", "size_at").join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-    mixed = materialise(mixed.join(sketches, "cls"), "mixed-lists")
-    x, y = (mixed.select("h", *(F.col(c).alias(f"{c}_{s}") for c in mixed.columns if c != "h")) for s in "xy")
-    reach = _in_reach("size_at_x", "size_at_y", similar) & _sketches_near("_x", "_y", F.col("n_x"), F.col("n_y"), similar)
-    rest = (
-        x.join(y, (x["h"] == y["h"]) & (F.col("cls_x") < F.col("cls_y")) & (F.col("root_x") != F.col("root_y")) & reach)
-        .select(F.col("cls_y").alias("a"), F.col("cls_x").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
-    )
+    others = lists.filter("cls != head").select("h", "cls", "size_at", "head")
+    heads = materialise(others.groupBy("cls", "head").agg((F.count("*") >= TIED).alias("tied")), "heads")
+    apart = _named(materialise(_between(heads.select(F.col("cls").alias("a"), F.col("head").alias("b")), roots).select(F.col("a").alias("cls"), F.col("b").alias("head")), "apart"))
+    hit = materialise(others.join(apart, ["cls", "head"], "left_semi").select("h").distinct(), "mixed-entries")
+    mixed = others.join(_named(hit), "h", "left_semi").join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    several = mixed.groupBy("h").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("h")
+    mixed = materialise(mixed.join(several, "h", "left_semi").join(_named(heads), ["cls", "head"]).join(sketches, "cls"), "mixed-lists")
+    rest = _near_pairs(mixed, similar).join(pairs, ["a", "b"], "left_anti")
     rest = materialise(rest, "rest-pairs")
     if rest.limit(1).count():
         roots = merged(roots, _linked(rest, _sets(rest, firsts, texts, size), similar))

@@ -68,6 +68,47 @@ def test_looser_thresholds(spark):
         assert got == dict(enumerate(root))
 
 
+def joined_rows(plan):
+    """The most rows that a join below ``plan`` has made."""
+    kind, below = plan.getClass().getSimpleName(), plan.children()
+    if kind == "AdaptiveSparkPlanExec":
+        return joined_rows(plan.executedPlan())
+    if kind.endswith("QueryStageExec"):
+        return joined_rows(plan.plan())
+    own = [plan.metrics().get("numOutputRows").get().value()] if "Join" in kind else []
+    return max([*own, *(joined_rows(below.apply(i)) for i in range(below.size()))], default=0)
+
+
+def test_copies_apart_meet_once_a_head(spark, monkeypatch):
+    rnd = np.random.RandomState(3)
+    texts = []
+    for i in range(24):  # any two of them differ in too much to link, and share hundreds of entries
+        words = [f"w{k}" for k in range(1500)]
+        for at in rnd.choice(1500, 30, replace=False):
+            words[at] = f"x{i}.{at}"
+        texts.append(words)
+    for i in range(3):
+        texts.append([*texts[i][:700], "other", *texts[i][701:]])
+    texts = [" ".join(words) for words in texts]
+    made, write = [], jaccard_join.materialise
+
+    def counted(df, label):
+        if label == "rest-pairs":
+            df.collect()
+            made.append(joined_rows(df._jdf.queryExecution().executedPlan()))
+        return write(df, label)
+
+    monkeypatch.setattr(jaccard_join, "materialise", counted)
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_join.link(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()}
+    sets, root = [shingles(t) for t in texts], list(range(len(texts)))
+    for _ in texts:
+        for i, s in enumerate(sets):
+            root[i] = min(root[j] for j, o in enumerate(sets) if 100 * len(s & o) >= 75 * len(s | o))
+    assert got == dict(enumerate(root)) and len(set(root)) == 24
+    pairs = len(texts) * (len(texts) - 1) // 2
+    assert 0 < made[0] < 10 * pairs
+
+
 def test_names_of_long_chains(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 120), (120, 110)], "a bigint, b bigint")
     none = spark.createDataFrame([], "cls bigint, root bigint")
