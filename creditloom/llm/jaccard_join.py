@@ -4,7 +4,7 @@ A text's set holds the hashes of its five-word shingles (64 bits; equal hashes c
 their Jaccard similarity is at least a threshold.
 
 * Equal sets are one class and share one answer.
-* Texts become sets inside the tasks that read them, once to count, once to index, and once more for the few to be compared; sets
+* Texts become sets inside the tasks that read them, once to count, once for each part of the index, and once more for the few to be compared; sets
   are never shuffled whole for all texts. A task hashes the words of many texts at once, as bytes.
 * A set is indexed by its neighbours: pairs of elements that follow each other in the order of hashes. An element that a
   partner lacks breaks two of them, one that it has beside breaks one, so the threshold bounds how many a partner can miss; a set
@@ -12,7 +12,8 @@ their Jaccard similarity is at least a threshold.
   however many texts there are. Thresholds below ``PAIRS_FROM`` leave too few whole neighbours; there elements are indexed.
 * Neighbours that many sets have come last. A table of counters of fixed size tells them apart, so any corpus gives one total
   order and the filter is exact.
-* The index is sorted by entry and set and scanned as lists. In each list, every set is paired with the list's first set
+* The index is shuffled in ``TURNS`` parts by hash of the entry, one after the other, so that only one of them is on disk at a time.
+* It is sorted by entry and set and scanned as lists. In each list, every set is paired with the list's first set
   only: first one such pair a set is compared, then those whose sets are still apart. A set that links takes the component over;
   pairs inside a component need no check of their own.
 * In lists whose sets then lie in several components, sets that share ``TIED`` lists with the same first set meet once through it,
@@ -20,7 +21,8 @@ their Jaccard similarity is at least a threshold.
   block of a list is skipped: among the sets of a head, pairs from different components are looked at, the square of their number.
 * A pair goes on to be compared only when its sizes, the places of the entry among either set's own, and the bits in which the
   two sets' sketches differ can reach the threshold. A sketch is the parity of the elements that fall on each of its bits; two
-  sets differ in at least as many elements as their sketches in bits.
+  sets differ in at least as many elements as their sketches in bits. Pairs are compared in as many parts as keep what is sent for one
+  in proportion to the sets, and what is written on the way goes when it was read for the last time.
 
 Components grow by contraction: every component takes the smallest neighbour's name, names are followed to their end, and only
 links between different components go on to the next round.
@@ -32,7 +34,7 @@ are rows of their own; a null id is never a component's name unless all its rows
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +46,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from creditloom.llm.tasks import map_rows
 from creditloom.llm.texts import packed, text_of
-from creditloom.runtime import materialise
+from creditloom.runtime import materialise, scratch_scope
 
 SHINGLE = 5
 #: The threshold in percent.
@@ -60,6 +62,12 @@ SKETCH = 16
 SKETCH_COLUMNS = [f"b{i}" for i in range(SKETCH)]
 #: Counters that travel in one row.
 CHUNK = 1 << 12
+#: Parts of the index that are shuffled after each other, each when the shuffle files of the one before are gone; every part makes the sets anew.
+TURNS = 3
+#: Rows of the index that a task sorts, about.
+SORTED = 1_000_000
+#: Bytes of sets that are sent at a time for pairs to be compared, about: these, or a quarter of all sets if that is more.
+SENT = 1 << 26
 
 #: Classes or pairs of them that may be named to every task: 32 MB of keys.
 MAX_BROADCAST_CLASSES = 1_000_000
@@ -224,10 +232,10 @@ def _members(texts: DataFrame, similar: int, size: int) -> tuple[DataFrame, np.n
     return found.filter("chunk IS NULL").drop("chunk", "counts"), common.ravel()
 
 
-def _index(texts: DataFrame, common: np.ndarray, similar: int, size: int) -> DataFrame:
+def _index(texts: DataFrame, common: np.ndarray, similar: int, size: int, turn: int = 0, turns: int = 1) -> DataFrame:
     """The rarest entries of every set, as many as the filter needs: entry, class, and in one number the set's size and the entry's place.
 
-    Copies that a task meets are indexed once.
+    Copies that a task meets are indexed once. Each of the ``turns`` has the entries of some hashes, all turns together have all entries.
     """
     # entries are ordered by how common they are, to the power of two, and then by hash
     sent = texts.sparkSession.sparkContext.broadcast(np.frexp(common.astype(np.float64))[1].astype(np.uint8))
@@ -238,7 +246,7 @@ def _index(texts: DataFrame, common: np.ndarray, similar: int, size: int) -> Dat
         level, seen = sent.value, set()
         for rows in batches:
             for sets in sets_of(rows.column(0), size):
-                chosen, classes, sizes, counts = [], [], [], []
+                chosen, classes, sizes_at, counts = [], [], [], []
                 for elements in sets:
                     missing = _missing(len(elements), similar) if len(elements) else -1
                     if missing < 0 or (cls := _class(elements)) in seen:
@@ -249,12 +257,13 @@ def _index(texts: DataFrame, common: np.ndarray, similar: int, size: int) -> Dat
                     entries = _entries(elements, similar)
                     keys = (level[entries & np.uint64(COUNTERS - 1)].astype(np.uint64) << np.uint64(57)) | (entries >> np.uint64(7))
                     keys = np.sort(np.partition(keys, missing)[: missing + 1] if missing < len(keys) else keys)
-                    chosen.append(keys)
+                    places = np.flatnonzero(keys % np.uint64(turns) == np.uint64(turn))
+                    chosen.append(keys[places])
                     classes.append(cls)
-                    sizes.append(len(elements))
-                    counts.append(len(keys))
+                    sizes_at.append(places + (len(elements) << 32))
+                    counts.append(len(places))
                 if chosen:
-                    size_at = np.concatenate([np.arange(c) + (n << 32) for n, c in zip(sizes, counts)])
+                    size_at = np.concatenate(sizes_at)
                     columns = [np.concatenate(chosen).view(np.int64), np.repeat(np.array(classes, dtype=np.int64), counts), size_at]
                     yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, arrow)], schema=arrow)
 
@@ -349,14 +358,14 @@ def _sets(pairs: DataFrame, firsts: DataFrame, texts: DataFrame, size: int) -> D
     """The sets of the classes in ``pairs``. ``firsts`` names one text of each class, whose set is made anew."""
     named = _named(materialise(firsts.select("cls", "first").join(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct(), "cls", "left_semi"), "compared-classes"))
     match = (texts["digest"] == named["first.digest"]) & texts["doc_id"].eqNullSafe(named["first.doc_id"])
-    schema = T.StructType.fromDDL("cls bigint, elements binary")
+    schema = T.StructType.fromDDL("cls bigint, n bigint, elements binary")
     arrow = to_arrow_schema(schema)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
             at = 0
             for sets in sets_of(rows.column(1), size):
-                columns = [rows.column(0).slice(at, len(sets)), pa.array([s.tobytes() for s in sets], type=arrow[1].type)]
+                columns = [rows.column(0).slice(at, len(sets)), pa.array([len(s) for s in sets], type=arrow[1].type), pa.array([s.tobytes() for s in sets], type=arrow[2].type)]
                 yield pa.RecordBatch.from_arrays(columns, schema=arrow)
                 at += len(sets)
 
@@ -404,29 +413,43 @@ def merged(roots: DataFrame, links: DataFrame) -> DataFrame:
         roots = materialise(roots.join(up, "root", "left").select("cls", F.coalesce("top", "root").alias("root")).union(above), "roots")
 
 
-def link(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar: int = SIMILAR, size: int = SHINGLE) -> DataFrame:
-    """Per document: doc_id, n_shingles, component_id (the smallest id reached), and ``digest``, the hash of its text."""
-    spark = docs.sparkSession
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    body = text_of(f"`{text}`")
-    texts = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.xxhash64(body).alias("digest"), body.alias("body"))
-    found, common = _members(texts, similar, size)
-    members = found.select("doc_id", "digest", "cls", "n")
+def _compared(roots: DataFrame, pairs: DataFrame, sets: DataFrame, similar: int, room: int) -> DataFrame:
+    """``roots`` after those of the written pairs (a, b) that reach the threshold.
+
+    The pairs are taken in so many parts that the sets sent along with the pairs of one are about ``room`` bytes, however many pairs there are. Pairs
+    that earlier parts have brought into one component are left out of later ones.
+    """
+    sent = pairs.join(sets.select(F.col("cls").alias("a"), "n"), "a").agg(F.sum(8 * F.col("n"))).first()[0] or 0
+    parts = -(-int(sent) // room)
+    for k in range(parts):
+        part = pairs if parts == 1 else pairs.filter(F.pmod(F.xxhash64("a", "b"), F.lit(parts)) == k)
+        if k:
+            part = _between(part, roots).select("a", "b")
+        roots = merged(roots, _linked(part, sets, similar))
+    return roots
+
+
+def _roots(texts: DataFrame, found: DataFrame, common: np.ndarray, parts: int, similar: int, size: int) -> DataFrame:
+    """(cls, root) for every class that is not its component's root. The copies written on the way belong to the caller's scope."""
+    spark = texts.sparkSession
     same = [F.first(c).alias(c) for c in ("n", *SKETCH_COLUMNS)]
     firsts = materialise(found.filter("n > 0").groupBy("cls").agg(F.min(F.struct("doc_id", "digest")).alias("first"), *same), "classes")
     sketches = firsts.drop("first")
-    lists = _lists(_index(texts, common, similar, size), parts)
+    room = max(int(firsts.agg(F.sum(8 * F.col("n"))).first()[0] or 0) // 4, SENT)
+    sorters = max(1, max(parts, int(common.sum()) // (2 * SORTED)) // TURNS)
+    lists = reduce(DataFrame.union, [_lists(_index(texts, common, similar, size, turn, TURNS), sorters) for turn in range(TURNS)])
     # every set with the first sets of its lists; one of them first
     pairs = lists.filter("cls != head").filter(_in_reach("size_at", "head_size_at", similar)).groupBy(F.col("cls").alias("a"), F.col("head").alias("b")).agg(F.count("*").alias("shared"))
     for s in "ab":
         pairs = pairs.join(sketches.select(*(F.col(c).alias(s if c == "cls" else c + s) for c in sketches.columns)), s)
     pairs = materialise(pairs.filter(_sketches_near("a", "b", F.col("na"), F.col("nb"), similar)).select("a", "b", "shared"), "pairs")
-    tried = materialise(pairs.groupBy("a").agg(F.max_by("b", F.struct("shared", "b")).alias("b")), "first-pairs")
-    sets = _sets(pairs, firsts, texts, size)
-    roots = merged(spark.createDataFrame([], "cls bigint, root bigint"), _linked(tried, sets, similar))
-    open_pairs = materialise(_between(pairs.select("a", "b"), roots).select("a", "b").join(tried, ["a", "b"], "left_anti"), "open-pairs")
-    if open_pairs.limit(1).count():
-        roots = merged(roots, _linked(open_pairs, sets, similar))
+    with scratch_scope(spark) as scratch:
+        tried = materialise(pairs.groupBy("a").agg(F.max_by("b", F.struct("shared", "b")).alias("b")), "first-pairs")
+        sets = _sets(pairs, firsts, texts, size)
+        roots = _compared(spark.createDataFrame([], "cls bigint, root bigint"), tried, sets, similar, room)
+        open_pairs = materialise(_between(pairs.select("a", "b"), roots).select("a", "b").join(tried, ["a", "b"], "left_anti"), "open-pairs")
+        roots = materialise(_compared(roots, open_pairs, sets, similar, room), "roots")
+        scratch.keep_last()
     # lists that still hold several components: those with a set apart from the first one
     others = lists.filter("cls != head").select("h", "cls", "size_at", "head")
     heads = materialise(others.groupBy("cls", "head").agg((F.count("*") >= TIED).alias("tied")), "heads")
@@ -435,10 +458,23 @@ def link(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar: i
     mixed = others.join(_named(hit), "h", "left_semi").join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     several = mixed.groupBy("h").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("h")
     mixed = materialise(mixed.join(several, "h", "left_semi").join(_named(heads), ["cls", "head"]).join(sketches, "cls"), "mixed-lists")
-    rest = _near_pairs(mixed, similar).join(pairs, ["a", "b"], "left_anti")
-    rest = materialise(rest, "rest-pairs")
+    rest = materialise(_near_pairs(mixed, similar).join(pairs, ["a", "b"], "left_anti"), "rest-pairs")
     if rest.limit(1).count():
-        roots = merged(roots, _linked(rest, _sets(rest, firsts, texts, size), similar))
+        roots = _compared(roots, rest, _sets(rest, firsts, texts, size), similar, room)
+    return roots
+
+
+def link(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar: int = SIMILAR, size: int = SHINGLE) -> DataFrame:
+    """Per document: doc_id, n_shingles, component_id (the smallest id reached), and ``digest``, the hash of its text."""
+    spark = docs.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    body = text_of(f"`{text}`")
+    texts = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.xxhash64(body).alias("digest"), body.alias("body"))
+    found, common = _members(texts, similar, size)
+    members = found.select("doc_id", "digest", "cls", "n")
+    with scratch_scope(spark) as scratch:
+        roots = materialise(_roots(texts, found, common, parts, similar, size), "roots")
+        scratch.keep_last()
     named = members.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("low")).join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     names = named.groupBy("root").agg(F.min("low").alias("component_id"))
     answers = named.join(names, "root").select("cls", "component_id")

@@ -68,8 +68,14 @@ class Scratch:
     made: list[str] = field(default_factory=list)
     kept: list[str] = field(default_factory=list)
 
+    def keep_last(self) -> None:
+        """The copy written last outlives the block."""
+        self.kept.append(self.made.pop())
+
 
 _SCRATCH: ContextVar[Scratch | None] = ContextVar("scratch", default=None)
+#: Whether Spark deletes the shuffle files of a query as soon as the query is over, not when the driver's JVM next collects its garbage.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 @contextmanager
@@ -96,13 +102,22 @@ def materialise(df: DataFrame, label: str = "stage", keep: bool = False) -> Data
 
     Used where several passes must see the same rows: the lineage is cut, the copy outlives
     lost executors, and later passes read only the columns they need. ``keep`` lets it outlive
-    the ``scratch_scope`` it is written in.
+    the ``scratch_scope`` it is written in. The shuffle files of the writing go with its end, as nothing else reads them.
     """
-    path = scratch_path(df.sparkSession, label)
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
     if (scope := _SCRATCH.get()) is not None:
         (scope.kept if keep else scope.made).append(path)
-    df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.mode("errorifexists").parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def small_table(spark: SparkSession, rows: list[tuple], schema: T.StructType | str) -> DataFrame:

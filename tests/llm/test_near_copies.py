@@ -1,11 +1,14 @@
 """The Jaccard join by neighbours, sketches and contraction; training in groups of texts of like length."""
 
 import re
+import time
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
+from creditloom import runtime
 from creditloom.llm import hmm_lm, jaccard_join
 
 TEXTS = ["", " \t a B\x0bc\n", "a b c d e f", "é É x y z w q", "A b C d e", " x", "x ", "one\u0085two three four five six seven", "x" * 9000 + " y z a b c"]
@@ -123,3 +126,86 @@ def test_groups_by_length():
     groups = list(hmm_lm.grouped(sorted(texts, key=len), room))
     assert [[len(t) for t in g] for g in groups] == [[2, 3], [5, 7], [800], [900]]
     assert list(hmm_lm.grouped([], room)) == []
+
+
+def similar_texts():
+    rnd = np.random.RandomState(11)
+    texts = []
+    for i in range(90):  # families of ten, some of whose texts link
+        words = [f"w{i // 10}.{k}" for k in range(120)]
+        for at in rnd.choice(120, rnd.randint(1, 4), replace=False):
+            words[at] = f"x{i}.{at}"
+        texts.append(" ".join(words))
+    return texts
+
+
+def components(texts):
+    sets, root = [shingles(t) for t in texts], list(range(len(texts)))
+    for _ in texts:
+        for i, s in enumerate(sets):
+            root[i] = min(root[j] for j, o in enumerate(sets) if s == o or 100 * len(s & o) >= 75 * len(s | o))
+    return dict(enumerate(root))
+
+
+def test_turns_share_out_the_index(spark):
+    docs = spark.createDataFrame([(t,) for t in similar_texts()], "body string")
+    common = np.zeros(jaccard_join.COUNTERS, dtype=np.int64)
+    whole = jaccard_join._index(docs, common, 75, 5).collect()
+    turns = [jaccard_join._index(docs, common, 75, 5, turn, 3).collect() for turn in range(3)]
+    assert sorted(map(tuple, whole)) == sorted(tuple(r) for rows in turns for r in rows)
+    assert max(map(len, turns)) < 0.4 * len(whole)
+    assert not {r["h"] for r in turns[0]} & {r["h"] for r in turns[1] + turns[2]}
+
+
+def test_pairs_are_compared_in_parts(spark, monkeypatch):
+    calls, linked = [], jaccard_join._linked
+
+    def counted(pairs, sets, similar):
+        calls.append(pairs.count())
+        return linked(pairs, sets, similar)
+
+    monkeypatch.setattr(jaccard_join, "_linked", counted)
+    texts = similar_texts()[:30]
+    made = [s for sets in jaccard_join.sets_of(pa.array([t.encode() for t in texts])) for s in sets]
+    sets = spark.createDataFrame([(i, len(s), s.tobytes()) for i, s in enumerate(made)], "cls bigint, n bigint, elements binary")
+    pairs = spark.createDataFrame([(a, b) for a in range(30) for b in range(a) if a // 10 == b // 10], "a bigint, b bigint")
+    none = spark.createDataFrame([], "cls bigint, root bigint")
+    expected = {i: root for i, root in components(texts).items() if i != root}
+    assert 3 < len(expected) < 27
+    for room in (40 * 8 * 116, 10**9):
+        assert dict(map(tuple, jaccard_join._compared(none, pairs, sets, 75, room).collect())) == expected
+    *parts, at_once = calls
+    assert len(parts) == 4 and max(parts) < 60 and sum(parts) < at_once == 135
+    assert not jaccard_join._compared(none, pairs.limit(0), sets, 75, 1).count()
+
+
+def test_only_what_is_read_later_stays(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(runtime, "shared_dir", lambda _: str(tmp_path))
+    texts = similar_texts()
+    linked = jaccard_join.link(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"))
+    assert sorted(p.name.split("-")[0] for p in (tmp_path / "creditloom").iterdir()) == ["members", "roots"]
+    assert {r["doc_id"]: r["component_id"] for r in linked.collect()} == components(texts)
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().iterator()
+    found = set()
+    while files.hasNext():
+        if (name := files.next().getName()).startswith("shuffle_"):
+            found.add(name)
+    return found
+
+
+def test_shuffle_files_go_with_the_write(spark):
+    before, setting = shuffle_files(spark), spark.conf.get(runtime.SHUFFLE_CLEANUP, None)
+    rows = spark.range(20_000).repartition(7, "id").groupBy((F.col("id") % 9).alias("k")).count()
+    kept = rows.collect()  # a query that is not written keeps its files
+    assert shuffle_files(spark) - before
+    own = shuffle_files(spark)
+    written = runtime.materialise(spark.range(20_000).repartition(5, "id").sortWithinPartitions("id"))
+    for _ in range(50):
+        if not (left := shuffle_files(spark) - own):
+            break
+        time.sleep(0.2)
+    assert not left and written.count() == 20_000
+    assert sorted(rows.collect()) == sorted(kept) and spark.conf.get(runtime.SHUFFLE_CLEANUP, None) == setting
